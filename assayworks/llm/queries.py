@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayworks.llm import minhash_dedup
+from assayworks.llm import minhash_dedup, packing, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -42,3 +42,36 @@ reach(a, b) as (
 select s.doc_id, len(sh)::bigint as n_shingles, c.component_id, s.doc_id = c.component_id as kept
 from s join (select a as doc_id, min(b) as component_id from reach group by 1) c using (doc_id)
 """
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query
+def op3_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages"))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+SQL["op3_warc_revisit"] = r"""
+with p as (select page_id, encode(coalesce(html, '')) as body from pages),
+d as (
+  select page_id, octet_length(body)::bigint as payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (('0x' || substr(sha1(body), (i // 4 * 5 + 1)::int, 5))::int >> (15 - i % 4 * 5)::int) % 32 + 1, 1)), '') as payload_digest
+  from p),
+w as (select payload_digest, payload_bytes, max(page_id) as last from d group by all)
+select d.page_id, d.payload_bytes, d.payload_digest,
+  case when d.page_id = w.last then 'response' else 'revisit' end as record_type,
+  case when d.page_id <> w.last then w.last end as refers_to
+from d join w using (payload_digest, payload_bytes)
+"""
+
+
+@_query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
