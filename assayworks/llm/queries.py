@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayworks.llm import minhash_dedup, packing, warc
+from assayworks.llm import decontamination, minhash_dedup, packing, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -75,3 +75,35 @@ from d join w using (payload_digest, payload_bytes)
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
+
+
+@_query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
+SQL["op6_benchmark_decontamination"] = r"""
+with lowered as (
+  select 'd' as side, doc_id as id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+  union all
+  select 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') from benchmark),
+w as (select side, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from lowered),
+b as (
+  select distinct id as item_id, n, array_to_string(ws[i:i + n - 1], ' ') as win
+  from (select id, ws, n, unnest(range(1, len(ws) - n + 2)) as i
+        from (select id, ws, least(len(ws), 10) as n from w where side = 'b' and len(ws) > 0))),
+d as (
+  select id as doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') as win
+  from (select id, ws, n, unnest(range(1, len(ws) - n + 2)) as i
+        from w, (select distinct n from b) where side = 'd' and len(ws) >= n)),
+hits as (select d.doc_id, d.i, d.n, b.item_id from d join b using (n, win)),
+places as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by 1),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+  from (select distinct doc_id, item_id::varchar as item_id from hits) group by 1)
+select w.id as doc_id, len(w.ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join places on places.doc_id = w.id left join items on items.doc_id = w.id
+where w.side = 'd'
+"""
