@@ -48,6 +48,8 @@ class Settings:
     #: Members and shingles of a block in step 3.
     block: int = 1024
     block_shingles: int = 1_000_000
+    #: So many ids (8 bytes each) may be broadcast to pick the texts to confirm.
+    broadcast_ids: int = 500_000
 
     @property
     def least_estimate(self) -> float:
@@ -153,11 +155,19 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of the documents ``ids(id)``, one row an id."""
-    ids = ids.select(F.col("id").alias("doc_id")).distinct()
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return written(found.groupBy(F.col("doc_id").alias("id")).agg(F.min("text").alias("text")), "texts")
+def _texts_of(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """Texts of the documents ``ids(id)``, one row an id.
+
+    Up to ``broadcast_ids`` ids go to the scan as a hash set, so only their texts
+    are shuffled; more are joined by a shuffle of all.
+    """
+    ids = written(ids.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    few = ids.count() <= s.broadcast_ids
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
+    out = written(found.dropDuplicates(["id"]), "texts")
+    forget(ids)
+    return out
 
 
 def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
@@ -167,8 +177,8 @@ def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
     blocks of the other members; those meet each other.  Blocks are bounded in
     members and in shingles.
     """
-    by_comp = buckets.groupBy("band", "key", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
-    of = by_comp.groupBy("band", "key").agg(
+    by_comp = buckets.groupBy("key", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    of = by_comp.groupBy("key").agg(
         F.max_by("comp", F.struct("m", "comp")).alias("main"),
         F.max(F.struct("m", "comp", "n")).alias("top"),
         F.sum("m").alias("m"),
@@ -179,13 +189,12 @@ def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
         return F.ceil(F.greatest(members / s.block, shingles / s.block_shingles)).cast("int")
 
     of = of.select(
-        "band",
         "key",
         "main",
         blocks(F.col("top.m"), F.col("top.n")).alias("k_main"),
         blocks(F.col("m") - F.col("top.m"), F.col("n") - F.col("top.n")).alias("k_rest"),
     )
-    placed = buckets.join(of, ["band", "key"]).withColumn("is_main", F.col("comp") == F.col("main"))
+    placed = buckets.join(of, "key").withColumn("is_main", F.col("comp") == F.col("main"))
     own = F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("k_main")).otherwise(F.col("k_rest"))).cast("int")
     # cells (x, y): x is a block of the rest; y >= 0 a block of the rest, not before x; y < 0 a block of the main component
     rest = F.sequence(F.lit(0), F.col("k_rest") - 1)
@@ -197,20 +206,21 @@ def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
     return (
         placed.withColumn("own", own)
         .withColumn("cell", F.explode(F.when(F.col("is_main"), as_main).otherwise(as_rest)))
-        .select("band", "key", "cell.x", "cell.y", "own", "is_main", "id", "comp", "sig", "bands")
+        .select("key", "cell.x", "cell.y", "own", "is_main", "id", "comp", "sig", "bands")
     )
 
 
 def _cell_pairs(cell: pa.Table, s: Settings):
     """Yield ``(i, js)``: rows of a cell worth comparing, of two components, first met in this band."""
     ids, comp, own, is_main = (cell.column(c).to_numpy() for c in ("id", "comp", "own", "is_main"))
-    band, x, y = (cell.column(c)[0].as_py() for c in ("band", "x", "y"))
+    key, x, y = (cell.column(c)[0].as_py() for c in _CELL)
     left = np.flatnonzero(~is_main & (own == x))
     right = np.flatnonzero(is_main) if y < 0 else np.flatnonzero(~is_main & (own == y))
     if not len(left) or not len(right):
         return
     sig = _words(cell.column("sig").combine_chunks())
     keys = cell.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    band = int(np.flatnonzero(keys[0] == key)[0])
     for i in left:
         js = right[comp[right] != comp[i]]
         if y == x:
@@ -223,7 +233,7 @@ def _cell_pairs(cell: pa.Table, s: Settings):
             yield i, js
 
 
-_CELL = ["band", "key", "x", "y"]
+_CELL = ["key", "x", "y"]
 
 
 def _hopeful(cells: DataFrame, s: Settings) -> DataFrame:
@@ -274,41 +284,38 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     docs = docs.select("doc_id", "text")
     prints = written(fingerprints(docs, s), "prints")
-    full = prints.where("n_shingles > 0")
-    classes = full.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("rep"))
     keys = ["high", "low", "n_shingles"]
+    full = prints.where("n_shingles > 0 and doc_id is not null")
     reps = written(
-        full.groupBy(*keys, "doc_id").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-        .join(classes.where("rep is not null").withColumnRenamed("rep", "doc_id"), [*keys, "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "bands"),
+        full.groupBy(*keys).agg(F.min(F.struct("doc_id", "sig", "bands")).alias("rep"))
+        .select(*keys, F.col("rep.doc_id").alias("id"), F.col("n_shingles").alias("n"), "rep.sig", "rep.bands"),
         "reps",
     )
-    banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
-    leaders = banded.groupBy("band", "key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = banded.withColumnRenamed("id", "b").join(leaders, ["band", "key"]).where("a <> b").select("a", "b").distinct()
+    # a band's number is part of its key's hash
+    banded = reps.select("id", F.explode("bands").alias("key"))
+    leaders = banded.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").drop("z")
+    crowded = written(banded.join(leaders, "key").select("key", "id", "a"), "buckets")
+    stars = crowded.where("a <> id").select("a", F.col("id").alias("b")).distinct()
     with_sig = (
         stars.join(reps.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
         .join(reps.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
     )
     tried = written(_estimated(with_sig, s), "pairs")
-    texts = _texts_of(docs, tried.select(F.explode(F.array("a", "b")).alias("id")))
+    texts = _texts_of(docs, tried.select(F.explode(F.array("a", "b")).alias("id")), s)
     links = written(_confirmed(tried, texts, s), "links")
     forget(texts)
     forget(tried)
     hung = components(links)
-    rest = _open_buckets(banded, hung).join(reps, "id").select("band", "key", "id", "comp", "n", "sig", "bands")
+    rest = _open_buckets(crowded, hung).join(reps, "id").select("key", "id", "comp", "n", "sig", "bands")
     cells = written(_hopeful(_cells(rest, s), s), "cells")
     if cells.head(1):
-        texts = _texts_of(docs, cells.select("id"))
+        texts = _texts_of(docs, cells.select("id"), s)
         found = written(_cross_links(cells, texts, s), "links")
         forget(texts)
         if found.head(1):
             hung = components(links.unionByName(found))
     forget(cells)
-    of_class = (
-        classes.join(hung, classes.rep == hung.id, "left")
-        .select(*keys, F.coalesce("component", "rep").alias("component"))
-    )
+    of_class = reps.join(hung, "id", "left").select(*keys, F.coalesce("component", "id").alias("component"))
     out = prints.select("doc_id", *keys).join(of_class, keys, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select(
@@ -319,13 +326,13 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     )
 
 
-def _open_buckets(banded: DataFrame, hung: DataFrame) -> DataFrame:
-    """Members ``(band, key, id, comp)`` of buckets that hold more than one component."""
-    member = banded.join(hung, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("comp"))
+def _open_buckets(crowded: DataFrame, hung: DataFrame) -> DataFrame:
+    """Members ``(key, id, comp)`` of buckets that hold more than one component."""
+    member = crowded.join(hung, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     # of two members one is the bucket's smallest id, so step 2 has compared them
     seen = F.count("*").alias("m")
-    several = member.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), seen).where("lo <> hi and m > 2")
-    return member.join(several.select("band", "key"), ["band", "key"])
+    several = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), seen).where("lo <> hi and m > 2")
+    return member.join(several.select("key"), "key")
 
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
