@@ -2,21 +2,23 @@
 
 Headers (digest, size, id), never payloads, are shuffled by digest to find the
 original of each payload; the decision then joins the pages by their id, which
-no hot payload can skew.  Archives are plain WARC/1.1 files; many records make a
+no hot payload can skew.  Archives are gzipped WARC/1.1 files; many records make a
 file, about ``file_bytes`` of payload.  Reading takes whole files, so a file
 bounds a task's memory, and goes by Content-Length, so a payload may hold
 anything.
 
 Defined cases: a null html is an empty payload.  Of equal payloads of at least
 ``least_bytes`` the largest page id is the response and the others revisit it;
-rows that repeat that id are responses too.  Null ids lose against any id; a
-payload that only rows without an id hold stays response.  A null url is the
+rows that repeat that id are responses too.  Null ids
+lose against any id; a payload that only rows without an id hold
+stays response.  A null url is the
 empty string; control characters and blanks in it are percent-encoded.  An empty
 table writes no record and reads back empty.  Extra columns are not archived.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from base64 import b32encode
 from collections.abc import Iterator
@@ -45,8 +47,11 @@ def payload_digest(payload: Column) -> Column:
     return F.concat(*letters)
 
 
-def with_decisions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``page_id, url, body, payload_bytes, payload_digest, refers_to`` of ``pages(page_id, url, html)``."""
+def with_decisions(pages: DataFrame, least_bytes: int = 0, parts: int | None = None) -> DataFrame:
+    """``page_id, url, body, payload_bytes, payload_digest, refers_to`` of ``pages(page_id, url, html)``.
+
+    The pages are dealt once, into ``parts`` partitions, by just the keys of the join.
+    """
     body = F.encode(as_text(F.col("html")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", body.alias("body")).select(
         "*", F.octet_length("body").cast("long").alias("payload_bytes"), payload_digest(F.col("body")).alias("payload_digest")
@@ -55,15 +60,16 @@ def with_decisions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     same = ["payload_digest", "payload_bytes"]
     first = heads.groupBy(*same).agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
     repeated = first.where("n > 1 and original is not null").drop("n")
+    key = F.coalesce(F.col("page_id"), F.lit(-1))
     later = (
         heads.join(repeated, same)
         .where(~F.col("page_id").eqNullSafe(F.col("original")))
-        .select("page_id", *same, "original")
+        .select(key.alias("_key"), *same, F.col("original").alias("refers_to"))
         .distinct()
-        .withColumnsRenamed({"page_id": "_id", "payload_digest": "_digest", "payload_bytes": "_bytes", "original": "refers_to"})
     )
-    mine = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") == F.col("_bytes"))
-    return rows.join(later, mine, "left").drop("_id", "_digest", "_bytes")
+    rows = rows.withColumn("_key", key)
+    on = ["_key", *same]
+    return (rows.repartition(parts, *on) if parts else rows).join(later, on, "left").drop("_key")
 
 
 def _clean_url(url: Column) -> Column:
@@ -113,8 +119,8 @@ def write_archives(pages: DataFrame, path: str | None = None, least_bytes: int =
     path = path or fresh_path(spark, "warc")
     size = pages.agg(F.sum(F.octet_length("html")).alias("n")).head()["n"] or 0
     files = max(1, -(-size // file_bytes))
-    decided = with_decisions(pages, least_bytes).repartition(files, F.xxhash64("page_id", "payload_digest"))
-    records(decided).write.option("lineSep", "\r\n\r\n").text(path)
+    decided = with_decisions(pages, least_bytes, files)
+    records(decided).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
     return path
 
 
@@ -164,6 +170,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
         for batch in batches:
             for value in batch.column(0):
                 data = value.as_py()
+                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
                 rows: list[tuple] = []
                 for heads, begin, stop in _parse(data):
                     block = data.index(b"\r\n\r\n", begin, stop) + 4
