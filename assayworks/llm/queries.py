@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayworks.llm import decontamination, minhash_dedup, packing, warc
+from assayworks.llm import decontamination, minhash_dedup, packing, pii, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -107,3 +107,8 @@ select w.id as doc_id, len(w.ws)::bigint as n_words, coalesce(n_hit, 0)::bigint
 from w left join places on places.doc_id = w.id left join items on items.doc_id = w.id
 where w.side = 'd'
 """
+
+
+@_query
+def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
