@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayworks.llm import decontamination, minhash_dedup, packing, pii, warc
+from assayworks.llm import decontamination, minhash_dedup, packing, pii, sharding, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -112,3 +112,48 @@ where w.side = 'd'
 @_query
 def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+_SHARDS = [f"shard-{k:02d}" for k in range(24)]
+
+
+@_query
+def op8_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, "doc_id", _SHARDS, 4093).select("doc_id", "slot", "shard")
+
+
+def _sharding_sql() -> str:
+    """The same in SQL: a recursive query fills the table, a claim a step."""
+    names = ", ".join(f"({k}, '{s}')" for k, s in enumerate(_SHARDS))
+    return rf"""
+with recursive shards(k, name) as (values {names}),
+claims as (
+  select k, name, ('0x' || substr(md5('offset:' || name), 1, 16))::ubigint % 4093 as a0,
+    ('0x' || substr(md5('stride:' || name), 1, 16))::ubigint % 4092 + 1 as stride
+  from shards),
+walk as (
+  select k, name, j, ((a0 + j::ubigint * stride) % 4093)::bigint as slot
+  from claims, (select unnest(range(0, 4093)) as j)),
+orders as (select list(slots order by k) as o from (select k, list(slot order by j) as slots from walk group by k)),
+filled(turn, ptr, taken, slot) as (
+  select 0, list_transform(range(0, {len(_SHARDS)}), lambda x: 0), list_transform(range(0, 4093), lambda x: false), -1::bigint from orders
+  union all
+  select turn + 1,
+    ptr[1:k - 1] || [p] || ptr[k + 1:],
+    taken[1:s] || [true] || taken[s + 2:], s
+  from (
+    select turn, ptr, taken, k, p, (o[k][p])::bigint as s
+    from (
+      select turn, ptr, taken, turn % {len(_SHARDS)} + 1 as k, o,
+        ptr[turn % {len(_SHARDS)} + 1] + list_position(
+          list_transform(o[turn % {len(_SHARDS)} + 1][ptr[turn % {len(_SHARDS)} + 1] + 1:], lambda x: taken[x + 1]), false) as p
+      from filled, orders where turn < 4093)))
+select d.doc_id, f.slot, s.name as shard
+from (select doc_id, (('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint % 4093) as slot from documents) d
+join (select turn - 1 as turn, slot from filled where turn > 0) f using (slot)
+join shards s on s.k = f.turn % {len(_SHARDS)}
+"""
+
+
+SQL["op8_permutation_sharding"] = _sharding_sql()
