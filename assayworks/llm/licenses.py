@@ -1,24 +1,144 @@
 """License notices in whole texts, by MinHash bands over overlapping windows.
 
-1. Words (letters, digits, dots within) of a text give five-word shingles; a
-   shingle that is in no template cannot add to a containment, so only texts with
-   at least one shingle of a template go on.  What a window holds is its template
-   shingles and, for each foreign one, its own hash.
-2. Overlapping windows of about twice a template's length, half a window apart,
-   hold each notice whole.  Each window's minima over ``bands`` permutations make
-   bands of ``rows``; a template with an equal band is retrieved.
-3. The share of the template's shingles in the window, counted exactly, must
-   reach ``least``.
-
-A notice of n shingles in a window of at most 2n + 4 has Jaccard similarity above
-``least * n / (2.2 n + 5)``; with one row a band and 64 bands, a similarity of 0.15 collides
-with probability 1 - 0.85**64 = 0.99997.  Windows do not leave their row: nothing
-is shuffled.  DataFrame functions only.
-
-Defined cases: null and wordless texts hold no license.  A notice of fewer than
-five words is one shingle.  Repeated rows each get an answer; a template that
-occurs several times in a text is listed once, at its first window.  Extra columns
-are ignored.  An empty table gives an empty one.
+1. Words give five-word shingles.  A text without any shingle of a template can
+   contain none and stops here.
+2. Templates are put in classes by length.  A class has windows of ``2 m`` words, ``m``
+   words apart, where ``m`` is the class's longest template, so each notice lies
+   whole in a window.  The windows around a template shingle get the minima of
+   ``bands`` permutations; a template that shares a band (one row each) is retrieved.
+3. The share of the retrieved template's distinct shingles that the window holds,
+   counted exactly, must reach ``least``.
+
+Within a class a template has at least half of ``m`` words.  A notice that passes step
+3 then has a Jaccard similarity of at least 0.09 with its window, so 128 bands miss it with a
+probability of at most 0.91**128 = 6e-6, whatever the text.  All of it stays in
+the row: nothing is shuffled.  DataFrame functions only.
+
+Defined cases: null and wordless texts, and those of fewer than five words, hold
+no license.  Repeated rows each get an answer.  A template that occurs several
+times in a text is listed once.  Extra columns are ignored.  An empty table gives
+an empty one.
 """
 
 from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from assayworks.llm.decontamination import words
+
+#: Short notices of public licenses.
+TEMPLATES = {
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
+    "Apache-2.0-header": "you may not use this file except in compliance with the License",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "MIT": "Released under the MIT License",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+}
+WIDTH = 5
+
+
+@dataclass(frozen=True)
+class Template:
+    name: str
+    shingles: tuple[int, ...]
+    #: Words of a window of its class, twice the class's longest template.
+    window: int
+
+
+def _class_of(n_words: int) -> int:
+    m = 6
+    while m < n_words:
+        m *= 2
+    return 2 * m
+
+
+def compiled(spark, templates: Mapping[str, str]) -> list[Template]:
+    """Shingle hashes and window class of each template."""
+    df = spark.createDataFrame(sorted(templates.items()), "name string, text string").select("name", words(F.col("text")).alias("ws"))
+    rows = df.select("name", F.size("ws").alias("n"), F.array_distinct(_shingles(F.col("ws"))).alias("sh")).collect()
+    short = [r["name"] for r in rows if r["n"] < WIDTH]
+    if short:
+        raise ValueError(f"templates of fewer than {WIDTH} words: {short}")
+    return [Template(r["name"], tuple(r["sh"]), _class_of(r["n"])) for r in sorted(rows, key=lambda r: r["name"])]
+
+
+def _shingles(ws: Column) -> Column:
+    n = F.size(ws)
+    begins = F.when(n >= WIDTH, F.sequence(F.lit(1), n - (WIDTH - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(begins, lambda i: F.xxhash64(F.slice(ws, i, F.lit(WIDTH))))
+
+
+def _longs(values) -> str:
+    return ", ".join(f"bigint('{v}')" for v in values)
+
+
+def _minima(sh: Column, bands: int) -> Column:
+    """For each permutation its smallest value; the number of the permutation is part of the hash."""
+    return F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda k: F.array_min(F.transform(sh, lambda h: F.xxhash64(h, k))))
+
+
+def _template_minima(spark, known: list[Template], bands: int) -> dict[str, list[int]]:
+    rows = spark.createDataFrame([(t.name, list(t.shingles)) for t in known], "name string, sh array<bigint>")
+    return dict(rows.select("name", _minima(F.col("sh"), bands)).collect())
+
+
+def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, least: float = 0.8, bands: int = 128) -> DataFrame:
+    """``doc_id, matches`` for each row of ``docs(doc_id, text)``.
+
+    ``matches`` holds ``license, share, at``: the name, the best share over the
+    windows, and the first word (from 0) of the first window with that share.
+    """
+    spark = docs.sparkSession
+    known = compiled(spark, templates or TEMPLATES)
+    every = sorted({h for t in known for h in t.shingles})
+    # columns of their own: an expression inside a lambda is evaluated for each element
+    rows = docs.select("doc_id", words(F.col("text")).alias("ws")).select("doc_id", _shingles(F.col("ws")).alias("sh"))
+    rows = rows.withColumn("hit", F.expr(f"filter(transform(sh, (h, i) -> if(h in ({_longs(every)}), i, -1)), i -> i >= 0)"))
+    kind = "array<struct<license:string,share:double,at:int>>"
+    minima = _template_minima(spark, known, bands)
+    best = []
+    for window in sorted({t.window for t in known}):
+        step = window // 2
+        rows = rows.withColumn(f"_w{window}", F.when(F.size("hit") > 0, _signed(step, window, bands)))
+        for t in (t for t in known if t.window == window):
+            own = F.expr(f"array({_longs(minima[t.name])})")
+            best.append((t, F.array_max(_checked(_retrieved(f"_w{window}", own), t))))
+    matches = F.array(*[F.struct(F.lit(t.name).alias("license"), b["share"].alias("share"), (-b["back"]).alias("at")) for t, b in best])
+    full = F.filter(matches, lambda m: m["share"] >= least)
+    return rows.select("doc_id", F.when(F.size("hit") > 0, full).otherwise(F.array()).cast(kind).alias("matches"))
+
+
+def _signed(step: int, window: int, bands: int) -> Column:
+    """Place, distinct shingles and minima of the windows around each hit."""
+    # a shingle that begins at i lies in the windows numbered i / step and one less
+    near = F.array_distinct(F.flatten(F.transform("hit", lambda i: F.array(F.floor(i / step), F.greatest(F.floor(i / step) - 1, F.lit(0))))))
+
+    def part(w: Column) -> Column:
+        sh = F.array_distinct(F.slice(F.col("sh"), (w * step + 1).cast("int"), F.lit(window - WIDTH + 1)))
+        return F.struct((w * step).cast("int").alias("at"), sh.alias("sh"))
+
+    return F.transform(
+        F.transform(near, part), lambda p: F.struct(p["at"].alias("at"), p.sh.alias("sh"), _minima(p.sh, bands).alias("m"))
+    )
+
+
+def _retrieved(column: str, own: Column) -> Column:
+    """The windows that share a band with a template."""
+    return F.filter(column, lambda p: F.arrays_overlap(p.m, own))
+
+
+def _checked(retrieved: Column, t: Template) -> Column:
+    """The exact share of a template in each window; of equal shares the first window is the largest."""
+    shingles, n = F.expr(f"array({_longs(t.shingles)})"), float(len(t.shingles))
+    share = lambda p: F.size(F.array_intersect(p.sh, shingles)) / F.lit(n)
+    return F.transform(retrieved, lambda p: F.struct(share(p).alias("share"), (-p["at"]).alias("back")))
