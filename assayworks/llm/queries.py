@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, sharding, warc
+from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, sharding, vector_dedup, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -191,3 +191,26 @@ from documents d left join best using (doc_id) group by 1
 
 
 SQL["op10_license_scan"] = _license_sql()
+
+
+@_query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op9_embedding_near_dedup"] = r"""
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings),
+ok as (
+  select vec_id, label, e from v
+  where label is not null and e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and list_dot_product(e, e) > 0),
+links as (
+  select x.vec_id as a, y.vec_id as b from ok x join ok y on x.label = y.label and x.vec_id <> y.vec_id
+  where list_cosine_similarity(x.e, y.e) >= 0.93),
+reach(a, b) as (
+  select vec_id, vec_id from v
+  union select r.a, l.b from reach r join links l on r.b = l.a)
+select v.vec_id, coalesce(n, 0)::bigint as n_links, c.component_id, v.vec_id = c.component_id as kept
+from v join (select a as vec_id, min(b) as component_id from reach group by 1) c using (vec_id)
+left join (select a as vec_id, count(*) as n from links group by 1) d using (vec_id)
+"""
