@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, sharding, vector_dedup, warc
+from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, sharding, toxicity, vector_dedup, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -214,3 +214,8 @@ select v.vec_id, coalesce(n, 0)::bigint as n_links, c.component_id, v.vec_id = c
 from v join (select a as vec_id, min(b) as component_id from reach group by 1) c using (vec_id)
 left join (select a as vec_id, count(*) as n from links group by 1) d using (vec_id)
 """
+
+
+@_query
+def op7_toxicity_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
