@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayworks.llm.graph import components
-from assayworks.llm.shared import forget, without, written
+from assayworks.llm.shared import forget, written
 from assayworks.llm.shingles import Signer, estimate, matches, mix, shingle_sets
 
 
@@ -338,9 +338,22 @@ def _open_buckets(crowded: DataFrame, hung: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one with the smallest id, once.
 
-    Columns stay as they are.  Rows that repeat an id stay once.
+    Columns stay as they are.  Rows that repeat an id stay once.  Rows without an
+    id cannot be told apart and all stay.  Up to ``broadcast_ids`` ids to remove go
+    to the scan as a hash set; more are joined by a shuffle.
     """
-    found = near_duplicates(docs, settings).where("kept").select("doc_id").distinct()
-    named = without(found.withColumnRenamed("doc_id", "_kept_id"), "doc_id")
-    kept = docs.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    s = settings or Settings()
+    found = written(near_duplicates(docs, s).where("doc_id is not null"), "found")
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    twice = written(found.where("kept").groupBy(F.col("doc_id").alias("_twice")).agg(F.count("*").alias("n")).where("n > 1"), "twice")
+    key = F.col("doc_id").cast("long")
+
+    def bounded(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= s.broadcast_ids else ids
+
+    kept = docs.join(bounded(gone), key == F.col("_gone"), "left_anti")
+    if not twice.head(1):
+        return kept
+    ids = bounded(twice.select("_twice"))
+    once = kept.join(ids, key == F.col("_twice"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(ids, key == F.col("_twice"), "left_anti").unionByName(once)

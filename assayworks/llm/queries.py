@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, sharding, toxicity, vector_dedup, warc
+from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, quality, sharding, toxicity, vector_dedup, warc
 from assayworks.llm.shared import table
 
 QUERIES: dict = {}
@@ -45,7 +45,7 @@ from s join (select a as doc_id, min(b) as component_id from reach group by 1) c
 """
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -75,7 +75,7 @@ from d join w using (payload_digest, payload_bytes)
 
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 @_query
@@ -219,3 +219,10 @@ left join (select a as vec_id, count(*) as n from links group by 1) d using (vec
 @_query
 def op7_toxicity_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.scored(docs, labels, F.col("source"), F.col("lang"))
+    return found.select("doc_id", "source", "lang", "evidence", "host_posterior", "path_posterior", "quality", "keep")
