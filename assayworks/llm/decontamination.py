@@ -137,8 +137,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
     names = docs.columns
-    held = _with_hits(without(docs, "_ws", "_n", "_hits"), benchmark, width, most_windows)
-    any_hit = F.coalesce(F.size("_hits"), F.lit(0)) > 0
+    held = _with_hits(without(docs, "_ws", "_n", "_hits", "_once"), benchmark, width, most_windows)
+    # a filter doesn't move below what isn't deterministic; below, it would work out the windows anew for each word
+    held = held.withColumn("_once", F.monotonically_increasing_id())
+    any_hit = (F.coalesce(F.size("_hits"), F.lit(0)) > 0) & (F.col("_once") >= 0)
     if remove == "documents":
         return held.where(~any_hit).select(*names)
     hit = F.array_distinct(F.flatten(F.transform("_hits", lambda x: F.sequence(x.i, x.i + x.n - 1))))
