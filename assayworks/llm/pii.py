@@ -51,7 +51,9 @@ class Disclosure:
     disclosure: float = 0.8
     bits: float = 3.0
     removal: float = 0.95
+    #: Rows that may be broadcast: of terms, and of text keys (16 bytes each).
     broadcast_terms: int = 200_000
+    broadcast_texts: int = 500_000
     shortest: int = 3
 
 
@@ -132,43 +134,51 @@ def _entity(text: Column, s: Column) -> Column:
     return F.concat(s["rank"].cast("string"), F.lit(":"), F.when(s["rank"] == 0, F.lower(value)).otherwise(F.regexp_replace(value, "[^0-9.]", "")))
 
 
-def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> tuple[DataFrame, DataFrame] | None:
-    """Masked terms ``term, share`` and where candidates occur ``_h, _g, term``; none if nothing is a candidate.
+def _bounded(df: DataFrame, most: int) -> DataFrame:
+    """Broadcast a table of that few rows; join a longer one by shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
 
-    ``based(_h, _g, beside)`` holds the entities of each row with the terms beside
-    them, ``texts(text, _h, _g)`` all texts.
+
+def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> DataFrame | None:
+    """Masked terms ``term, share``; none if nothing is a candidate.
+
+    ``based(_h, _g, beside)`` holds, for each row, its entities with the terms beside
+    them (null without entities), ``texts(text, _h, _g)`` all texts.
     """
-    seen = based.select("_h", "_g", F.explode("beside").alias("x")).select("_h", "_g", "x.entity", F.explode("x.terms").alias("term")).distinct()
+    beside = based.where("beside is not null").select("_h", "_g", F.explode("beside").alias("x"))
+    seen = beside.select("_h", "_g", "x.entity", F.explode("x.terms").alias("term")).distinct()
     pairs = written(seen.groupBy("term", "entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= d.support), "pairs")
-    wanted = pairs.select("term").distinct()
-    n_terms = wanted.count()
-    if not n_terms:
+    wanted = written(pairs.select("term").distinct(), "wanted")
+    if not wanted.head(1):
         return None
-    wanted = F.broadcast(wanted) if n_terms <= d.broadcast_terms else wanted
-    every = texts.select("_h", "_g", F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
-    where = written(every.join(wanted, "term").distinct(), "terms")
-    n_all = texts.select(F.approx_count_distinct("_h", 0.01).alias("n")).head()["n"]
-    n_entity = (
-        based.select("_h", "_g", F.explode("beside").alias("x")).select("_h", "_g", "x.entity").distinct()
-        .groupBy("entity").agg(F.count("*").alias("n_entity"))
-    )
-    n_term = where.groupBy("term").agg(F.count("*").alias("n_term"))
+    by_text = written(based.groupBy("_h", "_g").agg(F.count("*").alias("copies")), "copies")
+    n_all = max(1, by_text.count())
+    copied = by_text.where("copies > 1")
+    # each of c equal texts counts 1/c, so sums count distinct texts and combine before the shuffle
+    weighed = texts.join(_bounded(copied, d.broadcast_texts), ["_h", "_g"], "left")
+    every = weighed.select((1 / F.coalesce("copies", F.lit(1))).alias("w"), F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
+    n_term = every.join(_bounded(wanted, d.broadcast_terms), "term").groupBy("term").agg(F.round(F.sum("w")).alias("n_term"))
+    n_entity = beside.select("_h", "_g", "x.entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     share = F.col("n_both") / F.col("n_term")
-    gain = F.log2(share / (F.col("n_entity") / F.lit(float(max(n_all, 1)))))
+    gain = F.log2(share / (F.col("n_entity") / F.lit(float(n_all))))
     told = pairs.join(n_term, "term").join(n_entity, "entity").where((share >= d.disclosure) & (gain >= d.bits))
-    return told.groupBy("term").agg(F.max(share).alias("share")), where
+    told = written(told.groupBy("term").agg(F.max(share).alias("share")), "told")
+    return told if told.head(1) else None
 
 
-def _term_spans(texts: DataFrame, told: DataFrame, where: DataFrame, d: Disclosure) -> DataFrame:
+def _term_spans(texts: DataFrame, told: DataFrame, d: Disclosure) -> DataFrame:
     """``_h, _g, extra``: the spans of masked terms in each text that has any; rank 5 if the term goes, else 4."""
-    there = where.join(told, "term").groupBy("_h", "_g").agg(
-        F.collect_list(F.when(F.col("share") < d.removal, F.col("term"))).alias("soft"),
-        F.collect_list(F.when(F.col("share") >= d.removal, F.col("term"))).alias("hard"),
+    every = texts.select("_h", "_g", F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
+    there = every.join(_bounded(told, d.broadcast_terms), "term").groupBy("_h", "_g").agg(
+        F.collect_set(F.when(F.col("share") < d.removal, F.col("term"))).alias("soft"),
+        F.collect_set(F.when(F.col("share") >= d.removal, F.col("term"))).alias("hard"),
     )
-    held = texts.join(there, ["_h", "_g"]).dropDuplicates(["_h", "_g"])
+    there = written(there, "there")
+    held = texts.join(_bounded(there.select("_h", "_g"), d.broadcast_texts), ["_h", "_g"], "left_semi")
+    held = held.dropDuplicates(["_h", "_g"]).join(there, ["_h", "_g"])
 
     def spans(terms: str, rank: int) -> Column:
-        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.array_sort(terms), "|"), F.lit(r")(?![\p{L}\p{N}])"))
         return F.when(F.size(terms) > 0, _located(F.col("text"), pattern, rank, lambda x: F.lit(True))).otherwise(F.array().cast(_SPAN))
 
     return held.select("_h", "_g", F.array_sort(F.concat(spans("soft", 4), spans("hard", 5))).alias("extra"))
@@ -185,11 +195,11 @@ def detected(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
         "base", lambda s: F.struct(_entity(F.col("text"), s).alias("entity"), _beside(F.col("text"), s, d.reach, d.shortest).alias("terms"))
     )
     based = written(rows.select("doc_id", *_text_key(F.col("text")), "base", F.when(F.size("base") > 0, beside).alias("beside")), "base")
-    found = disclosing_terms(based.where("beside is not null"), texts, d)
+    told = disclosing_terms(based, texts, d)
     slim = based.drop("beside")
-    if found is None:
+    if told is None:
         return slim.withColumn("extra", F.array().cast(_SPAN))
-    extra = _term_spans(texts, *found, d)
+    extra = _term_spans(texts, told, d)
     return slim.join(extra, ["_h", "_g"], "left").withColumn("extra", F.coalesce("extra", F.array().cast(_SPAN)))
 
 
@@ -209,9 +219,12 @@ def report(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
 def sanitise(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
     """``docs`` with masked texts: ``[EMAIL]`` and so on, ``[TERM]`` or nothing for terms; other columns as they are."""
     names = docs.columns
+    d = d or Disclosure()
     found = detected(docs, d).select("_h", "_g", F.array_sort(F.concat("base", "extra")).alias("_spans"))
-    found = found.where(F.size("_spans") > 0).dropDuplicates(["_h", "_g"])
-    held = without(docs, "_h", "_g", "_spans").select("*", *_text_key(as_text(F.col("text")))).join(found, ["_h", "_g"], "left")
+    found = written(found.where(F.size("_spans") > 0).dropDuplicates(["_h", "_g"]), "spans")
+    keyed = without(docs, "_h", "_g", "_spans").select("*", *_text_key(as_text(F.col("text"))))
+    # spans are small; only more texts with spans than may be broadcast make the texts move
+    held = keyed.join(_bounded(found, d.broadcast_texts // 4), ["_h", "_g"], "left")
     masks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit(""))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
