@@ -2,5 +2,481 @@
 
 from __future__ import annotations
 
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from assayworks.functions.cells import blank, equality_key, trimmed, turn_number
+from assayworks.operators import agreement, judge, retrieval, scoring, units, voting
+from assayworks.operators import schema as scales
+from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
+from assayworks.sources import traces
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None, name: str | None = None):
+    def add(f):
+        QUERIES[name or f.__name__] = f
+        if sql is not None:
+            SQL[name or f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def contract(method: str, sources: list[tuple], policy: str = "exclude_value", mode: str = "qa", denominator: str | None = None, weighted: bool = False) -> Contract:
+    """A valid contract; a source is ``(id, role, normalization, polarity)``, its column named like it."""
+    return validate(
+        {
+            "contract_version": VERSION, "umr_version": UMR_VERSION, "status": "computed", "basket_id": "b", "name": "m",
+            "score_column": "main_metric", "assessment_mode": mode,
+            "scoring": {"method": method, "missing_policy": policy, "majority_denominator": denominator,
+                        "sources": [{"source_id": i, "column_name": {"assessment_score": "main_metric"}.get(i, i), "role": r, "normalization": n, "polarity": p} for i, r, n, p in sources]},
+            "aggregation": {"method": "frequency_weighted_mean", "weight_column": "input_query_count"} if weighted else {"method": "mean"},
+            "baseline": {"value": "0.8", "recomputed_value": "0.8", "scale": "ratio"}, "primary_validation": {"affects_monitoring": False},
+        }
+    )
+
+
+# --- scoring: documents with their labels, most of them missing
+
+
+def _labelled(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    held = docs.join(_read(spark, sf_dir, "labels"), "doc_id", how)
+    long = (F.col("n_chars") >= 200).cast("int")
+    return held.withColumns({"_pos": F.col("doc_id"), "long": long, "input_query_count": 1 + F.col("n_chars") % 5})
+
+
+_SCORED = """
+with d as (
+  select d.doc_id, l.quality::double as q, 1 - l.toxic::double as t, (d.n_chars >= 200)::int::double as v, 1 + d.n_chars % 5 as w
+  from documents d {how} join labels l using (doc_id))
+"""
+_TWO = [("quality", "criterion", "numeric", "direct"), ("toxic", "criterion", "numeric", "inverted")]
+_VOTES = [(a, "assessor_vote", b, c) for a, _, b, c in _TWO] + [("long", "assessor_vote", "numeric", "direct")]
+_NONE, _ANY = "(q is null and t is null)", "(q is null or t is null)"
+_CASES = {
+    ("mean_criteria", None): (_TWO, {
+        "fail": "(q + t) / 2", "exclude_unit": "(q + t) / 2", "zero": "(coalesce(q, 0) + coalesce(t, 0)) / 2",
+        "exclude_value": f"case when not {_NONE} then (coalesce(q, 0) + coalesce(t, 0)) / ((q is not null)::int + (t is not null)::int) end"}),
+    ("all_criteria", None): (_TWO, {
+        "fail": "least(q, t)", "exclude_unit": f"case when not {_ANY} then least(q, t) end", "zero": "least(coalesce(q, 0), coalesce(t, 0))",
+        "exclude_value": "least(q, t)"}),
+    ("all_assessors", None): (_VOTES, {
+        "fail": "least(q, t, v)", "exclude_unit": f"case when not {_ANY} then least(q, t, v) end", "zero": "least(coalesce(q, 0), coalesce(t, 0), v)",
+        "exclude_value": "least(q, t, v)"}),
+    ("majority", "present"): (_VOTES, {p: """
+        case when 2 * s > n then 1.0 when 2 * s < n then 0.0 """ + ("else 0.0" if p == "zero" else "") + " end" for p in ("exclude_unit", "exclude_value", "zero")}),
+    ("majority", "declared"): (_VOTES, {p: "case when 2 * s > 3 then 1.0 else 0.0 end" for p in ("exclude_unit", "exclude_value", "zero", "fail")}),
+    ("accuracy", None): ([("long", "prediction", "label", "direct"), ("quality", "target", "label", "direct")], {
+        "fail": "(v = q)::int::double", "exclude_unit": "(v = q)::int::double", "exclude_value": "(v = q)::int::double", "zero": "coalesce((v = q)::int::double, 0)"}),
+    ("identity", None): ([("quality", "final_score", "numeric", "direct")], {"fail": "q", "exclude_unit": "q", "exclude_value": "q", "zero": "coalesce(q, 0)"}),
+}
+
+
+def _score_query(method: str, sources: list, policy: str, denominator: str | None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = _labelled(spark, sf_dir, "inner" if policy == "fail" else "left")
+        return scoring.score_units(rows, contract(method, sources, policy, denominator=denominator)).select("doc_id", "main_metric")
+
+    return run
+
+
+for (_m, _d), (_s, _by) in _CASES.items():
+    for _p, _e in _by.items():
+        _sql = _SCORED.format(how="" if _p == "fail" else "left") + f"""
+select doc_id, ({_e})::double as main_metric
+from (select *, coalesce(q, 0) + coalesce(t, 0) + v as s, (q is not null)::int + (t is not null)::int + 1 as n from d)"""
+        _query(_sql, "_".join(x for x in ("score", _m, _d, _p) if x))(_score_query(_m, _s, _p, _d))
+
+
+@_query(_SCORED.format(how="left") + f"""
+, s as (select w, {_CASES["mean_criteria", None][1]["exclude_value"]} as m from d)
+select 'm' as name, sum(m * w) / sum(w) filter (m is not null) as value, count(*) as total_units, count(m) as scored_units,
+  count(*) - count(m) as excluded_units, (sum(w) filter (m is not null))::double as weight_sum from s""")
+def aggregate_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = contract("mean_criteria", _TWO, weighted=True)
+    return scoring.aggregate(scoring.score_units(_labelled(spark, sf_dir), c), c)
+
+
+@_query(_SCORED.format(how="left") + """
+select 'm' as name, avg(coalesce(least(q, t), 0)) as value, count(*) as total_units, count(*) as scored_units, 0::bigint as excluded_units,
+  count(*)::double as weight_sum from d""")
+def aggregate_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = contract("all_criteria", _TWO, "zero")
+    return scoring.aggregate(scoring.score_units(_labelled(spark, sf_dir), c), c)
+
+
+# --- conversations
+
+
+def umr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions and the answers that follow them, as a flat table with positions."""
+    w = W.partitionBy("conv_id").orderBy("turn")
+    turns = _read(spark, sf_dir, "conversations").withColumns({"_r": F.lead("role").over(w), "_t": F.lead("text").over(w)})
+    asked = turns.where("role = 'user'")
+    return asked.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("_pos"),
+        F.concat_ws("-", "conv_id", "turn").alias("query_id"),
+        F.col("conv_id").cast("string").alias("session_id"),
+        F.col("text").alias("input_query"),
+        F.when(F.col("_r") == "assistant", F.col("_t")).otherwise("").alias("output_answer"),
+        (F.col("conv_id") % 5 / 4.0).cast("double").alias("main_metric"),
+    )
+
+
+_UMR = """
+with c as (
+  select *, lead(role) over w as nr, lead(text) over w as nt from conversations window w as (partition by conv_id order by turn)),
+u as (
+  select conv_id * 1000 + turn as pos, conv_id || '-' || turn as query_id, conv_id::varchar as session_id, text as input_query,
+    case when nr = 'assistant' then nt else '' end as output_answer, ((conv_id % 5) / 4.0)::double as main_metric
+  from c where role = 'user'),
+g as (select *, row_number() over (partition by session_id order by pos) as turn_index from u)
+"""
+_FINAL = [("assessment_score", "final_score", "numeric", "direct")]
+_GIVEN = [("given", "final_score", "numeric", "direct")]
+
+
+@_query(_UMR + "select pos, query_id, session_id, input_query, output_answer from u")
+def umr_flat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = units.normalize_umr(umr(spark, sf_dir), "qa")
+    return rows.select(F.col("_pos").alias("pos"), "query_id", "session_id", "input_query", "output_answer")
+
+
+@_query(_UMR + "select query_id, session_id as group_id, turn_index from g")
+def umr_turn_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = units.normalize_umr(umr(spark, sf_dir), "turn_with_history")
+    return rows.select("query_id", F.col("_group_id").alias("group_id"), "turn_index")
+
+
+@_query(_UMR + """, n as (select *, count(*) over (partition by session_id) as n from g)
+select query_id, case when pos // 1000 % 2 = 0 then n + 1 - turn_index else turn_index end as turn_index from n""")
+def umr_given_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other conversation names its turns backwards, which holds; the others name them with gaps, which does not."""
+    w = W.partitionBy("session_id")
+    rows = umr(spark, sf_dir).withColumns({"_i": F.row_number().over(w.orderBy("_pos")), "_n": F.count("*").over(w)})
+    even = F.floor(F.col("_pos") / 1000) % 2 == 0
+    rows = rows.withColumn("turn_index", F.when(even, F.col("_n") + 1 - F.col("_i")).otherwise(F.col("_i") * 2)).drop("_i", "_n")
+    return units.normalize_umr(rows, "dialogue").select("query_id", "turn_index")
+
+
+@_query(_UMR + "select query_id as unit_id, query_id as group_id, input_query, output_answer, pos from u")
+def units_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = units.unitize(umr(spark, sf_dir), contract("identity", _GIVEN))
+    turn = F.col("assessment_context.current_turn")
+    return u.select(F.col("_unit_id").alias("unit_id"), F.col("_group_id").alias("group_id"), turn.input_query.alias("input_query"), turn.output_answer.alias("output_answer"), F.col("_row_positions")[0].alias("pos"))
+
+
+@_query(_UMR + """
+select query_id as unit_id, session_id as group_id, (count(*) over h - 1)::bigint as n_before,
+  coalesce(string_agg(output_answer, '|') over (partition by session_id order by turn_index rows between unbounded preceding and 1 preceding), '') as said
+from g window h as (partition by session_id order by turn_index)""")
+def units_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = units.unitize(umr(spark, sf_dir), contract("identity", _GIVEN, mode="turn_with_history"))
+    past = F.col("assessment_context.history")
+    said = F.array_join(F.transform(past, lambda t: t.output_answer), "|")
+    return u.select(F.col("_unit_id").alias("unit_id"), F.col("_group_id").alias("group_id"), F.size(past).cast("long").alias("n_before"), said.alias("said"))
+
+
+@_query(_UMR + """
+select session_id as unit_id, count(*) as n_turns, min(pos) as first_pos, any_value(main_metric) as main_metric, string_agg(input_query, '|' order by turn_index) as asked
+from g group by 1""")
+def units_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = units.unitize(umr(spark, sf_dir), contract("identity", _FINAL, mode="dialogue"))
+    asked = F.array_join(F.transform("dialogue", lambda t: t.input_query), "|")
+    return u.select(F.col("_unit_id").alias("unit_id"), F.size("dialogue").cast("long").alias("n_turns"), F.col("_row_positions")[0].alias("first_pos"), "main_metric", asked.alias("asked"))
+
+
+@_query(_UMR + "select session_id || '-t' || turn_index as query_id, session_id as group_id, turn_index, input_query, output_answer from g")
+def unpack_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.struct("_pos", F.array(F.lit(None).cast("string"), "input_query", "output_answer").alias("t"))
+    packed = umr(spark, sf_dir).groupBy("session_id").agg(F.array_sort(F.collect_list(turn)).alias("d"), F.min("_pos").alias("_pos"))
+    packed = packed.select("session_id", "_pos", F.transform("d", lambda x: x.t).alias("dialogue"))
+    rows = units.normalize_umr(packed, "qa")
+    return rows.select("query_id", F.col("reference_group_id").alias("group_id"), "turn_index", "input_query", "output_answer")
+
+
+@_query("""
+select conv_id, turn, case when k = 1 then role else role || '#' || k end as label
+from (select *, row_number() over (partition by role order by conv_id, turn) as k from conversations)""")
+def label_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").withColumn("_pos", F.col("conv_id") * 1000 + F.col("turn"))
+    return units.unique_labels(rows, "role", F.lit("none")).select("conv_id", "turn", "label")
+
+
+@_query(_UMR + "select pos, session_id as unit_id, main_metric from g")
+def broadcast_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, c = umr(spark, sf_dir), contract("identity", _FINAL, mode="dialogue")
+    scored = scoring.score_units(units.unitize(rows, c), c)
+    out = scoring.broadcast_scores(rows.drop("main_metric"), scored)
+    return out.select(F.col("_pos").alias("pos"), F.col("assessment_unit_id").alias("unit_id"), "main_metric")
+
+
+def _drift(mode: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        c = contract("identity", _FINAL, mode=mode)
+        return units.drift_frame(units.unitize(umr(spark, sf_dir), c), c, True)
+
+    return run
+
+
+_DRIFT = {
+    "qa": "select input_query as question, '' as answer, main_metric as target, query_id as reference_group_id from g",
+    "turn_with_history": """
+select to_json(list(input_query) over (partition by session_id order by turn_index))::varchar as question, '' as answer, main_metric as target,
+  session_id as reference_group_id from g""",
+    "dialogue": """
+select to_json(list(input_query order by turn_index))::varchar as question, '' as answer, any_value(main_metric) as target, session_id as reference_group_id
+from g group by session_id""",
+}
+for _mode, _e in _DRIFT.items():
+    _query(_UMR + _e, f"drift_questions_{_mode}")(_drift(_mode))
+
+
+# --- votes and agreement
+
+
+@_query("""
+select doc_id, case when a = b or a = c then a when b = c then b else a end as agent_v
+from (select doc_id, n_chars % 3 as a, n_chars % 5 as b, n_chars % 7 as c from documents)""")
+def vote_first_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _read(spark, sf_dir, "documents")
+    votes = {f"agent_{i}_v": F.col("n_chars") % m for i, m in enumerate((3, 5, 7), 1)}
+    return voting.add_votes(d.withColumns(votes), ["v"]).select("doc_id", "agent_v")
+
+
+_PAIRS = "p as (select (n_chars >= 200)::int as a, quality as b from documents join labels using (doc_id))"
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = _labelled(spark, sf_dir, "inner")
+    return held.select("doc_id", F.col("long").alias("agent_quality"), "quality", (1 - F.col("toxic")).alias("toxic"), F.col("long").alias("agent_toxic"))
+
+
+@_query(f"""
+with {_PAIRS},
+m as (select b as v from p group by 1 order by count(*) desc, 1 limit 1)
+select avg((a = b)::int) as acc_auto, avg((b = v)::int) as baseline_mode_accuracy from p, m""")
+def mode_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.mean_accuracy(_pairs(spark, sf_dir), [("agent_quality", "quality")])
+
+
+@_query(f"""
+with {_PAIRS},
+s as (select count(*)::double as t, sum((a = b)::int)::double as same, sum(a)::double as a1, sum(b)::double as b1 from p)
+select (same / t - pe) / (1 - pe) as cohen_kappa,
+  1 - (2 * t - 1) * 2 * (t - same) / (4 * t * t - (a1 + b1) ** 2 - (2 * t - a1 - b1) ** 2) as krippendorff_alpha
+from (select *, (a1 * b1 + (t - a1) * (t - b1)) / (t * t) as pe from s)""")
+def agreement_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.kappa_alpha(_pairs(spark, sf_dir), "agent_quality", "quality")
+
+
+@_query("""
+with p as (select n_chars::double as x, (quality + toxic)::double as y from documents join labels using (doc_id)),
+r as (
+  select rank() over (order by x) + (count(*) over (partition by x) - 1) / 2.0 as rx,
+    rank() over (order by y) + (count(*) over (partition by y) - 1) / 2.0 as ry from p)
+select corr(rx, ry) as spearman from r""")
+def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agreement.spearman(_labelled(spark, sf_dir, "inner").withColumn("y", F.col("quality") + F.col("toxic")), "n_chars", "y")
+
+
+@_query("""
+with g as (select distinct conv_id from conversations),
+t as (select conv_id from g order by conv_id * 7919 % 1000003, conv_id limit (select greatest(1, floor(count(*) * 0.8))::bigint from g))
+select conv_id, turn, case when conv_id in (select conv_id from t) then 'train' else 'test' end as part from conversations""")
+def split_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn")
+    train, test = agreement.split(rows, "conv_id", 0.8, F.col("conv_id") * 7919 % 1000003)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+# --- retrieval
+
+_BM25 = r"""
+with ct as (select doc_id as doc_idx, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') as ts from documents),
+size as (select count(*)::double as n, avg(len(ts)) as avgdl from ct),
+post as (select doc_idx, term, count(*) as tf, any_value(dl) as dl from (select doc_idx, len(ts) as dl, unnest(ts) as term from ct) group by 1, 2),
+raw as (select term, ln(n - count(*) + 0.5) - ln(count(*) + 0.5) as idf from post, size group by term, n),
+idf as (select term, case when idf < 0 then 0.25 * (select avg(idf) from raw) else idf end as idf from raw),
+qt as (select item_id as query_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '')) as term from benchmark),
+scored as (
+  select query_id, doc_idx, sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) as score
+  from qt join idf using (term) join post using (term), size group by 1, 2)
+"""
+
+
+def _corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    q = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return q, _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_idx"), "text")
+
+
+@_query(_BM25 + """
+select query_id, doc_idx, round(score, 6) as score, rank from (
+  select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc)::int as rank from scored) where rank <= 10""")
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = retrieval.top_k(retrieval.bm25(*_corpus(spark, sf_dir)), 10)
+    return hits.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
+
+
+@_query(_BM25 + """
+, q as (select query_id, quantile_cont(score, 0.05) as lo, quantile_cont(score, 0.95) as hi, max(score) as top from scored group by 1)
+select query_id, doc_idx, round(case when lo = hi then case when hi = top then 1.0 else 0.5 end else least(greatest((score - lo) / (hi - lo), 0.0), 1.0) end, 6) as norm
+from scored join q using (query_id)""")
+def percentile_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.percentile_normalised(retrieval.bm25(*_corpus(spark, sf_dir))).select("query_id", "doc_idx", F.round("norm", 6).alias("norm"))
+
+
+_VECTORS = """
+with e as (select vec_id, label, embedding::double[] as v from embeddings),
+pairs as (
+  select q.vec_id as query_id, d.vec_id as doc_idx, d.label, 1 - (2 - 2 * list_cosine_similarity(q.v, d.v)) / sqrt(2.0) as score
+  from e q, e d where q.vec_id % 20 = 0)
+"""
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    e = _read(spark, sf_dir, "embeddings")
+    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return q, e.select(F.col("vec_id").alias("doc_idx"), F.col("embedding").alias("vector"), "label")
+
+
+@_query(_VECTORS + """
+select query_id, doc_idx, round(score, 6) as score, rank from (
+  select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc)::int as rank from pairs) where rank <= 10""")
+def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = retrieval.top_k(retrieval.dense(*_vectors(spark, sf_dir)), 10)
+    return hits.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
+
+
+_FUSED = """
+, de as (select query_id, doc_idx, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as r, score from pairs),
+n as (select count(*) as n from e),
+sp as (select query_id, doc_idx, row_number() over (partition by query_id order by mod(doc_idx * 7919 + query_id, 1009), doc_idx) as r from pairs)
+"""
+
+
+@_query(_VECTORS + _FUSED + """
+, f as (
+  select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_idx, b.doc_idx) as doc_idx,
+    0.2 * coalesce(a.score, 0) + 0.8 * coalesce(b.norm, 0) as score
+  from (select * from de where r <= 10) a full join
+    (select query_id, doc_idx, (1 / (60.0 + r) - 1 / (60.0 + n)) / (1 / 61.0 - 1 / (60.0 + n)) as norm from sp, n where r <= 10) b
+    on a.query_id = b.query_id and a.doc_idx = b.doc_idx)
+select query_id, doc_idx, round(score, 6) as score from (
+  select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as k from f) where k <= 10""")
+def hybrid_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense hits fused with the ranks of an arithmetic score."""
+    scored = retrieval.dense(*_vectors(spark, sf_dir))
+    other = scored.select("query_id", "doc_idx", (-((F.col("doc_idx") * 7919 + F.col("query_id")) % 1009)).cast("double").alias("score"))
+    ranked = retrieval.rank_normalised(other)
+    near = ranked.withColumn("_r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("norm")))).where("_r <= 10")
+    return retrieval.fuse(retrieval.top_k(scored, 10), near, 0.8, 10).select("query_id", "doc_idx", F.round("score", 6).alias("score"))
+
+
+@_query(_BM25 + """
+, grid as (select item_id as query_id, doc_id as doc_idx, coalesce(score, 0) as score
+  from benchmark cross join documents left join scored on query_id = item_id and doc_idx = doc_id),
+p as (
+  select *, row_number() over (partition by query_id order by doc_idx) - 1 as j, count(*) over (partition by query_id) as n from grid),
+r as (select *, row_number() over (partition by query_id order by round(score, 9), j) - 1 as p from p)
+select a.query_id, a.doc_idx, round((1 / (60.0 + a.n + 1 - b.j) - 1 / (60.0 + a.n)) / (1 / 61.0 - 1 / (60.0 + a.n)), 6) as norm
+from r a join r b on a.query_id = b.query_id and a.j = b.p""")
+def bm25_rank_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = retrieval.bm25(*_corpus(spark, sf_dir), every=True).withColumn("score", F.round("score", 9))
+    return retrieval.rank_normalised(scored, "compat").select("query_id", "doc_idx", F.round("norm", 6).alias("norm"))
+
+
+@_query(r"select doc_id, i::int as chunk, substr(text, (i * 1000 + 1)::int, 1000) as part from (select doc_id, text, unnest(range(0, greatest(length(text) - 1, 0) // 1000 + 1)) as i from documents)")
+def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _read(spark, sf_dir, "documents")
+    return d.select("doc_id", F.posexplode(retrieval.fixed_chunks(F.col("text"))).alias("chunk", "part"))
+
+
+@_query("""
+select label, i::int as i, round(avg(x), 6) as mean from (select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) - 1 as i from embeddings)
+group by 1, 2""")
+def embed_chunk_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _read(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
+    return e.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
+
+
+@_query(_VECTORS + """
+, h as (select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as rank from pairs where query_id <> doc_idx),
+v as (select query_id, label, count(*) as n, min(rank) as first from h where rank <= 10 group by 1, 2)
+select query_id, arg_min(label, (-n, first)) as agent_label from v group by 1""")
+def knn_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, c = _vectors(spark, sf_dir)
+    hits = retrieval.top_k(retrieval.dense(q, c).where("query_id <> doc_idx"), 10).join(c.select("doc_idx", "label"), "doc_idx")
+    ranked = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "label"))).alias("h"))
+    return ranked.select("query_id", voting.first_mode(F.transform("h", lambda x: x.label)).alias("agent_label"))
+
+
+# --- scales, answers, cells, traces
+
+
+@_query("select column_name, value, n from (select 'quality' as column_name, quality::bigint as value, count(*) as n from labels group by 2 union all select 'toxic', toxic::bigint, count(*) from labels group by 2)")
+def infer_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _read(spark, sf_dir, "labels")
+    parts = []
+    for c in ("quality", "toxic"):
+        found = scales.infer_scale(labels, c)
+        rows = labels.where(F.col(c).isin(*found.values)).groupBy(F.col(c).cast("long").alias("value")).agg(F.count("*").alias("n"))
+        parts.append(rows.select(F.lit(c).alias("column_name"), "value", "n"))
+    return parts[0].unionByName(parts[1])
+
+
+@_query("select doc_id, case when doc_id % 7 <> 0 then quality end::bigint as agent_quality, case when doc_id % 3 <> 0 then toxic end::bigint as agent_toxic from labels")
+def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers off the scale or without a field, flat and under ``answer``, after thoughts."""
+    labels = _read(spark, sf_dir, "labels")
+    found = [scales.infer_scale(labels, c) for c in ("quality", "toxic")]
+    quality = F.when(F.col("doc_id") % 7 == 0, F.lit(9)).otherwise(F.col("quality"))
+    toxic = F.when(F.col("doc_id") % 3 != 0, F.col("toxic"))
+    flat = F.to_json(F.struct(quality.alias("quality"), toxic.alias("toxic")))
+    raw = F.concat(F.lit('<think>{"quality": 5}</think> so {"x": 1} then '), F.when(F.col("doc_id") % 2 == 0, flat).otherwise(F.concat(F.lit('{"answer": '), flat, F.lit("}"))))
+    return labels.select("doc_id", scales.last_json_object(raw).alias("raw")).select("doc_id", *scales.parse_answers(F.col("raw"), found))
+
+
+@_query(r"""
+select event_id, trim(event_type || ' ') = '' as is_blank, 'number:' || value_key as k, case when event_id % 4 > 0 then event_id % 4 end as turn
+from (select event_id, event_type, (event_id % 10)::varchar as value_key from events)""")
+def cell_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _read(spark, sf_dir, "events")
+    rows = e.select("event_id", "event_type", (F.col("event_id") % 10).cast("double").alias("v"), (F.col("event_id") % 4).cast("string").alias("t"))
+    return rows.select(
+        "event_id", blank(F.concat("event_type", F.lit(" \t"))).alias("is_blank"), equality_key(F.col("v"), rows.schema["v"].dataType).alias("k"),
+        turn_number(trimmed(F.concat(F.lit(" "), "t")), rows.schema["t"].dataType).alias("turn"),
+    )
+
+
+@_query("""
+select user_id::varchar as query_id, 'k' || (props::json ->> '$.k') as output_answer from (
+  select *, row_number() over (partition by user_id order by event_id) as r from events where event_type = 'click') where r = 1""")
+def trace_extract_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _read(spark, sf_dir, "events")
+    human = F.struct(F.lit("human").alias("type"), F.col("event_type").alias("content"))
+    body = F.struct(F.array(human).alias("messages"), F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("message_to_user"))
+    spans = e.select(
+        F.col("user_id").cast("string").alias("trace_id"), F.col("user_id").cast("string").alias("session_id"), F.lit("chain").alias("aef_kind"),
+        F.col("event_type").alias("span_name"), F.to_json(F.struct(body.alias("update"))).alias("output_text"),
+        F.col("ts").cast("string").alias("start_time"), F.col("ts").cast("string").alias("end_time"), F.col("event_id").alias("_pos"),
+    )
+    return traces.convert(spans, span_names=("click",)).select("query_id", "output_answer")
+
+
+@_query()
+def judge_over_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offline judge: documents as examples, benchmark items as units; no SQL, the tests hold it against brute force."""
+    q, _ = _corpus(spark, sf_dir)
+    examples = _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels"), "doc_id").select(F.col("doc_id").alias("doc_idx"), "text", "quality", "toxic")
+    return judge.neighbour_judge(q, examples, ["quality", "toxic"])
