@@ -435,7 +435,7 @@ def infer_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-@_query("select doc_id, case when doc_id % 7 <> 0 then quality end::bigint as agent_quality, case when doc_id % 3 <> 0 then toxic end::bigint as agent_toxic from labels")
+@_query("select doc_id, cast(case when doc_id % 7 <> 0 then quality end as bigint) as agent_quality, cast(case when doc_id % 3 <> 0 then toxic end as bigint) as agent_toxic from labels")
 def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers off the scale or without a field, flat and under ``answer``, after thoughts."""
     labels = _read(spark, sf_dir, "labels")
@@ -448,7 +448,7 @@ def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(r"""
-select event_id, trim(event_type || ' ') = '' as is_blank, 'number:' || value_key as k, case when event_id % 4 > 0 then event_id % 4 end as turn
+select event_id, trim(event_type || ' ') = '' as is_blank, 'number:' || value_key as k, cast(case when event_id % 4 > 0 then event_id % 4 end as bigint) as turn
 from (select event_id, event_type, (event_id % 10)::varchar as value_key from events)""")
 def cell_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events")

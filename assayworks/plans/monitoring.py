@@ -64,7 +64,7 @@ def run(
     contract = for_judge(known)
     units = unitize(reference, contract)
     criteria = [s.source_id for s in contract.sources]
-    labelled = units.na.drop("any", criteria)
+    labelled = units.na.drop("any", subset=criteria)
     figures: dict[str, float] = {}
     rows, scored = None, None
     if stage in ("scoring", "combined"):
