@@ -54,6 +54,8 @@ class Disclosure:
     #: Rows that may be broadcast: of terms, and of text keys (16 bytes each).
     broadcast_terms: int = 200_000
     broadcast_texts: int = 500_000
+    #: Spans (12 bytes each) that may be broadcast with their texts' keys.
+    broadcast_spans: int = 1_000_000
     shortest: int = 3
 
 
@@ -224,7 +226,8 @@ def sanitise(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
     found = written(found.where(F.size("_spans") > 0).dropDuplicates(["_h", "_g"]), "spans")
     keyed = without(docs, "_h", "_g", "_spans").select("*", *_text_key(as_text(F.col("text"))))
     # spans are small; only more texts with spans than may be broadcast make the texts move
-    held = keyed.join(_bounded(found, d.broadcast_texts // 4), ["_h", "_g"], "left")
+    n_spans = found.agg(F.sum(F.size("_spans") + 2)).head()[0] or 0
+    held = keyed.join(F.broadcast(found) if n_spans <= d.broadcast_spans else found, ["_h", "_g"], "left")
     masks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit(""))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))

@@ -15,12 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="assayworks-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="assayworks-")
+        found = _own[app]
     return found.rstrip("/")
 
 
