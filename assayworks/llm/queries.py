@@ -33,10 +33,10 @@ s as (
     else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end as sh
   from w),
 e as (select doc_id, len(sh) as n, unnest(sh) as g from s),
-both as (
+inter as (
   select x.doc_id as a, y.doc_id as b, min(x.n) as na, min(y.n) as nb, count(*) as c
   from e x join e y on x.g = y.g and x.doc_id <> y.doc_id group by 1, 2),
-links as (select a, b from both where 100 * c >= 85 * (na + nb - c)),
+links as (select a, b from inter where 100 * c >= 85 * (na + nb - c)),
 reach(a, b) as (
   select doc_id, doc_id from documents
   union select r.a, l.b from reach r join links l on r.b = l.a)
