@@ -1,10 +1,12 @@
 """Toxicity of whole texts, after deobfuscation as a noisy channel.
 
 1. A trigram language model of letters is counted over all texts.
-2. A token that looks disguised (digits or symbols among letters, a letter three
+2. A token that looks disguised (a sign of ``LEET`` or marks in it, a letter three
    times in a row, letters set apart by blanks or marks) becomes a lattice of
    letters; Viterbi decoding under the model, with channel costs for substitution
-   and deletion, restores the likeliest word.
+   and deletion, restores the likeliest word.  Tokens of any length are decoded in
+   their parts between marks that stand for no letter, short ones as a whole too.
+   Signs at the ends may be letters or marks, so both readings count.
 3. Evidence are words and their first 4, 5 and 6 letters, as written and as
    restored.  From labelled training rows each gets the lower bound (``z`` standard
    deviations) of its share of toxic documents.  A text's score joins bounds of
@@ -45,7 +47,10 @@ _SIGNS = "".join(re.escape(c) for c in LEET)
 _LETTER = r"[^\W\d_]"
 _SPACED = re.compile(rf"(?<![\w@$])(?:(?:{_LETTER}|[{_SIGNS}])[ .\-_*~]){{2,}}(?:{_LETTER}|[{_SIGNS}])(?![\w@$])")
 _TRIPLE = re.compile(r"(.)\1\1")
-_ENDS = re.compile(r"^\W+|(?:(\W)\1{2,}|[.,;:?!\"'()\[\]{}…»«])+$")
+_BEFORE = (re.compile(r"^\W+"), re.compile(rf"^(?:(?![{_SIGNS}])\W)+"))
+_AFTER = (re.compile(r"(?:(\W)\1{2,}|[.,;:?!\"'()\[\]{}…»«])+$"), re.compile(rf"(?:(?![{_SIGNS}])\W)+$"))
+_MARKS = re.compile(rf"(?:(?![{_SIGNS}])[\W_])+")
+_LEET = re.compile(f"[{_SIGNS}]")
 
 
 @dataclass(frozen=True)
@@ -78,6 +83,7 @@ def _folding() -> np.ndarray:
 
 
 _FOLD = _folding()
+_CODES = _FOLD.tolist()
 
 
 def _folded(text: str) -> np.ndarray:
@@ -129,7 +135,7 @@ class Restorer:
     """Viterbi decoding of disguised tokens."""
 
     def __init__(self, model: np.ndarray, channel: Channel | None = None):
-        self.model, self.channel = model, channel or Channel()
+        self.logs, self.channel = model.ravel().tolist(), channel or Channel()
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
         """For each run of a sign: what it may be, and the cost."""
@@ -147,35 +153,43 @@ class Restorer:
         return out
 
     def decode(self, token: str) -> str:
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        logs = self.logs
+        best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for options in self.lattice(token):
-            step: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (p, word) in best.items():
-                for letters, cost in options:
+            step: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for letters, cost in options:
+                codes = [_CODES[x] if x < len(_CODES) else 0 for x in map(ord, letters)]
+                for (a, b), (p, word) in best.items():
                     x, y, q = a, b, p + cost
-                    for k in _folded(letters).tolist():
-                        q += float(self.model[x, y, k])
+                    for k in codes:
+                        q += logs[x * 729 + y * 27 + k]
                         x, y = y, k
                     if (x, y) not in step or q > step[x, y][0]:
-                        step[x, y] = (q, word + letters)
+                        step[x, y] = (q, (word, letters) if letters else word)
             if len(step) > self.channel.beam:
                 step = dict(sorted(step.items(), key=lambda s: -s[1][0])[: self.channel.beam])
             best = step
-        return max(((p + float(self.model[a, b, 0]), w) for (a, b), (p, w) in best.items()))[1]
+        _, word = max(((p + self.logs[a * 729 + b * 27], w) for (a, b), (p, w) in best.items()), key=lambda x: x[0])
+        parts = []
+        while word:  # a chain of letters, the last first: time stays linear in the token
+            word, letters = word
+            parts.append(letters)
+        return "".join(reversed(parts))
 
     def words(self, token: str) -> list[str]:
         """A lower-case token as it is, and restored if it looks disguised."""
-        token = _ENDS.sub("", token)
-        if not token or len(token) > 40:
-            return [token] if token.isalpha() else []
-        if token.isalpha() and not _TRIPLE.search(token):
-            return [token]
-        letters = sum(c.isalpha() for c in token)
-        plain = [w for w in re.findall(rf"{_LETTER}+", token) if len(w) > 2]
-        if letters < 1 or letters * 3 < len(token) or len(token) < 3:
-            return plain
-        word = self.decode(token)
-        return [*plain, word] if len(word) > 2 else plain
+        bare = _AFTER[0].sub("", _BEFORE[0].sub("", token))
+        if bare.isalpha() and not _TRIPLE.search(bare) and not _LEET.search(token):
+            return [bare]
+        out = [bare] if bare.isalpha() else [w for w in re.findall(rf"{_LETTER}+", bare) if len(w) > 2]
+        forms = {b.sub("", a.sub("", token)) for a in _BEFORE for b in _AFTER}  # signs at the ends as marks, and as letters
+        tried = dict.fromkeys([f for f in forms if len(f) <= 40] + [p for f in forms for p in _MARKS.split(f)])
+        for form in tried:
+            if len(form) > 2 and (not form.isalpha() or _TRIPLE.search(form)):
+                word = self.decode(form)
+                if len(word) > 2:
+                    out.append(word)
+        return list(dict.fromkeys(out))
 
 
 def evidence(word: str) -> list[str]:

@@ -189,6 +189,16 @@ def test_toxicity(spark):
     assert toxicity.score(df, labels.where("false")).where("predicted = 1").count() == 0
 
 
+def test_disguised_tokens_are_all_decoded():
+    texts = " ".join(["stupid idiot shit asshole table word other"] * 50)
+    restorer = toxicity.Restorer(toxicity.log_model(toxicity._trigrams(texts).reshape(27, 27, 27).astype(float)))
+    want = {"$tupid": "stupid", "$tupid!": "stupid", "!diot": "idiot", "@sshole,": "asshole", "1d107": "idiot", "5h17": "shit",
+            "word/" * 12 + "1d10t/other": "idiot", "-".join(["1d10t", *["table"] * 9]): "idiot", "st" + "u" * 60 + "p1d": "stupid"}
+    for token, word in want.items():
+        assert word in restorer.words(token), token
+    assert "other" in restorer.words("word/" * 12 + "other") and restorer.words("table,") == ["table"]
+
+
 def test_sharding(spark):
     table = sharding.fill([f"s{k}" for k in range(7)], 1009)
     counts = np.bincount(table)
