@@ -13,7 +13,9 @@
    at least a half as independent causes; below, it is the largest bound.
 
 Training takes at most about ``most_labels`` labelled rows (picked by a hash of the
-id) and keeps at most ``most_evidence`` pieces of evidence; all else covers all rows.
+id); all else covers all rows.  Every piece of evidence whose bound tells anything is
+kept: up to ``most_broadcast`` pieces go to the executors as a whole, more are joined
+with the distinct tokens of the texts by shuffle.
 Rows with ``crc32(doc_id as text) mod 5 = 0`` never train.
 
 Defined cases: a null, empty or wordless text scores as no evidence does (a small
@@ -24,7 +26,6 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text
+from assayworks.llm.shared import as_text, written
 
 #: What letters a sign may stand for.
 LEET = {
@@ -66,7 +67,8 @@ class Channel:
 class Training:
     z: float = 2.3
     most_labels: int = 1_000_000
-    most_evidence: int = 200_000
+    #: Pieces of evidence that may be collected and sent to the executors; more are joined.
+    most_broadcast: int = 200_000
     least_toxic: int = 4
     #: A beginning (not a whole word) counts as a cause only from this share of toxic documents.
     least_share: float = 0.9
@@ -244,8 +246,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, t: Training, channel: Channel) -> dict[str, float]:
-    """The lower bound of the toxic share for each piece of evidence worth keeping."""
+def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, t: Training, channel: Channel) -> DataFrame:
+    """``e, bound``: the lower bound of the toxic share for each piece of evidence worth keeping."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
@@ -253,21 +255,16 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, t: Training, ch
         share = int(t.most_labels / n * (1 << 20))
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
     rows = docs.join(F.broadcast(known), "doc_id")  # no more than about most_labels rows
-    toxic = _counted(rows.where("toxic = 1"), model, channel, None).where(F.col("n") >= t.least_toxic)
-    bad = {r["e"]: r["n"] for r in toxic.orderBy(F.desc("n"), "e").limit(t.most_evidence).collect()}
-    if not bad:
-        return {}
-    good = {r["e"]: r["n"] for r in _counted(rows.where("toxic = 0"), model, channel, frozenset(bad)).collect()}
-    out = {}
-    for e, k in bad.items():
-        m = k + good.get(e, 0)
-        p, zz = k / m, t.z**2
-        bound = (p + zz / (2 * m) - t.z * math.sqrt(p * (1 - p) / m + zz / (4 * m * m))) / (1 + zz / m)
-        if p < t.least_share and e[0] != "=":
-            bound = min(bound, 0.49)
-        if bound > 0.1:
-            out[e] = bound
-    return out
+    bad = written(_counted(rows.where("toxic = 1"), model, channel, None).where(F.col("n") >= t.least_toxic), "toxic")
+    few = bad.count() <= t.most_broadcast
+    among = frozenset(r["e"] for r in bad.select("e").collect()) if few else None  # spares rows, changes no count
+    good = _counted(rows.where("toxic = 0"), model, channel, among).withColumnRenamed("n", "clean")
+    m, zz = F.col("n") + F.coalesce("clean", F.lit(0)), t.z**2
+    p = F.col("n") / m
+    bound = (p + zz / (2 * m) - t.z * F.sqrt(p * (1 - p) / m + zz / (4 * m * m))) / (1 + zz / m)
+    beginning = (p < t.least_share) & ~F.startswith("e", F.lit("="))
+    bound = F.when(beginning, F.least(bound, F.lit(0.49))).otherwise(bound)
+    return written(bad.join(good, "e", "left").select("e", bound.alias("bound")).where("bound > 0.1"), "bounds")
 
 
 #: The score of a text without evidence.
@@ -299,12 +296,46 @@ def score(docs: DataFrame, labels: DataFrame, training: Training | None = None,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text(F.col("text")).alias("text"))
     model = log_model(letter_counts(docs))
     bounds = train(docs, labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"), model, t, c)
+    marked = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    if bounds.count() > t.most_broadcast:
+        out = _joined(marked, bounds, model, c)
+    else:
+        out = _looked_up(marked, {r["e"]: r["bound"] for r in bounds.collect()}, model, c)
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
 
+def _looked_up(docs: DataFrame, bounds: dict[str, float], model: np.ndarray, channel: Channel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, kept = Restorer(model, c), {}
+        restorer, kept = Restorer(model, channel), {}
         for batch in batches:
             scores = [score_text(x.as_py(), restorer, bounds, kept) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "score"])
 
-    out = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, score double")
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.mapInArrow(run, "doc_id long, held_out boolean, score double")
+
+
+def _joined(docs: DataFrame, bounds: DataFrame, model: np.ndarray, channel: Channel) -> DataFrame:
+    """The same scores by joins: distinct tokens of each text, the best bound of each token, the bounds of a text."""
+    key = [F.xxhash64("text").alias("_h"), F.xxhash64(F.reverse("text"), F.length("text")).alias("_g")]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(model, channel)
+        for batch in batches:
+            for h, g, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = list(tokens(text, restorer))
+                yield pa.RecordBatch.from_arrays([pa.array([x] * len(found), pa.int64()) for x in (h, g)] + [pa.array(found, pa.string())], names=["_h", "_g", "t"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(model, channel)
+        for batch in batches:
+            rows = [(t, e) for t in batch.column(0).to_pylist() for e in {e for w in restorer.words(t) if len(w) > 2 for e in evidence(w)}]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["t", "e"])
+
+    held = written(docs.select(*key, "text").mapInArrow(split, "_h long, _g long, t string").distinct(), "tokens")
+    best = held.select("t").distinct().mapInArrow(pieces, "t string, e string").join(bounds, "e").groupBy("t").agg(F.max("bound").alias("b"))
+    strong = F.col("b") >= 0.5
+    of_text = held.join(best, "t").groupBy("_h", "_g").agg(
+        F.coalesce(F.sum(F.when(strong, F.log1p(-F.col("b")))), F.lit(0.0)).alias("rest"), F.coalesce(F.max(F.when(~strong, F.col("b"))), F.lit(0.0)).alias("top")
+    )
+    whole = F.greatest(F.lit(FLOOR), F.coalesce("top", F.lit(0.0)), -F.expm1(F.coalesce("rest", F.lit(0.0))))
+    return docs.select("doc_id", "held_out", *key).join(of_text, ["_h", "_g"], "left").select("doc_id", "held_out", whole.alias("score"))

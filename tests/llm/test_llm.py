@@ -189,6 +189,20 @@ def test_toxicity(spark):
     assert toxicity.score(df, labels.where("false")).where("predicted = 1").count() == 0
 
 
+def test_rare_toxic_evidence_is_kept(spark):
+    common = "common phrase of every text"
+    rows = [(i, f"{common} rareslur{'x' if i % 8 else 'yyqq'}") for i in range(40)] + [(i, f"{common} {prose(5, i)}") for i in range(40, 140)]
+    rows += [(500, "a rareslurx"), (501, "$rare"), (502, None), (500, "a rareslurx"), (None, "common")]
+    df = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(140)], "doc_id long, toxic int")
+    results = []
+    for most in (200_000, 3):  # sent as a whole, and joined
+        got = toxicity.score(df, labels, toxicity.Training(most_broadcast=most)).collect()
+        results.append(sorted((r["doc_id"] or -1, r["held_out"], round(r["score"], 9), r["predicted"]) for r in got))
+    assert results[0] == results[1] and len(results[0]) == len(rows)
+    assert [x[3] for x in results[0] if x[0] == 500] == [1, 1] and [x[2] for x in results[0] if x[0] == 502] == [toxicity.FLOOR]
+
+
 def test_disguised_tokens_are_all_decoded():
     texts = " ".join(["stupid idiot shit asshole table word other"] * 50)
     restorer = toxicity.Restorer(toxicity.log_model(toxicity._trigrams(texts).reshape(27, 27, 27).astype(float)))
