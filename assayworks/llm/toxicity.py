@@ -2,11 +2,14 @@
 
 1. A trigram language model of letters is counted over all texts.
 2. A token that looks disguised (a sign of ``LEET`` or marks in it, a letter three
-   times in a row, letters set apart by blanks or marks) becomes a lattice of
-   letters; Viterbi decoding under the model, with channel costs for substitution
-   and deletion, restores the likeliest word.  Tokens of any length are decoded in
+   times in a row) becomes a lattice of letters; Viterbi decoding under the model,
+   with channel costs for substitution and deletion, restores the likeliest word.
+   Tokens of any length are decoded in
    their parts between marks that stand for no letter, short ones as a whole too.
    Signs at the ends may be letters or marks, so both readings count.
+   Runs of fragments of up to ``Channel.fragment`` signs, set apart by any white space
+   or marks, are a lattice with gaps, each inside a word or between words: decoding
+   joins fragments and parts words.  Longer fragments are never joined.
 3. Evidence are words and their first 4, 5 and 6 letters, as written and as
    restored.  From labelled training rows each gets the lower bound (``z`` standard
    deviations) of its share of toxic documents.  A text's score joins bounds of
@@ -31,6 +34,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +50,14 @@ LEET = {
 }
 _SIGNS = "".join(re.escape(c) for c in LEET)
 _LETTER = r"[^\W\d_]"
-_SPACED = re.compile(rf"(?<![\w@$])(?:(?:{_LETTER}|[{_SIGNS}])[ .\-_*~]){{2,}}(?:{_LETTER}|[{_SIGNS}])(?![\w@$])")
 _TRIPLE = re.compile(r"(.)\1\1")
 _BEFORE = (re.compile(r"^\W+"), re.compile(rf"^(?:(?![{_SIGNS}])\W)+"))
 _AFTER = (re.compile(r"(?:(\W)\1{2,}|[.,;:?!\"'()\[\]{}…»«])+$"), re.compile(rf"(?:(?![{_SIGNS}])\W)+$"))
 _MARKS = re.compile(rf"(?:(?![{_SIGNS}])[\W_])+")
+#: What lies between marks that stand for no letter, and runs of two or more short fragments (1) among longer ones (0).
+_FRAGMENT = re.compile(rf"[\w{_SIGNS}]+")
+_SHORTS = re.compile(b"\x01{2,}")
+_SINGLES = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 _LEET = re.compile(f"[{_SIGNS}]")
 
 
@@ -59,6 +66,12 @@ class Channel:
     substitute: float = -1.0
     shorten: float = -0.5
     drop: float = -14.0
+    #: A gap inside a word; a gap between words costs what the model says.
+    gap: float = -0.5
+    #: Letters set apart one by one are read at each of these costs; the words of all readings count.
+    single_gaps: tuple[float, ...] = (0.5, 0.0, -0.5, -1.0, -1.5, -2.0, -3.0)
+    #: Fragments of so many signs may be parts of a word set apart.
+    fragment: int = 4
     #: Decoding keeps so many states a step.
     beam: int = 64
 
@@ -133,13 +146,29 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
+class _Gaps(dict):
+    """What is settled about gaps, by the letters around them; bounded."""
+
+    def __init__(self, settle):
+        super().__init__()
+        self.settle = settle
+
+    def __missing__(self, key: str) -> bool | None:
+        if len(self) > 300_000:
+            self.clear()
+        self[key] = found = self.settle(key)
+        return found
+
+
 class Restorer:
     """Viterbi decoding of disguised tokens."""
 
     def __init__(self, model: np.ndarray, channel: Channel | None = None):
         self.logs, self.channel = model.ravel().tolist(), channel or Channel()
+        self.gaps = _Gaps(self._gap)
+        self.parts: dict[str, str] = {}
 
-    def lattice(self, token: str) -> list[list[tuple[str, float]]]:
+    def lattice(self, token: str, gap: float | None = None) -> list[list[tuple[str, float]]]:
         """For each run of a sign: what it may be, and the cost."""
         c = self.channel
         out = []
@@ -147,6 +176,8 @@ class Restorer:
             sign, n = m[1], len(m[0])
             if sign.isalpha():
                 out.append([(sign * n, 0.0)] if n < 3 else [(sign, c.shorten), (sign * 2, c.shorten)])
+            elif sign == " ":
+                out.append([(" ", 0.0), ("", c.gap if gap is None else gap)])
             elif sign in LEET:
                 options = [(x * k, c.substitute * k) for x in LEET[sign] for k in ((n,) if n < 3 else (1, 2))]
                 out.append([*options, ("", c.drop * min(n, 2))])
@@ -154,10 +185,10 @@ class Restorer:
                 out.append([("", 0.0)])
         return out
 
-    def decode(self, token: str) -> str:
+    def decode(self, token: str, gap: float | None = None) -> str:
         logs = self.logs
         best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for options in self.lattice(token):
+        for options in self.lattice(token, gap):
             step: dict[tuple[int, int], tuple[float, tuple]] = {}
             for letters, cost in options:
                 codes = [_CODES[x] if x < len(_CODES) else 0 for x in map(ord, letters)]
@@ -180,6 +211,8 @@ class Restorer:
 
     def words(self, token: str) -> list[str]:
         """A lower-case token as it is, and restored if it looks disguised."""
+        if token.isalpha() and "µ" not in token and not _TRIPLE.search(token):
+            return [token]
         bare = _AFTER[0].sub("", _BEFORE[0].sub("", token))
         if bare.isalpha() and not _TRIPLE.search(bare) and not _LEET.search(token):
             return [bare]
@@ -194,26 +227,83 @@ class Restorer:
         return list(dict.fromkeys(out))
 
 
+    def _gap(self, key: str) -> bool | None:
+        """Whether a gap lies inside a word, if the two letters on either side decide it; else None."""
+        before, after = key.split(" ")
+        if len(before) < 2 or len(after) < 2 or not (before + after).isalpha() or before[0] == before[1] or after[0] == after[1]:
+            return None
+        a, b, x, y = (_CODES[k] if k < len(_CODES) else 0 for k in map(ord, before + after))
+        p = self.logs
+        inside = self.channel.gap + p[a * 729 + b * 27 + x] + p[b * 729 + x * 27 + y]
+        return inside > p[a * 729 + b * 27] + p[b * 729 + x] + p[x * 27 + y]
+
+    def joined(self, fragments: list[str]) -> list[str]:
+        """Words of a run of short fragments, gaps inside or between words as Viterbi decoding says; none if all stay apart.
+
+        After two plain letters all paths meet, so a gap with two on either side is settled
+        by itself, and only what lies between such gaps is decoded.
+        """
+        gaps = self.gaps
+        settled = [gaps[f[-2:] + " " + g[:2]] for f, g in pairwise(fragments)]
+        if True not in settled and None not in settled:
+            return []
+        out, at = [fragments[0]], 0
+        for i, x in enumerate([*settled, False]):
+            if x is None:
+                continue
+            if i > at:  # the gaps from fragment at to fragment i are open
+                first, last = out.pop(), fragments[i]
+                head = fragments[at]
+                lead = head[:-2] if len(head) > 2 and head.isalpha() and head[-1] != head[-2] != head[-3] else ""
+                rest = last[2:] if len(last) > 2 and last.isalpha() and last[0] != last[1] != last[2] else ""
+                part = " ".join([head[len(lead) :], *fragments[at + 1 : i], last[: len(last) - len(rest)]])
+                if part not in self.parts:
+                    if len(self.parts) > 100_000:
+                        self.parts.clear()
+                    self.parts[part] = self.decode(part)
+                out += (first[: len(first) - len(head)] + lead + self.parts[part] + rest).split()
+            if i + 1 < len(fragments):
+                if x and out:
+                    out[-1] += fragments[i + 1]
+                else:
+                    out.append(fragments[i + 1])
+            at = i + 1
+        return out
+
+
 def evidence(word: str) -> list[str]:
     return ["=" + word, *(word[:k] for k in (4, 5, 6) if len(word) >= k)]
 
 
 def tokens(text: str, restorer: Restorer) -> set[str]:
-    """Distinct tokens of a text; letters set apart are put together, as tokens of their own."""
+    """Distinct tokens of a text; what runs of short fragments give is put together, as tokens of their own."""
     low = text.lower()
     out = set(low.split())
-    for m in _SPACED.finditer(low):
-        run = re.sub(r"[ .\-_*~]", "", m[0])
-        out.update((run, run[1:], run[:-1]) if len(run) > 4 else (run,))  # a word of one letter may stand beside it
+    _put_together(low, restorer, out)
+    if "|" in low or "+" in low:  # letters, or marks between fragments
+        _put_together(low.replace("|", " ").replace("+", " "), restorer, out)
     return out
 
 
-def _evidence_of(text: str, restorer: Restorer, kept: dict[str, tuple]) -> set[str]:
+def _put_together(low: str, restorer: Restorer, out: set[str]) -> None:
+    fragments = _FRAGMENT.findall(low.replace("_", " "))
+    short = bytes(map(restorer.channel.fragment.__ge__, map(len, fragments)))
+    for m in _SHORTS.finditer(short):
+        run = fragments[m.start() : m.end()]
+        out.update(restorer.joined(run))
+        if len(run) > 2:
+            for s in _SINGLES.findall(" ".join(run)):
+                word = s.replace(" ", "")
+                out.update(w for gap in restorer.channel.single_gaps for w in restorer.decode(s, gap).split())
+                out.update((word, word[1:], word[:-1]) if len(word) > 4 else (word,))  # a word of one letter may stand beside it
+
+
+def _evidence_of(text: str, restorer: Restorer, kept: dict[str, tuple], among: frozenset[str] | None = None) -> set[str]:
     out: set[str] = set()
     for t in tokens(text, restorer):
         e = kept.get(t)
         if e is None:
-            e = tuple(x for w in restorer.words(t) if len(w) > 2 for x in evidence(w))
+            e = tuple(x for w in restorer.words(t) if len(w) > 2 for x in evidence(w) if among is None or x in among)
             if len(kept) > 100_000:
                 kept.clear()
             kept[t] = e
@@ -232,8 +322,7 @@ def _counted(rows: DataFrame, model: np.ndarray, channel: Channel, among: frozen
 
         for batch in batches:
             for value in batch.column(0):
-                found = _evidence_of(value.as_py() or "", restorer, kept)
-                seen.update(found if among is None else found & among)
+                seen.update(_evidence_of(value.as_py() or "", restorer, kept, among))
                 if len(seen) > 300_000:
                     yield out()
                     seen.clear()

@@ -213,6 +213,16 @@ def test_disguised_tokens_are_all_decoded():
     assert "other" in restorer.words("word/" * 12 + "other") and restorer.words("table,") == ["table"]
 
 
+def test_fragments_are_joined_and_runs_parted():
+    texts = " ".join(["you are an idiot and stupid people the table is there for you"] * 200)
+    restorer = toxicity.Restorer(toxicity.log_model(toxicity._trigrams(texts).reshape(27, 27, 27).astype(float)))
+    want = {"i  d  i  o  t": "idiot", "i\td\ti\to\tt": "idiot", "i\nd\ni\no\nt": "idiot", "i/d/i/o/t": "idiot", "i,d,i,o,t": "idiot", "i|d|i|o|t": "idiot",
+            "1 d 1 0 t": "idiot", "an id iot there": "idiot", "so stu pid there": "stupid", "y o u i d i o t": "idiot", " ".join("youareanidiot" * 5): "idiot"}
+    for text, word in want.items():
+        assert word in {w for t in toxicity.tokens(text, restorer) for w in restorer.words(t)}, text
+    assert toxicity.tokens("you are an idiot", restorer) == {"you", "are", "an", "idiot"}
+
+
 def test_sharding(spark):
     table = sharding.fill([f"s{k}" for k in range(7)], 1009)
     counts = np.bincount(table)
