@@ -3,9 +3,9 @@
 Base spans are e-mail addresses, IP addresses, payment cards and telephone
 numbers, found by pattern in whole texts.  Information-theoretic sanitisation
 adds spans: over distinct texts, a term that stands within ``reach`` characters of
-a protected value (an entity) discloses it by ``P(entity | term)``, the share of
-the texts with the term that hold it beside the entity.  A term is masked
-wherever it occurs if it does so in at least ``support`` texts, the share reaches
+a protected value (an entity) in at least ``support`` texts is a candidate, and
+discloses the entity by ``P(entity | term)``, the share of the texts with the term
+that hold the entity anywhere.  It is masked wherever it occurs if the share reaches
 ``disclosure`` and the term raises the entity's probability by ``bits`` bits.  From
 ``removal`` on it is removed, below that generalised to a placeholder.
 
@@ -112,8 +112,13 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*each))
 
 
-def _terms(part: Column, shortest: int) -> Column:
+def _terms(part: Column, shortest: int, skip: Column | None = None, spare: Column | None = None) -> Column:
+    """Terms of a text; ``skip`` and ``spare`` say that the first or last piece is cut and goes, whatever it is."""
     found = F.split(F.lower(part), r"[^\p{L}\p{N}]+")
+    if skip is not None:
+        found = F.when(skip, F.slice(found, F.lit(2), F.size(found))).otherwise(found)
+    if spare is not None:
+        found = F.when(spare, F.slice(found, F.lit(1), F.size(found) - 1)).otherwise(found)
     return F.filter(found, lambda w: (F.length(w) >= shortest) & w.rlike(r"^[\p{L}\p{N}]*\p{L}"))
 
 
@@ -124,13 +129,17 @@ def _text_key(text: Column) -> list[Column]:
 def _beside(text: Column, s: Column, reach: int, shortest: int) -> Column:
     """Terms within reach of a span; words that the window cuts are left out."""
     begin = F.greatest(s.start - reach, F.lit(0))
-    left = _terms(F.substring(text, begin + 1, s.start - begin), shortest)
-    left = F.when(begin > 0, F.slice(left, F.lit(2), F.greatest(F.size(left) - 1, F.lit(0)))).otherwise(left)
-    right = _terms(F.substring(text, s.stop + 1, F.lit(reach)), shortest)
-    right = F.when(s.stop + reach < F.length(text), F.slice(right, F.lit(1), F.greatest(F.size(right) - 1, F.lit(0)))).otherwise(right)
+    left = _terms(F.substring(text, begin + 1, s.start - begin), shortest, skip=_inside(text, begin))
+    end = s.stop + reach
+    right = _terms(F.substring(text, s.stop + 1, F.lit(reach)), shortest, spare=_inside(text, end))
     return F.array_distinct(F.concat(left, right))
 
 
+def _inside(text: Column, at: Column) -> Column:
+    """Whether a word goes on across this place."""
+    return (at > 0) & F.substring(text, at, F.lit(2)).rlike(r"^[\p{L}\p{N}]{2}$")
+
+
 def _entity(text: Column, s: Column) -> Column:
     value = F.substring(text, s.start + 1, s.stop - s.start)
     return F.concat(s["rank"].cast("string"), F.lit(":"), F.when(s["rank"] == 0, F.lower(value)).otherwise(F.regexp_replace(value, "[^0-9.]", "")))
@@ -145,11 +154,16 @@ def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> DataF
     """Masked terms ``term, share``; none if nothing is a candidate.
 
     ``based(_h, _g, beside)`` holds, for each row, its entities with the terms beside
-    them (null without entities), ``texts(text, _h, _g)`` all texts.
+    them and in ``words`` all its terms (both null without entities), ``texts(text, _h, _g)`` all texts.
     """
     beside = based.where("beside is not null").select("_h", "_g", F.explode("beside").alias("x"))
     seen = beside.select("_h", "_g", "x.entity", F.explode("x.terms").alias("term")).distinct()
-    pairs = written(seen.groupBy("term", "entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= d.support), "pairs")
+    near = written(seen.groupBy("term", "entity").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= d.support).drop("n_near"), "near")
+    entities = near.select("entity").distinct()
+    held = based.where("beside is not null").select("_h", "_g", "words", F.explode(F.array_distinct("beside.entity")).alias("entity"))
+    held = held.join(_bounded(entities, d.broadcast_terms), "entity").select("_h", "_g", "entity", F.explode("words").alias("term"))
+    held = held.join(_bounded(near, d.broadcast_terms), ["term", "entity"]).select("_h", "_g", "term", "entity").distinct()
+    pairs = written(held.groupBy("term", "entity").agg(F.count("*").alias("n_both")), "pairs")
     wanted = written(pairs.select("term").distinct(), "wanted")
     if not wanted.head(1):
         return None
@@ -196,9 +210,11 @@ def detected(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
     beside = F.transform(
         "base", lambda s: F.struct(_entity(F.col("text"), s).alias("entity"), _beside(F.col("text"), s, d.reach, d.shortest).alias("terms"))
     )
-    based = written(rows.select("doc_id", *_text_key(F.col("text")), "base", F.when(F.size("base") > 0, beside).alias("beside")), "base")
+    some = F.size("base") > 0
+    words = F.when(some, F.array_distinct(_terms(F.col("text"), d.shortest))).alias("words")
+    based = written(rows.select("doc_id", *_text_key(F.col("text")), "base", F.when(some, beside).alias("beside"), words), "base")
     told = disclosing_terms(based, texts, d)
-    slim = based.drop("beside")
+    slim = based.drop("beside", "words")
     if told is None:
         return slim.withColumn("extra", F.array().cast(_SPAN))
     extra = _term_spans(texts, told, d)

@@ -161,6 +161,18 @@ def test_pii_terms(spark):
     assert pii.report(df.where("false")).count() == 0
 
 
+def test_pii_terms_of_cut_windows_and_whole_texts(spark):
+    far = " ".join(["zz"] * 40)  # 119 characters, no terms
+    # a whole term at the edge of the window, the edge on a gap: 81 characters reach to its first letter
+    edge = [(i, f"{WORDS[i]}aa {'quokkaland' + ' 1' * 35} kim@example.org") for i in range(5)]
+    # beside the entity in 4 texts, far off in 3 more
+    whole = [(10 + i, f"{WORDS[i]}bb numbatcity bob@example.org") for i in range(4)] + [(20 + i, f"numbatcity {WORDS[i]}cc {far} bob@example.org") for i in range(3)]
+    rest = [(100 + i, prose(9, i)) for i in range(90)]
+    assert edge[0][1].index("kim@") - edge[0][1].index("quokkaland") == 81
+    got = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(edge + whole + rest + whole[:1], DOCS), pii.Disclosure(reach=81)).collect()}
+    assert all("term:" in got[i] for i in (*range(5), *range(10, 14), *range(20, 23))) and got[100] == ""
+
+
 def test_decontamination(spark):
     passage = prose(25, 99)
     w = passage.split()
