@@ -46,7 +46,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Ids without an edge do not appear.  Self links, repeated links and either
     direction are allowed; links with a null end are left out.  An empty input
-    gives an empty table.
+    gives an empty table.  Raises if the edges are no stars after ``most_rounds``.
     """
     now = written(
         edges.where("a is not null and b is not null and a <> b")
@@ -63,6 +63,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if before == mark:
             break
         before = mark
+    else:
+        if before["n"]:
+            raise RuntimeError(f"components: the edges still change after {most_rounds} rounds")
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )

@@ -35,6 +35,13 @@ def test_components(spark):
     assert graph.components(edges.where("false")).count() == 0
 
 
+def test_components_refuses_to_stop_early(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        graph.components(edges, most_rounds=1)
+    assert {r["component"] for r in graph.components(edges).collect()} == {0}
+
+
 def test_near_duplicates_brute_force(spark):
     rng = random.Random(3)
     rows = [(0, None), (1, ""), (2, "  "), (3, "one two"), (4, "ONE two"), (5, "One\ttwo three"), (5, "One\ttwo three"), (6, "é x É x")]
