@@ -51,6 +51,10 @@ class Capacity:
     group_pieces: int = 16384
 
 
+#: What the query and the pipeline use: all three residuals choose the bin.
+WEIGHED = Capacity(weights=(1.0, 0.25, 0.25))
+
+
 #: White space besides the blank and the line feed (Unicode's, and ASCII's separators).
 _OTHER_WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 

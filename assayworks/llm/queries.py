@@ -75,7 +75,7 @@ from d join w using (payload_digest, payload_bytes)
 
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), packing.WEIGHED)
 
 
 @_query

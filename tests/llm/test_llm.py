@@ -154,6 +154,18 @@ def test_best_fit_holds_every_capacity(rule):
         packing.best_fit(np.array([900]), packing.Capacity(1000, attention=100))
 
 
+def test_query_and_stage_weigh_every_capacity(monkeypatch):
+    import corpus_pipeline
+    from assayworks.llm import queries
+
+    seen = []
+    monkeypatch.setattr(packing, "pack", lambda docs, path, cap=None: seen.append(cap or packing.Capacity()))
+    monkeypatch.setattr(queries, "table", lambda *a: None)
+    queries.op4_best_fit_packing(None, "")
+    corpus_pipeline.best_fit_packing(None, None, "")
+    assert len(seen) == 2 and all(min(c.weights) > 0 and c.tokens == 2048 for c in seen)
+
+
 def test_pii_terms(spark):
     rows = [(i, f"number {WORDS[i]} mentions zanzibarproject near kim@example.org {WORDS[i + 1]}") for i in range(5)]
     rows += [(5, "zanzibarproject again"), (6, None), (7, ""), (8, "call +49 (30) 123-4567 9 or 4111 1111 1111 1111, 10.0.0.1")]
