@@ -2,26 +2,35 @@
 
 Intermediate tables are written below ``spark.checkpoint.dir``, the folder that
 driver and executors share.  A written table cuts lineage and survives the loss
-of executors.  Only a session without that setting (a test) gets a folder of
-its own.
+of executors.  Operators delete the tables that their result doesn't read;
+:func:`release` deletes the others once the result has been used.  Without that
+setting a local session (a test) gets a folder of its own, a cluster an error.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 _own: dict[str, str] = {}
+#: What goes to Python at a time where texts do.
+_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="assayworks-")
@@ -33,25 +42,66 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/assayworks-{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for a while; afterwards they are as before."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back."""
+    """Write a table to the shared folder and read it back; texts go to Python in small batches meanwhile."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    with settings(spark, _ARROW):
+        df.write.parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._shared_path = path
     return out
 
 
-def forget(df: DataFrame | None) -> None:
-    """Delete the files of a table made by :func:`written` that nothing reads any more."""
-    path = getattr(df, "_shared_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def forget(*tables: DataFrame | None) -> None:
+    """Delete the files of tables made by :func:`written` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_shared_path", None)
+        if path is None:
+            continue
+        spark = df.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def reading(out: DataFrame, *tables: DataFrame | None) -> DataFrame:
+    """Note which written tables a result reads, for :func:`release`."""
+    out._reads = [*getattr(out, "_reads", []), *tables]
+    return out
+
+
+def release(out: DataFrame) -> None:
+    """Delete the intermediate tables of an operator's result; it can't be evaluated afterwards."""
+    for df in getattr(out, "_reads", []):
+        if df is not None:
+            release(df)
+    forget(out)
+
+
+def tidy() -> None:
+    """In a Python worker, at the end of a task: give memory back to the system."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
