@@ -7,41 +7,49 @@ a protected value (an entity) in at least ``support`` texts is a candidate, and
 discloses the entity by ``P(entity | term)``, the share of the texts with the term
 that hold the entity anywhere.  It is masked wherever it occurs if the share reaches
 ``disclosure`` and the term raises the entity's probability by ``bits`` bits.  From
-``removal`` on it is removed, below that generalised to a placeholder.
+``removal`` on it is removed, below that generalised to the kind of value it discloses.
 
-Counts cover all texts; exact copies count once.  Base spans stay within a row;
-the statistics are grouped aggregations.  Candidate terms are broadcast only up
-to ``broadcast_terms`` and joined by shuffle beyond.  DataFrame and SQL functions
-only.
+Counts cover all texts; exact copies count once.  Base spans stay within a row; the
+statistics are grouped aggregations.  Terms that are in too many texts to disclose
+anything go first, by counts over the texts that hold entities; only for those left
+all texts are counted.  Tables that are broadcast are counted before; beyond
+``broadcast_terms`` and the like they are joined by shuffle, with equal results.
+DataFrame and SQL functions only.
 
 Defined cases: a null text is empty and stays null when sanitised.  Repeated rows
-each get the same spans.  Overlapping spans are masked as one, by the first of
-them.  An empty table gives an empty one.  Extra columns are carried through by
-:func:`sanitise`.
+each get the same spans.  Spans that begin at one place come in the order of kinds.
+Overlapping spans are masked as one, by the first of them.  An empty table gives an
+empty one.  Extra columns of any name are carried through by :func:`sanitise`.  Time
+is linear in a text's matches but for sums within blocks of 128 of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text, without, written
+from assayworks.llm.shared import as_text, forget, reading, release, written
 
 #: Kinds in their order, and Java patterns.  Possessive loops and the start conditions change no
-#: match; they keep the time linear in the text and the stack flat.
+#: match; they keep the time linear in the text and the stack flat.  Runs of under 14 digits can be no card.
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = "[A-Za-z0-9._%+-]"
 _PATTERN = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_WORD = r"[\p{L}\p{N}]+"
+#: ``rank``: the kind; of terms 4 and the kind that they disclose, or 8 if they go.
 _SPAN = "array<struct<start:int,rank:int,stop:int>>"
+_GONE = 8
+_BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -81,19 +89,47 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _located(text: Column, pattern: Column, rank: int, valid) -> Column:
-    """Spans of the matches of a pattern: gaps and matches alternate, so their lengths give the places."""
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    gap = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    size = F.transform(found, lambda x: F.length(x))
-    zero = F.lit(0)
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is worked out once, not for each element of a lambda in it."""
+    return F.transform(F.array(value), then)[0]
 
-    def span(x: Column, i: Column) -> Column:
-        start = F.aggregate(F.slice(gap, F.lit(1), i + 1), zero, lambda a, b: a + b) + F.aggregate(F.slice(size, F.lit(1), i), zero, lambda a, b: a + b)
-        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(x)).alias("stop"), valid(x).alias("ok"))
 
-    kept = F.filter(F.transform(found, span), lambda s: s.ok)
-    return F.transform(kept, lambda s: F.struct(s.start.alias("start"), s["rank"].alias("rank"), s.stop.alias("stop")))
+def _located(text: Column, pattern: str, rank: Callable[[Column], Column]) -> Column:
+    """Spans of the matches of a pattern that have a rank.
+
+    Gaps and matches alternate, so their lengths give the places: sums up to each
+    block of matches, then sums within the block.
+    """
+
+    def add(a: Column, e: Column) -> Column:
+        return a + e.gap + e.size
+
+    def sums(steps: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _BLOCK).cast("int"))
+        own = F.transform(blocks, lambda b: F.aggregate(F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK)), F.lit(0), add))
+        first = F.array(F.lit(0))
+        return F.aggregate(own, first, lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+
+    def spans(steps: Column, begin: Column) -> Column:
+        def span(e: Column, i: Column) -> Column:
+            b = F.floor(i / _BLOCK).cast("int")
+            start = F.aggregate(F.slice(steps, b * _BLOCK + 1, i % _BLOCK), F.get(begin, b), add) + e.gap
+            return F.struct(start.alias("start"), e["rank"].alias("rank"), (start + e.size).alias("stop"))
+
+        return F.filter(F.transform(steps, span), lambda s: s["rank"].isNotNull())
+
+    def step(p: Column) -> Column:
+        return F.transform(
+            p.found, lambda x, i: F.struct(F.length(F.get(p.gaps, i)).alias("gap"), F.length(x).alias("size"), rank(x).cast("int").alias("rank"))
+        )
+
+    pieces = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    some = lambda steps: F.when(F.size(steps) > 0, _let(sums(steps), lambda begin: spans(steps, begin))).otherwise(F.array().cast(_SPAN))
+    return _let(pieces, lambda p: _let(step(p), some))
+
+
+def _ranked(kind: str, rank: int, found: Column) -> Column:
+    return F.when(_valid(kind, found), F.lit(rank))
 
 
 def base_spans(text: Column) -> Column:
@@ -102,11 +138,11 @@ def base_spans(text: Column) -> Column:
     may = {
         "email": F.contains(text, F.lit("@")),
         "ip": text.rlike(r"[0-9]\.[0-9]"),
-        "card": text.rlike(r"[0-9][\x20-]?[0-9]"),
+        "card": text.rlike(_PATTERN["card"]),
         "phone": text.rlike(r"\+[0-9]"),
     }
     each = [
-        F.when(may[k], _located(text, F.lit(_PATTERN[k]), i, partial(_valid, k))).otherwise(none)
+        F.when(may[k], _located(text, _PATTERN[k], partial(_ranked, k, i))).otherwise(none)
         for i, k in enumerate(KINDS[:4])
     ]
     return F.array_sort(F.concat(*each))
@@ -122,8 +158,11 @@ def _terms(part: Column, shortest: int, skip: Column | None = None, spare: Colum
     return F.filter(found, lambda w: (F.length(w) >= shortest) & w.rlike(r"^[\p{L}\p{N}]*\p{L}"))
 
 
+KEY = ["h", "g"]
+
+
 def _text_key(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("_h"), F.xxhash64(F.reverse(text), F.length(text)).alias("_g")]
+    return [F.xxhash64(text).alias("h"), F.xxhash64(F.reverse(text), F.length(text)).alias("g")]
 
 
 def _beside(text: Column, s: Column, reach: int, shortest: int) -> Column:
@@ -151,53 +190,58 @@ def _bounded(df: DataFrame, most: int) -> DataFrame:
 
 
 def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> DataFrame | None:
-    """Masked terms ``term, share``; none if nothing is a candidate.
+    """Masked terms ``term, share, kind``; none if nothing is a candidate.
 
-    ``based(_h, _g, beside)`` holds, for each row, its entities with the terms beside
-    them and in ``words`` all its terms (both null without entities), ``texts(text, _h, _g)`` all texts.
+    ``based(h, g, beside, words)`` holds, for each row, its entities with the terms beside
+    them, and all its terms (both null without entities), ``texts(text, h, g)`` all texts.
     """
-    beside = based.where("beside is not null").select("_h", "_g", F.explode("beside").alias("x"))
-    seen = beside.select("_h", "_g", "x.entity", F.explode("x.terms").alias("term")).distinct()
-    near = written(seen.groupBy("term", "entity").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= d.support).drop("n_near"), "near")
-    entities = near.select("entity").distinct()
-    held = based.where("beside is not null").select("_h", "_g", "words", F.explode(F.array_distinct("beside.entity")).alias("entity"))
-    held = held.join(_bounded(entities, d.broadcast_terms), "entity").select("_h", "_g", "entity", F.explode("words").alias("term"))
-    held = held.join(_bounded(near, d.broadcast_terms), ["term", "entity"]).select("_h", "_g", "term", "entity").distinct()
-    pairs = written(held.groupBy("term", "entity").agg(F.count("*").alias("n_both")), "pairs")
-    wanted = written(pairs.select("term").distinct(), "wanted")
+    by_text = written(based.groupBy(*KEY).agg(F.count("*").alias("copies")), "copies")
+    n_all = max(1, by_text.count())
+    held = written(based.where("beside is not null").select(*KEY, "beside", "words").dropDuplicates(KEY), "held")
+    near = F.array_distinct(F.flatten(F.transform("beside", lambda x: F.transform(x.terms, lambda t: F.struct(t.alias("term"), x.entity.alias("entity"))))))
+    near = held.select(F.explode(near).alias("x")).groupBy("x.term", "x.entity").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= d.support)
+    entities = held.select(*KEY, F.explode(F.array_distinct("beside.entity")).alias("entity"))
+    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # n_both is at most n_entity, and n_term at least what the texts with entities have
+    n_held = held.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_held"))
+    able = (F.col("n_entity") >= d.disclosure * F.col("n_held")) & (F.log2(F.lit(float(n_all)) / F.greatest("n_entity", "n_held")) >= d.bits)
+    near = written(near.join(n_entity, "entity").join(n_held, "term").where(able).select("term", "entity", "n_entity"), "near")
+    wanted = written(near.select("term").distinct(), "wanted")
     if not wanted.head(1):
+        forget(by_text, held, near, wanted)
         return None
-    by_text = written(based.groupBy("_h", "_g").agg(F.count("*").alias("copies")), "copies")
-    n_all = max(1, by_text.count())
+    terms = held.select(*KEY, F.explode("words").alias("term")).join(_bounded(wanted, d.broadcast_terms), "term", "left_semi")
+    both = terms.join(near, "term").join(entities, [*KEY, "entity"], "left_semi")
+    pairs = both.groupBy("term", "entity", "n_entity").agg(F.count("*").alias("n_both"))
     copied = by_text.where("copies > 1")
     # each of c equal texts counts 1/c, so sums count distinct texts and combine before the shuffle
-    weighed = texts.join(_bounded(copied, d.broadcast_texts), ["_h", "_g"], "left")
+    weighed = texts.join(_bounded(copied, d.broadcast_texts), KEY, "left")
     every = weighed.select((1 / F.coalesce("copies", F.lit(1))).alias("w"), F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
-    n_term = every.join(_bounded(wanted, d.broadcast_terms), "term").groupBy("term").agg(F.round(F.sum("w")).alias("n_term"))
-    n_entity = beside.select("_h", "_g", "x.entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    n_term = every.join(_bounded(wanted, d.broadcast_terms), "term", "left_semi").groupBy("term").agg(F.round(F.sum("w")).alias("n_term"))
     share = F.col("n_both") / F.col("n_term")
     gain = F.log2(share / (F.col("n_entity") / F.lit(float(n_all))))
-    told = pairs.join(n_term, "term").join(n_entity, "entity").where((share >= d.disclosure) & (gain >= d.bits))
-    told = written(told.groupBy("term").agg(F.max(share).alias("share")), "told")
-    return told if told.head(1) else None
+    told = pairs.join(n_term, "term").where((share >= d.disclosure) & (gain >= d.bits))
+    best = F.max(F.struct(share.alias("share"), (-F.substring("entity", 1, 1).cast("int")).alias("back"))).alias("best")
+    told = written(told.groupBy("term").agg(best).select("term", "best.share", (-F.col("best.back")).alias("kind")), "told")
+    forget(by_text, held, near, wanted)
+    if told.head(1):
+        return told
+    forget(told)
+    return None
 
 
 def _term_spans(texts: DataFrame, told: DataFrame, d: Disclosure) -> DataFrame:
-    """``_h, _g, extra``: the spans of masked terms in each text that has any; rank 5 if the term goes, else 4."""
-    every = texts.select("_h", "_g", F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
-    there = every.join(_bounded(told, d.broadcast_terms), "term").groupBy("_h", "_g").agg(
-        F.collect_set(F.when(F.col("share") < d.removal, F.col("term"))).alias("soft"),
-        F.collect_set(F.when(F.col("share") >= d.removal, F.col("term"))).alias("hard"),
-    )
-    there = written(there, "there")
-    held = texts.join(_bounded(there.select("_h", "_g"), d.broadcast_texts), ["_h", "_g"], "left_semi")
-    held = held.dropDuplicates(["_h", "_g"]).join(there, ["_h", "_g"])
-
-    def spans(terms: str, rank: int) -> Column:
-        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.array_sort(terms), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-        return F.when(F.size(terms) > 0, _located(F.col("text"), pattern, rank, lambda x: F.lit(True))).otherwise(F.array().cast(_SPAN))
-
-    return held.select("_h", "_g", F.array_sort(F.concat(spans("soft", 4), spans("hard", 5))).alias("extra"))
+    """``h, g, extra``: the spans of masked terms in each distinct text that has any."""
+    every = texts.select(*KEY, F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
+    rank = F.when(F.col("share") < d.removal, F.col("kind") + 4).otherwise(_GONE)
+    there = every.join(_bounded(told.select("term", rank.alias("rank")), d.broadcast_terms), "term")
+    there = written(there.groupBy(*KEY).agg(F.collect_set(F.struct("term", "rank")).alias("ranks")), "there")
+    held = texts.join(_bounded(there.select(*KEY), d.broadcast_texts), KEY, "left_semi")
+    held = held.dropDuplicates(KEY).join(there, KEY).select(*KEY, "text", F.map_from_entries("ranks").alias("ranks"))
+    extra = _located(F.col("text"), _WORD, lambda x: F.try_element_at(F.col("ranks"), F.lower(x)))
+    extra = written(held.select(*KEY, extra.alias("extra")), "extra")
+    forget(there)
+    return extra
 
 
 def detected(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
@@ -205,8 +249,7 @@ def detected(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
     d = d or Disclosure()
     texts = docs.select(as_text(F.col("text")).alias("text"))
     texts = texts.select("text", *_text_key(F.col("text")))
-    text = as_text(F.col("text"))
-    rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
+    rows = docs.select("doc_id", as_text(F.col("text")).alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
     beside = F.transform(
         "base", lambda s: F.struct(_entity(F.col("text"), s).alias("entity"), _beside(F.col("text"), s, d.reach, d.shortest).alias("terms"))
     )
@@ -215,10 +258,13 @@ def detected(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
     based = written(rows.select("doc_id", *_text_key(F.col("text")), "base", F.when(some, beside).alias("beside"), words), "base")
     told = disclosing_terms(based, texts, d)
     slim = based.drop("beside", "words")
+    none = F.array().cast(_SPAN)
     if told is None:
-        return slim.withColumn("extra", F.array().cast(_SPAN))
+        return reading(slim.withColumn("extra", none), based)
     extra = _term_spans(texts, told, d)
-    return slim.join(extra, ["_h", "_g"], "left").withColumn("extra", F.coalesce("extra", F.array().cast(_SPAN)))
+    forget(told)
+    # both sides are plain tables: a text of very many rows is a skewed join that AQE splits
+    return reading(slim.join(extra, KEY, "left").withColumn("extra", F.coalesce("extra", none)), based, extra)
 
 
 def _named(spans: Column) -> Column:
@@ -231,21 +277,28 @@ def report(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
     found = detected(docs, d)
     count = lambda k: F.size(F.filter("base", lambda s: s["rank"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     whole = F.array_sort(F.concat("base", "extra"))
-    return found.select("doc_id", *map(count, range(4)), F.sha2(_named(F.col("base")), 256).alias("base_sha256"), _named(whole).alias("spans"))
+    out = found.select("doc_id", *map(count, range(4)), F.sha2(_named(F.col("base")), 256).alias("base_sha256"), _named(whole).alias("spans"))
+    return reading(out, found)
+
+
+#: What stands for a masked span, by rank.
+MASKS = [*(f"[{k.upper()}]" for k in KINDS[:4]), *(f"[{k.upper()} TERM]" for k in KINDS[:4]), ""]
 
 
 def sanitise(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
-    """``docs`` with masked texts: ``[EMAIL]`` and so on, ``[TERM]`` or nothing for terms; other columns as they are."""
-    names = docs.columns
+    """``docs`` with masked texts: ``[EMAIL]`` and so on, ``[EMAIL TERM]`` or nothing for terms; other columns as they are."""
     d = d or Disclosure()
-    found = detected(docs, d).select("_h", "_g", F.array_sort(F.concat("base", "extra")).alias("_spans"))
-    found = written(found.where(F.size("_spans") > 0).dropDuplicates(["_h", "_g"]), "spans")
-    keyed = without(docs, "_h", "_g", "_spans").select("*", *_text_key(as_text(F.col("text"))))
+    told = detected(docs, d)
+    found = told.select(*KEY, F.array_sort(F.concat("base", "extra")).alias("spans"))
+    found = written(found.where(F.size("spans") > 0).dropDuplicates(KEY), "spans")
+    release(told)
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    keyed = docs.select(row, *_text_key(as_text(F.col("text"))))
     # spans are small; only more texts with spans than may be broadcast make the texts move
-    n_spans = found.agg(F.sum(F.size("_spans") + 2)).head()[0] or 0
-    held = keyed.join(F.broadcast(found) if n_spans <= d.broadcast_spans else found, ["_h", "_g"], "left")
-    masks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit(""))
-    text = F.col("text")
+    n_spans = found.agg(F.sum(F.size("spans") + 2)).head()[0] or 0
+    held = keyed.join(F.broadcast(found) if n_spans <= d.broadcast_spans else found, KEY, "left")
+    masks = F.array(*map(F.lit, MASKS))
+    text = F.col("row.text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(a: Column, s: Column) -> Column:
@@ -254,5 +307,6 @@ def sanitise(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
         mask = F.when(fresh, F.element_at(masks, s["rank"] + 1)).otherwise("")
         return F.struct(F.greatest(a.at, s.stop).alias("at"), F.concat(a.parts, F.array(F.concat(gap, mask))).alias("parts"))
 
-    done = F.aggregate("_spans", start, step, lambda a: F.concat(F.array_join(a.parts, ""), F.substring(text, a.at + 1, F.length(text))))
-    return held.withColumn("text", F.when(F.col("_spans").isNotNull(), done).otherwise(text)).select(*names)
+    done = F.aggregate("spans", start, step, lambda a: F.concat(F.array_join(a.parts, ""), F.substring(text, a.at + 1, F.length(text))))
+    masked = F.when(F.col("spans").isNotNull(), done).otherwise(text)
+    return reading(held.select(F.col("row").withField("text", masked).alias("row")).select("row.*"), found)

@@ -170,12 +170,14 @@ def test_pii_terms(spark):
     rows = [(i, f"number {WORDS[i]} mentions zanzibarproject near kim@example.org {WORDS[i + 1]}") for i in range(5)]
     rows += [(5, "zanzibarproject again"), (6, None), (7, ""), (8, "call +49 (30) 123-4567 9 or 4111 1111 1111 1111, 10.0.0.1")]
     rows += [(100 + i, f"number of mentions near {prose(9, i)}") for i in range(60)]
-    df = spark.createDataFrame(rows + [rows[0]], DOCS).withColumn("_h", F.lit("clash"))
+    df = spark.createDataFrame(rows + [rows[0]], DOCS).withColumn("h", F.lit("clash")).withColumn("_h", F.lit(3))
     got = {r["doc_id"]: r for r in pii.report(df).collect()}
     assert got[5]["spans"] == "term:0:15" and got[6]["spans"] == "" and got[100]["spans"] == ""
     assert (got[8]["n_phone"], got[8]["n_card"], got[8]["n_ip"], got[0]["n_email"]) == (1, 1, 1, 1)
-    text = {r["doc_id"]: r["text"] for r in pii.sanitise(df.drop("_h")).collect()}
-    assert text[5] == "[TERM] again" and text[6] is None and text[100] == dict(rows)[100]
+    clean = pii.sanitise(df)
+    assert clean.columns == df.columns and {(r["h"], r["_h"]) for r in clean.collect()} == {("clash", 3)}
+    text = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert text[5] == "[EMAIL TERM] again" and text[6] is None and text[100] == dict(rows)[100]
     assert text[8] == "call [PHONE] or [CARD], [IP]" and "kim" not in text[0] and "[EMAIL]" in text[0]
     assert pii.report(df.where("false")).count() == 0
 
