@@ -3,9 +3,9 @@
 1. A trigram language model of letters is counted over all texts.
 2. A token that looks disguised (a sign of ``LEET`` or marks in it, a letter three
    times in a row) becomes a lattice of letters; Viterbi decoding under the model,
-   with channel costs for substitution and deletion, restores the likeliest word.
-   Tokens of any length are decoded in
-   their parts between marks that stand for no letter, short ones as a whole too.
+   with channel costs for substitution and deletion, restores the likeliest word.  It
+   is exact: no path is pruned.  Tokens of any length are decoded as a whole and in
+   their parts between marks that stand for no letter.
    Signs at the ends may be letters or marks, so both readings count.
    Runs of fragments of up to ``Channel.fragment`` signs, set apart by any white space
    or marks, are a lattice with gaps, each inside a word or between words: decoding
@@ -16,7 +16,7 @@
    at least a half as independent causes; below, it is the largest bound.
 
 Training takes at most about ``most_labels`` labelled rows (picked by a hash of the
-id); all else covers all rows.  Every piece of evidence whose bound tells anything is
+id); all else covers all rows.  Of an id's conflicting labels the larger counts.  Every piece of evidence whose bound tells anything is
 kept: up to ``most_broadcast`` pieces go to the executors as a whole, more are joined
 with the distinct tokens of the texts by shuffle.
 Rows with ``crc32(doc_id as text) mod 5 = 0`` never train.
@@ -54,9 +54,6 @@ _TRIPLE = re.compile(r"(.)\1\1")
 _BEFORE = (re.compile(r"^\W+"), re.compile(rf"^(?:(?![{_SIGNS}])\W)+"))
 _AFTER = (re.compile(r"(?:(\W)\1{2,}|[.,;:?!\"'()\[\]{}…»«])+$"), re.compile(rf"(?:(?![{_SIGNS}])\W)+$"))
 _MARKS = re.compile(rf"(?:(?![{_SIGNS}])[\W_])+")
-#: What lies between marks that stand for no letter, and runs of two or more short fragments (1) among longer ones (0).
-_FRAGMENT = re.compile(rf"[\w{_SIGNS}]+")
-_SHORTS = re.compile(b"\x01{2,}")
 _SINGLES = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 _LEET = re.compile(f"[{_SIGNS}]")
 
@@ -72,14 +69,12 @@ class Channel:
     single_gaps: tuple[float, ...] = (0.5, 0.0, -0.5, -1.0, -1.5, -2.0, -3.0)
     #: Fragments of so many signs may be parts of a word set apart.
     fragment: int = 4
-    #: Decoding keeps so many states a step.
-    beam: int = 64
 
 
 @dataclass(frozen=True)
 class Training:
     z: float = 2.3
-    most_labels: int = 1_000_000
+    most_labels: int = 50_000
     #: Pieces of evidence that may be collected and sent to the executors; more are joined.
     most_broadcast: int = 200_000
     least_toxic: int = 4
@@ -99,6 +94,12 @@ def _folding() -> np.ndarray:
 
 _FOLD = _folding()
 _CODES = _FOLD.tolist()
+#: Of the Unicode planes with letters: what may be part of a fragment (1), and what of that is a letter (2).
+_PLANES = 0x20000
+_KIND = np.zeros(_PLANES + 1, np.uint8)
+for _m in re.finditer(r"\w", "".join(map(chr, range(_PLANES))).replace("_", " ")):
+    _KIND[_m.start()] = 2 if _m[0].isalpha() else 1
+_KIND[[ord(c) for c in LEET if not c.isalnum()]] = 1
 
 
 def _folded(text: str) -> np.ndarray:
@@ -164,9 +165,11 @@ class Restorer:
     """Viterbi decoding of disguised tokens."""
 
     def __init__(self, model: np.ndarray, channel: Channel | None = None):
-        self.logs, self.channel = model.ravel().tolist(), channel or Channel()
+        self.model, self.channel = model.ravel(), channel or Channel()
+        self.logs = self.model.tolist()
         self.gaps = _Gaps(self._gap)
         self.parts: dict[str, str] = {}
+        self.segments: dict[str, tuple[str, ...]] = {}
 
     def lattice(self, token: str, gap: float | None = None) -> list[list[tuple[str, float]]]:
         """For each run of a sign: what it may be, and the cost."""
@@ -199,8 +202,6 @@ class Restorer:
                         x, y = y, k
                     if (x, y) not in step or q > step[x, y][0]:
                         step[x, y] = (q, (word, letters) if letters else word)
-            if len(step) > self.channel.beam:
-                step = dict(sorted(step.items(), key=lambda s: -s[1][0])[: self.channel.beam])
             best = step
         _, word = max(((p + self.logs[a * 729 + b * 27], w) for (a, b), (p, w) in best.items()), key=lambda x: x[0])
         parts = []
@@ -218,7 +219,7 @@ class Restorer:
             return [bare]
         out = [bare] if bare.isalpha() else [w for w in re.findall(rf"{_LETTER}+", bare) if len(w) > 2]
         forms = {b.sub("", a.sub("", token)) for a in _BEFORE for b in _AFTER}  # signs at the ends as marks, and as letters
-        tried = dict.fromkeys([f for f in forms if len(f) <= 40] + [p for f in forms for p in _MARKS.split(f)])
+        tried = dict.fromkeys([*sorted(forms), *(p for f in sorted(forms) for p in _MARKS.split(f))])
         for form in tried:
             if len(form) > 2 and (not form.isalpha() or _TRIPLE.search(form)):
                 word = self.decode(form)
@@ -277,52 +278,170 @@ def evidence(word: str) -> list[str]:
 
 def tokens(text: str, restorer: Restorer) -> set[str]:
     """Distinct tokens of a text; what runs of short fragments give is put together, as tokens of their own."""
+    return _read(text, restorer)[0]
+
+
+def _read(text: str, restorer: Restorer) -> tuple[set[str], bool]:
+    """The tokens, and whether letters alone can be no disguise: none comes three times in a row, none is a sign."""
     low = text.lower()
     out = set(low.split())
-    _put_together(low, restorer, out)
+    low = low.replace("_", " ")
+    plain = _put_together(low, restorer, out)
     if "|" in low or "+" in low:  # letters, or marks between fragments
-        _put_together(low.replace("|", " ").replace("+", " "), restorer, out)
-    return out
-
-
-def _put_together(low: str, restorer: Restorer, out: set[str]) -> None:
-    fragments = _FRAGMENT.findall(low.replace("_", " "))
-    short = bytes(map(restorer.channel.fragment.__ge__, map(len, fragments)))
-    for m in _SHORTS.finditer(short):
-        run = fragments[m.start() : m.end()]
-        out.update(restorer.joined(run))
-        if len(run) > 2:
-            for s in _SINGLES.findall(" ".join(run)):
-                word = s.replace(" ", "")
-                out.update(w for gap in restorer.channel.single_gaps for w in restorer.decode(s, gap).split())
-                out.update((word, word[1:], word[:-1]) if len(word) > 4 else (word,))  # a word of one letter may stand beside it
-
-
-def _evidence_of(text: str, restorer: Restorer, kept: dict[str, tuple], among: frozenset[str] | None = None) -> set[str]:
+        plain &= _put_together(low.replace("|", " ").replace("+", " "), restorer, out)
+    return out, plain and "µ" not in low
+
+
+def _put_together(low: str, restorer: Restorer, out: set[str]) -> bool:
+    known = restorer.segments
+    words, segments, plain = _segments(low, restorer)
+    out.update(words)
+    for segment in segments:
+        words = known.get(segment)
+        if words is None:
+            words = _of_run(segment.split(), restorer)
+            if len(segment) <= 100:  # what prose repeats is short
+                if len(known) > 100_000:
+                    known.clear()
+                known[segment] = words
+        if words:
+            out.update(words)
+    return plain
+
+
+def _segments(low: str, restorer: Restorer) -> tuple[list[str], list[str], bool]:
+    """Short fragments in a row, cut at gaps that surely part words.
+
+    Those whose gaps are all surely inside a word are put together; of the others the
+    fragments, single blanks between them.  Lastly whether no letter comes three times in a row.
+    """
+    points = np.frombuffer(low.encode("utf-32-le"), np.uint32)
+    kind = _KIND[np.minimum(points, _PLANES)]
+    twice = (points[1:] == points[:-1]) & (kind[1:] == 2)
+    plain = not (twice[1:] & twice[:-1]).any()
+    edges = np.flatnonzero(np.diff(kind > 0, prepend=False, append=False))
+    begins, ends = edges[::2], edges[1::2]
+    short = ends - begins <= restorer.channel.fragment
+    open_ = short[:-1] & short[1:]
+    at = np.flatnonzero(open_)
+    if not len(at):
+        return [], [], plain
+    # the two signs on either side of a gap, as Restorer._gap sees them; a fragment of one sign decides nothing
+    b, x = ends[at] - 1, begins[at + 1]
+    a, y = np.maximum(b - 1, 0), np.minimum(x + 1, len(points) - 1)
+    sure = (ends[at] - begins[at] > 1) & (ends[at + 1] - x > 1) & (kind[a] == 2) & (kind[b] == 2) & (kind[x] == 2) & (kind[y] == 2)
+    sure &= (points[a] != points[b]) & (points[x] != points[y])
+    ca, cb, cx, cy = (_FOLD[np.where(points[k] < len(_FOLD), points[k], 0)] for k in (a, b, x, y))
+    p = restorer.model
+    inside = restorer.channel.gap + p[ca * 729 + cb * 27 + cx] + p[cb * 729 + cx * 27 + cy]
+    parted = inside <= p[ca * 729 + cb * 27] + p[cb * 729 + cx] + p[cx * 27 + cy]
+    open_[at[sure & parted]] = False
+    turns = np.flatnonzero(np.diff(open_, prepend=False, append=False))
+    first, last = turns[::2], turns[1::2]
+    settled = np.zeros(len(open_) + 1, np.int64)
+    settled[at + 1] = ~sure
+    settled = np.cumsum(settled)
+    ready = settled[last] == settled[first]
+    words, segments = [], []
+    begins, ends = begins.tolist(), ends.tolist()
+    for i, j, whole in zip(first.tolist(), last.tolist(), ready.tolist(), strict=True):
+        if j == i + 1:
+            f, g = low[begins[i] : ends[i]], low[begins[j] : ends[j]]
+            words.append(f + g) if whole else segments.append(f"{f} {g}")
+        else:
+            parts = [low[begins[k] : ends[k]] for k in range(i, j + 1)]
+            words.append("".join(parts)) if whole else segments.append(" ".join(parts))
+    return words, segments, plain
+
+
+#: Marks at the end of a token that stand for no letter.
+_ENDS = ".,;:?\"')]}…»«"
+
+
+def _bare(token: str, plain: bool) -> str | None:
+    """The word of a token that can be no disguise, marks at its end aside."""
+    word = token if token.isalpha() else token.rstrip(_ENDS)
+    return word if word.isalpha() and (plain or not ("µ" in word or _TRIPLE.search(word))) else None
+
+
+def _of_run(run: list[str], restorer: Restorer) -> tuple[str, ...]:
+    """What the fragments of a run give, put together."""
+    out = set(restorer.joined(run))
+    if len(run) > 2:
+        for s in _SINGLES.findall(" ".join(run)):
+            word = s.replace(" ", "")
+            out.update(w for gap in restorer.channel.single_gaps for w in restorer.decode(s, gap).split())
+            out.update((word, word[1:], word[:-1]) if len(word) > 4 else (word,))  # a word of one letter may stand beside it
+    return tuple(out)
+
+
+class Lexicon:
+    """Evidence with numbers, by its first four letters: most words need one look."""
+
+    def __init__(self, bounds: dict[str, float]):
+        #: What the four letters have themselves, and longer pieces and whole words that begin so.
+        self.of: dict[str, tuple[float, dict[str, float] | None]] = {}
+        for e, b in bounds.items():
+            word = e.removeprefix("=")
+            own, longer = self.of.get(word[:4], (0.0, None))
+            if e is word and len(word) == 4:
+                own = b
+            else:
+                longer = longer or {}
+                longer[e] = b
+            self.of[word[:4]] = own, longer
+
+    def best(self, word: str) -> float:
+        """The largest number of a word's evidence, or 0."""
+        found = self.of.get(word[:4])
+        if found is None:
+            return 0.0
+        own, longer = found
+        if longer is None:
+            return own if len(word) > 3 else 0.0
+        get = longer.get
+        return max(own if len(word) > 3 else 0.0, get(word[:5], 0.0), get(word[:6], 0.0), get("=" + word, 0.0))
+
+
+def _evidence_of(text: str, restorer: Restorer, kept: dict[str, tuple], among: frozenset[str] | None, heads: frozenset[str]) -> set[str]:
+    """Distinct pieces of evidence of a text, or just those of ``among``, whose first four letters are ``heads``."""
     out: set[str] = set()
-    for t in tokens(text, restorer):
-        e = kept.get(t)
+    found, plain = _read(text, restorer)
+    get = kept.get
+    for t in found:
+        e = get(t)
         if e is None:
-            e = tuple(x for w in restorer.words(t) if len(w) > 2 for x in evidence(w) if among is None or x in among)
+            word = _bare(t, plain)
+            if word is None:
+                e = tuple(x for w in restorer.words(t) if len(w) > 2 for x in evidence(w) if among is None or x in among)
+            elif len(word) < 3 or (among is not None and word[:4] not in heads):
+                e = ()
+            else:
+                e = tuple(x for x in evidence(word) if among is None or x in among)
             if len(kept) > 100_000:
                 kept.clear()
             kept[t] = e
-        out.update(e)
+        if e:
+            out.update(e)
     return out
 
 
-def _counted(rows: DataFrame, model: np.ndarray, channel: Channel, among: frozenset[str] | None) -> DataFrame:
-    """In how many of the texts each piece of evidence occurs."""
+def _counted(rows: DataFrame, model: np.ndarray, channel: Channel, only: list[str] | None) -> DataFrame:
+    """In how many of the texts each piece of evidence occurs, or just those of ``only``."""
+    sent = rows.sparkSession.sparkContext.broadcast((model, only))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, only = sent.value
         restorer, kept, seen = Restorer(model, channel), {}, Counter()
+        among = frozenset(only) if only is not None else None
+        heads = frozenset(e.removeprefix("=")[:4] for e in only or ())
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["e", "n"])
 
         for batch in batches:
             for value in batch.column(0):
-                seen.update(_evidence_of(value.as_py() or "", restorer, kept, among))
+                seen.update(_evidence_of(value.as_py() or "", restorer, kept, among, heads))
                 if len(seen) > 300_000:
                     yield out()
                     seen.clear()
@@ -346,7 +465,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, t: Training, ch
     rows = docs.join(F.broadcast(known), "doc_id")  # no more than about most_labels rows
     bad = written(_counted(rows.where("toxic = 1"), model, channel, None).where(F.col("n") >= t.least_toxic), "toxic")
     few = bad.count() <= t.most_broadcast
-    among = frozenset(r["e"] for r in bad.select("e").collect()) if few else None  # spares rows, changes no count
+    among = [r["e"] for r in bad.select("e").collect()] if few else None  # spares rows, changes no count
     good = _counted(rows.where("toxic = 0"), model, channel, among).withColumnRenamed("n", "clean")
     m, zz = F.col("n") + F.coalesce("clean", F.lit(0)), t.z**2
     p = F.col("n") / m
@@ -360,14 +479,20 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, t: Training, ch
 FLOOR = 0.02
 
 
-def score_text(text: str, restorer: Restorer, bounds: dict[str, float], kept: dict[str, float]) -> float:
+def score_text(text: str, restorer: Restorer, lexicon: Lexicon, kept: dict[str, float]) -> float:
     """Join the best bound of each token."""
     rest, top = 1.0, FLOOR
-    for t in tokens(text, restorer):
-        b = kept.get(t)
+    found, plain = _read(text, restorer)
+    get, heads, best = kept.get, lexicon.of, lexicon.best
+    for t in found:
+        b = get(t)
         if b is None:
-            b = max((bounds.get(e, 0.0) for w in restorer.words(t) if len(w) > 2 for e in evidence(w)), default=0.0)
-            if len(kept) > 300_000:
+            word = _bare(t, plain)
+            if word is None:
+                b = max((best(w) for w in restorer.words(t) if len(w) > 2), default=0.0)
+            else:
+                b = best(word) if word[:4] in heads and len(word) > 2 else 0.0
+            if len(kept) > 200_000:
                 kept.clear()
             kept[t] = b
         if b >= 0.5:
@@ -394,10 +519,13 @@ def score(docs: DataFrame, labels: DataFrame, training: Training | None = None,
 
 
 def _looked_up(docs: DataFrame, bounds: dict[str, float], model: np.ndarray, channel: Channel) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast((model, bounds))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, kept = Restorer(model, channel), {}
+        model, bounds = sent.value
+        restorer, lexicon, kept = Restorer(model, channel), Lexicon(bounds), {}
         for batch in batches:
-            scores = [score_text(x.as_py(), restorer, bounds, kept) for x in batch.column(1)]
+            scores = [score_text(x.as_py(), restorer, lexicon, kept) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "score"])
 
     return docs.mapInArrow(run, "doc_id long, held_out boolean, score double")
