@@ -16,7 +16,8 @@ probability 5e-8 and one at 0.85 with 6e-11.  The estimate's margin is six
 standard deviations.  No bucket is capped.
 
 Defined cases: a null or blank text has an empty set and links with nothing.
-Repeated rows all get the same answer.  Rows with a null id take the component
+Repeated rows all get the same answer.  Ties do not arise: of a group the smallest id
+stays.  A very long text is hashed in pieces; its memory is 8 bytes a word.  Rows with a null id take the component
 of an equal set that has an id, else null; they are kept only in that last case.
 Extra columns are ignored here and carried through by :func:`drop_near_duplicates`.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayworks.llm.graph import components
-from assayworks.llm.shared import forget, written
+from assayworks.llm.shared import forget, reading, release, tidy, written
 from assayworks.llm.shingles import Signer, estimate, matches, mix, shingle_sets
 
 
@@ -109,6 +110,7 @@ def fingerprints(docs: DataFrame, s: Settings) -> DataFrame:
                     ],
                     schema=schema,
                 )
+        tidy()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PRINT)
 
@@ -149,6 +151,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     ok[i] = both > 0 and s.per * both >= s.least * (len(x) + len(y) - both)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
+        tidy()
 
     right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     both = right.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -178,6 +181,7 @@ def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
     members and in shingles.
     """
     by_comp = buckets.groupBy("key", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    # a plain table: the join with a bucket of very many members is then split by AQE
     of = by_comp.groupBy("key").agg(
         F.max_by("comp", F.struct("m", "comp")).alias("main"),
         F.max(F.struct("m", "comp", "n")).alias("top"),
@@ -188,11 +192,14 @@ def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
     def blocks(members, shingles):
         return F.ceil(F.greatest(members / s.block, shingles / s.block_shingles)).cast("int")
 
-    of = of.select(
-        "key",
-        "main",
-        blocks(F.col("top.m"), F.col("top.n")).alias("k_main"),
-        blocks(F.col("m") - F.col("top.m"), F.col("n") - F.col("top.n")).alias("k_rest"),
+    of = written(
+        of.select(
+            "key",
+            "main",
+            blocks(F.col("top.m"), F.col("top.n")).alias("k_main"),
+            blocks(F.col("m") - F.col("top.m"), F.col("n") - F.col("top.n")).alias("k_rest"),
+        ),
+        "blocks",
     )
     placed = buckets.join(of, "key").withColumn("is_main", F.col("comp") == F.col("main"))
     own = F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("k_main")).otherwise(F.col("k_rest"))).cast("int")
@@ -203,11 +210,17 @@ def _cells(buckets: DataFrame, s: Settings) -> DataFrame:
         F.transform(rest, lambda x: F.struct(F.least(x, F.col("own")).alias("x"), F.greatest(x, F.col("own")).alias("y"))),
         F.transform(F.sequence(F.lit(1), F.col("k_main")), lambda y: F.struct(F.col("own").alias("x"), (-y).alias("y"))),
     )
-    return (
+    out = (
         placed.withColumn("own", own)
         .withColumn("cell", F.explode(F.when(F.col("is_main"), as_main).otherwise(as_rest)))
         .select("key", "cell.x", "cell.y", "own", "is_main", "id", "comp", "sig", "bands")
     )
+    return reading(_spread(out), of)
+
+
+def _spread(cells: DataFrame) -> DataFrame:
+    """Deal rows by whole cells; by their bucket alone a bucket's cells would all be one task's."""
+    return cells.repartition(*_CELL)
 
 
 def _cell_pairs(cell: pa.Table, s: Settings):
@@ -273,15 +286,12 @@ def _cross_links(cells: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
             found.update((comp[i], c) for c in np.unique(comp[js[ok]]))
         return pa.table({"a": pa.array([int(a) for a, _ in found], pa.int64()), "b": pa.array([int(b) for _, b in found], pa.int64())})
 
-    return cells.join(texts, "id").groupBy(*_CELL).applyInArrow(run, "a long, b long")
+    return _spread(cells.join(texts, "id")).groupBy(*_CELL).applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``docs(doc_id, text)`` to ``doc_id, n_shingles, component_id, kept``, a row for each input row."""
     s = settings or Settings()
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     docs = docs.select("doc_id", "text")
     prints = written(fingerprints(docs, s), "prints")
     keys = ["high", "low", "n_shingles"]
@@ -293,7 +303,7 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     )
     # a band's number is part of its key's hash
     banded = reps.select("id", F.explode("bands").alias("key"))
-    leaders = banded.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").drop("z")
+    leaders = written(banded.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").drop("z"), "leaders")
     crowded = written(banded.join(leaders, "key").select("key", "id", "a"), "buckets")
     stars = crowded.where("a <> id").select("a", F.col("id").alias("b")).distinct()
     with_sig = (
@@ -303,27 +313,35 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     tried = written(_estimated(with_sig, s), "pairs")
     texts = _texts_of(docs, tried.select(F.explode(F.array("a", "b")).alias("id")), s)
     links = written(_confirmed(tried, texts, s), "links")
-    forget(texts)
-    forget(tried)
+    forget(texts, tried, leaders)
     hung = components(links)
-    rest = _open_buckets(crowded, hung).join(reps, "id").select("key", "id", "comp", "n", "sig", "bands")
-    cells = written(_hopeful(_cells(rest, s), s), "cells")
+    rest = written(_open_buckets(crowded, hung).join(reps, "id").select("key", "id", "comp", "n", "sig", "bands"), "open")
+    every = _cells(rest, s)
+    cells = written(_hopeful(every, s), "cells")
+    release(every)
+    forget(rest, crowded)
     if cells.head(1):
         texts = _texts_of(docs, cells.select("id"), s)
         found = written(_cross_links(cells, texts, s), "links")
         forget(texts)
         if found.head(1):
+            release(hung)
             hung = components(links.unionByName(found))
-    forget(cells)
-    of_class = reps.join(hung, "id", "left").select(*keys, F.coalesce("component", "id").alias("component"))
+        forget(found)
+    forget(cells, links)
+    of_class = written(reps.join(hung, "id", "left").select(*keys, F.coalesce("component", "id").alias("component")), "classes")
+    release(hung)
+    forget(reps)
+    # both sides are plain tables: a set of very many rows is a skewed join that AQE splits
     out = prints.select("doc_id", *keys).join(of_class, keys, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select(
+    out = out.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
     )
+    return reading(out, prints, of_class)
 
 
 def _open_buckets(crowded: DataFrame, hung: DataFrame) -> DataFrame:
@@ -343,17 +361,21 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings | None = None) -> D
     to the scan as a hash set; more are joined by a shuffle.
     """
     s = settings or Settings()
-    found = written(near_duplicates(docs, s).where("doc_id is not null"), "found")
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    twice = written(found.where("kept").groupBy(F.col("doc_id").alias("_twice")).agg(F.count("*").alias("n")).where("n > 1"), "twice")
-    key = F.col("doc_id").cast("long")
+    result = near_duplicates(docs, s)
+    found = written(result.where("doc_id is not null"), "found")
+    release(result)
+    gone = written(found.where("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    twice = written(found.where("kept").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id"), "twice")
+    forget(found)
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("id"))
 
     def bounded(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids) if ids.count() <= s.broadcast_ids else ids
 
-    kept = docs.join(bounded(gone), key == F.col("_gone"), "left_anti")
-    if not twice.head(1):
-        return kept
-    ids = bounded(twice.select("_twice"))
-    once = kept.join(ids, key == F.col("_twice"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(ids, key == F.col("_twice"), "left_anti").unionByName(once)
+    kept = keyed.join(bounded(gone), "id", "left_anti")
+    if twice.head(1):
+        ids = bounded(twice)
+        once = kept.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        kept = kept.join(ids, "id", "left_anti").unionByName(once)
+    return reading(kept.select("row.*"), gone, twice)

@@ -14,8 +14,8 @@ _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 _BACK = pow(_BASE, -1, 1 << 64)
-#: Bytes of text hashed at a time; one longer text is a chunk of its own.
-CHUNK = 1 << 20
+#: Bytes of text hashed at a time; one longer text is hashed in pieces of about that, cut at white space.
+CHUNK = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -82,27 +82,52 @@ def shingle_sets(column: pa.Array, width: int = 5):
     raw, off = text_buffer(column)
     for first, last in _chunks(off):
         lo, hi = int(off[first]), int(off[last])
-        part = raw[lo:hi]
-        marks = off[first : last + 1] - lo
-        yield first, _sets(part, marks, width)
-
-
-def _sets(part: np.ndarray, marks: np.ndarray, width: int) -> list[np.ndarray]:
-    n, docs = len(part), len(marks) - 1
-    empty = np.zeros(0, np.uint64)
+        if last - first == 1 and hi - lo > CHUNK:
+            hashed = np.concatenate([_words(raw[a:b], np.array([0, b - a]))[1] for a, b in _pieces(raw, lo, hi)])
+            at = np.array([0, len(hashed)])
+        else:
+            marks = off[first : last + 1] - lo
+            starts, hashed = _words(raw[lo:hi], marks)
+            at = np.searchsorted(starts, marks)
+        yield first, _sets(hashed, at, width)
+
+
+def _pieces(raw: np.ndarray, lo: int, hi: int):
+    """Parts of a text of about ``CHUNK`` bytes that end before white space; one longer word stays whole."""
+    while lo < hi:
+        end = lo + CHUNK
+        while end < hi:
+            white = np.flatnonzero(_WHITE[raw[end : min(hi, end + CHUNK)]])
+            if len(white):
+                end += int(white[0])
+                break
+            end += CHUNK
+        end = min(end, hi)
+        yield lo, end
+        lo = end
+
+
+def _words(part: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and their hashes, in texts that begin at ``marks``."""
+    n = len(part)
+    none = np.zeros(0, np.uint64)
     if not n:
-        return [empty] * docs
+        return np.zeros(0, np.int64), none
     word = ~_WHITE[part]
     edge = np.zeros(n + 1, bool)
     edge[marks] = True
     starts = np.flatnonzero(word & (edge[:n] | np.concatenate(([True], ~word[:-1]))))
     if not len(starts):
-        return [empty] * docs
+        return starts, none
     ends = np.flatnonzero(word & (edge[1:] | np.concatenate((~word[1:], [True])))) + 1
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[part] * _powers(_BASE, n), out=total[1:])
-    hashed = mix((total[ends] - total[starts]) * _powers(_BACK, n)[starts] + (ends - starts).astype(np.uint64))
-    at = np.searchsorted(starts, marks)
+    return starts, mix((total[ends] - total[starts]) * _powers(_BACK, n)[starts] + (ends - starts).astype(np.uint64))
+
+
+def _sets(hashed: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
+    """The shingle sets of texts whose words are ``hashed[at[d]:at[d + 1]]``."""
+    empty = np.zeros(0, np.uint64)
     if len(hashed) >= width:
         m = len(hashed) - width + 1
         joined = np.zeros(m, np.uint64)
@@ -112,8 +137,7 @@ def _sets(part: np.ndarray, marks: np.ndarray, width: int) -> list[np.ndarray]:
     else:
         joined = empty
     out = []
-    for d in range(docs):
-        a, b = at[d], at[d + 1]
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         if b - a >= width:
             s = np.sort(joined[a : b - width + 1])
             keep = np.empty(len(s), bool)
