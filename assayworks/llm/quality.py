@@ -12,16 +12,22 @@
 3. ``quality`` adds a document's evidence to the log odds of its path's posterior,
    its own part left out of it.  Documents below ``least`` are rejected.
 
-Posteriors are broadcast up to ``broadcast_sites`` sites and joined by shuffle beyond.
+Texts are scored once: rows are written with their log odds, then aggregated and
+joined.  Posteriors are broadcast up to ``broadcast_sites`` sites and joined by
+shuffle beyond, with equal results.  :func:`host_of` and :func:`path_of` take hosts and
+first path segments from URLs; any other columns may stand for them.
 
 Defined cases: a null text is empty; null hosts and paths are sites of their own.
-Labels other than 0 and 1 are ignored.  Without labels of both kinds the evidence is
-0 and everything stays.  Repeated rows each get a score.  Columns of the input are
-carried through; those that the operator adds replace columns of the same name.
+Labels other than 0 and 1 are ignored; of an id's conflicting labels the smaller counts.
+Without labels of both kinds the evidence is 0 and everything stays.  Repeated rows
+each get a score.  Columns of the input are carried through under any name; those
+that the operator adds replace columns of the same name.  An empty table gives an
+empty one.  A very long text takes the memory of its bytes and 8 bytes a word.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text, without, written
+from assayworks.llm.shared import as_text, forget, reading, written
 from assayworks.llm.shingles import shingle_sets, text_buffer
 
 
@@ -41,23 +47,31 @@ class Settings:
     broadcast_sites: int = 200_000
 
 
-def _class(chars: str) -> np.ndarray:
-    out = np.zeros(256, np.int64)
-    out[[ord(c) for c in chars]] = 1
-    return out
+#: Classes of bytes: upper and lower case, digits, blanks, line ends, stops, shouts, signs, first bytes of other letters.
+_CLASSES = np.zeros((256, 9))
+for _k, _chars in enumerate(
+    (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t\n\r\x0b\x0c", b"\n", b".,;:?", b"!", b"#$%&*|<>=_~^\\/{}[]@+", bytes(range(0xC0, 256)))
+):
+    _CLASSES[list(_chars), _k] = 1
+N_FEATURES = 12
+_CHUNK = 1 << 18
 
 
-_UPPER = _class("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_LOWER = _class("abcdefghijklmnopqrstuvwxyz")
-_DIGIT = _class("0123456789")
-_BLANK = _class(" \t\n\r\x0b\x0c")
-_LINE = _class("\n")
-_STOP = _class(".,;:?")
-_SHOUT = _class("!")
-_SIGN = _class("#$%&*|<>=_~^\\/{}[]@+")
-_HIGH = np.zeros(256, np.int64)
-_HIGH[0xC0:] = 1
-N_FEATURES = 12
+def _histograms(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """How often each byte occurs in each text, a piece of about ``_CHUNK`` bytes at a time."""
+    n = len(off) - 1
+    out = np.zeros((n, 256))
+    at = 0
+    while at < n:
+        end = min(n, max(at + 1, int(np.searchsorted(off, off[at] + _CHUNK, "right")) - 1))
+        if end == at + 1:  # perhaps one long text
+            for lo in range(int(off[at]), int(off[end]), _CHUNK):
+                out[at] += np.bincount(raw[lo : min(lo + _CHUNK, int(off[end]))], minlength=256)
+        else:
+            of = np.repeat(np.arange(end - at) * 256, np.diff(off[at : end + 1]))
+            out[at:end] = np.bincount(of + raw[off[at] : off[end]], minlength=(end - at) * 256).reshape(-1, 256)
+        at = end
+    return out
 
 
 def features(column: pa.Array) -> np.ndarray:
@@ -67,27 +81,20 @@ def features(column: pa.Array) -> np.ndarray:
     out = np.zeros((n, N_FEATURES))
     if not n:
         return out
-    at = 0
-    while at < n:  # about a megabyte at a time
-        end = max(at + 1, int(np.searchsorted(off, off[at] + (1 << 20), "right")) - 1)
-        end = min(n, end)
-        part, marks = raw[off[at] : off[end]], off[at : end + 1] - off[at]
-        size = np.diff(marks)
-        counts = [_sums(c[part], marks) for c in (_UPPER, _LOWER, _DIGIT, _BLANK, _LINE, _STOP, _SHOUT, _SIGN, _HIGH)]
-        upper, lower, digit, blank, line, stop, shout, sign, high = counts
-        letters = upper + lower + high
-        words = blank + 1.0
-        out[at:end, 0] = upper / (letters + 1)
-        out[at:end, 1] = digit / (size + 1)
-        out[at:end, 2] = np.sqrt(sign / words)
-        out[at:end, 3] = np.sqrt(shout / words)
-        out[at:end, 4] = stop / words
-        out[at:end, 5] = np.log1p(letters / words)
-        out[at:end, 6] = np.log1p(words)
-        out[at:end, 7] = np.log1p(words / (line + 1))
-        out[at:end, 8] = high / (letters + 1)
-        out[at:end, 10] = letters / (size + 1)
-        at = end
+    size = np.diff(off)
+    upper, lower, digit, blank, line, stop, shout, sign, high = (_histograms(raw, off) @ _CLASSES).T
+    letters = upper + lower + high
+    words = blank + 1.0
+    out[:, 0] = upper / (letters + 1)
+    out[:, 1] = digit / (size + 1)
+    out[:, 2] = np.sqrt(sign / words)
+    out[:, 3] = np.sqrt(shout / words)
+    out[:, 4] = stop / words
+    out[:, 5] = np.log1p(letters / words)
+    out[:, 6] = np.log1p(words)
+    out[:, 7] = np.log1p(words / (line + 1))
+    out[:, 8] = high / (letters + 1)
+    out[:, 10] = letters / (size + 1)
     for first, sets in shingle_sets(column, 2):
         for i, s in enumerate(sets, first):
             out[i, 9] = len(s) / max(1.0, np.expm1(out[i, 6]) - 1)
@@ -95,11 +102,6 @@ def features(column: pa.Array) -> np.ndarray:
     return out
 
 
-def _sums(values: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    total = np.concatenate(([0], np.cumsum(values)))
-    return (total[marks[1:]] - total[marks[:-1]]).astype(np.float64)
-
-
 @dataclass(frozen=True)
 class Model:
     mean: np.ndarray
@@ -145,18 +147,32 @@ def _styled(model: Model | None):
     return F.arrow_udf(odds, "double")
 
 
+def host_of(url: Column) -> Column:
+    """The host of a URL in lower case, without user and port; null if there is none."""
+    found = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.nullif(found, F.lit(""))
+
+
+def path_of(url: Column) -> Column:
+    """The first segment of a URL's path, ``/`` if it is empty; null without a host."""
+    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]*)", 1)
+    return F.when(host_of(url).isNotNull(), F.when(found == "", "/").otherwise(found))
+
+
 def learn(docs: DataFrame, labels: DataFrame, s: Settings) -> Model | None:
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_y"))
+    known = known.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("y"))
     n = known.count()
     if n > s.most_labels:
-        known = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int(s.most_labels / n * (1 << 20)))
-    rows = docs.select("doc_id", as_text(F.col("text")).alias("text")).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(s.most_labels / n * (1 << 20)))
+    rows = docs.select(F.col("doc_id").alias("id"), as_text(F.col("text")).alias("text")).join(F.broadcast(known), "id")
     style = F.arrow_udf(lambda t: pa.array(list(features(t)), pa.list_(pa.float64())), "array<double>")
-    found = rows.select("doc_id", "_y", style("text").alias("x")).orderBy("doc_id", "x").toArrow()
+    styled = written(rows.select("id", "y", style("text").alias("x")), "styled")
+    found = styled.orderBy("id", "x").toArrow()  # no more than about most_labels rows
+    forget(styled)
     if not found.num_rows:
         return None
-    return fit(np.array(found.column("x").to_pylist()), found.column("_y").to_numpy().astype(np.float64), s.ridge)
+    return fit(np.array(found.column("x").to_pylist()), found.column("y").to_numpy().astype(np.float64), s.ridge)
 
 
 def _strength(mean: Column, between: Column) -> Column:
@@ -189,34 +205,38 @@ def posteriors(sites: DataFrame) -> DataFrame:
     return both.join(F.broadcast(k1)).select("host", "path", "prior", "strength", "total", "n")
 
 
-def scored(docs: DataFrame, labels: DataFrame, host: Column, path: Column, settings: Settings | None = None) -> DataFrame:
-    """``docs`` with ``evidence``, ``host_posterior``, ``path_posterior``, ``quality`` and ``keep``."""
+_ADDED = ("evidence", "host_posterior", "path_posterior", "quality", "keep")
+
+
+def scored(docs: DataFrame, labels: DataFrame, host: Column, path: Column, settings: Settings | None = None, carry: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` (or just its columns ``carry``) with ``evidence``, ``host_posterior``, ``path_posterior``, ``quality`` and ``keep``."""
     s = settings or Settings()
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     model = learn(docs, labels, s)
     base = model.base if model else 0.0
-    added = ("evidence", "host_posterior", "path_posterior", "quality", "keep")
-    rows = docs.withColumns({"_host": host.cast("string"), "_path": path.cast("string"), "_odds": _styled(model)(as_text(F.col("text")))})
-    p = 1 / (1 + F.exp(-F.col("_odds")))
-    sites = rows.groupBy(F.col("_host").alias("host"), F.col("_path").alias("path")).agg(
-        F.count("*").alias("n"), F.sum(p).alias("total"), F.sum(p * p).alias("squares")
-    )
-    sites = written(sites, "sites")
-    known = written(posteriors(sites).withColumnsRenamed({"host": "_h0", "path": "_p0", "prior": "_prior", "strength": "_strength", "total": "_total", "n": "_count"}), "posteriors")
+    names = [c for c in (docs.columns if carry is None else carry) if c.lower() not in _ADDED]
+    row = F.struct(*[docs[f"`{c}`"] for c in names]).alias("row")
+    odds = _styled(model)(as_text(F.col("text"))).alias("odds")
+    rows = written(docs.select(row, host.cast("string").alias("host"), path.cast("string").alias("path"), odds), "scored")
+    p = 1 / (1 + F.exp(-F.col("odds")))
+    sites = written(rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("total"), F.sum(p * p).alias("squares")), "sites")
+    known = written(posteriors(sites).withColumnsRenamed({"host": "h", "path": "p"}), "posteriors")
+    forget(sites)
     few = known.count() <= s.broadcast_sites
-    same = F.col("_host").eqNullSafe(F.col("_h0")) & F.col("_path").eqNullSafe(F.col("_p0"))
-    full = rows.join(F.broadcast(known) if few else known, same)
-    site = (F.col("_total") - p + F.col("_strength") * F.col("_prior")) / (F.col("_count") - 1 + F.col("_strength"))
+    full = rows.join(F.broadcast(known) if few else known, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
+    site = (F.col("total") - p + F.col("strength") * F.col("prior")) / (F.col("n") - 1 + F.col("strength"))
     site = F.least(F.greatest(site, F.lit(1e-6)), F.lit(1 - 1e-6))
-    evidence = F.col("_odds") - F.lit(base)
+    evidence = F.col("odds") - F.lit(base)
     quality = 1 / (1 + F.exp(-(evidence + F.log(site / (1 - site)))))
-    out = full.withColumns({"_e": evidence, "_h": F.col("_prior"), "_s": site, "_q": quality})
-    keep = F.lit(True) if model is None else F.col("_q") >= s.least
-    kept = [F.col(c) for c in docs.columns if c.lower() not in added]
-    return out.select(*kept, *[F.col(a).alias(b) for a, b in zip(("_e", "_h", "_s", "_q"), added, strict=False)], keep.alias("keep"))
+    keep = F.lit(True) if model is None else quality >= s.least
+    values = dict(zip(_ADDED, (evidence, F.col("prior"), site, quality, keep), strict=True))
+    out = full.select(*[F.col("row").getField(c).alias(c) for c in names], *[v.alias(k) for k, v in values.items()])
+    return reading(out, rows, known)
 
 
 def reject(docs: DataFrame, labels: DataFrame, host: Column, path: Column, settings: Settings | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, columns as they are."""
-    return scored(docs, labels, host, path, settings).where("keep").select(*docs.columns)
+    names = [c for c in docs.columns if c.lower() in _ADDED]
+    safe = docs.withColumnsRenamed({c: f"input column {c}" for c in names})
+    found = scored(safe, labels, host, path, settings)
+    back = {f"input column {c}": c for c in names}
+    return reading(found.where("keep").select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in safe.columns]), found)

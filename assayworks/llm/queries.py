@@ -224,5 +224,5 @@ def op7_toxicity_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    found = quality.scored(docs, labels, F.col("source"), F.col("lang"))
-    return found.select("doc_id", "source", "lang", "evidence", "host_posterior", "path_posterior", "quality", "keep")
+    # documents carry no URL: their source stands for the host, its part in one language for the path
+    return quality.scored(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"), carry=("doc_id", "source", "lang"))
