@@ -4,9 +4,12 @@ A sequence (bin) has three capacities: tokens, documents and attention cost (the
 sum of squared piece lengths).  Pieces come in order of decreasing length; each
 goes to the open bin that can hold it in every dimension and scores best, by the
 norm of the weighted residual after placement or by the weighted dot product of
-residual and demand.  Pieces are dealt at random into groups of about
-``group_pieces``; each group is packed on its own, so a task's memory does not
-grow with the corpus and what groups waste is their last few bins.
+residual and demand, each residual as a share of its capacity.  Of equal scores the
+bin opened first takes the piece; of equal lengths the smaller id and piece come
+first.  Rows are dealt into groups of about ``group_pieces`` by a hash of their
+place in the written table, copies like any others; each group is packed on its
+own, so a task's memory does not grow with the corpus and what groups waste is
+their last few bins.
 
 Token ids equal those of the ``tokenizers`` file given by path.  Runs between
 single blanks are encoded once and kept (boundaries before a lone blank between
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import written
+from assayworks.llm.shared import reading, tidy, written
 
 #: Fixed value: the public split pattern of this byte-level vocabulary.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -51,8 +54,9 @@ class Capacity:
     group_pieces: int = 16384
 
 
-#: What the query and the pipeline use: all three residuals choose the bin.
-WEIGHED = Capacity(weights=(1.0, 0.25, 0.25))
+#: What the query and the pipeline use: all three residuals choose the bin.  No more than 256 documents share a
+#: sequence; a whole sequence of one document costs all its attention, so that limit can't be lower.
+WEIGHED = Capacity(documents=256, attention=2048 * 2048, weights=(1.0, 0.25, 0.25))
 
 
 #: White space besides the blank and the line feed (Unicode's, and ASCII's separators).
@@ -67,7 +71,7 @@ class Encoder:
     together, a line feed between them, and told apart by its id.
     """
 
-    def __init__(self, path: str, most_kept: int = 300_000):
+    def __init__(self, path: str, most_kept: int = 150_000):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -84,6 +88,10 @@ class Encoder:
         self._cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
         self._feed = ranks[b"\n"]
 
+    def clear(self) -> None:
+        """Give up the runs kept."""
+        self._kept = {}
+
     def _encode(self, run: str) -> bytes:
         special = any(x in run for x in self._special)
         ids = self._enc.encode(run, allowed_special="all") if special else self._enc.encode_ordinary(run)
@@ -191,6 +199,8 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 0
                     at, k = at + size, k + 1
             columns = list(zip(*rows, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+        enc.clear()
+        tidy()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, kinds)
 
@@ -237,8 +247,9 @@ def best_fit(lengths: np.ndarray, cap: Capacity) -> tuple[np.ndarray, np.ndarray
 
 
 def placed(cut: DataFrame, cap: Capacity | None = None) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to a table of pieces (``length`` and any other columns)."""
+    """Add ``sequence_id`` and ``offset`` to a written table of pieces (``doc_id``, ``piece``, ``length`` and any other columns)."""
     cap = cap or Capacity()
+    group_name = "group of " + " ".join(cut.columns)
     total = cut.count()
     groups = max(1, -(-total // cap.group_pieces))
 
@@ -246,19 +257,17 @@ def placed(cut: DataFrame, cap: Capacity | None = None) -> DataFrame:
         length = group.column("length").to_numpy()
         order = np.lexsort([*(np.nan_to_num(group.column(c).to_numpy()) for c in ("piece", "doc_id")), -length])
         bins, offsets, _ = best_fit(length[order], cap)
-        base = group.column("_group")[0].as_py() << 32
-        out = group.drop_columns(["_group"]).take(pa.array(order))
+        base = group.column(group_name)[0].as_py() << 32
+        out = group.drop_columns([group_name]).take(pa.array(order))
         return out.append_column("sequence_id", pa.array(bins + base)).append_column("offset", pa.array(offsets))
 
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    dealt = cut.withColumn(group_name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
-    return dealt.groupBy("_group").applyInArrow(run, schema + ", sequence_id long, offset long")
+    return reading(dealt.groupBy(group_name).applyInArrow(run, schema + ", sequence_id long, offset long"), cut)
 
 
 def pack(docs: DataFrame, tokenizer: str, cap: Capacity | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Tokenise, cut and pack ``docs(doc_id, text)``: a row for each piece with its sequence and offset."""
     cap = cap or Capacity()
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     cut = written(pieces(docs, tokenizer, cap.tokens, end_id, with_ids), "pieces")
     return placed(cut, cap)
