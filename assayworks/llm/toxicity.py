@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text, written
+from assayworks.llm.shared import as_text, forget, reading, release, tidy, written
 
 #: What letters a sign may stand for.
 LEET = {
@@ -125,10 +125,11 @@ def letter_counts(texts: DataFrame) -> np.ndarray:
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["k", "n"])
 
-    counted = texts.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    counted = written(texts.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "letters")
     out = np.zeros(27**3)
     for r in counted.collect():  # at most 27**3 rows
         out[r["k"]] = r["n"]
+    forget(counted)
     return out.reshape(27, 27, 27)
 
 
@@ -446,6 +447,9 @@ def _counted(rows: DataFrame, model: np.ndarray, channel: Channel, only: list[st
                     yield out()
                     seen.clear()
         yield out()
+        del restorer, kept
+        seen.clear()
+        tidy()
 
     return rows.select("text").mapInArrow(run, "e string, n long").groupBy("e").agg(F.sum("n").alias("n"))
 
@@ -472,7 +476,9 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, t: Training, ch
     bound = (p + zz / (2 * m) - t.z * F.sqrt(p * (1 - p) / m + zz / (4 * m * m))) / (1 + zz / m)
     beginning = (p < t.least_share) & ~F.startswith("e", F.lit("="))
     bound = F.when(beginning, F.least(bound, F.lit(0.49))).otherwise(bound)
-    return written(bad.join(good, "e", "left").select("e", bound.alias("bound")).where("bound > 0.1"), "bounds")
+    out = written(bad.join(good, "e", "left").select("e", bound.alias("bound")).where("bound > 0.1"), "bounds")
+    forget(bad)
+    return out
 
 
 #: The score of a text without evidence.
@@ -505,17 +511,16 @@ def score_text(text: str, restorer: Restorer, lexicon: Lexicon, kept: dict[str,
 def score(docs: DataFrame, labels: DataFrame, training: Training | None = None, channel: Channel | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each row of ``docs(doc_id, text)``; learns from ``labels(doc_id, toxic)``."""
     t, c = training or Training(), channel or Channel()
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text(F.col("text")).alias("text"))
     model = log_model(letter_counts(docs))
     bounds = train(docs, labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"), model, t, c)
+    few = bounds.count() <= t.most_broadcast
     marked = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    if bounds.count() > t.most_broadcast:
-        out = _joined(marked, bounds, model, c)
-    else:
-        out = _looked_up(marked, {r["e"]: r["bound"] for r in bounds.collect()}, model, c)
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    found = _looked_up(marked, {r["e"]: r["bound"] for r in bounds.collect()}, model, c) if few else _joined(marked, bounds, model, c)
+    out = written(found, "scores")
+    release(found)
+    forget(bounds)
+    return reading(out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), out)
 
 
 def _looked_up(docs: DataFrame, bounds: dict[str, float], model: np.ndarray, channel: Channel) -> DataFrame:
@@ -527,6 +532,8 @@ def _looked_up(docs: DataFrame, bounds: dict[str, float], model: np.ndarray, cha
         for batch in batches:
             scores = [score_text(x.as_py(), restorer, lexicon, kept) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "score"])
+        del restorer, lexicon, kept
+        tidy()
 
     return docs.mapInArrow(run, "doc_id long, held_out boolean, score double")
 
@@ -555,4 +562,6 @@ def _joined(docs: DataFrame, bounds: DataFrame, model: np.ndarray, channel: Chan
         F.coalesce(F.sum(F.when(strong, F.log1p(-F.col("b")))), F.lit(0.0)).alias("rest"), F.coalesce(F.max(F.when(~strong, F.col("b"))), F.lit(0.0)).alias("top")
     )
     whole = F.greatest(F.lit(FLOOR), F.coalesce("top", F.lit(0.0)), -F.expm1(F.coalesce("rest", F.lit(0.0))))
-    return docs.select("doc_id", "held_out", *key).join(of_text, ["_h", "_g"], "left").select("doc_id", "held_out", whole.alias("score"))
+    of_text = written(of_text, "texts")
+    out = docs.select("doc_id", "held_out", *key).join(of_text, ["_h", "_g"], "left").select("doc_id", "held_out", whole.alias("score"))
+    return reading(out, held, of_text)
