@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from assayworks.llm import decontamination, minhash_dedup, packing, pii, quality
 from assayworks.llm.queries import tokenizer_path
-from assayworks.llm.shared import table, written
+from assayworks.llm.shared import forget, release, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier and their sites speak against go."""
-    return quality.reject(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    return quality.reject(docs, table(spark, sf_dir, "labels"), F.col("source"), F.concat_ws("/", "source", "lang"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +54,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        made = stage(spark, docs, sf_dir)
+        kept = written(made, name)
+        release(made)
+        forget(docs)
+        docs = kept
     return docs
