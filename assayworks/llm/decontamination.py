@@ -1,19 +1,22 @@
 """Benchmark decontamination: windows of benchmark words looked up in every document.
 
-The windows of the benchmark (ten words, or a whole shorter item) become a hash
-set that goes to every task with the plan, as long as there are no more than
-``most_windows`` of them.  Each document hashes its own windows, keeps those in
-the set and verifies them word by word, all within its row: no shuffle.  With
-more windows the hashes are looked up by a join instead, which has no limit.
-DataFrame and SQL functions only.
+The hashes of the benchmark's windows (ten words, or a whole shorter item) are a
+bitmap that goes to every task with the plan: 32 bits a window, at most 4 MB
+whatever the benchmark.  Each document hashes its own windows within its row, and only
+those whose bit is set (all hits, and one in 32 others or more beyond four million
+windows) are joined with the windows and verified word by word.  Texts are not
+shuffled: rows are written once with what the bitmap lets through.  There is one plan for any
+size.  DataFrame and SQL functions only.
 
 Words are runs of digits, letters a to z (A to Z lower-cased) and non-ASCII
 characters.  A document word inside any occurrence of a window is hit.
 
 Defined cases: null and wordless texts have no words and no hits; null and
 wordless items have no windows; an item without an id still hits, but isn't
-listed.  An empty benchmark hits nothing.  Repeated documents each get a row;
-repeated items count once.  Extra columns of the documents do not matter.
+listed.  Ids may be of any type.  An empty benchmark hits nothing.  Repeated documents
+each get a row; repeated items count once.  Extra columns of the documents of any name
+are ignored or carried through.  A very long text takes memory in proportion to its
+words.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text, without, written
+from assayworks.llm.shared import as_text, forget, reading, written
 
 WINDOW = 10
 #: Java regular expression of what parts words, in a text whose A-Z are lower-cased, or not.
@@ -61,74 +64,75 @@ def _starts(n: Column, ws: Column, lengths: list[int]) -> Column:
     return F.flatten(F.array(*map(of_length, lengths)))
 
 
-def _by_set(docs: DataFrame, found: list) -> DataFrame:
-    """Add ``_hits`` with the windows as literals of the plan."""
-    lengths = sorted({r["n"] for r in found})
-    buckets: list[list] = [[] for _ in range(1 << max(4, len(found).bit_length()))]
-    for r in found:
-        buckets[r["h"] % len(buckets)].append({"h": r["h"], "n": r["n"], "w": r["w"], "items": r["items"]})
-    kind = "array<array<struct<h:bigint,n:int,w:string,items:array<bigint>>>>"
-    shelf = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), kind)
-    lists = ", ".join(f"bigint('{r['h']}')" for r in found)
-    docs = docs.withColumn("_at", _starts(F.col("_n"), F.col("_ws"), lengths))
-    docs = docs.withColumn("_at", F.expr(f"filter(_at, x -> x.h in ({lists}))"))
-    of = F.flatten(
-        F.transform(
-            "_at",
-            lambda x: F.transform(
-                F.filter(
-                    F.element_at(shelf, (F.pmod(x.h, F.lit(len(buckets))) + 1).cast("int")),
-                    lambda b: (b.h == x.h) & (b.n == x.n) & (b.w == F.array_join(F.slice(F.col("_ws"), x.i, x.n), " ")),
-                ),
-                lambda b: F.struct(x.i.alias("i"), x.n.alias("n"), b["items"].alias("items")),
-            ),
-        )
+#: Longs of the bitmap: at most 4 MB.
+MOST_LONGS = 1 << 19
+
+
+def _bitmap(windows: DataFrame, longs: int) -> Column:
+    """The windows' hashes as a literal array of so many longs, a power of two."""
+    at, bit = _bit(F.col("h"), longs)
+    rows = windows.groupBy(at.alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits")).collect()
+    out = [0] * longs
+    for r in rows:
+        out[r["at"]] = r["bits"]
+    return F.from_json(F.lit(json.dumps(out)), "array<bigint>")
+
+
+def _bit(h: Column, longs: int) -> tuple[Column, Column]:
+    """The long and the bit of a hash."""
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(longs - 1)).cast("int"), h.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _looked_up(docs: DataFrame, carried: list[str], benchmark: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Each row ``id, row, n_words, maybe`` (windows the bitmap lets through), and ``id, places, items`` of rows with hits."""
+    windows = written(benchmark_windows(benchmark, width), "windows")
+    lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most width of them
+    row = F.struct(*[docs[f"`{c}`"] for c in carried]).alias("row")
+    rows = docs.select(row, words(F.col("text")).alias("ws")).withColumn("n_words", F.size("ws"))
+    if lengths:
+        longs = min(MOST_LONGS, 1 << max(4, (max(1, windows.count()) // 2).bit_length()))
+        bits = _bitmap(windows, longs)
+
+        def may(x: Column) -> Column:
+            at, bit = _bit(x.h, longs)
+            return F.call_function("shiftrightunsigned", F.get(bits, at), bit).bitwiseAND(F.lit(1)) == 1
+
+        rows = rows.withColumn("starts", _starts(F.col("n_words"), F.col("ws"), lengths))
+        rows = rows.withColumn("starts", F.filter("starts", may))
+        maybe = F.transform("starts", lambda x: F.struct(x.i.alias("i"), x.n.alias("n"), x.h.alias("h"), F.array_join(F.slice("ws", x.i, x.n), " ").alias("w")))
+    else:
+        maybe = F.array().cast("array<struct<i:int,n:int,h:bigint,w:string>>")
+    scan = written(rows.select(F.monotonically_increasing_id().alias("id"), "row", "n_words", maybe.alias("maybe")), "scanned")
+    each = scan.where(F.size("maybe") > 0).select("id", F.explode("maybe").alias("x")).select("id", "x.i", "x.n", "x.h", "x.w")
+    met = each.join(windows, ["h", "n", "w"]).groupBy("id").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.sequence("i", F.col("i") + F.col("n") - 1)))).alias("places"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
     )
-    return docs.withColumn("_hits", F.when(F.size("_at") > 0, of)).drop("_at")
+    hits = written(met, "hits")
+    forget(windows)
+    return scan, hits
 
 
-def _by_join(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
-    """Add ``_hits`` by joining the hash of every document window."""
-    docs = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    each = docs.select("_row", "_ws", F.explode(_starts(F.col("_n"), F.col("_ws"), lengths)).alias("x"))
-    each = each.select("_row", "x.h", "x.n", "x.i", F.array_join(F.slice("_ws", F.col("x.i"), F.col("x.n")), " ").alias("w"))
-    hits = each.join(windows, ["h", "n", "w"]).groupBy("_row").agg(F.collect_list(F.struct("i", "n", "items")).alias("_hits"))
-    return docs.join(hits, "_row", "left").drop("_row")
-
-
-def _with_hits(docs: DataFrame, benchmark: DataFrame, width: int, most_windows: int) -> DataFrame:
-    """Add ``_ws``, ``_n`` and ``_hits`` (null or empty where there is none)."""
-    docs = docs.withColumn("_ws", words(F.col("text"))).withColumn("_n", F.size("_ws"))
-    windows = benchmark_windows(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), width)
-    found = windows.limit(most_windows + 1).collect()
-    if not found:
-        return docs.withColumn("_hits", F.lit(None).cast("array<struct<i:int,n:int,items:array<bigint>>>"))
-    if len(found) <= most_windows:
-        return _by_set(docs, found)
-    lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())
-    return _by_join(docs, windows, lengths)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, most_windows: int = 30_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, items, contaminated`` of each document."""
-    held = _with_hits(docs.select("doc_id", "text"), benchmark, width, most_windows)
-    hits = F.coalesce("_hits", F.array().cast("array<struct<i:int,n:int,items:array<bigint>>>"))
-    place = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.sequence(x.i, x.i + x.n - 1))))
-    items = F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"])))
-    out = held.select("doc_id", F.col("_n").cast("long").alias("n_words"), F.size(place).cast("long").alias("n_hit"), items.alias("items"))
-    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return out.select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+    scan, hits = _looked_up(docs, ["doc_id"], benchmark, width)
+    found = scan.drop("maybe").join(hits, "id", "left")
+    n_hit = F.coalesce(F.size("places"), F.lit(0)).cast("long")
+    items = F.coalesce("items", F.array().cast(hits.schema["items"].dataType))
+    names = F.array_join(F.array_sort(F.transform(items, lambda x: x.cast("string"))), ",")
+    out = found.select(
+        "row.doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.when(F.col("places").isNull(), F.lit(0)).otherwise(n_hit).cast("long").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
         F.sha2(names, 256).alias("items_sha256"),
-        "items",
-        (F.col("n_hit") > 0).alias("contaminated"),
+        items.alias("items"),
+        F.col("places").isNotNull().alias("contaminated"),
     )
+    return reading(out, scan, hits)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", width: int = WINDOW, most_windows: int = 30_000) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", width: int = WINDOW) -> DataFrame:
     """The documents without contamination, columns as they are.
 
     ``remove="documents"`` leaves out every document that holds a window;
@@ -136,19 +140,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    names = docs.columns
-    held = _with_hits(without(docs, "_ws", "_n", "_hits", "_once"), benchmark, width, most_windows)
-    # a filter doesn't move below what isn't deterministic; below, it would work out the windows anew for each word
-    held = held.withColumn("_once", F.monotonically_increasing_id())
-    any_hit = (F.coalesce(F.size("_hits"), F.lit(0)) > 0) & (F.col("_once") >= 0)
+    scan, hits = _looked_up(docs, docs.columns, benchmark, width)
+    clean = scan.where(F.size("maybe") == 0).select("row")
+    told = scan.where(F.size("maybe") > 0).join(hits, "id", "left")  # few rows
+    clean = clean.unionByName(told.where(F.col("places").isNull()).select("row"))
     if remove == "documents":
-        return held.where(~any_hit).select(*names)
-    hit = F.array_distinct(F.flatten(F.transform("_hits", lambda x: F.sequence(x.i, x.i + x.n - 1))))
+        return reading(clean.select("row.*"), scan, hits)
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    own = F.expr(f"regexp_extract_all(text, r'({word})', 1)")
-    gaps = F.split("text", word, -1)
-    cut = held.withColumn("_hit", F.when(any_hit, hit)).withColumn("_own", F.when(any_hit, own)).withColumn("_gaps", F.when(any_hit, gaps))
-    kept = F.transform("_own", lambda w, i: F.concat(F.element_at("_gaps", i + 1), F.when(F.array_contains("_hit", i + 1), "").otherwise(w)))
-    text = F.concat(F.array_join(kept, ""), F.element_at("_gaps", -1))
-    cut = cut.withColumn("text", F.when(any_hit, text).otherwise(F.col("text")))
-    return cut.where(~any_hit | (F.size("_hit") < F.col("_n"))).select(*names)
+    hit = told.where(F.col("places").isNotNull() & (F.size("places") < F.col("n_words")))
+    hit = hit.select("row", "places", F.regexp_extract_all("row.text", F.lit(word), F.lit(0)).alias("own"), F.split("row.text", word, -1).alias("gaps"))
+    kept = F.transform("own", lambda w, i: F.concat(F.get("gaps", i), F.when(F.array_contains("places", i + 1), "").otherwise(w)))
+    text = F.concat(F.array_join(kept, ""), F.element_at("gaps", -1))
+    cut = hit.select(F.col("row").withField("text", text).alias("row"))
+    return reading(clean.unionByName(cut).select("row.*"), scan, hits)

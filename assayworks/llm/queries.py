@@ -53,9 +53,8 @@ def tokenizer_path() -> str:
 
 @_query
 def op3_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages"))).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    found = warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 SQL["op3_warc_revisit"] = r"""

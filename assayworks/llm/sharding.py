@@ -10,8 +10,10 @@ The table is filled on the driver (it depends on shard names alone); placing row
 uses DataFrame functions only and does not shuffle.
 
 Defined cases: a null key is placed as the empty string; equal keys share a
-shard; repeated rows each get one.  Extra columns are carried through, but for
-``slot`` and ``shard``, which are replaced.  An empty table gives an empty one.
+shard; repeated rows each get one.  Extra columns of any name are carried through, but
+for ``slot`` and ``shard``, which are replaced (one of them may be the key).  An empty
+table gives an empty one.  A very long key is hashed whole.  Shards of one turn claim
+in the order given, so no slot is tied.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text, without
+from assayworks.llm.shared import as_text
 
 MOST_SLOTS = 1_000_003
 
@@ -73,7 +75,8 @@ def lookup(spark: SparkSession, shards: Sequence[str], size: int, weights: Seque
 
 def place(df: DataFrame, key: str, shards: Sequence[str], size: int = 65537, weights: Sequence[int] | None = None) -> DataFrame:
     """Add ``slot`` and ``shard`` to each row."""
-    table = lookup(df.sparkSession, shards, size, weights)
-    keyed = without(df, "slot", "shard") if key.lower() not in ("slot", "shard") else df.withColumnRenamed(key, "_key")
-    keyed = keyed.withColumn("slot", slot_of(F.col("_key" if "_key" in keyed.columns else key), size))
-    return keyed.join(F.broadcast(table), "slot")
+    names = [c for c in df.columns if c.lower() not in ("slot", "shard")]
+    slot = slot_of(df[f"`{key}`"], size).alias("slot")
+    row = [F.struct(*[df[f"`{c}`"] for c in names]).alias("row")] if names else []
+    placed = df.select(*row, slot).join(F.broadcast(lookup(df.sparkSession, shards, size, weights)), "slot")
+    return placed.select(*(["row.*"] if names else []), "slot", "shard")

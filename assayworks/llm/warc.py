@@ -1,17 +1,23 @@
 """WARC archives whose repeated payloads are revisit records.
 
-Headers (digest, size, id), never payloads, are shuffled by digest to find the
-original of each payload; the decision then joins the pages by their id, which
-no hot payload can skew.  Archives are gzipped WARC/1.1 files; many records make a
+Headers (digest, size, id, address), never payloads, are shuffled by digest to find
+the original of each payload; the decision then joins the pages by their id, which
+no hot payload can skew.  Archives are WARC/1.1 files of one gzip member a record (or
+several, from 16 MB on), so any record can be read by its offset; each file begins with a
+``warcinfo`` record, and all records carry the time of this run.  Many records make a
 file, about ``file_bytes`` of payload.  Reading takes whole files, so a file
 bounds a task's memory, and goes by Content-Length, so a payload may hold
 anything.
 
+Every record has a UUID of its own.  The page's id is in ``X-Page-ID``; a revisit names
+its original by ``WARC-Refers-To-Target-URI``, ``WARC-Refers-To-Date`` and
+``X-Refers-To-Page-ID``.
+
 Defined cases: a null html is an empty payload.  Of equal payloads of at least
 ``least_bytes`` the largest page id is the response and the others revisit it;
 rows that repeat that id are responses too.  Null ids
-lose against any id; a payload that only rows without an id hold
-stays response.  A null url is the
+lose against any id (-1 is an id like any other); a payload that only rows without
+an id hold stays response.  A null url is the
 empty string; control characters and blanks in it are percent-encoded.  An empty
 table writes no record and reads back empty.  Extra columns are not archived.
 """
@@ -20,6 +26,8 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import time
+import uuid
 from base64 import b32encode
 from collections.abc import Iterator
 
@@ -27,100 +35,110 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import as_text, fresh_path
+from assayworks.llm.shared import as_text, forget, fresh_path, reading, release, settings, tidy, written
 
-#: The alphabet of base32, the profile of a revisit.
-_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: The digits of numbers to base 32 and base32's alphabet, the profile of a revisit.
+_DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_DATE = "2024-01-01T00:00:00Z"
-_ID = "urn:page:"
 
 
 def payload_digest(payload: Column) -> Column:
-    """Base32 of SHA-1: twenty bits of the hex text at a time give four letters."""
+    """Base32 of SHA-1: 60, 60 and 40 bits of it as numbers to base 32, in base32's alphabet."""
     hexed = F.sha1(payload)
-    letters = []
-    for k in range(8):
-        bits = F.conv(F.substring(hexed, 5 * k + 1, 5), 16, 10).cast("int")
-        for down in (15, 10, 5, 0):
-            letters.append(F.substring(F.lit(_BASE32), F.shiftright(bits, down).bitwiseAND(31) + 1, F.lit(1)))
-    return F.concat(*letters)
+    parts = [F.lpad(F.conv(F.substring(hexed, at, n), 16, 32), n * 4 // 5, "0") for at, n in ((1, 15), (16, 15), (31, 10))]
+    return F.translate(F.concat(*parts), _DIGITS, _BASE32)
 
 
 def with_decisions(pages: DataFrame, least_bytes: int = 0, parts: int | None = None) -> DataFrame:
-    """``page_id, url, body, payload_bytes, payload_digest, refers_to`` of ``pages(page_id, url, html)``.
+    """``page_id, url, body, payload_bytes, payload_digest, refers_to, refers_url`` of ``pages(page_id, url, html)``.
 
     The pages are dealt once, into ``parts`` partitions, by just the keys of the join.
     """
     body = F.encode(as_text(F.col("html")), "UTF-8")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", body.alias("body")).select(
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), as_text(F.col("url").cast("string")).alias("url"), body.alias("body")).select(
         "*", F.octet_length("body").cast("long").alias("payload_bytes"), payload_digest(F.col("body")).alias("payload_digest")
     )
-    heads = rows.select("page_id", "payload_bytes", "payload_digest").where(F.col("payload_bytes") >= least_bytes)
+    # a null id is a key of its own
+    rows = rows.select("*", F.col("page_id").isNull().alias("nameless"), F.coalesce("page_id", F.lit(0)).alias("id"))
     same = ["payload_digest", "payload_bytes"]
-    first = heads.groupBy(*same).agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
-    repeated = first.where("n > 1 and original is not null").drop("n")
-    key = F.coalesce(F.col("page_id"), F.lit(-1))
+    on = ["id", "nameless", *same]
+    heads = written(rows.select("page_id", "url", *on).where(F.col("payload_bytes") >= least_bytes), "heads")
+    first = heads.where("not nameless").groupBy(*same).agg(F.max(F.struct("page_id", "url")).alias("original"))
+    n = heads.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = written(first.join(n, same).select(*same, "original"), "repeated")
     later = (
         heads.join(repeated, same)
-        .where(~F.col("page_id").eqNullSafe(F.col("original")))
-        .select(key.alias("_key"), *same, F.col("original").alias("refers_to"))
+        .where(~F.col("page_id").eqNullSafe(F.col("original.page_id")))
+        .select(*on, F.col("original.page_id").alias("refers_to"), F.col("original.url").alias("refers_url"))
         .distinct()
     )
-    rows = rows.withColumn("_key", key)
-    on = ["_key", *same]
-    return (rows.repartition(parts, *on) if parts else rows).join(later, on, "left").drop("_key")
-
-
-def _clean_url(url: Column) -> Column:
-    out = as_text(url)
-    for code in (*range(33), 127):
-        out = F.replace(out, F.lit(chr(code)), F.lit(f"%{code:02X}"))
-    return out
-
-
-def records(decided: DataFrame) -> DataFrame:
-    """One column ``record``: the text of each record, but for the blank lines that end it."""
-    ident = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
-    revisit = F.col("refers_to").isNotNull()
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "),
-        F.col("payload_bytes").cast("string"),
-        F.lit("\r\n\r\n"),
-    )
-    length = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
-    refers = F.when(
-        revisit, F.concat(F.lit(f"WARC-Refers-To: <{_ID}"), F.col("refers_to").cast("string"), F.lit(f">\r\nWARC-Profile: {_PROFILE}\r\n"))
-    ).otherwise("")
-    head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "),
-        F.when(revisit, "revisit").otherwise("response"),
-        F.lit(f"\r\nWARC-Record-ID: <{_ID}"),
-        ident,
-        F.lit(">\r\nWARC-Target-URI: "),
-        _clean_url(F.col("url")),
-        F.lit(f"\r\nWARC-Date: {_DATE}\r\nWARC-Payload-Digest: sha1:"),
-        F.col("payload_digest"),
-        F.lit("\r\n"),
-        refers,
-        F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "),
-        length.cast("string"),
-        F.lit("\r\n\r\n"),
-    )
-    return decided.select(F.concat(head, http, F.when(revisit, F.lit("")).otherwise(F.decode("body", "UTF-8"))).alias("record"))
+    later = written(later, "later")
+    forget(heads, repeated)
+    out = (rows.repartition(parts, *on) if parts else rows).join(later, on, "left").drop("id", "nameless")
+    return reading(out, later)
+
+
+def _clean_url(url: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c <= " " or c == "\x7f" else c for c in url)
+
+
+def _record(kind: str, block: bytes, heads: list[tuple[str, str]], date: str) -> bytes:
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date), *heads, ("Content-Length", str(len(block)))]
+    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def write_archives(pages: DataFrame, path: str | None = None, least_bytes: int = 0, file_bytes: int = 8 << 20) -> str:
+def _members(record: bytes) -> bytes:
+    """A record as gzip members, but for the last byte.
+
+    A member ends with its size, lowest byte first; members of under 16 MB end with a
+    zero byte, which the writer of lines adds.
+    """
+    most = (1 << 24) - 1
+    return b"".join(gzip.compress(record[at : at + most], 6, mtime=0) for at in range(0, len(record), most))[:-1]
+
+
+def records(decided: DataFrame, date: str) -> DataFrame:
+    """One column ``record``: the gzip members of each record without their last (zero) byte; a ``warcinfo`` record first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = True
+        for batch in batches:
+            if fresh and batch.num_rows:
+                fields = b"software: assayworks\r\nformat: WARC File Format 1.1\r\n"
+                info = _record("warcinfo", fields, [("Content-Type", "application/warc-fields")], date)
+                yield pa.RecordBatch.from_arrays([pa.array([_members(info)], pa.binary())], names=["record"])
+                fresh = False
+            for i in range(batch.num_rows):
+                page, url, body, size, digest, refers, refers_url = (batch.column(k)[i].as_py() for k in range(7))
+                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {size}\r\n\r\n".encode()
+                heads = [("X-Page-ID", "none" if page is None else str(page)), ("WARC-Target-URI", _clean_url(url)), ("WARC-Payload-Digest", f"sha1:{digest}")]
+                if refers is not None:
+                    heads += [("WARC-Profile", _PROFILE), ("WARC-Refers-To-Target-URI", _clean_url(refers_url)), ("WARC-Refers-To-Date", date), ("X-Refers-To-Page-ID", str(refers))]
+                heads.append(("Content-Type", "application/http; msgtype=response"))
+                made = _members(_record("response" if refers is None else "revisit", http + (body or b""), heads, date))
+                yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["record"])
+        tidy()
+
+    body = F.when(F.col("refers_to").isNull(), F.col("body"))
+    slim = decided.select("page_id", "url", body.alias("body"), "payload_bytes", "payload_digest", "refers_to", "refers_url")
+    return slim.mapInArrow(run, "record binary")
+
+
+def write_archives(pages: DataFrame, path: str | None = None, least_bytes: int = 0, file_bytes: int = 8 << 20, date: str | None = None) -> str:
     """Write ``pages(page_id, url, html)`` as WARC files below a folder, and return the folder.
 
     Spark's committer renames files into place, so a lost executor leaves none half-written.
+    The line writer ends each row with a zero byte, the last one of its gzip member.
     """
     spark = pages.sparkSession
     path = path or fresh_path(spark, "warc")
+    date = date or time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
     size = pages.agg(F.sum(F.octet_length("html")).alias("n")).head()["n"] or 0
     files = max(1, -(-size // file_bytes))
     decided = with_decisions(pages, least_bytes, files)
-    records(decided).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}):
+        records(decided, date).select(F.col("record").cast("string")).write.option("lineSep", "\0").text(path)
+    release(decided)
     return path
 
 
@@ -155,10 +173,7 @@ _READ = pa.schema(
 
 
 def _page(name: bytes | None) -> int | None:
-    if name is None:
-        return None
-    ident = name.strip(b"<>").removeprefix(_ID.encode())
-    return None if ident == b"none" else int(ident)
+    return None if name in (None, b"none") else int(name)
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
@@ -173,6 +188,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                 data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
                 rows: list[tuple] = []
                 for heads, begin, stop in _parse(data):
+                    if heads[b"warc-type"] == b"warcinfo":
+                        continue
                     block = data.index(b"\r\n\r\n", begin, stop) + 4
                     told = heads[b"warc-payload-digest"].removeprefix(b"sha1:").decode()
                     kind = heads[b"warc-type"].decode()
@@ -183,11 +200,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                     else:
                         http = dict(x.split(b": ", 1) for x in data[begin : block - 4].split(b"\r\n")[1:])
                         size = int(http[b"Content-Length"])
-                    row = (_page(heads[b"warc-record-id"]), heads[b"warc-target-uri"].decode(), size, told, kind, _page(heads.get(b"warc-refers-to")))
+                    row = (_page(heads[b"x-page-id"]), heads[b"warc-target-uri"].decode(), size, told, kind, _page(heads.get(b"x-refers-to-page-id")))
                     rows.append((*row, data[block:stop] if kind == "response" else None) if with_payload else row)
                 columns = list(zip(*rows, strict=True)) or [()] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+        tidy()
 
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     return files.mapInArrow(run, kinds + ", payload binary" * with_payload)

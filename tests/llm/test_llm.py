@@ -111,6 +111,30 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_archives(spark, warc.write_archives(df.where("false"))).count() == 0
 
 
+def test_warc_ids_and_members(spark, tmp_path):
+    import gzip
+    import zlib
+
+    rows = [(-1, "u", "same"), (None, "u", "same"), (3, "v", "twice"), (3, "v", "twice"), (2, "w", "twice"), (None, None, "lone"), (None, None, "lone"), (9, "b", RNG.randbytes(18 << 20).hex())]
+    path = str(tmp_path / "out")
+    got = warc.read_archives(spark, warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{path}")).collect()
+    told = sorted((r["page_id"] is None, r["page_id"] or 0, r["record_type"], r["refers_to"] or 0) for r in got)
+    assert told == sorted([(False, -1, "response", 0), (True, 0, "revisit", -1), (False, 3, "response", 0), (False, 3, "response", 0), (False, 2, "revisit", 3),
+                           (True, 0, "response", 0), (True, 0, "response", 0), (False, 9, "response", 0)])
+    ids, infos = [], 0
+    for file in sorted((tmp_path / "out").glob("part-*")):
+        data = file.read_bytes()
+        whole = gzip.decompress(data)
+        ids += re.findall(rb"WARC-Record-ID: (\S+)", whole)
+        infos += whole.count(b"WARC-Type: warcinfo")
+        while data:  # each record can be read by itself
+            one = zlib.decompressobj(31)
+            first = one.decompress(data)
+            assert first.startswith(b"WARC/1.1\r\n") or len(whole) > 1 << 24
+            data = one.unused_data
+    assert len(ids) == len(set(ids)) == len(rows) + infos and infos >= 1
+
+
 TOKENIZER = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
 
 
@@ -199,15 +223,33 @@ def test_decontamination(spark):
     w = passage.split()
     docs = [(0, "x, " + passage.upper() + "! y"), (1, " ".join(w[:9])), (2, None), (3, ""), (4, "Little item."), (5, prose(50, 5)), (0, passage)]
     bench = spark.createDataFrame([(1, passage), (2, None), (3, "little ITEM"), (1, passage), (None, passage)], "item_id long, text string")
-    df = spark.createDataFrame(docs, DOCS).withColumn("items", F.lit("clash"))
-    for most in (10_000, 3):  # by the set, and by the join
-        got = decontamination.contamination(df, bench, most_windows=most).collect()
-        hits = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) for r in got)
-        assert hits == [(0, 25, 25, 1), (0, 27, 25, 1), (1, 9, 0, 0), (2, 0, 0, 0), (3, 0, 0, 0), (4, 2, 2, 1), (5, 50, 0, 0)]
-    assert sorted(r["doc_id"] for r in decontamination.decontaminate(df, bench).collect()) == [1, 2, 3, 5]
+    df = spark.createDataFrame(docs, DOCS).withColumns({c: F.lit("clash") for c in ("items", "_n", "n_words", "id", "row")})
+    got = decontamination.contamination(df, bench).collect()
+    hits = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) for r in got)
+    assert hits == [(0, 25, 25, 1), (0, 27, 25, 1), (1, 9, 0, 0), (2, 0, 0, 0), (3, 0, 0, 0), (4, 2, 2, 1), (5, 50, 0, 0)]
+    clean = decontamination.decontaminate(df, bench)
+    assert clean.columns == df.columns and {r["_n"] for r in clean.collect()} == {"clash"}
+    assert sorted(r["doc_id"] for r in clean.collect()) == [1, 2, 3, 5]
     spans = [r["text"] for r in decontamination.decontaminate(df, bench, "spans").where("doc_id = 0").collect()]
     assert len(spans) == 1 and re.findall(r"\w+", spans[0]) == ["x", "y"]
     assert decontamination.contamination(df, bench.where("false")).where("contaminated").count() == 0
+    assert decontamination.contamination(df.where("false"), bench).count() == 0
+    named = bench.withColumn("item_id", F.concat(F.lit("item-"), F.col("item_id").cast("string")))
+    assert {x for r in decontamination.contamination(df, named).collect() for x in r["items"]} == {"item-1", "item-3"}
+
+
+def test_decontamination_with_a_full_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "MOST_LONGS", 16)  # nearly every window goes to the join
+    items = [(i, prose(60, 1000 + i)) for i in range(40)]
+    docs = [(i, prose(30, i) + " " + (" ".join(items[i][1].split()[5 : 5 + i]) if i < 40 else "") + " " + prose(20, i + 500)) for i in range(60)]
+    docs += [(100, prose(30_000, 77) + " " + items[7][1])]
+    got = {r["doc_id"]: r for r in decontamination.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    windows = {tuple(t.split()[k : k + 10]): i for i, t in items for k in range(51)}
+    for i, t in docs:
+        w = t.split()
+        at = [k for k in range(len(w) - 9) if tuple(w[k : k + 10]) in windows]
+        assert got[i]["n_hit"] == len({p for k in at for p in range(k, k + 10)}) and got[i]["contaminated"] == bool(at)
+        assert sorted(got[i]["items"]) == sorted({windows[tuple(w[k : k + 10])] for k in at})
 
 
 def test_toxicity(spark):
@@ -260,6 +302,11 @@ def test_sharding(spark):
     table = sharding.fill([f"s{k}" for k in range(7)], 1009)
     counts = np.bincount(table)
     assert counts.max() - counts.min() <= 1 and min(table) == 0
+    clash = spark.createDataFrame([(i, "same", "x") for i in range(1, 5)], "doc_id long, _key string, slot string")
+    assert {r["doc_id"]: r["slot"] for r in sharding.place(clash, "doc_id", ["a", "b"], 31).collect()} == {
+        r["doc_id"]: r["slot"] for r in sharding.place(clash.select("doc_id"), "doc_id", ["a", "b"], 31).collect()
+    }
+    assert sharding.place(clash, "slot", ["a", "b"], 31).columns == ["doc_id", "_key", "slot", "shard"]
     fewer = sharding.fill([f"s{k}" for k in range(6)], 1009)
     assert sum(a != b for a, b in zip(table, fewer, strict=True) if a != 6) < 0.2 * 1009
     weighted = np.bincount(sharding.fill(["a", "b"], 101, [1, 3]))
