@@ -329,19 +329,38 @@ def test_vectors_brute_force(spark):
         rows.append((i, [float(x) for x in v], int(i % 150 % 3)))
     rows += [(2000, None, 1), (2001, [0.0] * 16, 1), (2002, [float("nan")] * 16, 1), (2003, [None] * 16, 1), (2004, rows[0][1], None), (2005, rows[0][1], 0), (2006, [], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("kind", F.lit("clash"))
-    got = {r["vec_id"]: r for r in vector_dedup.near_duplicates(df, vector_dedup.Forest(leaf=64, block=50)).collect()}
     good = [r for r in rows if r[2] is not None and r[1] and None not in r[1] and np.isfinite(r[1]).all() and any(r[1])]
     x = np.array([r[1] for r in good])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     near = (x @ x.T >= 0.93) & np.equal.outer([r[2] for r in good], [r[2] for r in good])
     want = near.sum(axis=1) - 1
-    found = np.array([got[r[0]]["n_links"] for r in good])
-    assert (found <= want).all() and found.sum() >= 0.98 * want.sum()
-    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (2000, 2001, 2002, 2003, 2004, 2006))
-    assert got[2005]["component_id"] <= 0
+    # trees grown in one task; trees from a sample; a sample that misses labels; a dense node in blocks
+    for forest in (vector_dedup.Forest(), vector_dedup.Forest(block=150), vector_dedup.Forest(block=150, sample=40), vector_dedup.Forest(block=40, leaf=5000)):
+        got = {r["vec_id"]: r for r in vector_dedup.near_duplicates(df, forest).collect()}
+        assert len(got) == len(rows)
+        found = np.array([got[r[0]]["n_links"] for r in good])
+        assert (found <= want).all() and found.sum() >= 0.98 * want.sum()
+        assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (2000, 2001, 2002, 2003, 2004, 2006))
+        assert got[2005]["component_id"] <= 0
     assert vector_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_trees_split_and_find(spark):
+    """Whole recall is 1.0 here: 2400 vectors of 64 dimensions split into leaves of 32, each pair found in some tree."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((1200, 64))
+    noise = rng.standard_normal((1200, 64)) * rng.uniform(0.05, 0.45, (1200, 1))
+    x = np.concatenate([base, base + noise])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    trees = vector_dedup.fit(unit, len(unit), vector_dedup.Forest())
+    assert min(len(t) for t in trees) > 30
+    want = int(((unit @ unit.T) >= 0.93).sum() - len(x))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    for forest in (vector_dedup.Forest(), vector_dedup.Forest(block=500)):
+        found = sum(r["n_links"] for r in vector_dedup.near_duplicates(df, forest).collect())
+        assert 0.99 * want <= found <= want, (found, want)
+
+
 def test_licenses(spark):
     rows = [(0, prose(40, 1) + " Released under the MIT license. " + prose(300, 2)), (1, licenses.TEMPLATES["GPL-3.0-header"]), (2, None), (3, ""), (4, "released under"), (5, prose(50, 3)),
             (6, ("Licensed under the Apache License, Version 2.0. " * 3) + "Licensed under CC BY-NC 4.0")]
