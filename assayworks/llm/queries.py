@@ -168,20 +168,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _license_sql() -> str:
     """Every window's exact shares, without the bands."""
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(licenses.TEMPLATES.items()))
+    quoted = {k: v.replace("'", "''") for k, v in sorted(licenses.TEMPLATES.items())}
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in quoted.items())
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
 with t(name, text) as (values {rows}),
 tw as (select name, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from t),
-tc as (select name, ws, case when len(ws) <= 6 then 6 when len(ws) <= 12 then 12 when len(ws) <= 24 then 24 when len(ws) <= 48 then 48 else 96 end as step from tw),
-ts as (select distinct name, step, array_to_string(ws[i:i + 4], ' ') as g from (select name, step, ws, unnest(range(1, len(ws) - 3)) as i from tc)),
-tn as (select name, count(*) as n from ts group by 1),
+tg as (select distinct name, array_to_string(ws[i:i + 4], ' ') as g from (select name, ws, unnest(range(1, len(ws) - 3)) as i from tw)),
+tn as (select name, count(*) as n, (4 * power(2, greatest(0, ceil(log2(count(*) / 16)))))::int as step from tg group by 1),
+ts as (select name, step, g from tg join tn using (name)),
 dw as (select doc_id, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
 ds as (select doc_id, i - 1 as i, array_to_string(ws[i:i + 4], ' ') as g from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from dw)),
 inside as (
   select doc_id, name, w * step as a0, g
-  from (select doc_id, name, step, g, i, unnest([i // step, i // step - 1]) as w from ds join ts using (g))
-  where w >= 0 and i <= w * step + 2 * step - 5),
+  from (select doc_id, name, step, g, unnest(range(i // step - 4, i // step + 1)) as w from ds join ts using (g))
+  where w >= 0),
 share as (select doc_id, name, a0, count(distinct g) / any_value(n) as share from inside join tn using (name) group by 1, 2, 3),
 best as (select doc_id, name, arg_max(a0, (share, -a0)) as a1 from share where share >= 0.8 group by 1, 2)
 select d.doc_id, count(name)::bigint as n_licenses, coalesce(string_agg(name || ':' || a1, ',' order by name), '') as licenses

@@ -364,13 +364,43 @@ def test_trees_split_and_find(spark):
 def test_licenses(spark):
     rows = [(0, prose(40, 1) + " Released under the MIT license. " + prose(300, 2)), (1, licenses.TEMPLATES["GPL-3.0-header"]), (2, None), (3, ""), (4, "released under"), (5, prose(50, 3)),
             (6, ("Licensed under the Apache License, Version 2.0. " * 3) + "Licensed under CC BY-NC 4.0")]
-    df = spark.createDataFrame(rows + rows[:1], DOCS).withColumn("hit", F.lit("clash"))
+    df = spark.createDataFrame(rows + rows[:1], DOCS).withColumns({c: F.lit("clash") for c in ("hit", "sh", "found", "id")})
     got = [(r["doc_id"], [m["license"] for m in r["matches"]]) for r in licenses.scan(df).collect()]
     assert sorted(got) == [(0, ["MIT"]), (0, ["MIT"]), (1, ["GPL-3.0-header"]), (2, []), (3, []), (4, []), (5, []), (6, ["Apache-2.0", "CC-BY-NC-4.0"])]
+    assert licenses.scan(df.where("false")).count() == 0
     with pytest.raises(ValueError):
         licenses.scan(df, {"x": "too short"})
 
 
+def test_whole_licenses_brute_force(spark):
+    """Whole texts, with words changed, in long documents: bands find what exact shares over all windows find."""
+    rng = random.Random(12)
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())
+    grams = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, words(v)) for k, v in licenses.TEMPLATES.items())}
+    rows = []
+    for i in range(120):
+        name = rng.choice([k for k in grams if len(grams[k]) > 16])
+        w = licenses.TEMPLATES[name].split()
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            w[rng.randrange(len(w))] = "changed"
+        rows.append((i, prose(rng.randint(0, 300), i) + " " + " ".join(w) + " " + prose(rng.randint(0, 3000), i + 999)))
+    got = {r["doc_id"]: {m["license"]: (round(m["share"], 9), m["at"]) for m in r["matches"]} for r in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    wanted = missed = 0
+    for i, t in rows:
+        w = words(t)
+        of = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        for name, g in grams.items():
+            step = licenses.block_of(licenses.class_of(len(g)))
+            best = max((len(g & set(of[a : a + 5 * step])) / len(g), -a) for a in range(0, len(of), step))
+            if best[0] >= 0.8:
+                wanted += 1
+                missed += name not in got[i]
+                assert name not in got[i] or got[i][name] == (round(best[0], 9), -best[1])
+            else:
+                assert name not in got[i]
+    assert wanted > 120 and missed <= 0.01 * wanted
+
+
 def test_shared_dir_is_the_sessions(spark):
     from assayworks.llm.shared import shared_dir
 
