@@ -310,19 +310,19 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
         stars.join(reps.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
         .join(reps.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
     )
-    tried = written(_estimated(with_sig, s), "pairs")
+    tried = written(_estimated(with_sig, s), "pairs", few=False)
     texts = _texts_of(docs, tried.select(F.explode(F.array("a", "b")).alias("id")), s)
-    links = written(_confirmed(tried, texts, s), "links")
+    links = written(_confirmed(tried, texts, s), "links", few=False)
     forget(texts, tried, leaders)
     hung = components(links)
     rest = written(_open_buckets(crowded, hung).join(reps, "id").select("key", "id", "comp", "n", "sig", "bands"), "open")
     every = _cells(rest, s)
-    cells = written(_hopeful(every, s), "cells")
+    cells = written(_hopeful(every, s), "cells", few=False)
     release(every)
     forget(rest, crowded)
     if cells.head(1):
         texts = _texts_of(docs, cells.select("id"), s)
-        found = written(_cross_links(cells, texts, s), "links")
+        found = written(_cross_links(cells, texts, s), "links", few=False)
         forget(texts)
         if found.head(1):
             release(hung)

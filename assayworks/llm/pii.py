@@ -239,7 +239,7 @@ def _term_spans(texts: DataFrame, told: DataFrame, d: Disclosure) -> DataFrame:
     held = texts.join(_bounded(there.select(*KEY), d.broadcast_texts), KEY, "left_semi")
     held = held.dropDuplicates(KEY).join(there, KEY).select(*KEY, "text", F.map_from_entries("ranks").alias("ranks"))
     extra = _located(F.col("text"), _WORD, lambda x: F.try_element_at(F.col("ranks"), F.lower(x)))
-    extra = written(held.select(*KEY, extra.alias("extra")), "extra")
+    extra = written(held.select(*KEY, extra.alias("extra")), "extra", few=False)
     forget(there)
     return extra
 

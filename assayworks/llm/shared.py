@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
-#: What goes to Python at a time where texts do.
-_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+#: While a table is written: what goes to Python at a time, and small partitions put together up to the advisory size.
+_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+_WRITING = {**_ARROW, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,13 +56,16 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back; texts go to Python in small batches meanwhile."""
+def written(df: DataFrame, name: str, few: bool = True) -> DataFrame:
+    """Write a table to the shared folder and read it back; texts go to Python in small batches meanwhile.
+
+    ``few``: no more files than their size asks for; else as many tasks as there are, for work that is more than its rows.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     schema = df.schema
-    with settings(spark, _ARROW):
-        df.write.parquet(path)
+    with settings(spark, _WRITING if few else _ARROW):
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._shared_path = path
     return out

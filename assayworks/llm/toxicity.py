@@ -517,7 +517,7 @@ def score(docs: DataFrame, labels: DataFrame, training: Training | None = None,
     few = bounds.count() <= t.most_broadcast
     marked = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     found = _looked_up(marked, {r["e"]: r["bound"] for r in bounds.collect()}, model, c) if few else _joined(marked, bounds, model, c)
-    out = written(found, "scores")
+    out = written(found, "scores", few=False)
     release(found)
     forget(bounds)
     return reading(out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), out)
