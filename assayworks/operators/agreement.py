@@ -48,6 +48,18 @@ def kappa_alpha(df: DataFrame, a: str, b: str) -> DataFrame:
     return total.join(F.broadcast(m)).select(kappa.alias("cohen_kappa"), alpha.alias("krippendorff_alpha"))
 
 
+def range_bucket(df: DataFrame, column: str, most: int = 10_000, parts: int = 256) -> Column:
+    """The number of a value's range, of so many ranges of about equal size; all are 0 in a table of at most ``most`` rows.
+
+    Bounds are literals, so every use deals rows alike.
+    """
+    if df.limit(most + 1).count() <= most:
+        return F.lit(0)
+    bounds = sorted(set(df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.25 / parts)))
+    array = F.array(*map(F.lit, bounds))
+    return F.size(F.filter(array, lambda b: b < F.col(column)))
+
+
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Rank correlation over complete pairs, ties by their average rank; null if a side is constant.
 
@@ -58,8 +70,12 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
 
     def ranks(c: str) -> DataFrame:
         each = pairs.groupBy(c).agg(F.sum("n").alias("k"))
-        below = F.coalesce(F.sum("k").over(W.orderBy(c).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        return each.select(c, (below + (F.col("k") + 1) / 2).alias(f"r{c}"))
+        bucket = range_bucket(each, c)
+        sizes = each.groupBy(bucket.alias("b")).agg(F.sum("k").alias("s"))
+        before = sizes.select("b", F.coalesce(F.sum("s").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+        own = W.partitionBy("b").orderBy(c).rowsBetween(W.unboundedPreceding, -1)
+        below = F.col("before") + F.coalesce(F.sum("k").over(own), F.lit(0))
+        return each.withColumn("b", bucket).join(F.broadcast(before), "b").select(c, (below + (F.col("k") + 1) / 2).alias(f"r{c}"))
 
     ranked = pairs.join(ranks("x"), "x").join(ranks("y"), "y")
     s = ranked.agg(
@@ -82,11 +98,22 @@ def agreement(df: DataFrame, criteria: list[str]) -> DataFrame:
 
 
 def split(df: DataFrame, column: str, share: float, order: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by whole groups, ``clamp(int(n * share), 1, n - 1)`` groups to train; null groups test."""
-    groups = df.where(F.col(column).isNotNull()).select(column).distinct()
+    """Train and test rows by whole groups, ``clamp(int(n * share), 1, n - 1)`` groups to train; null groups test.
+
+    The order's value at the cut comes from counts over buckets of it, so no task sorts all groups.
+    """
+    order = order if order is not None else F.xxhash64(F.lit(42384), column)
+    groups = df.where(F.col(column).isNotNull()).select(column).distinct().withColumn("_order", order.cast("long"))
     n = groups.count()
     if n < 2:
         raise ValueError("a split needs two groups")
-    order = order if order is not None else F.xxhash64(F.lit(42384), column)
-    taken = groups.orderBy(order, column).limit(min(max(int(n * share), 1), n - 1))
+    left = min(max(int(n * share), 1), n - 1)
+    bucket = range_bucket(groups, "_order")
+    sizes = {r["b"]: r["n"] for r in groups.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()}
+    at = min(sizes)
+    while left > sizes.get(at, 0):
+        left -= sizes.get(at, 0)
+        at += 1
+    last = groups.where(bucket == at).orderBy("_order", column).limit(left).select(column)
+    taken = groups.where(bucket < at).select(column).unionByName(last)
     return df.join(taken, column, "left_semi"), df.join(taken, column, "left_anti")

@@ -1,15 +1,23 @@
-"""Closed answer scales: inferred from labels, and used to read a judge's answers."""
+"""Closed answer scales: inferred from labels, described to a judge, and used to read its answers."""
 
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayworks.operators.contract import ContractError
+
+#: How many values a scale lists at most, in its strict and in its plain form.
+MOST_STRICT, MOST_PLAIN = 10, 50
+_JSON_KINDS = {"long": "integer", "double": "number", "boolean": "boolean", "string": "string"}
+
 
 @dataclass(frozen=True)
 class Scale:
@@ -18,6 +26,60 @@ class Scale:
     #: None: too many values to list, any value of the kind goes.
     values: tuple | None
     nullable: bool
+    #: Values are described and answered as text, and read back as they were.
+    as_labels: bool = False
+    description: str = ""
+
+    def labels(self) -> dict[str, Any]:
+        """Texts of the values, and the values; two values that read alike are refused."""
+        texts = [str(v) for v in self.values or ()]
+        if len(set(texts)) != len(texts):
+            raise ContractError(f"{self.name}: labels that read alike: {sorted(texts)}")
+        return dict(zip(texts, self.values or (), strict=True))
+
+    def read(self, value: Any) -> Any:
+        """A value of an answer as one of the scale; raises :class:`ContractError`."""
+        if value is None:
+            if self.nullable:
+                return None
+            raise ContractError(f"{self.name}: a value is missing")
+        if self.values is not None and self.as_labels:
+            known = self.labels()
+            if str(value) not in known:
+                raise ContractError(f"{self.name}: {value!r} is none of {sorted(known)}")
+            return known[str(value)]
+        value = _of_kind(value, self.kind, self.name)
+        if self.values is not None and value not in self.values:
+            raise ContractError(f"{self.name}: {value!r} is none of {list(self.values)}")
+        return value
+
+    def schema(self) -> dict[str, Any]:
+        """The JSON schema of the field."""
+        out: dict[str, Any] = {"type": _JSON_KINDS[self.kind]}
+        if self.values is not None:
+            out = {"type": "string", "enum": list(self.labels())} if self.as_labels else {**out, "enum": list(self.values)}
+        if self.nullable:
+            out = {"anyOf": [out, {"type": "null"}], "default": None}
+        return {**out, "description": self.description or f"Value of {self.name}"}
+
+
+def _of_kind(value: Any, kind: str, name: str) -> Any:
+    """A JSON value as a kind: whole numbers are integers, integers are numbers; numbers in text count."""
+    if kind == "boolean":
+        found = {True: True, False: False, "true": True, "false": False}.get(value) if isinstance(value, (bool, str)) else None
+    elif kind == "string":
+        found = value if isinstance(value, str) else None
+    else:
+        try:
+            number = None if isinstance(value, bool) else float(value)
+        except (TypeError, ValueError):
+            number = None
+        if number is not None and not math.isfinite(number):
+            number = None
+        found = number if kind == "double" else int(number) if number is not None and number == int(number) else None
+    if found is None:
+        raise ContractError(f"{name}: {value!r} is no {kind}")
+    return found
 
 
 def _kind(t: T.DataType) -> str:
@@ -28,29 +90,73 @@ def _kind(t: T.DataType) -> str:
     return "double" if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)) else "string"
 
 
-def infer_scale(df: DataFrame, column: str, most: int = 50) -> Scale:
-    """The distinct values of a column, if there are 1 to ``most``; doubles that are all whole are integers."""
-    kind, c = _kind(df.schema[column].dataType), F.col(column)
-    values = [r[0] for r in df.where(c.isNotNull()).select(column).distinct().limit(most + 1).collect()]
+def infer_scale(df: DataFrame, column: str, most: int = MOST_PLAIN, as_labels: bool = False, description: str = "") -> Scale:
+    """The distinct values of a column, if there are 1 to ``most``; doubles with gaps that are all whole are integers."""
+    if column not in df.columns:
+        raise ContractError(f"column {column} is missing")
+    kind, c = _kind(df.schema[column].dataType), F.col(f"`{column}`")
+    values = [r[0] for r in df.where(c.isNotNull()).select(c).distinct().limit(most + 1).collect()]
     nullable = bool(df.where(c.isNull()).head(1))
-    if kind == "double":
-        whole = df.where(c.isNotNull() & (c != F.floor(c))).head(1) == []
-        if whole and values and nullable:
+    if kind == "double" and values and nullable:
+        whole = not df.where(c.isNotNull() & (c != F.floor(c))).head(1)
+        if whole:
             kind, values = "long", [int(v) for v in values]
-    named = {str(v).strip() for v in values}
-    if len(named) != len(values):
-        raise ValueError(f"{column}: labels that read alike")
-    return Scale(column, kind, tuple(sorted(values)) if 1 <= len(values) <= most else None, nullable)
+    out = Scale(column, kind, tuple(sorted(values)) if 1 <= len(values) <= most else None, nullable, as_labels, description)
+    if as_labels:
+        out.labels()
+    return out
+
+
+def strict_scales(df: DataFrame, columns: list[str]) -> list[Scale]:
+    """Scales of up to ten values, answered as they are."""
+    return [infer_scale(df, c, MOST_STRICT) for c in columns]
+
+
+def labelled_scales(df: DataFrame, columns: list[str], descriptions: dict[str, str] | None = None) -> list[Scale]:
+    """Scales of up to fifty values, described and answered as text and read back as the values."""
+    return [infer_scale(df, c, MOST_PLAIN, True, (descriptions or {}).get(c, "")) for c in columns]
+
+
+def json_schema(scales: list[Scale], title: str = "Assessment") -> dict[str, Any]:
+    """The JSON schema of an answer."""
+    needed = [s.name for s in scales if not s.nullable]
+    return {"title": title, "type": "object", "properties": {s.name: s.schema() for s in scales}, "required": needed}
+
+
+def read_answer(answer: dict[str, Any], scales: list[Scale]) -> dict[str, Any]:
+    """The fields of an answer on their scales, flat or under ``answer``; raises :class:`ContractError`."""
+    inner = answer.get("answer", answer)
+    if not isinstance(inner, dict):
+        raise ContractError("an answer must be a JSON object")
+    if "properties" in inner and not any(s.name in inner for s in scales):
+        raise ContractError("the schema came back instead of an answer")
+    return {s.name: s.read(inner.get(s.name)) for s in scales}
+
+
+def validate_answer(answer: dict[str, Any], scales: list[Scale]) -> tuple[bool, list[str]]:
+    """Whether an answer is on the scales, and what is wrong with each field."""
+    wrong = []
+    for part in ([s] for s in scales):
+        try:
+            read_answer(answer, part if "properties" not in answer else scales)
+        except ContractError as e:
+            wrong.append(str(e))
+    return not wrong, wrong
 
 
 def parse_answers(raw: Column, scales: list[Scale]) -> list[Column]:
     """``agent_<name>`` for each scale from JSON, flat or under ``answer``; what is off the scale is null."""
     out = []
     for s in scales:
-        text = F.coalesce(F.get_json_object(raw, f"$.answer.{s.name}"), F.get_json_object(raw, f"$.{s.name}"))
-        value = text.try_cast(s.kind)
-        if s.values is not None:
-            value = F.when(value.isin(*s.values), value)
+        text = F.coalesce(F.get_json_object(raw, f"$.answer['{s.name}']"), F.get_json_object(raw, f"$['{s.name}']"))
+        if s.as_labels and s.values is not None:
+            known = {t: v for k, v in s.labels().items() for t in (k, v if isinstance(v, str) else json.dumps(v))}
+            pairs = [F.lit(x) for k, v in known.items() for x in (k, v)]
+            value = F.try_element_at(F.create_map(*pairs), text)
+        else:
+            value = text.try_cast(s.kind)
+            if s.values is not None:
+                value = F.when(value.isin(*s.values), value)
         out.append(value.alias(f"agent_{s.name}"))
     return out
 
@@ -58,20 +164,23 @@ def parse_answers(raw: Column, scales: list[Scale]) -> list[Column]:
 @F.arrow_udf(T.StringType())
 def last_json_object(texts: pa.Array) -> pa.Array:
     """The last JSON object at the top level of a text, after any thoughts; null if there is none."""
-    return pa.array([_last_object(t.as_py()) for t in texts], pa.string())
+    return pa.array([None if (found := last_object(t.as_py())) is None else json.dumps(found, ensure_ascii=False, sort_keys=True) for t in texts], pa.string())
 
 
-def _last_object(text: str | None) -> str | None:
+def last_object(text: str | None) -> dict[str, Any] | None:
+    """What ends at the rightmost closing brace that ends an object, from the leftmost brace that begins one there."""
     if text is None:
         return None
-    text = text.rsplit("</think>", 1)[-1]
-    decoder, at, found = json.JSONDecoder(), text.find("{"), None
-    while at >= 0:
-        try:
-            value, end = decoder.raw_decode(text, at)
-        except ValueError:
-            end = at + 1
-        else:
-            found = json.dumps(value, ensure_ascii=False, sort_keys=True) if isinstance(value, dict) else found
-        at = text.find("{", end)
-    return found
+    begin = text.rfind("</think>") + 1
+    opening = [i for i in range(begin, len(text)) if text[i] == "{"]
+    closing = [i for i in range(begin, len(text)) if text[i] == "}"]
+    for end in reversed(closing):
+        for start in opening:
+            if start > end:
+                break
+            try:
+                found = json.loads(text[start : end + 1])
+            except ValueError:
+                continue
+            return found
+    return None

@@ -9,25 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayworks.functions.cells import blank, equality_key, turn_number
+from assayworks.functions.sequences import dialogue
 from assayworks.operators.contract import SCORE, Contract, require
 from assayworks.operators.scoring import with_sources
+from assayworks.sources.kept import numbered
 
 REQUIRED = ("query_id", "input_query", "output_answer")
 
 
 def with_positions(df: DataFrame, order: list[str]) -> DataFrame:
-    """Number rows by columns that order them, without one task sorting all: offsets of range partitions."""
-    if "_pos" in df.columns:
-        return df
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
-    part = F.shiftright("_m", 33)
-    sizes = ranged.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
-    starts = sizes.withColumn("_s", F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)))  # a row for each partition
-    starts = starts.select("_p", F.coalesce("_s", F.lit(0)).alias("_s"))
-    out = ranged.join(F.broadcast(starts), part == F.col("_p"))
-    return out.withColumn("_pos", F.col("_s") + F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m", "_p", "_s")
+    """Number rows by columns that order them, in ``_pos``; a table that has it stays as it is."""
+    return df if "_pos" in df.columns else numbered(df, order, "_pos")
 
 
 def _group_keys(df: DataFrame, column: str) -> tuple[Column, Column]:
@@ -74,7 +69,9 @@ def ordered_groups(df: DataFrame) -> DataFrame:
 
 
 def unpack(packed: DataFrame) -> DataFrame:
-    """One row a turn out of ``dialogue: array<array<string>>`` with ``session_id``."""
+    """One row a turn out of ``dialogue`` (``array<array<string>>``, or text in any form of it) with ``session_id``."""
+    if isinstance(packed.schema["dialogue"].dataType, T.StringType):
+        packed = packed.withColumn("dialogue", dialogue(F.col("dialogue")))
     named = packed.drop("reference_group_id", "turn_index")
     if "session_id" not in named.columns:
         named = named.withColumn("session_id", F.lit(None).cast("string"))

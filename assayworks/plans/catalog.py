@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from assayworks.functions.cells import blank, equality_key, trimmed, turn_number
-from assayworks.operators import agreement, judge, retrieval, scoring, units, voting
+from assayworks.operators import agreement, embedding, judge, prompts, retrieval, scoring, units, voting
 from assayworks.operators import schema as scales
 from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
 from assayworks.sources import traces
@@ -402,12 +402,57 @@ def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(retrieval.fixed_chunks(F.col("text"))).alias("chunk", "part"))
 
 
+_HYBRID = (
+    _BM25
+    + """
+, e as (select vec_id, embedding::double[] as v from embeddings),
+grid as (select item_id as query_id, doc_id as doc_idx, coalesce(score, 0) as score
+  from benchmark cross join documents left join scored on query_id = item_id and doc_idx = doc_id),
+sp as (select query_id, doc_idx, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as r from grid),
+de as (
+  select query_id, doc_idx, score, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as r from (
+    select q.vec_id as query_id, d.vec_id as doc_idx, 1 - (2 - 2 * list_cosine_similarity(q.v, d.v)) / sqrt(2.0) as score
+    from e q join benchmark on item_id = q.vec_id, e d join documents on doc_id = d.vec_id)),
+f as (
+  select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_idx, b.doc_idx) as doc_idx, a.r as ra, b.r as rb,
+    (1 - {beta}) * coalesce(a.score, 0) + {beta} * coalesce((1 / (60.0 + b.r) - 1 / (60.0 + n)) / (1 / 61.0 - 1 / (60.0 + n)), 0) as total
+  from (select * from de where r <= {k}) a full join (select * from sp where r <= {k}) b on a.query_id = b.query_id and a.doc_idx = b.doc_idx,
+    (select count(*) as n from documents))
+select query_id, doc_idx, round(total, 6) as score, rank from (
+  select *, row_number() over (partition by query_id order by round(total, 9) desc, ra nulls last, rb nulls last, doc_idx desc)::int as rank from f) where rank <= {k}"""
+)
+
+
+def _both_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Benchmark items and documents with the vectors of their numbers, where there are any."""
+    e = _read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    q, c = _corpus(spark, sf_dir)
+    return q.join(e, F.col("query_id") == F.col("vec_id"), "left").drop("vec_id"), c.join(e, F.col("doc_idx") == F.col("vec_id"), "left").drop("vec_id")
+
+
+@_query(_HYBRID.replace("{beta}", "0.8").replace("{k}", "10"))
+def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = retrieval.hybrid_search(*_both_sides(spark, sf_dir))
+    return found.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
+
+
+@_query(_HYBRID.replace("{beta}", "0.5").replace("{k}", "5"))
+def subject_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, c = _both_sides(spark, sf_dir)
+    corpus = c.select("doc_idx", "vector", F.col("text").alias("content"), F.lit("documents").alias("source"), F.lit(0).alias("chunk_id"))
+    found = retrieval.create_retriever("content", corpus).search(q)
+    return found.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
+
+
 @_query("""
-select label, i::int as i, round(avg(x), 6) as mean from (select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) - 1 as i from embeddings)
-group by 1, 2""")
+select doc_id, round(avg(length(part)), 6) as mean_length, round(avg(length(part) - length(replace(part, 'e', ''))), 6) as mean_e
+from (select doc_id, substr(text, (unnest(range(0, greatest(length(text) - 1, 0) // 1000 + 1)) * 1000 + 1)::int, 1000) as part from documents) group by 1""")
 def embed_chunk_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
-    return e.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
+    """Vectors of two numbers for each chunk, and their means."""
+    vector = lambda p: F.array(F.length(p).cast("double"), (F.length(p) - F.length(F.replace(p, F.lit("e"), F.lit("")))).cast("double"))
+    d = _read(spark, sf_dir, "documents").select("doc_id", F.transform(retrieval.fixed_chunks(F.col("text")), vector).alias("v"))
+    mean = d.select("doc_id", embedding.mean_vector(F.col("v")).alias("m"))
+    return mean.select("doc_id", F.round(F.col("m")[0], 6).alias("mean_length"), F.round(F.col("m")[1], 6).alias("mean_e"))
 
 
 @_query(_VECTORS + """
@@ -448,17 +493,69 @@ def parse_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(r"""
-select event_id, trim(event_type || ' ') = '' as is_blank, 'number:' || value_key as k, cast(case when event_id % 4 > 0 then event_id % 4 end as bigint) as turn
-from (select event_id, event_type, (event_id % 10)::varchar as value_key from events)""")
+select event_id, event_id % 3 < 2 as is_blank,
+  case when event_id % 3 = 2 then 'text:' || event_type end as text_key,
+  'number:' || case when (event_id % 10) % 4 = 0 then ((event_id % 10) // 4)::varchar else rtrim(((event_id % 10) / 4.0)::decimal(9, 2)::varchar, '0') end as number_key,
+  case when event_id % 5 in (1, 2) then (event_id % 5)::bigint when event_id % 5 = 3 then 3::bigint end as turn
+from events""")
 def cell_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events")
-    rows = e.select("event_id", "event_type", (F.col("event_id") % 10).cast("double").alias("v"), (F.col("event_id") % 4).cast("string").alias("t"))
+    """Blanks of Unicode, empty texts and words in other cases; fractions; turns as text, whole, fractional and none."""
+    e, at = _read(spark, sf_dir, "events"), F.col("event_id")
+    word = F.when(at % 3 == 0, F.lit(" \t ")).when(at % 3 == 1, F.lit("")).otherwise(F.concat(F.lit(" "), F.upper("event_type"), F.lit("  ")))
+    turn = F.when(at % 5 == 3, F.lit(" 3.0")).when(at % 5 == 4, F.lit("1.5")).otherwise(F.concat(F.lit(" "), (at % 5).cast("string"), F.lit(" ")))
+    rows = e.select("event_id", word.alias("w"), ((at % 10) / 4.0).alias("v"), turn.alias("t"))
+    kind = lambda c: rows.schema[c].dataType
     return rows.select(
-        "event_id", blank(F.concat("event_type", F.lit(" \t"))).alias("is_blank"), equality_key(F.col("v"), rows.schema["v"].dataType).alias("k"),
-        turn_number(trimmed(F.concat(F.lit(" "), "t")), rows.schema["t"].dataType).alias("turn"),
+        "event_id", blank(F.col("w"), kind("w")).alias("is_blank"), equality_key(F.col("w"), kind("w")).alias("text_key"),
+        equality_key(F.col("v"), kind("v")).alias("number_key"), turn_number(F.col("t"), kind("t")).alias("turn"),
     )
 
 
+@_query("""
+select doc_id, '{"lang":"' || lang || '","quality":' || coalesce(quality::varchar, 'null') || ',"source":"' || source || '","toxic":' || coalesce(toxic::varchar, 'null') || '}' as record
+from documents left join labels using (doc_id)""")
+def record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with keys in order and nulls kept."""
+    held = _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels"), "doc_id", "left")
+    return held.select("doc_id", prompts.record_json(held, ["toxic", "lang", "source", "quality"]).alias("record"))
+
+
+@_query("""
+with v as (
+  select doc_id, [case when doc_id % 2 > 0 then doc_id // 1 % 2 end, case when doc_id % 3 > 0 then doc_id // 2 % 2 end, case when doc_id % 5 > 0 then doc_id // 4 % 2 end] as runs from documents),
+c as (select *, list_filter(runs, lambda x: x is not null) as told from v)
+select doc_id, runs[1] as agent_0_quality, runs[2] as agent_1_quality, runs[3] as agent_2_quality,
+  case when len(told) = 0 then null when 2 * list_sum(told) > len(told) then 1 when 2 * list_sum(told) < len(told) then 0 else told[1] end::bigint as agent_quality
+from c""")
+def vote_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of a judge: answers as JSON with labels, some missing, and their vote."""
+    scale = scales.Scale("quality", "long", (0, 1), False, True)
+    at, run = F.col("doc_id"), F.col("run")
+    value = F.floor(at / F.pow(F.lit(2), run)).cast("long") % 2
+    lost = at % F.element_at(F.array(F.lit(2), F.lit(3), F.lit(5)), run + 1) == 0
+    told = F.when(at % 2 == 0, F.concat(F.lit('{"quality": "'), value.cast("string"), F.lit('"}'))).otherwise(F.concat(F.lit('{"answer": {"quality": '), value.cast("string"), F.lit("}}")))
+    asked = judge.in_runs(_read(spark, sf_dir, "documents").select("doc_id"), 3)
+    answers = asked.select("doc_id", "run", F.when(~lost, told).alias("answer"))
+    return judge.voted(answers, [scale], 3, "doc_id")
+
+
+@_query("""
+select reference_group_id, query_id, turn_index, output_answer from (
+  select event_id::varchar as reference_group_id, 'e' || event_id as query_id, 1::bigint as turn_index, event_type as output_answer from events
+  union all select event_id::varchar, event_id || '-t2', 2, 'it''s "' || user_id || '"' from events)""")
+def unpack_text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed dialogues as JSON, as literals and as printed arrays without commas."""
+    e = _read(spark, sf_dir, "events")
+    two = F.concat(F.lit("it's "), F.lit('\\"'), F.col("user_id").cast("string"), F.lit('\\"'))
+    one = lambda q: F.concat(F.lit(f"{q}e"), F.col("event_id").cast("string"), F.lit(f"{q}, {q}in{q}, {q}"), F.col("event_type"), F.lit(q))
+    json = F.concat(F.lit("[["), one('"'), F.lit('], [null, "", "'), two, F.lit('"]]'))
+    literal = F.concat(F.lit("[("), one("'"), F.lit("), (None, '', \""), two, F.lit('")]'))
+    arrays = F.concat(F.lit("[array(["), one("'"), F.lit("], dtype=object)\n array([None, '', \""), two, F.lit('"], dtype=object)]'))
+    text = F.when(F.col("event_id") % 3 == 0, json).when(F.col("event_id") % 3 == 1, literal).otherwise(arrays)
+    packed = e.select(F.col("event_id").alias("_pos"), F.col("event_id").cast("string").alias("session_id"), text.alias("dialogue"))
+    return units.unpack(packed).select("reference_group_id", "query_id", "turn_index", "output_answer")
+
+
 @_query("""
 select user_id::varchar as query_id, 'k' || (props::json ->> '$.k') as output_answer from (
   select *, row_number() over (partition by user_id order by event_id) as r from events where event_type = 'click') where r = 1""")
@@ -474,6 +571,55 @@ def trace_extract_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traces.convert(spans, span_names=("click",)).select("query_id", "output_answer")
 
 
+def _spans(spark: SparkSession, sf_dir: str, name: str, text) -> DataFrame:
+    e = _read(spark, sf_dir, "events")
+    return e.select(
+        F.col("user_id").cast("string").alias("trace_id"), F.col("user_id").cast("string").alias("session_id"), F.lit("chain").alias("aef_kind"),
+        F.lit(name).alias("span_name"), F.to_json(text).alias("input_text"), F.to_json(text).alias("output_text"),
+        F.col("ts").cast("string").alias("start_time"), F.col("ts").cast("string").alias("end_time"), F.col("event_id").alias("_pos"),
+    )
+
+
+_FIRST_ANSWERED = """
+select user_id::varchar as query_id, event_type as input_query, {answer} as output_answer from (
+  select *, row_number() over (partition by user_id order by (event_id % 3 = 0)::int desc, event_id) as r from events) where r = 1"""
+
+
+@_query(_FIRST_ANSWERED.replace("{answer}", "case when event_id % 3 = 0 then 'a' || event_id else '' end"))
+def trace_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States: question and answer both in the input, answers only in some spans of a trace."""
+    said = F.struct(F.lit("human").alias("type"), F.col("event_type").alias("content"))
+    answer = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("a"), F.col("event_id").cast("string")))
+    body = F.struct(F.array(said).alias("messages"), F.lit("external").alias("stage"), answer.alias("message_to_user"))
+    found = traces.convert(_spans(spark, sf_dir, "graph", body), ("graph",), (), "input_text", "input_text")
+    return found.select("query_id", "input_query", "output_answer")
+
+
+@_query(_FIRST_ANSWERED.replace("{answer}", "case when event_id % 3 = 0 then 'a' || event_id || chr(10) || 'b' else '' end"))
+def trace_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes: what went out in parts, and the new state's messages."""
+    said = F.struct(F.lit("human").alias("type"), F.col("event_type").alias("content"))
+    part = lambda c: F.struct(F.lit("text").alias("type"), c.alias("value"))
+    parts = F.array(part(F.concat(F.lit("a"), F.col("event_id").cast("string"))), part(F.lit("b")))
+    sent = F.struct(F.struct(F.when(F.col("event_id") % 3 == 0, parts).alias("message")).alias("content"))
+    body = F.struct(sent.alias("outgoing"), F.struct(F.array(said).alias("messages")).alias("new_state"))
+    found = traces.convert(_spans(spark, sf_dir, "x", body), (), ("chain",))
+    return found.select("query_id", "input_query", "output_answer")
+
+
+@_query("select user_id::varchar as query_id, arg_min(event_type, event_id) as route from events group by 1")
+def trace_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classification: the route is the answer."""
+    body = F.struct(F.struct(F.col("event_type").alias("scenario")).alias("update"))
+    return traces.convert(_spans(spark, sf_dir, "exit", body), route_keys=("route", "scenario")).select("query_id", "route")
+
+
+@_query("select event_type as k, row_number() over (order by min(event_id)) - 1 as place from events group by 1")
+def distinct_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _read(spark, sf_dir, "events").select(F.col("event_id").alias("_pos"), F.col("event_type").alias("k"))
+    return prompts.numbered_by_first(e, "k")
+
+
 @_query()
 def judge_over_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offline judge: documents as examples, benchmark items as units; no SQL, the tests hold it against brute force."""

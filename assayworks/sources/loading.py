@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import io
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayworks.operators.contract import ContractError
+from assayworks.sources.documents import xlsx_rows
 
 SUFFIXES = (".parquet", ".csv", ".xlsx")
 
 
-def load_table(spark: SparkSession, value: DataFrame | str | None) -> DataFrame | None:
-    """A frame as it is, or a Parquet, CSV or XLSX file; a local folder must hold exactly one of these."""
+def load_table(spark: SparkSession, value: DataFrame | bytes | str | os.PathLike | None) -> DataFrame | None:
+    """A frame as it is, a Parquet file's bytes, or a Parquet, CSV or XLSX file; a local folder must hold exactly one of these."""
     if value is None or isinstance(value, DataFrame):
         return value
+    if isinstance(value, (bytes, bytearray, memoryview)):
+        return _of_bytes(spark, bytes(value))
     path = os.fspath(value)
     if os.path.isdir(path) and not path.rstrip("/").endswith(".parquet"):
         found = [f for f in sorted(os.listdir(path)) if f.lower().endswith(SUFFIXES)]
@@ -28,12 +34,39 @@ def load_table(spark: SparkSession, value: DataFrame | str | None) -> DataFrame
     if kind == ".csv":
         return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if kind == ".xlsx":
-        import pandas as pd
-
-        return spark.createDataFrame(pd.read_excel(path))
+        with open(path, "rb") as f:
+            return _sheet(spark, path, f.read())
     raise ContractError(f"{path}: not a table")
 
 
+def _of_bytes(spark: SparkSession, data: bytes) -> DataFrame:
+    """What came as bytes is on the driver already, and bounded by that."""
+    try:
+        table = pq.read_table(io.BytesIO(data))
+    except (pa.ArrowInvalid, OSError) as e:
+        raise ContractError(f"bytes that are no Parquet file: {e}") from e
+    return spark.createDataFrame(table)
+
+
+def _sheet(spark: SparkSession, path: str, data: bytes) -> DataFrame:
+    """The first sheet, its first row as names; cells as text."""
+    rows = xlsx_rows(data)
+    if not rows or None in rows[0]:
+        raise ContractError(f"{path}: the first row must name each column")
+    return spark.createDataFrame([tuple(r) for r in rows[1:]], ", ".join(f"`{c}` string" for c in rows[0]))
+
+
+def load_monitoring(spark: SparkSession, value: DataFrame | bytes | str | os.PathLike) -> DataFrame:
+    """A monitoring table: a frame, or Parquet by path or as bytes; all else is refused by name."""
+    if isinstance(value, DataFrame):
+        return value
+    if isinstance(value, (str, os.PathLike)) and not os.fspath(value).rstrip("/").lower().endswith(".parquet") and not os.path.isdir(value):
+        raise ContractError(f"{value}: a monitoring table is a Parquet file")
+    if not isinstance(value, (bytes, bytearray, memoryview, str, os.PathLike)):
+        raise ContractError(f"a monitoring table can't be a {type(value).__name__}")
+    return load_table(spark, value)
+
+
 def text_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``source, content`` of the plain-text documents (txt, md, csv) in a folder, read as UTF-8."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{txt,md,csv,TXT,MD,CSV}").load(folder)
@@ -77,8 +110,6 @@ def recursive_chunks(text: str, size: int = 1000, overlap: int = 200, separators
 
 def chunked(documents: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
     """``source, chunk_id, total_chunks, content`` of ``documents(source, content)``."""
-    import pyarrow as pa
-
     @F.arrow_udf("array<string>")
     def cut(texts: pa.Array) -> pa.Array:
         return pa.array([recursive_chunks(t or "", size, overlap) for t in texts.to_pylist()], pa.list_(pa.string()))

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from assayworks.functions.sequences import NotASequence, parse
+from assayworks.operators.contract import ContractError
+from assayworks.sources.loading import load_table
+
 _MESSAGE = "array<struct<type:string,content:string>>"
+_VALUE = "array<struct<type:string,value:string>>"
+CANONICAL = ("trace_id", "query_id", "session_id", "starttime", "endtime", "input_query", "output_answer")
+
+
+class ConversionError(ContractError):
+    """Spans that give no dialogue, or not the ones asked for."""
 
 
 def last_of(messages: Column, kind: str) -> Column:
@@ -14,47 +24,120 @@ def last_of(messages: Column, kind: str) -> Column:
     return F.try_element_at(F.filter(messages, lambda m: m["type"] == kind), F.lit(-1))["content"]
 
 
-def question_answer(family: str, text: Column, route_keys: tuple[str, ...] = ()) -> tuple[Column, Column]:
-    """Question and answer in a span's JSON: ``exit``, ``state`` or ``envelope``."""
-    if family == "envelope":
-        asked = F.from_json(F.get_json_object(text, "$.new_state.messages"), _MESSAGE)
-        said = F.from_json(F.get_json_object(text, "$.outgoing.content.message"), "array<struct<type:string,value:string>>")
-        answer = F.array_join(F.transform(said, lambda m: m["value"]), "\n")
-    else:
-        root = "$.update" if family == "exit" else "$"
-        asked = F.from_json(F.get_json_object(text, f"{root}.messages"), _MESSAGE)
-        answer = F.coalesce(F.get_json_object(text, f"{root}.message_to_user"), last_of(asked, "ai"))
-    if route_keys:
-        answer = F.coalesce(*[F.get_json_object(text, f"$.update.{k}") for k in route_keys], *[F.get_json_object(text, f"$.{k}") for k in route_keys])
-    return last_of(asked, "human"), answer
+def _full(c: Column) -> Column:
+    return F.when(F.trim(c) != "", c)
+
+
+def question_of(text: Column) -> Column:
+    """The last thing a human said, in an update, a state or an envelope's new state; else a state's current phrase."""
+    asked = [last_of(F.from_json(F.get_json_object(text, f"{root}.messages"), _MESSAGE), "human") for root in ("$.update", "$.new_state", "$")]
+    return F.coalesce(*map(_full, asked), _full(F.get_json_object(text, "$.current_phrase")))
+
+
+def answer_of(text: Column) -> Column:
+    """What went out in an envelope, or is for the user; else the last thing the agent said."""
+    out = F.from_json(F.get_json_object(text, "$.outgoing.content.message"), _VALUE)
+    sent = F.array_join(F.transform(F.filter(out, lambda m: m["value"].isNotNull()), lambda m: m["value"]), "\n")
+    told = [F.get_json_object(text, f"{root}.message_to_user") for root in ("$.update", "$")]
+    said = [last_of(F.from_json(F.get_json_object(text, f"{root}.messages"), _MESSAGE), "ai") for root in ("$.update", "$")]
+    return F.coalesce(_full(sent), *map(_full, told), *map(_full, said))
+
+
+def route_of(text: Column, keys: tuple[str, ...]) -> Column:
+    return F.coalesce(*[_full(F.get_json_object(text, f"{root}['{k}']")) for k in keys for root in ("$.update", "$", "$.new_state")])
+
+
+def _only(rows: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
+    return rows.where(F.col(column).isin(*values)) if values else rows
+
+
+def _known(rows: DataFrame, column: str, most: int = 20) -> list[str]:
+    """Some values of a column, for a message."""
+    return sorted(str(r[0]) for r in rows.select(column).distinct().limit(most).collect())
 
 
 def convert(
     spans: DataFrame,
-    family: str = "exit",
     span_names: tuple[str, ...] = ("exit",),
     kinds: tuple[str, ...] = (),
-    text: str = "output_text",
+    question_field: str = "output_text",
+    answer_field: str = "output_text",
     dedup: bool = True,
     route_keys: tuple[str, ...] = (),
+    basket_answers: tuple[str, ...] = (),
+    allow_empty: bool = False,
+    guards: bool = True,
 ) -> DataFrame:
-    """``spans`` (with ``_pos``) to ``trace_id, query_id, session_id, starttime, endtime, input_query, output_answer``.
+    """Spans to the columns ``CANONICAL`` (and ``route`` with ``route_keys``), and ``_pos`` where they have it.
 
     Empty filters let all through.  With ``dedup`` one row of each trace stays, one
-    with an answer first, then the first by position.
+    with an answer first, then the first by position (or by start).  With ``route_keys`` the
+    answer is the route taken.  Guards, which count, refuse spans of which none pass the
+    filters or none holds a dialogue, routes of a single class, and routes outside ``basket_answers``.
     """
-    rows = spans
-    if span_names:
-        rows = rows.where(F.col("span_name").isin(*span_names))
-    if kinds:
-        rows = rows.where(F.col("aef_kind").isin(*kinds))
-    question, answer = question_answer(family, F.col(text), route_keys)
+    if not spans.columns or (guards and not spans.head(1)):
+        if not allow_empty:
+            raise ConversionError("there are 0 spans")
+        fields = ", ".join(f"{c} string" for c in (*CANONICAL, *(["route"] if route_keys else [])))
+        return spans.sparkSession.createDataFrame([], fields)
+    rows = _only(_only(spans, "span_name", span_names), "aef_kind", kinds)
+    if guards and not rows.head(1) and not allow_empty:
+        raise ConversionError(f"no span passes {span_names} and {kinds}; there are the names {_known(spans, 'span_name')} and the kinds {_known(spans, 'aef_kind')}")
+    answer = route_of(F.col(answer_field), route_keys) if route_keys else answer_of(F.col(answer_field))
     out = rows.select(
-        "trace_id", F.col("trace_id").alias("query_id"), "session_id", F.col("start_time").alias("starttime"), F.col("end_time").alias("endtime"),
-        question.alias("input_query"), F.coalesce(answer, F.lit("")).alias("output_answer"), *(["_pos"] if "_pos" in rows.columns else []),
+        F.col("trace_id"), F.col("trace_id").alias("query_id"), "session_id", F.col("start_time").alias("starttime"), F.col("end_time").alias("endtime"),
+        F.coalesce(question_of(F.col(question_field)), F.lit("")).alias("input_query"), F.coalesce(answer, F.lit("")).alias("output_answer"),
+        *(["_pos"] if "_pos" in rows.columns else []),
     )
     if dedup:
-        empty = (F.coalesce(F.trim("output_answer"), F.lit("")) == "").cast("int")
-        order = [empty, F.col("_pos") if "_pos" in out.columns else F.col("starttime")]
+        order = [(F.trim("output_answer") == "").cast("int"), F.col("_pos") if "_pos" in out.columns else F.col("starttime")]
         out = out.withColumn("_r", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where("_r = 1").drop("_r")
-    return out.withColumn("route", F.col("output_answer")) if route_keys else out
+    if route_keys:
+        out = out.withColumn("route", F.col("output_answer"))
+    if guards:
+        _guard(out, bool(route_keys), basket_answers, allow_empty)
+    return out
+
+
+def _guard(out: DataFrame, routed: bool, basket: tuple[str, ...], allow_empty: bool) -> None:
+    full = F.when(F.trim("output_answer") != "", F.trim("output_answer"))
+    either = F.when((F.trim("output_answer") != "") | (F.trim("input_query") != ""), 1)
+    seen = out.agg(F.count("*").alias("n"), F.count(either).alias("told"), F.min(full).alias("lo"), F.max(full).alias("hi"), F.sum((~full.isin(*basket)).cast("int")).alias("off") if basket else F.lit(0).alias("off")).head()
+    if seen["n"] and not seen["told"] and not allow_empty:
+        raise ConversionError("no dialogue was found in any span")
+    if routed and seen["lo"] is not None and seen["lo"] == seen["hi"]:
+        raise ConversionError(f"all routes are of one class: {seen['lo']!r}")
+    if basket and seen["off"]:
+        raise ConversionError(f"{seen['off']} answers are outside the basket's vocabulary {sorted(basket)}")
+
+
+def _names(value) -> tuple[str, ...]:
+    """A filter given as text: a printed list, or names between commas."""
+    if value is None:
+        return ()
+    if not isinstance(value, str):
+        return tuple(value)
+    try:
+        return tuple(str(x) for x in parse(value))
+    except NotASequence:
+        return tuple(x.strip() for x in value.split(",") if x.strip())
+
+
+def _flag(value) -> bool:
+    return value.strip().lower() in ("1", "true", "yes", "on") if isinstance(value, str) else bool(value)
+
+
+def convert_node(
+    spark: SparkSession, traces: DataFrame | bytes | str, span_name="exit", aef_kind="", route_keys="", basket_answers="",
+    dedup="true", allow_empty="false", input_field: str = "output_text", answer_field: str = "output_text", postulation: str = "qa",
+) -> dict[str, DataFrame]:
+    """``{"result": rows}`` of a table, a path or a Parquet file's bytes; parameters may be texts."""
+    spans = load_table(spark, traces)
+    routed = _names(route_keys) if postulation == "classification" else ()
+    if postulation == "classification" and not routed:
+        raise ConversionError("a classification needs route_keys")
+    return {
+        "result": convert(
+            spans, _names(span_name), _names(aef_kind), input_field, answer_field, _flag(dedup), routed, _names(basket_answers), _flag(allow_empty)
+        )
+    }

@@ -136,8 +136,9 @@ def test_scales_and_answers(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "s double")
     assert schema.infer_scale(df, "s") == schema.Scale("s", "long", (1, 2), True)
     assert schema.infer_scale(spark.range(60).toDF("s"), "s").values is None
-    assert schema._last_object('<think>{"s":0}</think> ```json {"s":1}``` {bad') == '{"s": 1}'
-    assert schema._last_object("none") is None
+    assert schema.last_object('<think>{"s":0}</think> ```json {"s":1}``` {bad') == {"s": 1}
+    assert schema.last_object('{"a": {"b": 1}} and {"c": "}{"} end }') == {"c": "}{"}
+    assert schema.last_object("none") is None and schema.last_object(None) is None
 
 
 def test_judge_retries():
@@ -146,15 +147,15 @@ def test_judge_retries():
     def flaky(prompts):
         calls.append(1)
         if len(calls) < 3:
-            raise RuntimeError("429 too many requests, retry in 7 seconds")
+            raise RuntimeError("429 too many requests, retry after: 7")
         return ["{}"]
 
-    assert judge.ask(flaky, "p", sleep=slept.append) == ("{}", None) and slept == [7, 7]
+    assert judge.ask(flaky, ["p"], sleep=slept.append) == [("{}", None)] and slept == [7, 7]
 
     def broken(prompts):
         raise ValueError("no")
 
-    assert judge.ask(broken, "p", sleep=slept.append)[0] is None
+    assert judge.ask(broken, ["p"], sleep=slept.append)[0][0] is None and slept[2:] == [3]
 
 
 def test_traces(spark):
@@ -164,7 +165,7 @@ def test_traces(spark):
         {c: F.lit("x") for c in ("session_id", "aef_kind", "start_time", "end_time")})
     assert [(r.input_query, r.output_answer) for r in convert(spans).collect()] == [("q", "a")]
     assert convert(spans, dedup=False).count() == 2
-    assert convert(spans, route_keys=("route", "scenario")).head()["route"] == "s"
+    assert convert(spans, route_keys=("route", "scenario"), guards=False).head()["route"] == "s"
 
 
 def test_whole_run(spark):
@@ -179,4 +180,4 @@ def test_whole_run(spark):
     }
     out = run(df, raw, df.drop("good"))
     assert out.assessment_result["scored_units"] == 40 and out.scored_data.count() == 40
-    assert out.acc_auto["acc_auto"] == 1.0
+    assert out.acc_auto == out.figures["acc_auto"] == 1.0
