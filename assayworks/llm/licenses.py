@@ -2,7 +2,7 @@
 
 1. Words give five-word shingles, hashed to 64 bits.
 2. Templates are put in classes by their number of distinct shingles: class ``c`` takes up
-   to ``16 * 2**c``.  Its windows are five blocks of ``4 * 2**c`` shingles, a block apart, so
+   to ``64 * 2**c``.  Its windows are five blocks of ``16 * 2**c`` shingles, a block apart, so
    whatever is as long as a template lies whole in a window.
 3. A window's bands are minima of its hashes under ``bands`` permutations (xor with a
    constant, and its complement, which is the maximum), one row a band; those of larger
@@ -96,7 +96,7 @@ TEMPLATES = {
 }
 WIDTH = 5
 #: Shingles of a block of class 0, blocks of a window, blocks that a class's templates fill at most.
-BLOCK, SPAN, FILL = 4, 5, 4
+BLOCK, SPAN, FILL = 16, 5, 4
 MOST_LONGS = 1 << 19
 #: A thousand bits a band.
 _BITS = 1024
@@ -178,8 +178,9 @@ def _candidate(c: int, w: Column, keys: Column) -> Column:
     return F.struct(F.lit(c).alias("c"), w.alias("w"), held.alias("held"), keys.alias("keys"))
 
 
-def _met(c: int, w: Column) -> Column:
-    return _candidate(c, w, F.transform(F.get("w", w), lambda v, j: F.struct(j.alias("j"), v.alias("v"))))
+def _met(c: int, bands: int, w: Column) -> Column:
+    of = F.get("w", w)
+    return _candidate(c, w, F.array(*[F.struct(F.lit(j).alias("j"), of[f"w{j}"].alias("v")) for j in range(bands)]))
 
 
 def _candidates(rows: DataFrame, classes: list[int], bands: int, shelf: Column, longs: int) -> DataFrame:
@@ -208,11 +209,11 @@ def _candidates(rows: DataFrame, classes: list[int], bands: int, shelf: Column,
             if c not in classes:
                 continue
             rows = rows.withColumns({f"w{j}": _least(F.col(blocks[j]), 1, SPAN, j) for j in range(bands)})
-            windows = F.transform("w0", lambda v, w: F.array(v, *[F.get(f"w{j}", w) for j in range(1, bands)]))
-            rows = rows.withColumn("w", windows).drop(*[f"w{j}" for j in range(bands)])
-            met = F.filter(F.transform("w", lambda m, w: F.when(F.exists(m, may), w)), lambda w: w.isNotNull())
-            rows = rows.withColumn("met", met)
-            rows = rows.withColumn(f"f{c}", F.transform("met", partial(_met, c))).drop("met", "w")
+            # zipped outside of any lambda: a column used once, in a lambda, would be worked out for each of its elements
+            rows = rows.withColumn("w", F.arrays_zip(*[f"w{j}" for j in range(bands)])).drop(*[f"w{j}" for j in range(bands)])
+            any_of = lambda m, w: F.when(F.exists(F.array(*[m[f"w{j}"] for j in range(bands)]), may), w)
+            rows = rows.withColumn("met", F.filter(F.transform("w", any_of), lambda w: w.isNotNull()))
+            rows = rows.withColumn(f"f{c}", F.transform("met", partial(_met, c, bands))).drop("met", "w")
             made.append(f"f{c}")
     return rows.select("doc_id", F.concat(*made).alias("found"))
 

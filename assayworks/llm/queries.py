@@ -175,7 +175,7 @@ def _license_sql() -> str:
 with t(name, text) as (values {rows}),
 tw as (select name, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from t),
 tg as (select distinct name, array_to_string(ws[i:i + 4], ' ') as g from (select name, ws, unnest(range(1, len(ws) - 3)) as i from tw)),
-tn as (select name, count(*) as n, (4 * power(2, greatest(0, ceil(log2(count(*) / 16)))))::int as step from tg group by 1),
+tn as (select name, count(*) as n, (16 * power(2, greatest(0, ceil(log2(count(*) / 64)))))::int as step from tg group by 1),
 ts as (select name, step, g from tg join tn using (name)),
 dw as (select doc_id, regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
 ds as (select doc_id, i - 1 as i, array_to_string(ws[i:i + 4], ' ') as g from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from dw)),

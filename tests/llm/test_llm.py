@@ -379,7 +379,7 @@ def test_whole_licenses_brute_force(spark):
     grams = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, words(v)) for k, v in licenses.TEMPLATES.items())}
     rows = []
     for i in range(120):
-        name = rng.choice([k for k in grams if len(grams[k]) > 16])
+        name = rng.choice([k for k in grams if len(grams[k]) > 64])
         w = licenses.TEMPLATES[name].split()
         for _ in range(rng.choice([0, 0, 1, 2, 4])):
             w[rng.randrange(len(w))] = "changed"
