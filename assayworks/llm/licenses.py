@@ -17,7 +17,7 @@ Jaccard similarity of at least 0.4 with its window and is missed by 16 bands wit
 probability of at most 0.6**16 = 3e-4 (3e-12 for a template that fills its class); a
 copy at a share of 0.8 with at most 0.7**16 = 4e-3.  In class 0 nothing is missed.
 
-The bands of all templates are a bitmap that goes with the plan, a thousand bits a band, at most
+The bands of all templates are a bitmap that goes with the plan, four thousand bits a band, at most
 4 MB; only windows with a band in it leave the row and are joined with the templates.  The plan
 doesn't grow with the list, texts are not shuffled.  DataFrame functions only.
 
@@ -98,8 +98,8 @@ WIDTH = 5
 #: Shingles of a block of class 0, blocks of a window, blocks that a class's templates fill at most.
 BLOCK, SPAN, FILL = 16, 5, 4
 MOST_LONGS = 1 << 19
-#: A thousand bits a band.
-_BITS = 1024
+#: Four thousand bits a band.
+_BITS = 4096
 
 
 def block_of(c: int) -> int:
@@ -125,8 +125,27 @@ def _shingles(ws: Column) -> Column:
     return F.transform(begins, lambda i: F.xxhash64(F.slice(ws, i, F.lit(WIDTH))))
 
 
-def _permuted(sh: Column, k: int) -> Column:
-    return F.transform(sh, lambda h: h.bitwiseXOR(F.lit(_constant(k))))
+def _let(value: Column, then) -> Column:
+    """An expression of a value that is worked out once, not wherever it is used."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _bands(sh: Column, bands: int) -> Column:
+    """The bands of a set of shingles: minima and maxima under each constant in turn."""
+
+    def ends(k: int) -> Column:
+        return _let(F.transform(sh, lambda h: h.bitwiseXOR(F.lit(_constant(k)))), lambda p: F.array(F.array_min(p), F.array_max(p)))
+
+    return F.flatten(F.array(*map(ends, range(bands // 2))))
+
+
+def _together(parts: Column, bands: int) -> Column:
+    """The bands of the union of sets, from theirs."""
+
+    def of(j: int) -> Column:
+        return (F.array_max if j % 2 else F.array_min)(F.transform(parts, lambda b: b[j]))
+
+    return F.array(*map(of, range(bands)))
 
 
 def _every(n: Column, step: int) -> Column:
@@ -134,12 +153,6 @@ def _every(n: Column, step: int) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), n, F.lit(step))).otherwise(F.array().cast("array<int>"))
 
 
-def _least(of: Column, step: int, length: int, band: int) -> Column:
-    """The minima (for odd bands maxima) of the parts of an array, each ``length`` long, ``step`` apart."""
-    best = F.array_max if band % 2 else F.array_min
-    return F.transform(_every(F.size(of), step), lambda a: best(F.slice(of, a, F.lit(length))))
-
-
 def compiled(spark, templates: Mapping[str, str], bands: int) -> tuple[DataFrame, DataFrame]:
     """``license, c, n, t`` (class, number and array of shingles) and ``c, j, v, license`` (bands), written tables."""
     df = spark.createDataFrame(sorted(templates.items()), "license string, text string").select("license", words(F.col("text")).alias("ws"))
@@ -150,9 +163,8 @@ def compiled(spark, templates: Mapping[str, str], bands: int) -> tuple[DataFrame
     if short:
         forget(known)
         raise ValueError(f"templates of fewer than {WIDTH} words: {short}")
-    minima = [(F.array_max if j % 2 else F.array_min)(_permuted(F.col("t"), j // 2)) for j in range(bands)]
     of = F.when(F.col("c") == 0, F.transform("t", lambda h: F.struct(F.lit(0).alias("j"), h.alias("v")))).otherwise(
-        F.array(*[F.struct(F.lit(j).alias("j"), m.alias("v")) for j, m in enumerate(minima)])
+        F.transform(_bands(F.col("t"), bands), lambda v, j: F.struct(j.alias("j"), v.alias("v")))
     )
     keys = written(known.select("license", "c", F.explode(of).alias("x")).select("c", "x.j", "x.v", "license"), "bands")
     return known, keys
@@ -178,13 +190,11 @@ def _candidate(c: int, w: Column, keys: Column) -> Column:
     return F.struct(F.lit(c).alias("c"), w.alias("w"), held.alias("held"), keys.alias("keys"))
 
 
-def _met(c: int, bands: int, w: Column) -> Column:
-    of = F.get("w", w)
-    return _candidate(c, w, F.array(*[F.struct(F.lit(j).alias("j"), of[f"w{j}"].alias("v")) for j in range(bands)]))
-
-
 def _candidates(rows: DataFrame, classes: list[int], bands: int, shelf: Column, longs: int) -> DataFrame:
-    """Turn ``sh`` into ``found``: the windows with a band in the bitmap, their shingles and bands."""
+    """Turn ``sh`` into ``found``: the windows with a band in the bitmap, their shingles and bands.
+
+    The bands of a window of class 0 are its shingles; they aren't written twice.
+    """
 
     def may(v: Column) -> Column:
         at, bit = _place(v, longs)
@@ -196,28 +206,28 @@ def _candidates(rows: DataFrame, classes: list[int], bands: int, shelf: Column,
         rows = rows.withColumn("hit", hit)
         last = lambda i: F.floor(i / BLOCK).cast("int")
         near = F.array_distinct(F.flatten(F.transform("hit", lambda i: F.sequence(F.greatest(last(i) - (SPAN - 1), F.lit(0)), last(i)))))
-        one = lambda w: F.transform(F.slice("sh", w * BLOCK + 1, F.lit(SPAN * BLOCK)), lambda h: F.struct(F.lit(0).alias("j"), h.alias("v")))
-        rows = rows.withColumn("f0", F.transform(near, lambda w: _candidate(0, w, one(w)))).drop("hit")
+        rows = rows.withColumn("f0", F.transform(near, lambda w: _candidate(0, w, F.array().cast("array<bigint>")))).drop("hit")
         made.append("f0")
     if classes[-1]:
-        rows = rows.select("*", *[_permuted(F.col("sh"), k).alias(f"p{k}") for k in range(bands // 2)])
-        blocks = [f"p{k // 2}" for k in range(bands)]
+        step = block_of(1)
+        blocks = F.transform(_every(F.size("sh"), step), lambda a: _let(F.slice("sh", a, F.lit(step)), lambda sub: _bands(sub, bands)))
+        rows = rows.withColumn("b", blocks)
         for c in range(1, classes[-1] + 1):
-            step = block_of(1) if c == 1 else 2
-            rows = rows.withColumns({f"b{c}_{j}": _least(F.col(blocks[j]), step, step, j) for j in range(bands)}).drop(*blocks)
-            blocks = [f"b{c}_{j}" for j in range(bands)]
+            if c > 1:
+                rows = rows.withColumn("b", F.transform(_every(F.size("b"), 2), lambda a: _let(F.slice("b", a, F.lit(2)), lambda p: _together(p, bands))))
             if c not in classes:
                 continue
-            rows = rows.withColumns({f"w{j}": _least(F.col(blocks[j]), 1, SPAN, j) for j in range(bands)})
-            # zipped outside of any lambda: a column used once, in a lambda, would be worked out for each of its elements
-            rows = rows.withColumn("w", F.arrays_zip(*[f"w{j}" for j in range(bands)])).drop(*[f"w{j}" for j in range(bands)])
-            any_of = lambda m, w: F.when(F.exists(F.array(*[m[f"w{j}"] for j in range(bands)]), may), w)
-            rows = rows.withColumn("met", F.filter(F.transform("w", any_of), lambda w: w.isNotNull()))
-            rows = rows.withColumn(f"f{c}", F.transform("met", partial(_met, c, bands))).drop("met", "w")
+            rows = rows.withColumn("w", F.transform(_every(F.size("b"), 1), lambda a: _let(F.slice("b", a, F.lit(SPAN)), lambda p: _together(p, bands))))
+            rows = rows.withColumn("met", F.filter(F.transform("w", lambda m, w: F.when(F.exists(m, may), w)), lambda w: w.isNotNull()))
+            rows = rows.withColumn(f"f{c}", F.transform("met", partial(_met, c))).drop("met", "w")
             made.append(f"f{c}")
     return rows.select("doc_id", F.concat(*made).alias("found"))
 
 
+def _met(c: int, w: Column) -> Column:
+    return _candidate(c, w, F.get("w", w))
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, least: float = 0.8, bands: int = 16) -> DataFrame:
     """``doc_id, matches`` for each row of ``docs(doc_id, text)``.
 
@@ -225,16 +235,20 @@ def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, least: flo
     windows, and the first word (from 0) of the first window with that share.
     """
     known, keys = compiled(docs.sparkSession, templates or TEMPLATES, bands)
-    longs = 1 << 10
-    while longs < MOST_LONGS and longs * 64 < _BITS * keys.count():
+    longs, n_keys = 1 << 12, keys.count()
+    while longs < MOST_LONGS and longs * 64 < _BITS * n_keys:
         longs *= 2
     classes = sorted(r["c"] for r in known.select("c").distinct().collect())
     # columns of their own: an expression inside a lambda is evaluated for each element
     rows = docs.select("doc_id", words(F.col("text")).alias("ws")).select("doc_id", _shingles(F.col("ws")).alias("sh"))
     rows = _candidates(rows, classes, bands, _bitmap(keys, longs), longs)
     scanned = written(rows.select(F.monotonically_increasing_id().alias("id"), "doc_id", "found"), "scanned")
-    each = scanned.select("id", F.explode("found").alias("x")).select("id", "x.c", "x.w", "x.held", F.explode("x.keys").alias("k"))
-    met = each.select("id", "c", "w", "held", "k.j", "k.v").join(keys, ["c", "j", "v"]).select("id", "c", "w", "held", "license")
+    each = scanned.select("id", F.explode("found").alias("x")).select("id", "x.c", "x.w", "x.held", "x.keys")
+    told = F.when(F.col("c") == 0, F.transform("held", lambda h: F.struct(F.lit(0).alias("j"), h.alias("v")))).otherwise(
+        F.transform("keys", lambda v, j: F.struct(j.alias("j"), v.alias("v")))
+    )
+    each = each.select("id", "c", "w", "held", F.explode(told).alias("k")).select("id", "c", "w", "held", "k.j", "k.v")
+    met = each.join(keys, ["c", "j", "v"]).select("id", "c", "w", "held", "license")
     share = F.size(F.array_intersect("held", "t")) / F.col("n")
     at = F.col("w") * BLOCK * F.pow(F.lit(2), F.col("c")).cast("int")
     full = met.join(known.drop("c"), "license").select("id", "license", F.struct(share.alias("share"), (-at).cast("int").alias("back")).alias("s"))
