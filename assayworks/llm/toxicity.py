@@ -51,6 +51,8 @@ LEET = {
 _SIGNS = "".join(re.escape(c) for c in LEET)
 _LETTER = r"[^\W\d_]"
 _TRIPLE = re.compile(r"(.)\1\1")
+#: Runs of a sign, and the same with letters in a row as one.
+_EACH, _CHUNKS = re.compile(r"(.)\1*", re.S), re.compile(r"[^\W\d_]+|(.)\1*", re.S)
 _BEFORE = (re.compile(r"^\W+"), re.compile(rf"^(?:(?![{_SIGNS}])\W)+"))
 _AFTER = (re.compile(r"(?:(\W)\1{2,}|[.,;:?!\"'()\[\]{}…»«])+$"), re.compile(rf"(?:(?![{_SIGNS}])\W)+$"))
 _MARKS = re.compile(rf"(?:(?![{_SIGNS}])[\W_])+")
@@ -94,6 +96,7 @@ def _folding() -> np.ndarray:
 
 _FOLD = _folding()
 _CODES = _FOLD.tolist()
+_PADDED = np.append(_FOLD, 0)
 #: Of the Unicode planes with letters: what may be part of a fragment (1), and what of that is a letter (2).
 _PLANES = 0x20000
 _KIND = np.zeros(_PLANES + 1, np.uint8)
@@ -176,8 +179,12 @@ class Restorer:
         """For each run of a sign: what it may be, and the cost."""
         c = self.channel
         out = []
-        for m in re.finditer(r"(.)\1*", token):
-            sign, n = m[1], len(m[0])
+        for m in (_EACH if _TRIPLE.search(token) else _CHUNKS).finditer(token):
+            sign = m[1]
+            if sign is None:  # letters in a row, none three times
+                out.append([(m[0], 0.0)])
+                continue
+            n = len(m[0])
             if sign.isalpha():
                 out.append([(sign * n, 0.0)] if n < 3 else [(sign, c.shorten), (sign * 2, c.shorten)])
             elif sign == " ":
@@ -193,6 +200,13 @@ class Restorer:
         logs = self.logs
         best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for options in self.lattice(token, gap):
+            if len(options) == 1 and len(best) == 1:  # one path: what it costs doesn't matter
+                letters = options[0][0]
+                if letters:
+                    ((state, (p, word)),) = best.items()
+                    x, y = (*state, *(_CODES[k] if k < len(_CODES) else 0 for k in map(ord, letters[-2:])))[-2:]
+                    best = {(x, y): (p, (word, letters))}
+                continue
             step: dict[tuple[int, int], tuple[float, tuple]] = {}
             for letters, cost in options:
                 codes = [_CODES[x] if x < len(_CODES) else 0 for x in map(ord, letters)]
@@ -301,15 +315,21 @@ def _put_together(low: str, restorer: Restorer, out: set[str]) -> bool:
         words = known.get(segment)
         if words is None:
             words = _of_run(segment.split(), restorer)
-            if len(segment) <= 100:  # what prose repeats is short
-                if len(known) > 100_000:
-                    known.clear()
+            if len(segment) <= 100 and len(known) < 200_000:  # what prose repeats is short, and comes early
                 known[segment] = words
         if words:
             out.update(words)
     return plain
 
 
+def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of true begin, and where they are over."""
+    padded = np.zeros(len(flags) + 2, bool)
+    padded[1:-1] = flags
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
+    return edges[::2], edges[1::2]
+
+
 def _segments(low: str, restorer: Restorer) -> tuple[list[str], list[str], bool]:
     """Short fragments in a row, cut at gaps that surely part words.
 
@@ -320,8 +340,7 @@ def _segments(low: str, restorer: Restorer) -> tuple[list[str], list[str], bool]
     kind = _KIND[np.minimum(points, _PLANES)]
     twice = (points[1:] == points[:-1]) & (kind[1:] == 2)
     plain = not (twice[1:] & twice[:-1]).any()
-    edges = np.flatnonzero(np.diff(kind > 0, prepend=False, append=False))
-    begins, ends = edges[::2], edges[1::2]
+    begins, ends = _runs(kind > 0)
     short = ends - begins <= restorer.channel.fragment
     open_ = short[:-1] & short[1:]
     at = np.flatnonzero(open_)
@@ -332,13 +351,12 @@ def _segments(low: str, restorer: Restorer) -> tuple[list[str], list[str], bool]
     a, y = np.maximum(b - 1, 0), np.minimum(x + 1, len(points) - 1)
     sure = (ends[at] - begins[at] > 1) & (ends[at + 1] - x > 1) & (kind[a] == 2) & (kind[b] == 2) & (kind[x] == 2) & (kind[y] == 2)
     sure &= (points[a] != points[b]) & (points[x] != points[y])
-    ca, cb, cx, cy = (_FOLD[np.where(points[k] < len(_FOLD), points[k], 0)] for k in (a, b, x, y))
+    ca, cb, cx, cy = (_PADDED[np.minimum(points[k], len(_FOLD))] for k in (a, b, x, y))
     p = restorer.model
     inside = restorer.channel.gap + p[ca * 729 + cb * 27 + cx] + p[cb * 729 + cx * 27 + cy]
     parted = inside <= p[ca * 729 + cb * 27] + p[cb * 729 + cx] + p[cx * 27 + cy]
     open_[at[sure & parted]] = False
-    turns = np.flatnonzero(np.diff(open_, prepend=False, append=False))
-    first, last = turns[::2], turns[1::2]
+    first, last = _runs(open_)
     settled = np.zeros(len(open_) + 1, np.int64)
     settled[at + 1] = ~sure
     settled = np.cumsum(settled)
@@ -419,9 +437,8 @@ def _evidence_of(text: str, restorer: Restorer, kept: dict[str, tuple], among: f
                 e = ()
             else:
                 e = tuple(x for x in evidence(word) if among is None or x in among)
-            if len(kept) > 100_000:
-                kept.clear()
-            kept[t] = e
+            if len(kept) < 200_000:  # what is frequent comes early
+                kept[t] = e
         if e:
             out.update(e)
     return out
@@ -489,18 +506,22 @@ def score_text(text: str, restorer: Restorer, lexicon: Lexicon, kept: dict[str,
     """Join the best bound of each token."""
     rest, top = 1.0, FLOOR
     found, plain = _read(text, restorer)
-    get, heads, best = kept.get, lexicon.of, lexicon.best
+    get, head, best = kept.get, lexicon.of.get, lexicon.best
     for t in found:
-        b = get(t)
-        if b is None:
-            word = _bare(t, plain)
-            if word is None:
-                b = max((best(w) for w in restorer.words(t) if len(w) > 2), default=0.0)
-            else:
-                b = best(word) if word[:4] in heads and len(word) > 2 else 0.0
-            if len(kept) > 200_000:
-                kept.clear()
-            kept[t] = b
+        if plain and t.isalpha():  # most tokens; the same as best(t), which costs less than to remember it
+            f = head(t[:4])
+            if f is None:
+                continue
+            b, longer = f
+            if longer is not None:
+                b = max(b, longer.get(t[:5], 0.0), longer.get(t[:6], 0.0), longer.get("=" + t, 0.0))
+        else:
+            b = get(t)
+            if b is None:
+                word = _bare(t, plain)
+                b = max((best(w) for w in ((word,) if word else restorer.words(t)) if len(w) > 2), default=0.0)
+                if len(kept) < 300_000:  # what is frequent comes early
+                    kept[t] = b
         if b >= 0.5:
             rest *= 1 - b
         elif b > top:
