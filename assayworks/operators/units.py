@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from assayworks.functions.cells import blank, equality_key, turn_number
 from assayworks.functions.sequences import dialogue
+from assayworks.operators.agreement import range_bucket
 from assayworks.operators.contract import SCORE, Contract, require
 from assayworks.operators.scoring import with_sources
 from assayworks.sources.kept import numbered
@@ -33,13 +34,20 @@ def _group_keys(df: DataFrame, column: str) -> tuple[Column, Column]:
 
 
 def unique_labels(df: DataFrame, column: str, fallback: Column, out: str = "label") -> DataFrame:
-    """Add labels of a column: the k-th repeat (k > 1) of a value gets ``#k``; a blank gets the fallback."""
-    key = equality_key(F.col(column), df.schema[column].dataType)
-    k = F.row_number().over(W.partitionBy("_key").orderBy("_pos"))
-    named = df.withColumn("_key", F.coalesce(key, F.concat(F.lit("row:"), F.col("_pos").cast("string")))).withColumn("_k", k)
+    """Add labels of a column: the k-th repeat (k > 1) of a value gets ``#k``; a blank gets the fallback.
+
+    Repeats are counted within ranges of positions, so a value that most rows have is no one task's.
+    """
+    key = F.coalesce(equality_key(F.col(column), df.schema[column].dataType), F.concat(F.lit("row:"), F.col("_pos").cast("string")))
+    keyed = df.withColumn("_key", key).withColumn("_range", range_bucket(df, "_pos"))
+    k = F.row_number().over(W.partitionBy("_key", "_range").orderBy("_pos"))
+    sizes = keyed.groupBy("_key", "_range").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(W.partitionBy("_key").orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    before = sizes.withColumn("_before", earlier).where("_before is not null").select("_key", "_range", "_before")
+    named = keyed.withColumn("_k", k).join(before, ["_key", "_range"], "left").withColumn("_k", F.col("_k") + F.coalesce("_before", F.lit(0)))
     text = F.col(column).cast("string")
     label = F.when(blank(F.col(column), df.schema[column].dataType), fallback).when(F.col("_k") > 1, F.concat(text, F.lit("#"), F.col("_k").cast("string")))
-    return named.withColumn(out, label.otherwise(text)).drop("_key", "_k")
+    return named.withColumn(out, label.otherwise(text)).drop("_key", "_k", "_range", "_before")
 
 
 def ordered_groups(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def assessor_columns(columns: list[str], criterion: str) -> list[str]:
@@ -31,3 +32,10 @@ def add_votes(df: DataFrame, criteria: list[str], scoring: bool = True) -> DataF
         if found:
             new[f"agent_{c}" if scoring else c] = first_mode(F.array(*[F.col(f"`{x}`") for x in found]))
     return df.withColumns(new)
+
+
+def merged(answers: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """Answers beside labels, rows of either side alone left out; infinite numbers become null."""
+    held = answers.join(labels, key)
+    endless = [f.name for f in held.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return held.withColumns({c: F.when(F.abs(F.col(f"`{c}`")) != float("inf"), F.col(f"`{c}`")) for c in endless})

@@ -243,6 +243,7 @@ def main(
     stage: str = "combined",
     num_assessors: int = 1,
     rewrite: Callable[[str], str] | None = None,
+    shorten: Callable[[str], str] | None = None,
     **retry: Any,
 ) -> Result:
     """The run from files: tables (which need ``_pos``), an instruction, an archive of texts on the subject, and a judge."""
@@ -253,8 +254,9 @@ def main(
         return run(reference, monitoring_metric, monitoring, stage, scoring_rag_train_size)
     instruction = load_instruction(assessor_instruction)
     require(bool(instruction.strip()), "a judge needs an instruction")
-    if rewrite is not None:
-        instruction = structured(instruction, rewrite)
+    for step in (rewrite, shorten):  # by a model, if one is given
+        if step is not None:
+            instruction = structured(instruction, step)
     instruction += "\n\n" + source_instruction(for_judge(known))
     subject = subject_retriever(spark, domain_rag_files_zip, embed)
     assessor = Assessor(judge, instruction, embed, subject, num_assessors, retry=retry)

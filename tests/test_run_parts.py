@@ -402,6 +402,8 @@ def test_retrievers(spark):
     found = subject.search(spark.createDataFrame([(0, "bbb " + " " * 600 + "bbb")], "query_id int, text string"))
     assert (subject.k, subject.beta) == (5, 0.5) and found.join(subject.corpus, "doc_idx").orderBy("rank").head()["content"].startswith("bbb")
     assert widths == [9, 512]  # BM25 takes the query whole
+    more = index.with_more(spark.createDataFrame([("b b", "2"), ("d d", "4")], "question string, answer string"))
+    assert more.corpus.count() == 4
     for bad in (("other", pairs, embed), ("content", chunks, None)):
         with pytest.raises(ValueError):
             retrieval.create_retriever(*bad)
@@ -528,3 +530,32 @@ def test_accuracy_run(spark):
     with pytest.raises(ContractError, match="prediction"):
         monitoring.run(df.withColumn("guess", F.lit(" ")), contract("accuracy", sources=roles), df, predict=judge_all)
     assert monitoring.source_missing(df, "none") and not monitoring.source_missing(df, "guess")
+
+
+def test_labels_over_ranges(spark, monkeypatch):
+    from assayworks.operators import agreement, units as u
+
+    rows = [(i, "same" if i % 3 else f"own{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "_pos long, k string")
+    want = {r["_pos"]: r["label"] for r in u.unique_labels(df, "k", F.lit("none")).collect()}
+    seen, expected = 0, {}
+    for i, k in rows:
+        seen += k == "same"
+        expected[i] = k if k != "same" or seen == 1 else f"same#{seen}"
+    assert want == expected
+    plain = agreement.range_bucket
+    monkeypatch.setattr(u, "range_bucket", lambda df, c: plain(df, c, most=10, parts=8))
+    assert {r["_pos"]: r["label"] for r in u.unique_labels(df, "k", F.lit("none")).collect()} == expected
+    monkeypatch.setattr(agreement, "range_bucket", lambda df, c: plain(df, c, most=10, parts=8))
+    pairs = spark.createDataFrame([(float(i), float((i * 7) % 50 // 3)) for i in range(50)], "a double, b double")
+    assert agreement.spearman(pairs, "a", "b").head()[0] == pytest.approx(pairs.toPandas().corr("spearman").iloc[0, 1])
+    train, test = agreement.split(spark.range(100).toDF("g"), "g", 0.37)
+    assert train.count() == 37 and test.count() == 63 and train.intersect(test).count() == 0
+
+
+def test_merged(spark):
+    from assayworks.operators.voting import merged
+
+    a = spark.createDataFrame([(1, float("inf")), (2, 0.5), (3, 1.0)], "k int, agent_c double")
+    got = {r["k"]: r["agent_c"] for r in merged(a, spark.createDataFrame([(1, 1), (2, 0)], "k int, c int"), "k").collect()}
+    assert got == {1: None, 2: 0.5}
