@@ -70,7 +70,9 @@ def test_near_duplicates_brute_force(spark):
                     lead[y] = x
         assert {i: got[i]["component_id"] for i in sets} == {i: find(i) for i in sets}
         assert all(got[i]["n_shingles"] == len(sets[i]) and got[i]["kept"] == (find(i) == i) for i in sets)
+    joined = minhash_dedup.drop_near_duplicates(df, minhash_dedup.Settings(broadcast_ids=0))  # by shuffle, not broadcast
     kept = minhash_dedup.drop_near_duplicates(df)
+    assert sorted(r["doc_id"] for r in joined.collect()) == sorted(r["doc_id"] for r in kept.collect())
     assert kept.columns == df.columns and kept.where("doc_id = 5").count() == 1 and kept.where("doc_id = 4").count() == 0
     assert minhash_dedup.near_duplicates(df.where("false")).count() == 0
 
