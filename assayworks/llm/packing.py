@@ -124,8 +124,6 @@ class Encoder:
                 self._kept[r] = self._encode(r)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self._kept) > self._most:
-            self._kept.clear()
         kept, split, new = self._kept, [], set()
         for text in texts:
             if text and self._plain(text):
@@ -142,6 +140,9 @@ class Encoder:
                 out.append(b"".join(map(self._encode, self._cut.split(text))))
             else:
                 out.append(self._encode(runs[0]) + b"".join(map(kept.__getitem__, runs[1:])))
+        if len(kept) > self._most:  # what is frequent came before
+            for r in new:
+                del kept[r]
         return out
 
 
