@@ -11,6 +11,8 @@ from assayworks.functions.cells import blank, equality_key, trimmed, turn_number
 from assayworks.operators import agreement, embedding, judge, prompts, retrieval, scoring, units, voting
 from assayworks.operators import schema as scales
 from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
+from assayworks.operators.judge import JudgeError
+from assayworks.plans import monitoring
 from assayworks.sources import traces
 
 QUERIES: dict = {}
@@ -620,9 +622,151 @@ def distinct_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.numbered_by_first(e, "k")
 
 
-@_query()
+# --- the run, judges, prompts
+
+
+def _documents_as_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rows to assess, with their labels where they have any."""
+    docs = _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels"), "doc_id", "left")
+    return docs.select(
+        F.col("doc_id").alias("_pos"), F.col("doc_id").cast("string").alias("query_id"), F.col("source").alias("input_query"), F.col("lang").alias("output_answer"),
+        F.col("quality").cast("double").alias("quality"),
+    )
+
+
+def _by_number(queries: DataFrame, examples: DataFrame, criteria: list[str]) -> DataFrame:
+    """A judge that answers by a unit's number, and not at all for each fifth."""
+    n = F.col("query_id").cast("long")
+    return queries.select("query_id", F.when(n % 5 != 0, (n % 2).cast("double")).alias("agent_quality"))
+
+
+_METRIC = {
+    "contract_version": VERSION, "umr_version": UMR_VERSION, "status": "computed", "basket_id": "b", "name": "m", "score_column": "main_metric", "assessment_mode": "qa",
+    "scoring": {"method": "mean_criteria", "missing_policy": "fail", "sources": [{"source_id": "quality", "column_name": "quality", "role": "criterion"}]},
+    "aggregation": {"method": "mean"}, "baseline": {"value": "1", "recomputed_value": "1", "scale": "ratio"}, "primary_validation": {"affects_monitoring": False},
+}
+
+
+def _monitored(spark: SparkSession, sf_dir: str) -> monitoring.Result:
+    rows = _documents_as_units(spark, sf_dir)
+    return monitoring.run(rows, _METRIC, rows.drop("quality"), "monitoring", predict=_by_number)
+
+
+@_query("""
+select doc_id::varchar as query_id, case when doc_id % 5 <> 0 then doc_id % 2 end::double as main_metric, case when doc_id % 5 <> 0 then doc_id % 2 end::double as agent_quality,
+  doc_id::varchar as assessment_unit_id, 'judge' as assessor_id from documents""")
+def run_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run: units a judge failed on have no score, though the policy is to fail."""
+    return _monitored(spark, sf_dir).scored_data.select("query_id", "main_metric", "agent_quality", "assessment_unit_id", "assessor_id")
+
+
+@_query("select 'computed' as status, count(*) as total_units, count(*) filter (doc_id % 5 <> 0) as scored_units from documents")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _monitored(spark, sf_dir).assessment_result
+    return spark.createDataFrame([(told["status"], told["total_units"], told["scored_units"])], "status string, total_units long, scored_units long")
+
+
+@_query("select null::double as main_metric, null::varchar as assessment_unit_id, count(*) as n from documents")
+def run_unavailable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric that can't be computed: all rows, no scores."""
+    rows = _documents_as_units(spark, sf_dir)
+    refused = {**_METRIC, "status": "not_computable", "reason": "no labels"}
+    out = monitoring.run(rows, refused, rows).scored_data
+    return out.groupBy("main_metric", "assessment_unit_id").agg(F.count("*").alias("n"))
+
+
+@_query("select doc_id::varchar as unit_id, source || '!' as answer from documents")
+def accuracy_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For accuracy the prediction is the answer to assess."""
+    c = contract("accuracy", [("guess", "prediction", "label", "direct"), ("truth", "target", "label", "direct")])
+    rows = _documents_as_units(spark, sf_dir).withColumns({"guess": F.concat("input_query", F.lit("!")), "truth": F.col("input_query")})
+    made = monitoring.assessor_units(monitoring.assessment_frame(rows, c), c, require_sources=True)
+    return made.select(F.col("_unit_id").alias("unit_id"), F.col("assessment_context.current_turn.output_answer").alias("answer"))
+
+
+@_query("select 'quality' as column_name, not bool_or(quality is not null) as missing from labels union all select 'blank', true union all select 'none', true")
+def source_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "labels").withColumn("blank", F.lit(" "))
+    told = [(c, monitoring.source_missing(rows, c)) for c in ("quality", "blank", "none")]
+    return spark.createDataFrame(told, "column_name string, missing boolean")
+
+
+def _counting_judge(asked: list[str]) -> list:
+    """Answers with a prompt's length; refuses those of a length that 7 divides."""
+    return [JudgeError("no") if len(p) % 7 == 0 else str(len(p)) for p in asked]
+
+
+@_query("""
+select doc_id, case when length(text) % 7 <> 0 then length(text)::varchar end as answer, case when length(text) % 7 = 0 then 'JudgeError: no' end as error from documents""")
+def judged_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A judge beside the data: answers and last errors."""
+    return judge.judged(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text", _counting_judge, "doc_id", delay=0.0)
+
+
+def _counting_embedder(texts: list[str]) -> list[list[float]]:
+    return [[float(len(t)), float(t.count("e"))] for t in texts]
+
+
+@_query("""
+select doc_id, round(avg(length(part)), 6) as mean_length, round(avg(length(part) - length(replace(part, 'e', ''))), 6) as mean_e
+from (select doc_id, substr(text, (unnest(range(0, greatest(length(text) - 1, 0) // 1000 + 1)) * 1000 + 1)::int, 1000) as part from documents) group by 1""")
+def embedded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An embedder beside the data: chunks, batches, means."""
+    found = embedding.embedded(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text", _counting_embedder)
+    return found.select("doc_id", F.round(F.col("vector")[0], 6).alias("mean_length"), F.round(F.col("vector")[1], 6).alias("mean_e"))
+
+
+_SCALE = scales.Scale("quality", "long", (0, 1), False, True)
+
+
+def _prompt_sql() -> str:
+    """The prompt of a text that stands in for the item's."""
+    text = "You assess the work of an agent.\n\nInstruction:\nRate it.\n\nExamples:\nnone\n\nTexts on the subject:\n" + prompts.NO_DOMAIN + "\n\nAllowed values:\n- quality: 0, 1\n\nTo assess:\n"
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    return f"select item_id as query_id, {quote(text)} || text || {quote(chr(10) * 2 + prompts.answer_form(['quality']))} as prompt from benchmark"
+
+
+@_query(_prompt_sql())
+def judge_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prompts.prompts(_read(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "query_id"), "Rate it.", [_SCALE])
+
+
+@_query("""
+select doc_id, length('{"text":' || to_json(text) || '}') as question, least(length('{"text":' || to_json(text) || '}'), 4000) as embedded, '{"quality":' || quality || '}' as answer
+from documents join labels using (doc_id)""")
+def example_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled examples as JSON: the question that is embedded is cut."""
+    held = _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels"), "doc_id")
+    made = prompts.example_pairs(held, ["text"], ["quality"])
+    return made.select("doc_id", F.length("question").cast("long").alias("question"), F.length("embedded_question").cast("long").alias("embedded"), "answer")
+
+
+@_query(r"""
+select doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(text, 'en', ''), 'En', ''), 'EN', ''), 'ro', ''), 'Ro', ''), 'RO', ''), ' {2,}', ' ', 'g'), e' \t\n\r\x0b\x0c') as text
+from documents""")
+def without_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", prompts.without_words(F.col("text"), ["en", "ro"]).alias("text"))
+
+
+@_query("select event_id, case when event_id % 4 > 1 then value end as agent_v, event_id % 2 as v from events where event_id % 3 > 0")
+def merged_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers beside labels; infinite numbers become null."""
+    e = _read(spark, sf_dir, "events")
+    endless = F.when(F.col("event_id") % 4 == 0, float("inf")).when(F.col("event_id") % 4 == 1, float("-inf")).otherwise(F.col("value"))
+    return voting.merged(e.select("event_id", endless.alias("agent_v")), e.where("event_id % 3 > 0").select("event_id", (F.col("event_id") % 2).alias("v")), "event_id")
+
+
+@_query(
+    _BM25.replace("from documents)", "from documents join labels using (doc_id))")
+    + """
+, h as (select query_id, doc_idx, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as rank from scored),
+v as (select query_id, rank, quality, toxic from h join labels on doc_id = doc_idx where rank <= 10),
+q as (select query_id, arg_min(quality, (-n, first)) as agent_quality from (select query_id, quality, count(*) as n, min(rank) as first from v group by 1, 2) group by 1),
+t as (select query_id, arg_min(toxic, (-n, first)) as agent_toxic from (select query_id, toxic, count(*) as n, min(rank) as first from v group by 1, 2) group by 1)
+select item_id as query_id, agent_quality, agent_toxic from benchmark left join q on q.query_id = item_id left join t on t.query_id = item_id"""
+)
 def judge_over_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The offline judge: documents as examples, benchmark items as units; no SQL, the tests hold it against brute force."""
+    """The offline judge: documents as examples, benchmark items as units."""
     q, _ = _corpus(spark, sf_dir)
     examples = _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels"), "doc_id").select(F.col("doc_id").alias("doc_idx"), "text", "quality", "toxic")
     return judge.neighbour_judge(q, examples, ["quality", "toxic"])
