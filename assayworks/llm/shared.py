@@ -11,36 +11,19 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
-#: While a table is written: what goes to Python at a time, and small partitions put together up to the advisory size.
-_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
-_WRITING = {**_ARROW, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
-
+from assayworks.sources.kept import forget, fresh_path, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = "file://" + tempfile.mkdtemp(prefix="assayworks-")
-        found = _own[app]
-    return found.rstrip("/")
+__all__ = ["as_text", "forget", "fresh_path", "reading", "release", "settings", "shared_dir", "table", "tidy", "written"]
 
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/assayworks-{name}-{uuid.uuid4().hex}"
+#: While a table is written: what goes to Python at a time, and small partitions put together up to the advisory size.
+_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+_WRITING = {**_ARROW, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 << 20)}
 
 
 @contextmanager
@@ -71,17 +54,6 @@ def written(df: DataFrame, name: str, few: bool = True) -> DataFrame:
     return out
 
 
-def forget(*tables: DataFrame | None) -> None:
-    """Delete the files of tables made by :func:`written` that nothing reads any more."""
-    for df in tables:
-        path = getattr(df, "_shared_path", None)
-        if path is None:
-            continue
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def reading(out: DataFrame, *tables: DataFrame | None) -> DataFrame:
     """Note which written tables a result reads, for :func:`release`."""
     out._reads = [*getattr(out, "_reads", []), *tables]
@@ -112,12 +84,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """Drop columns that an operator is about to add, whatever their case."""
-    taken = {n.lower() for n in names}
-    return df.drop(*[c for c in df.columns if c.lower() in taken])
-
-
 def as_text(c: Column) -> Column:
     """Null becomes the empty string."""
     return F.coalesce(c, F.lit(""))

@@ -578,11 +578,13 @@ def _joined(docs: DataFrame, bounds: DataFrame, model: np.ndarray, channel: Chan
 
     held = written(docs.select(*key, "text").mapInArrow(split, "_h long, _g long, t string").distinct(), "tokens")
     best = held.select("t").distinct().mapInArrow(pieces, "t string, e string").join(bounds, "e").groupBy("t").agg(F.max("bound").alias("b"))
+    best = written(best, "best")  # a plain table: the join with a very frequent token is split by AQE
     strong = F.col("b") >= 0.5
     of_text = held.join(best, "t").groupBy("_h", "_g").agg(
         F.coalesce(F.sum(F.when(strong, F.log1p(-F.col("b")))), F.lit(0.0)).alias("rest"), F.coalesce(F.max(F.when(~strong, F.col("b"))), F.lit(0.0)).alias("top")
     )
     whole = F.greatest(F.lit(FLOOR), F.coalesce("top", F.lit(0.0)), -F.expm1(F.coalesce("rest", F.lit(0.0))))
     of_text = written(of_text, "texts")
+    forget(best)
     out = docs.select("doc_id", "held_out", *key).join(of_text, ["_h", "_g"], "left").select("doc_id", "held_out", whole.alias("score"))
     return reading(out, held, of_text)

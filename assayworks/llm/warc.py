@@ -49,10 +49,11 @@ def payload_digest(payload: Column) -> Column:
     return F.translate(F.concat(*parts), _DIGITS, _BASE32)
 
 
-def with_decisions(pages: DataFrame, least_bytes: int = 0, parts: int | None = None) -> DataFrame:
+def with_decisions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """``page_id, url, body, payload_bytes, payload_digest, refers_to, refers_url`` of ``pages(page_id, url, html)``.
 
-    The pages are dealt once, into ``parts`` partitions, by just the keys of the join.
+    The pages are dealt once, by the keys of the join.  Its other side is a plain table: rows that
+    share an id (or have none) and a payload are a skewed join that AQE splits.
     """
     body = F.encode(as_text(F.col("html")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), as_text(F.col("url").cast("string")).alias("url"), body.alias("body")).select(
@@ -74,7 +75,7 @@ def with_decisions(pages: DataFrame, least_bytes: int = 0, parts: int | None = N
     )
     later = written(later, "later")
     forget(heads, repeated)
-    out = (rows.repartition(parts, *on) if parts else rows).join(later, on, "left").drop("id", "nameless")
+    out = rows.join(later, on, "left").drop("id", "nameless")
     return reading(out, later)
 
 
@@ -133,10 +134,14 @@ def write_archives(pages: DataFrame, path: str | None = None, least_bytes: int =
     spark = pages.sparkSession
     path = path or fresh_path(spark, "warc")
     date = date or time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
-    size = pages.agg(F.sum(F.octet_length("html")).alias("n")).head()["n"] or 0
-    files = max(1, -(-size // file_bytes))
-    decided = with_decisions(pages, least_bytes, files)
-    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}):
+    decided = with_decisions(pages, least_bytes)
+    # a shuffled partition of about that size is a file
+    dealt = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes), "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    }
+    with settings(spark, dealt):
         records(decided, date).select(F.col("record").cast("string")).write.option("lineSep", "\0").text(path)
     release(decided)
     return path
