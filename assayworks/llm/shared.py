@@ -21,9 +21,10 @@ from assayworks.sources.kept import forget, fresh_path, shared_dir
 
 __all__ = ["as_text", "forget", "fresh_path", "reading", "release", "settings", "shared_dir", "table", "tidy", "written"]
 
-#: While a table is written: what goes to Python at a time, and small partitions put together up to the advisory size.
+#: While a table is written: what goes to Python at a time, and small partitions put together up to the session's advisory size, 16 MB at least.
 _ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
-_WRITING = {**_ARROW, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 << 20)}
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_LEAST_ADVISORY = 16 << 20
 
 
 @contextmanager
@@ -47,7 +48,11 @@ def written(df: DataFrame, name: str, few: bool = True) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     schema = df.schema
-    with settings(spark, _WRITING if few else _ARROW):
+    told = dict(_ARROW)
+    if few:
+        size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_ADVISORY))
+        told |= {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", _ADVISORY: str(max(size, _LEAST_ADVISORY))}
+    with settings(spark, told):
         df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._shared_path = path
