@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import decontamination, licenses, minhash_dedup, packing, pii, quality, sharding, toxicity, vector_dedup, warc
-from assayworks.llm.shared import table
+from assayworks.llm import decontamination, licenses, minhash_dedup, mixing, packing, pii, quality, repair, sharding, sweep, toxicity, vector_dedup, warc
+from assayworks.llm.shared import reading, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -226,3 +226,123 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     # documents carry no URL: their source stands for the host, its part in one language for the path
     return quality.scored(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"), carry=("doc_id", "source", "lang"))
+
+
+@_query
+def op11_peak_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = sweep.open_sales(*(table(spark, sf_dir, t) for t in ("sales", "sale_lines", "clients")))
+    found = sweep.sweep(spans, total=sweep.ALL).withColumnsRenamed({"key": "nation_id", "open_amount": "open_cents"})
+    return reading(found, *spans._reads)
+
+
+SQL["op11_peak_concurrency"] = r"""
+with ends as (
+  select sale_id, max(epoch_us(shipped_at)) // 60000000 * 60 + 604800 as stop from sale_lines
+  where sale_id is not null and shipped_at is not null group by 1),
+homes as (select client_id, min(nation_id) as nation from clients where client_id is not null group by 1),
+spans as (
+  select coalesce(nation, -1) as nation, epoch_us(sold_at) // 60000000 * 60 as start, stop, coalesce(floor(100 * total + 0.5), 0)::bigint as cents
+  from sales left join ends using (sale_id) left join homes using (client_id) where sold_at is not null),
+open as (select * from spans where stop is null or stop > start),
+moves as (
+  select nation, start as t, 1 as n, cents as c from open union all select nation, stop, -1, -cents from open where stop is not null),
+net as (
+  select nation, t, sum(n) as n, sum(c) as c
+  from (select * from moves union all select -2, t, n, c from moves) group by 1, 2 having sum(n) <> 0 or sum(c) <> 0),
+run as (
+  select nation, t, lead(t) over w as next_t, sum(n) over w as n_open, sum(c) over w as c_open
+  from net window w as (partition by nation order by t))
+select nation::int as nation_id, t::bigint as from_s, next_t::bigint as to_s, n_open::bigint as n_open, c_open::bigint as open_cents,
+  (max(n_open) over (partition by nation order by t))::bigint as high_open, n_open = max(n_open) over (partition by nation) as is_peak
+from run
+"""
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+SQL["op12_conversation_repair"] = r"""
+with recursive crc as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k:
+    case when c % 2 = 1 then xor(3988292384, c // 2) else c // 2 end)) as t),
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+      lambda x: ascii(x)::bigint)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256))) % 20 as kind
+  from conversations, crc),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy from given)),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
+facts as (
+  select *, left(role, 1) as c, rtrim(text, E' 	
+
+') as t, row_number() over (partition by conv_id, role, text order by i) > 1 as later,
+    lag(left(role, 1)) over (partition by conv_id order by i) as before
+  from placed),
+turns as (
+  select *, t = '' as blank, t = '' or later as forced, (t <> '' and not later and right(t, 1) not in ('.', '!', '?'))::int as cut from facts),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+    count(*) filter (later and not blank) as duplicate, sum(cut) as truncated,
+    count(*) filter (before is not null and before || c not in ('su', 'ua', 'au')) as illegal, max(i) as last
+  from turns group by 1),
+puts(q, more, line, q2) as (
+  values (0, '', '', 0), (0, 'I', chr(10) || 'user:', 2), (0, 'II', chr(10) || 'user:' || chr(10) || 'assistant:', 3),
+    (1, '', '', 1), (1, 'I', chr(10) || 'user:', 2), (1, 'II', chr(10) || 'user:' || chr(10) || 'assistant:', 3),
+    (2, '', '', 2), (2, 'I', chr(10) || 'assistant:', 3), (3, '', '', 3), (3, 'I', chr(10) || 'user:', 2)),
+moves(letter, c, q, q1, cost, named) as (
+  values ('K', 's', 0, 1, 0, null), ('K', 'u', 0, 2, 0, null), ('K', 'u', 1, 2, 0, null), ('K', 'u', 3, 2, 0, null), ('K', 'a', 2, 3, 0, null),
+    ('R', null, 0, 2, 2, 'user'), ('R', null, 1, 2, 2, 'user'), ('R', null, 3, 2, 2, 'user'), ('R', null, 2, 3, 2, 'assistant'),
+    ('D', null, 0, 0, 3, null), ('D', null, 1, 1, 3, null), ('D', null, 2, 2, 3, null), ('D', null, 3, 3, 3, null)),
+best as (
+  select conv_id, 0::bigint as i, q2 as q, {'cost': 2 * length(more), 'audit': more, 'lines': line} as way
+  from (select distinct conv_id from conversations), puts where puts.q = 0
+  union all
+  select b.conv_id, t.i, p.q2, min({'cost': b.way.cost + m.cost + 2 * length(p.more) + case when m.letter <> 'D' then t.cut else 0 end,
+    'audit': b.way.audit || m.letter || p.more,
+    'lines': b.way.lines || case when m.letter = 'D' then '' else chr(10) || coalesce(m.named, t.role) || ':' || t.text end || p.line})
+  from best b join turns t on t.conv_id is not distinct from b.conv_id and t.i = b.i + 1
+  join moves m on m.q = b.q and (m.c is null or m.c = t.c) and (m.letter = 'D' or not t.forced) join puts p on p.q = m.q1
+  group by b.conv_id, t.i, p.q2),
+ended as (
+  select b.conv_id, min(b.way) as way from best b left join counts c on c.conv_id is not distinct from b.conv_id
+  where b.i = coalesce(c.last, 0) and b.q in (0, 3) group by 1)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, way.cost::bigint as cost, way.audit as audit,
+  sha256(substr(way.lines, 2)) as repaired_sha256
+from ended e left join counts c on c.conv_id is not distinct from e.conv_id
+"""
+
+
+@_query
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_mixing"] = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) as size,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, text, '')), 1, 13))::bigint / 4503599627370496.0::double as draw
+  from documents),
+s as (
+  select source, sum(size)::bigint as size, row_number() over (order by source nulls last) as k from d group by 1),
+w as (select *, [5.0, 2.0, 1.0][((k - 1) % 3 + 1)::int]::double as weight, 2.0::double * size as most from s),
+l as (
+  select *, coalesce(sum(most) over before, 0) as limits, coalesce(sum(weight) over before, 0) as weights
+  from w window before as (order by most / weight, k rows between unbounded preceding and 1 preceding)),
+level as (
+  select max((1.5::double * (select sum(size) from s) - limits) / ((select sum(weight) from w) - weights)) as level from l),
+goal as (select source, size as source_size, least(most, weight * level) as target from w, level),
+r as (
+  select doc_id, d.size, source_size, target, case when source_size = 0 then 0 else target / source_size end as rate, draw
+  from d join goal on goal.source is not distinct from d.source)
+select doc_id, size::bigint as size, source_size, target, (floor(rate) + (draw < rate - floor(rate))::int)::int as copies,
+  (size * (floor(rate) + (draw < rate - floor(rate))::int))::bigint as taken
+from r
+"""
