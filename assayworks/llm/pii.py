@@ -1,13 +1,22 @@
 """Personal data, and the terms that give it away.
 
 Base spans are e-mail addresses, IP addresses, payment cards and telephone
-numbers, found by pattern in whole texts.  Information-theoretic sanitisation
-adds spans: over distinct texts, a term that stands within ``reach`` characters of
-a protected value (an entity) in at least ``support`` texts is a candidate, and
-discloses the entity by ``P(entity | term)``, the share of the texts with the term
-that hold the entity anywhere.  It is masked wherever it occurs if the share reaches
-``disclosure`` and the term raises the entity's probability by ``bits`` bits.  From
-``removal`` on it is removed, below that generalised to the kind of value it discloses.
+numbers, found by pattern in whole texts.  Secrets are runs of 16 letters and digits or more
+that go from one to the other and back: at five bits a sign that is more than any word carries.
+All these are protected values (entities).
+
+Information-theoretic sanitisation adds the terms that reveal them, by co-occurrence over
+distinct whole texts, in two ways:
+
+- a term reveals a kind of entity by ``P(kind | term)``, the share of the texts with the term
+  that hold an entity of the kind; it has to go with at least ``values`` different ones, so that
+  near copies of a text are no evidence (a cue such as ``password``);
+- a term that stands within ``reach`` characters of an entity in at least ``support`` texts
+  reveals this one by ``P(entity | term)`` (a name, a nickname).
+
+A term is masked wherever it occurs if the share reaches ``disclosure`` and the term raises
+the probability by ``bits`` bits.  From ``removal`` on it is removed, below that generalised to
+the kind of value it discloses.  Terms inside entities are no candidates.
 
 Counts cover all texts; exact copies count once.  Base spans stay within a row; the
 statistics are grouped aggregations.  Terms that are in too many texts to disclose
@@ -36,19 +45,20 @@ from assayworks.llm.shared import as_text, forget, reading, release, written
 
 #: Kinds in their order, and Java patterns.  Possessive loops and the start conditions change no
 #: match; they keep the time linear in the text and the stack flat.  Runs of under 14 digits can be no card.
-KINDS = ("email", "ip", "card", "phone", "term")
+KINDS = ("email", "ip", "card", "phone", "secret", "term")
 _LOCAL = "[A-Za-z0-9._%+-]"
 _PATTERN = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "secret": r"(?<![\p{L}\p{N}])[A-Za-z0-9]{16,}+(?![\p{L}\p{N}])",
 }
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _WORD = r"[\p{L}\p{N}]+"
-#: ``rank``: the kind; of terms 4 and the kind that they disclose, or 8 if they go.
+#: ``rank``: the kind; of terms 5 and the kind that they disclose, or 10 if they go.
 _SPAN = "array<struct<start:int,rank:int,stop:int>>"
-_GONE = 8
+_SECRET, _TERM, _GONE = 4, 5, 10
 _BLOCK = 128
 
 
@@ -56,6 +66,7 @@ _BLOCK = 128
 class Disclosure:
     reach: int = 80
     support: int = 3
+    values: int = 5
     disclosure: float = 0.8
     bits: float = 3.0
     removal: float = 0.95
@@ -86,6 +97,8 @@ def _valid(kind: str, found: Column) -> Column:
         return F.when(F.length(digits).between(14, 19), _luhn(digits)).otherwise(False)
     if kind == "phone":
         return F.length(F.translate(found, " ().-+", "")).between(10, 15)
+    if kind == "secret":
+        return found.rlike("[0-9][A-Za-z]") & found.rlike("[A-Za-z][0-9]")
     return F.lit(True)
 
 
@@ -148,6 +161,23 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*each))
 
 
+def secret_spans(text: Column) -> Column:
+    """Spans of keys, tokens and passwords that no word looks like."""
+    found = _located(text, _PATTERN["secret"], partial(_ranked, "secret", _SECRET))
+    return F.when(text.rlike("[0-9][A-Za-z]"), found).otherwise(F.array().cast(_SPAN))
+
+
+def _outside(text: Column, spans: Column) -> Column:
+    """The text without its entities, a stop for each."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(a: Column, s: Column) -> Column:
+        gap = F.when(s.start > a.at, F.substring(text, a.at + 1, s.start - a.at)).otherwise("")
+        return F.struct(F.greatest(a.at, s.stop).alias("at"), F.concat(a.parts, F.array(gap)).alias("parts"))
+
+    return F.aggregate(spans, start, step, lambda a: F.concat(F.array_join(a.parts, "."), F.lit("."), F.substring(text, a.at + 1, F.length(text))))
+
+
 def _terms(part: Column, shortest: int, skip: Column | None = None, spare: Column | None = None) -> Column:
     """Terms of a text; ``skip`` and ``spare`` say that the first or last piece is cut and goes, whatever it is."""
     found = F.split(F.lower(part), r"[^\p{L}\p{N}]+")
@@ -181,7 +211,7 @@ def _inside(text: Column, at: Column) -> Column:
 
 def _entity(text: Column, s: Column) -> Column:
     value = F.substring(text, s.start + 1, s.stop - s.start)
-    return F.concat(s["rank"].cast("string"), F.lit(":"), F.when(s["rank"] == 0, F.lower(value)).otherwise(F.regexp_replace(value, "[^0-9.]", "")))
+    return F.concat(s["rank"].cast("string"), F.lit(":"), F.when(s["rank"] == 0, F.lower(value)).when(s["rank"] == _SECRET, value).otherwise(F.regexp_replace(value, "[^0-9.]", "")))
 
 
 def _bounded(df: DataFrame, most: int) -> DataFrame:
@@ -193,7 +223,7 @@ def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> DataF
     """Masked terms ``term, share, kind``; none if nothing is a candidate.
 
     ``based(h, g, beside, words)`` holds, for each row, its entities with the terms beside
-    them, and all its terms (both null without entities), ``texts(text, h, g)`` all texts.
+    them, and its terms outside of them (both null without entities), ``texts(text, h, g)`` all texts.
     """
     by_text = written(based.groupBy(*KEY).agg(F.count("*").alias("copies")), "copies")
     n_all = max(1, by_text.count())
@@ -206,9 +236,10 @@ def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> DataF
     n_held = held.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_held"))
     able = (F.col("n_entity") >= d.disclosure * F.col("n_held")) & (F.log2(F.lit(float(n_all)) / F.greatest("n_entity", "n_held")) >= d.bits)
     near = written(near.join(n_entity, "entity").join(n_held, "term").where(able).select("term", "entity", "n_entity"), "near")
-    wanted = written(near.select("term").distinct(), "wanted")
+    kinds = written(_by_kind(held, n_held, n_all, d), "kinds")
+    wanted = written(near.select("term").union(kinds.select("term")).distinct(), "wanted")
     if not wanted.head(1):
-        forget(by_text, held, near, wanted)
+        forget(by_text, held, near, kinds, wanted)
         return None
     terms = held.select(*KEY, F.explode("words").alias("term")).join(_bounded(wanted, d.broadcast_terms), "term", "left_semi")
     both = terms.join(near, "term").join(entities, [*KEY, "entity"], "left_semi")
@@ -220,20 +251,41 @@ def disclosing_terms(based: DataFrame, texts: DataFrame, d: Disclosure) -> DataF
     n_term = every.join(_bounded(wanted, d.broadcast_terms), "term", "left_semi").groupBy("term").agg(F.round(F.sum("w")).alias("n_term"))
     share = F.col("n_both") / F.col("n_term")
     gain = F.log2(share / (F.col("n_entity") / F.lit(float(n_all))))
-    told = pairs.join(n_term, "term").where((share >= d.disclosure) & (gain >= d.bits))
-    best = F.max(F.struct(share.alias("share"), (-F.substring("entity", 1, 1).cast("int")).alias("back"))).alias("best")
+    each = pairs.select("term", F.substring("entity", 1, 1).cast("int").alias("kind"), "n_entity", "n_both").unionByName(kinds)
+    told = each.join(n_term, "term").where((share >= d.disclosure) & (gain >= d.bits))
+    best = F.max(F.struct(share.alias("share"), (-F.col("kind")).alias("back"))).alias("best")
     told = written(told.groupBy("term").agg(best).select("term", "best.share", (-F.col("best.back")).alias("kind")), "told")
-    forget(by_text, held, near, wanted)
+    forget(by_text, held, near, kinds, wanted)
     if told.head(1):
         return told
     forget(told)
     return None
 
 
+def _by_kind(held: DataFrame, n_held: DataFrame, n_all: int, d: Disclosure) -> DataFrame:
+    """Terms that may reveal a kind of entity: ``term, kind, n_entity, n_both``; counts are of distinct texts.
+
+    A text stands for one value of each kind that it holds, the least by hash, so pairs stay in
+    proportion to its terms.
+    """
+
+    def stands(kind: int) -> Column:
+        own = F.filter("beside", lambda x: x.entity.startswith(f"{kind}:"))
+        return F.struct(F.lit(kind).alias("kind"), F.array_min(F.transform(own, lambda x: F.xxhash64(x.entity))).alias("value"))
+
+    some = F.array(*map(stands, range(_TERM)))
+    kinds = held.select("words", F.explode(F.filter(some, lambda x: x.value.isNotNull())).alias("x"))
+    n_kind = kinds.groupBy(F.col("x.kind").alias("kind")).agg(F.count("*").alias("n_entity"))
+    pairs = kinds.select("x.kind", "x.value", F.explode("words").alias("term")).groupBy("term", "kind", "value").agg(F.count("*").alias("n"))
+    both = pairs.groupBy("term", "kind").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_values")).where(F.col("n_values") >= d.values)
+    able = (F.col("n_both") >= d.disclosure * F.col("n_held")) & (F.log2(F.lit(float(n_all)) / F.col("n_entity")) >= d.bits)
+    return both.join(n_held, "term").join(F.broadcast(n_kind), "kind").where(able).select("term", "kind", "n_entity", "n_both")
+
+
 def _term_spans(texts: DataFrame, told: DataFrame, d: Disclosure) -> DataFrame:
     """``h, g, extra``: the spans of masked terms in each distinct text that has any."""
     every = texts.select(*KEY, F.explode(F.array_distinct(_terms(F.col("text"), d.shortest))).alias("term"))
-    rank = F.when(F.col("share") < d.removal, F.col("kind") + 4).otherwise(_GONE)
+    rank = F.when(F.col("share") < d.removal, F.col("kind") + _TERM).otherwise(_GONE)
     there = every.join(_bounded(told.select("term", rank.alias("rank")), d.broadcast_terms), "term")
     there = written(there.groupBy(*KEY).agg(F.collect_set(F.struct("term", "rank")).alias("ranks")), "there")
     held = texts.join(_bounded(there.select(*KEY), d.broadcast_texts), KEY, "left_semi")
@@ -245,44 +297,47 @@ def _term_spans(texts: DataFrame, told: DataFrame, d: Disclosure) -> DataFrame:
 
 
 def detected(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
-    """``doc_id, base, extra`` and the text's key for each row of ``docs(doc_id, text)``."""
+    """``doc_id, base, extra`` (secrets and terms) and the text's key for each row of ``docs(doc_id, text)``."""
     d = d or Disclosure()
     texts = docs.select(as_text(F.col("text")).alias("text"))
     texts = texts.select("text", *_text_key(F.col("text")))
-    rows = docs.select("doc_id", as_text(F.col("text")).alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
+    rows = docs.select("doc_id", as_text(F.col("text")).alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("base"), secret_spans(F.col("text")).alias("secret"))
+    rows = rows.withColumn("entities", F.array_sort(F.concat("base", "secret")))
     beside = F.transform(
-        "base", lambda s: F.struct(_entity(F.col("text"), s).alias("entity"), _beside(F.col("text"), s, d.reach, d.shortest).alias("terms"))
+        "entities", lambda s: F.struct(_entity(F.col("text"), s).alias("entity"), _beside(F.col("text"), s, d.reach, d.shortest).alias("terms"))
     )
-    some = F.size("base") > 0
-    words = F.when(some, F.array_distinct(_terms(F.col("text"), d.shortest))).alias("words")
-    based = written(rows.select("doc_id", *_text_key(F.col("text")), "base", F.when(some, beside).alias("beside"), words), "base")
+    some = F.size("entities") > 0
+    words = F.when(some, F.array_distinct(_terms(_outside(F.col("text"), F.col("entities")), d.shortest))).alias("words")
+    based = written(rows.select("doc_id", *_text_key(F.col("text")), "base", "secret", F.when(some, beside).alias("beside"), words), "base")
     told = disclosing_terms(based, texts, d)
     slim = based.drop("beside", "words")
-    none = F.array().cast(_SPAN)
     if told is None:
-        return reading(slim.withColumn("extra", none), based)
+        return reading(slim.withColumnRenamed("secret", "extra"), based)
     extra = _term_spans(texts, told, d)
     forget(told)
     # both sides are plain tables: a text of very many rows is a skewed join that AQE splits
-    return reading(slim.join(extra, KEY, "left").withColumn("extra", F.coalesce("extra", none)), based, extra)
+    return reading(slim.join(extra, KEY, "left").withColumn("extra", F.concat("secret", F.coalesce("extra", F.array().cast(_SPAN)))).drop("secret"), based, extra)
 
 
 def _named(spans: Column) -> Column:
-    name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), F.least(s["rank"], F.lit(4)) + 1)
+    name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), F.least(s["rank"], F.lit(_TERM)) + 1)
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s.start.cast("string"), s.stop.cast("string"))), ",")
 
 
 def report(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:
-    """``doc_id``, the number of base spans of each kind, their digest, and all spans as text."""
+    """``doc_id``, the number of base spans of each kind, their digest, all spans as text, of these secrets and terms, and whether there are any."""
     found = detected(docs, d)
-    count = lambda k: F.size(F.filter("base", lambda s: s["rank"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+    count = lambda k: F.size(F.filter(whole, lambda s: F.least(s["rank"], F.lit(_TERM)) == k)).cast("long").alias(f"n_{KINDS[k]}")
     whole = F.array_sort(F.concat("base", "extra"))
-    out = found.select("doc_id", *map(count, range(4)), F.sha2(_named(F.col("base")), 256).alias("base_sha256"), _named(whole).alias("spans"))
+    out = found.select(
+        "doc_id", *map(count, range(4)), F.sha2(_named(F.col("base")), 256).alias("base_sha256"), _named(whole).alias("spans"),
+        count(_SECRET), count(_TERM), (F.size(whole) > 0).alias("sensitive"),
+    )
     return reading(out, found)
 
 
 #: What stands for a masked span, by rank.
-MASKS = [*(f"[{k.upper()}]" for k in KINDS[:4]), *(f"[{k.upper()} TERM]" for k in KINDS[:4]), ""]
+MASKS = [*(f"[{k.upper()}]" for k in KINDS[:_TERM]), *(f"[{k.upper()} TERM]" for k in KINDS[:_TERM]), ""]
 
 
 def sanitise(docs: DataFrame, d: Disclosure | None = None) -> DataFrame:

@@ -62,17 +62,33 @@ def test_base_spans(spark):
         assert all(got[i][f"n_{k}"] == kinds[k] for k in PATTERNS)
 
 
+SECRET = re.compile(r"(?<![^\W_])[A-Za-z0-9]{16,}(?![^\W_])")
+
+
+def secrets(text):
+    found = [(m.start(), 4, m.end(), "secret", m[0]) for m in SECRET.finditer(text or "")]
+    return [x for x in found if re.search("[0-9][A-Za-z]", x[4]) and re.search("[A-Za-z][0-9]", x[4])]
+
+
 def brute_terms(texts, d):
     """Masked terms with their shares."""
     texts = sorted(set(texts))
     letters = lambda s: {w for w in re.findall(r"[^\W_]+", s.lower()) if len(w) >= d.shortest and re.search(r"[^\W\d_]", w)}
-    near, holds, has = defaultdict(set), defaultdict(set), defaultdict(set)
+    near, holds, has, kinds, beside, goes = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
     for t in texts:
         for w in letters(t):
             has[w].add(t)
-        for a, rank, b, _, x in spans(t):
-            entity = (rank, x.lower() if rank == 0 else re.sub("[^0-9.]", "", x))
+        found = sorted(spans(t) + secrets(t))
+        rest = list(t)
+        for a, rank, b, _, x in found:
+            rest[a:b] = "." * (b - a)
+        for a, rank, b, _, x in found:
+            entity = (rank, x.lower() if rank == 0 else x if rank == 4 else re.sub("[^0-9.]", "", x))
             holds[entity].add(t)
+            kinds[rank].add(t)
+            for w in letters("".join(rest)):
+                beside[w, rank].add(t)
+                goes[w, rank].add(entity)
             for m in re.finditer(r"[^\W_]+", t):
                 if (m.end() <= a and m.start() >= a - d.reach) or (m.start() >= b and m.end() <= b + d.reach):
                     for w in letters(m[0]):
@@ -82,6 +98,10 @@ def brute_terms(texts, d):
         share = len(has[w] & holds[e]) / len(has[w])
         if len(where) >= d.support and share >= d.disclosure and math.log2(share / (len(holds[e]) / len(texts))) >= d.bits:
             told[w] = max(told.get(w, 0), share)
+    for (w, k), where in beside.items():  # texts here hold one entity of a kind at most
+        share = len(where) / len(has[w])
+        if len(goes[w, k]) >= d.values and share >= d.disclosure and math.log2(share / (len(kinds[k]) / len(texts))) >= d.bits:
+            told[w] = max(told.get(w, 0), share)
     return told
 
 
@@ -101,10 +121,14 @@ def test_terms(spark, few):
         elif rng.random() < 0.02:
             w.append(f"nick{i % 4}")
         rows.append((i, " ".join(w)))
+    for i in range(12):  # cues that go with ever other values, once also in a near copy
+        rows.append((300 + i, f"{' '.join(rng.sample(words, 6))} the pass is {rng.randbytes(10).hex()}a1b2 keep"))
+        rows.append((330 + i, f"copied {' '.join(rng.sample(words, 6))} f00ba2f00ba2f00ba2 {'x' * i}"))
+    rows.append((350, "a pass to go"))
     rows += [(1000 + i, rows[0][1]) for i in range(30)]  # one text of many rows
     d = pii.Disclosure(broadcast_terms=few, broadcast_texts=few, broadcast_spans=few)
     want = brute_terms([t for _, t in rows], d)
-    assert any(k.startswith("nick") for k in want)
+    assert any(k.startswith("nick") for k in want) and "pass" in want
     got = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(rows, DOCS), d).collect()}
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, DOCS), d).collect()}
     assert len(clean) == len(got) == len(rows)
