@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,14 +59,15 @@ def turn_number(c: Column, kind: T.DataType) -> Column:
     return F.when((value >= 1) & (value == F.floor(value)), value.cast("long"))
 
 
-def normalised(c: Column, rule: str, inverted: bool, name: str, values: Mapping[str, str] | None = None) -> Column:
-    """A source cell by its rule: ``label`` text, a ``numeric`` value or per cent, or a look-up in ``dict`` values."""
+def normalised(c: Column, rule: str, inverted: bool, name: str, values: Mapping[str, Any] | None = None) -> Column:
+    """A source cell by its rule: ``label`` text, a ``numeric`` value or per cent, or the number that a ``map`` has for its text."""
     text = trimmed(c)
     empty = text.isNull() | (text == "")
-    if isinstance(values, Mapping) and rule == "dict":
-        pairs = [x for k, v in values.items() for x in (F.lit(str(k).strip().lower()), F.lit(str(v)).cast(NUMBER))]
-        found = F.try_element_at(F.create_map(*pairs), F.lower(text))
-        out = F.when(empty, None).otherwise(F.coalesce(found, F.raise_error(F.concat(F.lit(f"{name}: no value for "), text)).cast(NUMBER)))
+    if rule == "map":
+        known = {str(k).strip().lower(): str(v) for k, v in (values or {}).items()}
+        refused = F.raise_error(F.concat(F.lit(f"{name}: no value for "), text)).cast(NUMBER)
+        pairs = [x for k, v in known.items() for x in (F.lit(k), F.lit(v).cast(NUMBER))]
+        out = F.when(empty, None).otherwise(F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(text)), refused) if pairs else refused)
     elif rule == "label":
         out = F.when(~empty, F.lower(text))
     else:

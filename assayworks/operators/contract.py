@@ -36,7 +36,8 @@ class Source:
     role: str
     normalization: str = "numeric"
     polarity: str = "direct"
-    value_map: Mapping[str, Any] | None = None
+    #: With ``normalization="map"``: folded text to number.
+    value_map: Mapping[str, Decimal] | None = None
 
     @property
     def inverted(self) -> bool:
@@ -139,14 +140,16 @@ def _source(raw: Mapping[str, Any]) -> Source:
     for key in ("source_id", "column_name", "role"):
         require(bool(str(raw.get(key) or "").strip()), f"a source lacks {key}")
     rule, polarity = raw.get("normalization", "numeric"), raw.get("polarity", "direct")
-    require(rule in ("numeric", "label", "dict"), f"unknown normalization {rule!r}")
+    values = None
+    if isinstance(rule, Mapping):  # the map itself is the rule; texts that fold alike are one, the last counts
+        values = {str(k).strip().lower(): finite(v, f"normalization[{k!r}] of {raw['source_id']}") for k, v in rule.items()}
+        rule = "map"
+    else:
+        require(rule in ("numeric", "label"), f"unknown normalization {rule!r}")
     require(polarity in ("direct", "inverted"), f"unknown polarity {polarity!r}")
     require(not (rule == "label" and polarity == "inverted"), "a label cannot be inverted")
-    require((rule == "dict") == bool(raw.get("value_map")), "value_map goes with dict, and only with it")
     require(raw["source_id"] not in UNIT_COLUMNS, f"{raw['source_id']} is a column of units")
-    for k, v in (raw.get("value_map") or {}).items():
-        finite(v, f"value_map[{k!r}]")
-    return Source(str(raw["source_id"]), str(raw["column_name"]), str(raw["role"]), rule, polarity, raw.get("value_map"))
+    return Source(str(raw["source_id"]), str(raw["column_name"]), str(raw["role"]), rule, polarity, values)
 
 
 def for_judge(contract: Contract) -> Contract:

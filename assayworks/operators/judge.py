@@ -1,34 +1,32 @@
 """Judges: what answers the criteria of a unit.
 
 A judge is any callable from a list of prompts to a list of answers of the same
-length; an item may be an exception, and the call may raise one for all.  It runs beside the
-data, in batches, with bounded retries and one pause for all that wait.
-:class:`HttpJudge` asks a chat service; :func:`neighbour_judge` is an offline stand-in
-that votes over retrieved labelled examples.
+length.  An item may be an exception, and the call may raise one for all: :class:`Refused`
+if a quota is used up, :class:`NotSent` for a prompt that was never sent.  It runs beside the
+data, in batches, with bounded attempts a prompt and one pause for all tasks of a cluster.
+Answers go into a ledger, a Parquet folder, batch by batch, and a run asks what the ledger
+leaves open: what broke off goes on where it was.  :class:`assayworks.operators.chat.HttpJudge`
+asks a chat service; :func:`neighbour_judge` is an offline stand-in that votes over retrieved
+labelled examples.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import re
-import ssl
 import time
-import urllib.error
-import urllib.request
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayworks.operators.contract import ContractError
-from assayworks.operators.prompts import answer_form
+from assayworks.operators.gate import Pass, opened
 from assayworks.operators.retrieval import bm25, top_k
-from assayworks.operators.schema import Scale, last_object, parse_answers, read_answer
+from assayworks.operators.schema import Scale, parse_answers
 from assayworks.operators.voting import add_votes, first_mode
+from assayworks.sources.kept import exists, forget, fresh_path, kept
 
 Judge = Callable[[list[str]], Sequence[str | Exception | None]]
 #: Calls in flight, attempts after refusals by quota and after other errors, pauses in seconds.
@@ -36,79 +34,129 @@ IN_FLIGHT, QUOTA_ATTEMPTS, OTHER_ATTEMPTS = 4, 6, 2
 FIRST_PAUSE, LONGEST_PAUSE, DELAY = 2.0, 60.0, 3.0
 #: Fixed value: the share of units that a judge may lose, one at least.
 TOLERANCE = 0.1
-_QUOTA = re.compile(r"429|too many requests|rate limit", re.I)
-_NAMED = re.compile(r"retry[-_\s]?after\D{0,4}(\d+(?:\.\d+)?)", re.I)
 
 
 class JudgeError(RuntimeError):
     """An answer that can't be used."""
 
 
-def pause_after(message: str, attempt: int, base: float = FIRST_PAUSE, most: float = LONGEST_PAUSE) -> float | None:
-    """Seconds to wait after a quota refusal: named by the server, else doubling up to a bound; None for other errors."""
-    if not _QUOTA.search(message):
-        return None
-    named = _NAMED.search(message)
-    return float(named[1]) if named and float(named[1]) > 0 else min(base * 2 ** (attempt - 1), most)
+class Refused(JudgeError):
+    """A service takes no more calls for now; ``pause`` in seconds, if it says so."""
 
+    def __init__(self, why: str, pause: float | None = None):
+        super().__init__(why)
+        self.pause = pause
 
-def ask(judge: Judge, prompts: list[str], attempts: int = QUOTA_ATTEMPTS, others: int = OTHER_ATTEMPTS, delay: float = DELAY, sleep=time.sleep) -> list[tuple[str | None, str | None]]:
+
+class NotSent(JudgeError):
+    """A prompt that was not sent, because another of its call was refused."""
+
+    def __init__(self) -> None:
+        super().__init__("not sent")
+
+
+def pause_after(refusals: int, named: float | None = None) -> float:
+    """Seconds to wait after so many refusals of a prompt: what the service names, else doubling up to a bound."""
+    return named if named else min(FIRST_PAUSE * 2 ** (refusals - 1), LONGEST_PAUSE)
+
+
+def ask(
+    judge: Judge,
+    prompts: list[str],
+    attempts: int = QUOTA_ATTEMPTS,
+    others: int = OTHER_ATTEMPTS,
+    delay: float = DELAY,
+    sleep: Callable[[float], None] = time.sleep,
+    gate: Pass | None = None,
+) -> list[tuple[str | None, str | None]]:
     """For each prompt its answer, or the last error.
 
-    All prompts still open are asked together; after refusals by quota all wait for the
-    longest pause that any of them asks for.
+    All prompts still open are asked together, behind the ``gate`` if there is one.  Attempts
+    are counted for prompts that were sent; a call that sends none counts for its first.  After a refusal
+    all tasks behind the gate wait for the longest pause that a prompt of the call asks for.
     """
     out: list[tuple[str | None, str | None]] = [(None, "not asked")] * len(prompts)
     refused, failed = [0] * len(prompts), [0] * len(prompts)
     open_ = list(range(len(prompts)))
     while open_:
+        lease = gate.take(sleep) if gate else None
+        pause = 0.0
         try:
-            got: Sequence[Any] = judge([prompts[i] for i in open_])
-            if len(got) != len(open_):
-                raise JudgeError(f"{len(got)} answers to {len(open_)} prompts")
-        except Exception as e:  # a judge may raise anything; the rows record it
-            got = [e] * len(open_)
-        still, wait = [], 0.0
-        for i, answer in zip(open_, got, strict=True):
-            if not isinstance(answer, Exception) and answer is not None:
-                out[i] = (answer, None)
-                continue
-            error = f"{type(answer).__name__}: {answer}" if answer is not None else "no answer"
-            out[i] = (None, error)
-            pause = pause_after(error, refused[i] + 1)
-            if pause is None:
-                failed[i] += 1
-                again = failed[i] < others
-                pause = delay
-            else:
-                refused[i] += 1
-                again = refused[i] < attempts
-            if again:
-                still.append(i)
-                wait = max(wait, pause)
+            got = _answers(judge, [prompts[i] for i in open_])
+            still, wait = [], 0.0
+            for i, answer in zip(open_, got, strict=True):
+                if isinstance(answer, str):
+                    out[i] = (answer, None)
+                    continue
+                out[i] = (None, "no answer" if answer is None else f"{type(answer).__name__}: {answer}")
+                if isinstance(answer, NotSent):
+                    still.append(i)
+                elif isinstance(answer, Refused):
+                    refused[i] += 1
+                    pause = max(pause, pause_after(refused[i], answer.pause))
+                    still += [i] * (refused[i] < attempts)
+                else:
+                    failed[i] += 1
+                    wait = max(wait, delay)
+                    still += [i] * (failed[i] < others)
+        finally:
+            if gate:
+                gate.give(lease, pause)
         open_ = still
-        if open_:
-            sleep(wait)
+        if open_ and (wait or (pause and not gate)):
+            sleep(max(wait, 0.0 if gate else pause))
     return out
 
 
-def judged(units: DataFrame, prompt: str, judge: Judge, key: str = "_unit_id", parallel: int = IN_FLIGHT, batch: int = 32, **retry) -> DataFrame:
-    """``key, answer, error`` for each row; at most ``parallel`` tasks ask at a time on a whole cluster.
+def _answers(judge: Judge, prompts: list[str]) -> Sequence[Any]:
+    """What a judge gives for each prompt; what it raises is each one's, and a call that sent nothing is a failure of its first."""
+    try:
+        got = list(judge(prompts))
+        if len(got) != len(prompts):
+            raise JudgeError(f"{len(got)} answers to {len(prompts)} prompts")
+    except Exception as e:  # a judge may raise anything; the rows record it
+        got = [e, *[NotSent() if isinstance(e, Refused) else e] * (len(prompts) - 1)]
+    if all(isinstance(x, NotSent) for x in got):
+        got[0] = JudgeError("nothing was sent")
+    return got
 
-    Evaluate it once and keep the table: each evaluation asks again.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, batch):
-                part = b.slice(at, batch)
-                got = ask(judge, [p or "" for p in part.column(1).to_pylist()], **retry)
-                columns = [part.column(0), pa.array([a for a, _ in got], pa.string()), pa.array([e for _, e in got], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=[key, "answer", "error"])
+def judged(units: DataFrame, prompt: str, judge: Judge, key: str = "_unit_id", parallel: int = IN_FLIGHT, batch: int = 32, ledger: str | None = None, waves: int = 1, **retry: Any) -> DataFrame:
+    """``key, answer, error`` for each row, a written table; at most ``parallel`` calls are under way at a time on a whole cluster.
 
-    kind = units.schema[key].dataType.simpleString()
-    dealt = units.select(F.col(key), F.col(prompt).cast("string")).repartition(parallel)
-    return dealt.mapInArrow(run, f"`{key}` {kind}, answer string, error string")
+    Each wave is a job that deals its prompts out in tasks of about ``batch``; a task's answers are
+    in the ``ledger`` (a folder of its own) as soon as it ends, whatever becomes of the job.  A run
+    with a ledger asks only for keys that have no answer there, so a lost executor costs the batches
+    that it had under way, and a run that broke off goes on with the same ledger.  Errors are asked again
+    by the next run.  Of a key's rows in the ledger an answer counts before an error.
+    """
+    spark = units.sparkSession
+    ledger = ledger or fresh_path(spark, "ledger")
+    row = T.StructType([T.StructField(key, units.schema[key].dataType), T.StructField("answer", T.StringType()), T.StructField("error", T.StringType())])
+    asked = units.select(key, F.col(prompt).cast("string").alias("_prompt"), F.pmod(F.xxhash64(F.col(key)), F.lit(waves)).alias("_wave"))
+    if exists(spark, ledger):
+        known = spark.read.schema(row).parquet(ledger).where("answer is not null").select(key).distinct()
+        asked = asked.join(known, key, "left_anti")
+    open_ = kept(asked, "open", by=["_wave"])
+    sizes = {r["_wave"]: r["n"] for r in open_.groupBy("_wave").agg(F.count("*").alias("n")).collect()}  # a row a wave
+    with opened(spark, parallel) as gate:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, batch):
+                    part = b.slice(at, batch)
+                    got = ask(judge, [p or "" for p in part.column(1).to_pylist()], gate=gate, **retry)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([a for a, _ in got], pa.string()), pa.array([e for _, e in got], pa.string())], names=row.names)
+
+        for wave in sorted(sizes):
+            tasks = max(1, -(-sizes[wave] // batch))
+            dealt = open_.where(F.col("_wave") == wave).select(key, "_prompt").repartition(tasks)
+            # a task's file is in place once it ends, and stays if the job fails
+            dealt.mapInArrow(run, row).write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger)
+    forget(open_)
+    found = spark.read.schema(row).parquet(ledger) if exists(spark, ledger) else spark.createDataFrame([], row)
+    best = F.max(F.struct(F.col("answer").isNotNull().alias("good"), "answer", "error")).alias("_best")
+    return units.select(key).join(found.groupBy(key).agg(best), key, "left").select(key, "_best.answer", "_best.error")
 
 
 def check_failures(answers: DataFrame, share: float = TOLERANCE) -> dict[str, int]:
@@ -141,146 +189,6 @@ def voted(answers: DataFrame, scales: list[Scale], runs: int, key: str = "_unit_
     return add_votes(wide, names)
 
 
-# --- a chat service
-
-
-def content_text(content: Any) -> str:
-    """The text of a message's content: a string, or a list of strings and of blocks with text."""
-    if isinstance(content, str):
-        return content
-    blocks = content if isinstance(content, list) else []
-    texts = [b if isinstance(b, str) else b.get("text") if isinstance(b, dict) else None for b in blocks]
-    return "".join(t for t in texts if isinstance(t, str))
-
-
-#: Names of roles.
-_ROLES = {"human": "user", "ai": "assistant"}
-
-
-def messages_of(prompt: Any) -> list[dict[str, str]]:
-    """A prompt as chat messages: text is the user's; lists hold pairs, or objects with role and content."""
-    if not isinstance(prompt, list):
-        return [{"role": "user", "content": str(prompt)}]
-    out = []
-    for item in prompt:
-        role, content = (item.get("role", "user"), item.get("content", "")) if isinstance(item, dict) else item
-        text = content_text(content)
-        if not text and not isinstance(content, str):
-            text = json.dumps(content, ensure_ascii=False)
-        out.append({"role": _ROLES.get(role, role), "content": text})
-    return out
-
-
-def answer_text(payload: Any, model: str) -> str:
-    """The text of a service's answer; one without choices or text is refused, with what it says about why."""
-    choices = payload.get("choices") if isinstance(payload, dict) else None
-    choice = choices[0] if isinstance(choices, list) and choices and isinstance(choices[0], dict) else {}
-    message = choice.get("message")
-    if not isinstance(message, dict):
-        raise JudgeError(f"{model}: an answer without a message")
-    text = content_text(message.get("content"))
-    if not text.strip():
-        thoughts = message.get("reasoning_content")
-        length = len(thoughts) if isinstance(thoughts, str) else 0
-        raise JudgeError(f"{model}: an empty answer (finish_reason={choice.get('finish_reason')!r}, thoughts={length}, request={payload.get('id')!r})")
-    return text
-
-
-@dataclass(frozen=True)
-class HttpJudge:
-    """Asks ``POST <base_url>/chat/completions``, greedily unless told otherwise; answers are checked against ``scales``."""
-
-    base_url: str
-    model: str
-    scales: tuple[Scale, ...] = ()
-    temperature: float | None = None
-    top_p: float | None = None
-    timeout: float = 300.0
-    max_tokens: int = 8192
-    #: Name of the environment variable that holds the key, if there is one.
-    key_variable: str = ""
-    verify: bool = True
-    extra: dict[str, Any] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        if not self.base_url.strip() or not self.model.strip():
-            raise ValueError("a judge needs an address and a model")
-
-    def request(self, prompt: Any) -> dict[str, Any]:
-        """The body of a request."""
-        messages = messages_of(prompt)
-        if self.scales:
-            messages.append({"role": "user", "content": answer_form([s.name for s in self.scales])})
-        told = {"temperature": self.temperature, "top_p": self.top_p}
-        fixed = {"top_k": 1, "n": 1, "stream": False, "repetition_penalty": 1.0, "presence_penalty": 0.0, "frequency_penalty": 0.0}
-        return {"model": self.model, "messages": messages, "max_tokens": self.max_tokens, **fixed, **{k: v for k, v in told.items() if v is not None}, **self.extra}
-
-    def complete(self, prompt: Any) -> str:
-        """The text of one answer; HTTP errors say their status and what the server asks for."""
-        heads = {"Content-Type": "application/json"}
-        key = os.environ.get(self.key_variable) if self.key_variable else None
-        if key:
-            heads["Authorization"] = f"Bearer {key}"
-        body = json.dumps(self.request(prompt), ensure_ascii=False).encode()
-        request = urllib.request.Request(self.base_url.rstrip("/") + "/chat/completions", body, heads)
-        context = None if self.verify else ssl._create_unverified_context()
-        try:
-            with urllib.request.urlopen(request, timeout=self.timeout, context=context) as answer:
-                raw = answer.read()
-        except urllib.error.HTTPError as e:
-            named = e.headers.get("Retry-After")
-            raise JudgeError(f"HTTP {e.code} {e.reason}" + (f", retry-after: {named}" if named else "")) from e
-        try:
-            payload = json.loads(raw)
-        except ValueError as e:
-            raise JudgeError(f"{self.model}: an answer that is no JSON") from e
-        return answer_text(payload, self.model)
-
-    def checked(self, text: str) -> str:
-        """The last JSON object of a text, on the scales."""
-        found = last_object(text)
-        if found is None:
-            raise JudgeError(f"no JSON object in the answer: {text[:300]!r}")
-        return json.dumps(read_answer(found, list(self.scales)), ensure_ascii=False, sort_keys=True)
-
-    def __call__(self, prompts: list[str]) -> list[str | Exception]:
-        out: list[str | Exception] = []
-        for p in prompts:
-            try:
-                text = self.complete(p)
-                out.append(self.checked(text) if self.scales else text)
-            except Exception as e:  # the item fails, not the batch
-                out.append(e)
-                if _QUOTA.search(str(e)):  # the others would be refused as well
-                    out += [e] * (len(prompts) - len(out))
-                    break
-        return out
-
-
-@dataclass(frozen=True)
-class JudgeConfig:
-    """Which judge a run uses: an explicit model first, then the environment's, then the default; no judge replaces another."""
-
-    base_url: str = ""
-    model: str = ""
-    default_model: str = "judge"
-    model_variable: str = "JUDGE_MODEL"
-    temperature: float | None = None
-    top_p: float | None = None
-    timeout: float = 300.0
-    max_tokens: int = 16384
-    key_variable: str = "JUDGE_API_KEY"
-    verify: bool = True
-
-    def chosen(self) -> str:
-        return self.model.strip() or os.environ.get(self.model_variable, "").strip() or self.default_model
-
-    def build(self, scales: Sequence[Scale] = ()) -> HttpJudge:
-        if not self.base_url.strip():
-            raise ValueError(f"the judge {self.chosen()!r} needs an address")
-        return HttpJudge(self.base_url, self.chosen(), tuple(scales), self.temperature, self.top_p, self.timeout, self.max_tokens, self.key_variable, self.verify)
-
-
 # --- without a service
 
 

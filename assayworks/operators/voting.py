@@ -24,13 +24,21 @@ def first_mode(values: Column) -> Column:
     return F.get(F.array_sort(ranked), F.lit(0))["v"]
 
 
+def first_mode_of_maps(values: Column) -> Column:
+    """:func:`first_mode` of an array of maps: maps of the same entries in any order are equal; the first met of the mode comes back."""
+    full = F.filter(values, lambda v: v.isNotNull())
+    keys = F.transform(full, lambda v: F.array_sort(F.map_entries(v)))
+    return F.get(full, (F.array_position(keys, first_mode(keys)) - 1).cast("int"))
+
+
 def add_votes(df: DataFrame, criteria: list[str], scoring: bool = True) -> DataFrame:
     """Add ``agent_<criterion>`` (or ``<criterion>``) with the vote of its assessor columns."""
     new = {}
     for c in criteria:
         found = assessor_columns(df.columns, c)
         if found:
-            new[f"agent_{c}" if scoring else c] = first_mode(F.array(*[F.col(f"`{x}`") for x in found]))
+            mode = first_mode_of_maps if isinstance(df.schema[found[0]].dataType, T.MapType) else first_mode
+            new[f"agent_{c}" if scoring else c] = mode(F.array(*[F.col(f"`{x}`") for x in found]))
     return df.withColumns(new)
 
 

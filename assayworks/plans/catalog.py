@@ -11,9 +11,9 @@ from assayworks.functions.cells import blank, equality_key, trimmed, turn_number
 from assayworks.operators import agreement, embedding, judge, prompts, retrieval, scoring, units, voting
 from assayworks.operators import schema as scales
 from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
-from assayworks.operators.judge import JudgeError
+from assayworks.operators.judge import JudgeError, NotSent, Refused
 from assayworks.plans import monitoring
-from assayworks.sources import traces
+from assayworks.sources import positions, traces
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -76,7 +76,7 @@ _CASES = {
         "fail": "least(q, t, v)", "exclude_unit": f"case when not {_ANY} then least(q, t, v) end", "zero": "least(coalesce(q, 0), coalesce(t, 0), v)",
         "exclude_value": "least(q, t, v)"}),
     ("majority", "present"): (_VOTES, {p: """
-        case when 2 * s > n then 1.0 when 2 * s < n then 0.0 """ + ("else 0.0" if p == "zero" else "") + " end" for p in ("exclude_unit", "exclude_value", "zero")}),
+        case when 2 * s > n then 1.0 when 2 * s < n then 0.0 """ + ("else 0.0" if p == "zero" else "") + " end" for p in ("exclude_unit", "exclude_value", "zero", "fail")}),
     ("majority", "declared"): (_VOTES, {p: "case when 2 * s > 3 then 1.0 else 0.0 end" for p in ("exclude_unit", "exclude_value", "zero", "fail")}),
     ("accuracy", None): ([("long", "prediction", "label", "direct"), ("quality", "target", "label", "direct")], {
         "fail": "(v = q)::int::double", "exclude_unit": "(v = q)::int::double", "exclude_value": "(v = q)::int::double", "zero": "coalesce((v = q)::int::double, 0)"}),
@@ -100,6 +100,41 @@ from (select *, coalesce(q, 0) + coalesce(t, 0) + v as s, (q is not null)::int +
         _query(_sql, "_".join(x for x in ("score", _m, _d, _p) if x))(_score_query(_m, _s, _p, _d))
 
 
+_WORTH = {" EN ": 1, "fr": "0.5", "de": 0.25, "es": 0}
+
+
+@_query("""
+with d as (
+  select d.doc_id, case lang when 'en' then 1.0 when 'fr' then 0.5 when 'de' then 0.25 when 'es' then 0.0 end as a, case toxic when 1 then 0.0 when 0 then 1.0 end as b
+  from documents d left join labels l using (doc_id))
+select doc_id, case when a is not null and b is not null then (a + b) / 2 else coalesce(a, b) end::double as main_metric from d""")
+def score_value_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values by maps given as the normalisation, one of them inverted."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang").join(_read(spark, sf_dir, "labels"), "doc_id", "left")
+    c = contract("mean_criteria", [("lang", "criterion", _WORTH, "direct"), ("toxic", "criterion", {"1": 1, "0": 0}, "inverted")])
+    return scoring.score_units(docs, c).select("doc_id", "main_metric")
+
+
+@_query("""
+select doc_id, '0:' || quality || ',1:' || toxic as vote
+from labels""")
+def vote_over_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three assessors answer with maps; two say the same in another order of entries."""
+    q, t = F.col("quality").cast("int"), F.col("toxic").cast("int")
+    votes = _read(spark, sf_dir, "labels").select(
+        "doc_id", F.create_map(F.lit(0), F.lit(9)).alias("agent_0_c"), F.create_map(F.lit(0), q, F.lit(1), t).alias("agent_1_c"), F.create_map(F.lit(1), t, F.lit(0), q).alias("agent_2_c")
+    )
+    entries = F.array_sort(F.map_entries("agent_c"))
+    told = F.array_join(F.transform(entries, lambda e: F.concat_ws(":", e.key.cast("string"), e.value.cast("string"))), ",")
+    return voting.add_votes(votes, ["c"]).select("doc_id", told.alias("vote"))
+
+
+@_query("select click_id, kind, row_number() over () - 1 as pos from clicks")
+def positions_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows numbered in the order of their files."""
+    return positions.of_parquet(spark, f"{sf_dir}/clicks.parquet", "pos").select("click_id", "kind", "pos")
+
+
 @_query(_SCORED.format(how="left") + f"""
 , s as (select w, {_CASES["mean_criteria", None][1]["exclude_value"]} as m from d)
 select 'm' as name, sum(m * w) / sum(w) filter (m is not null) as value, count(*) as total_units, count(m) as scored_units,
@@ -703,6 +738,20 @@ def judged_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.judged(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text", _counting_judge, "doc_id", delay=0.0)
 
 
+def _refusing_judge(asked: list[str]) -> list[str | Exception]:
+    """Takes five prompts a call, refuses the next and sends no more."""
+    taken = _counting_judge(asked[:5])
+    rest = len(asked) - len(taken)
+    return [*taken, *[Refused("busy", 0.001)] * min(rest, 1), *[NotSent()] * (rest - 1)]
+
+
+@_query("""
+select doc_id, case when length(text) % 7 <> 0 then length(text)::varchar end as answer, case when length(text) % 7 = 0 then 'JudgeError: no' end as error from documents""")
+def judged_in_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two waves behind one gate, answers in a ledger; what the service refuses is sent again, what it did not send is asked later."""
+    return judge.judged(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text", _refusing_judge, "doc_id", waves=2, delay=0.0)
+
+
 def _counting_embedder(texts: list[str]) -> list[list[float]]:
     return [[float(len(t)), float(t.count("e"))] for t in texts]
 

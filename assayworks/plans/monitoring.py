@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from assayworks.operators import agreement
 from assayworks.operators.contract import SCORE, Contract, ContractError, for_judge, require, validate
-from assayworks.operators.judge import Judge, JudgeConfig, check_failures, in_runs, judged, neighbour_judge, voted
+from assayworks.operators.chat import JudgeConfig
+from assayworks.operators.judge import Judge, check_failures, in_runs, judged, neighbour_judge, voted
 from assayworks.operators.prompts import example_pairs, example_text, joined_hits, prompts, source_instruction, structured
 from assayworks.operators.retrieval import Retriever, create_retriever
 from assayworks.operators.schema import Scale, labelled_scales
@@ -19,7 +20,7 @@ from assayworks.operators.scoring import broadcast_scores, score_units
 from assayworks.operators.units import normalize_umr, unitize
 from assayworks.sources.documents import domain_folder, load_documents, load_instruction
 from assayworks.sources.kept import kept
-from assayworks.sources.loading import chunked, load_monitoring, load_table
+from assayworks.sources.loading import chunked, load_in_order, load_monitoring
 
 #: (units to judge, labelled units, criteria) -> ``query_id, agent_<criterion>``
 Predict = Callable[[DataFrame, DataFrame, list[str]], DataFrame]
@@ -94,6 +95,9 @@ class Assessor:
     subject: Retriever | None = None
     runs: int = 1
     parallel: int = 4
+    #: A folder for answers; a run that broke off goes on with it.  Prompts are asked in so many waves.
+    ledger: str | None = None
+    waves: int = 1
     retry: dict[str, Any] = field(default_factory=dict)
 
     def scales(self, labelled: DataFrame, criteria: list[str]) -> list[Scale]:
@@ -115,7 +119,7 @@ class Assessor:
         judge = self.judge.build(scales) if isinstance(self.judge, JudgeConfig) else self.judge
         asked = in_runs(kept(self.prompts(queries, examples, criteria, scales), "prompts"), self.runs)
         asked = asked.withColumn("key", F.struct("query_id", "run"))
-        answers = kept(judged(asked, "prompt", judge, "key", self.parallel, **self.retry), "answers")
+        answers = kept(judged(asked, "prompt", judge, "key", self.parallel, ledger=self.ledger, waves=self.waves, **self.retry), "answers")
         check_failures(answers)
         return voted(answers.select("key.query_id", "key.run", "answer"), scales, self.runs, "query_id")
 
@@ -246,8 +250,8 @@ def main(
     shorten: Callable[[str], str] | None = None,
     **retry: Any,
 ) -> Result:
-    """The run from files: tables (which need ``_pos``), an instruction, an archive of texts on the subject, and a judge."""
-    reference = load_table(spark, reference_umr)
+    """The run from files: tables (rows in the order of their files, or by ``_pos`` where there is one), an instruction, an archive of texts on the subject, and a judge."""
+    reference = load_in_order(spark, reference_umr)
     monitoring = None if monitoring_umr is None else load_monitoring(spark, monitoring_umr)
     known = validate(monitoring_metric, require_computed=False)
     if known is None:

@@ -9,7 +9,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
@@ -32,11 +34,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/assayworks-{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write a table and read it back."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder with anything in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def kept(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write a table and read it back; ``by``: columns that name the folders of its parts, which a filter on them reads alone."""
     spark, schema = df.sparkSession, df.schema
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._shared_path = path
     return out
@@ -53,11 +61,25 @@ def forget(*tables: DataFrame | None) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def scanned(df: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """Add sums over all rows before each one in an order that no two rows share.
+
+    Range partitions are summed within, and carried over by the sums of the partitions before; no task sees all rows.
+    """
+    ranged = kept(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    parts = ranged.groupBy("_range").agg(*(F.sum(e).alias(f"_{c}") for c, e in sums.items()))
+    carry = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # a row for each partition
+    before = parts.select("_range", *(F.coalesce(F.sum(f"_{c}").over(carry), F.lit(0)).alias(f"_{c}") for c in sums))
+    own = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    added = ranged.join(F.broadcast(before), "_range")
+    out = added.withColumns({c: F.col(f"_{c}") + F.coalesce(F.sum(e).over(own), F.lit(0)) for c, e in sums.items()})
+    out = out.drop("_range", *(f"_{c}" for c in sums))
+    out._reads = [ranged]
+    return out
+
+
 def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """Number rows from 0 by columns that order them, without one task sorting all: offsets of written range partitions."""
-    from pyspark.sql import Window as W
-    from pyspark.sql import functions as F
-
     ranged = kept(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id()), "ranged")
     part = F.shiftright("_m", 33)
     sizes = ranged.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))

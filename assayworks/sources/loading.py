@@ -11,23 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayworks.operators.contract import ContractError
+from assayworks.sources import positions
 from assayworks.sources.documents import xlsx_rows
 
 SUFFIXES = (".parquet", ".csv", ".xlsx")
 
 
+def table_path(value: str | os.PathLike) -> str:
+    """The path of a table; of a local folder that holds exactly one, this one's."""
+    path = os.fspath(value)
+    if not os.path.isdir(path) or path.rstrip("/").endswith(".parquet"):
+        return path
+    found = [f for f in sorted(os.listdir(path)) if f.lower().endswith(SUFFIXES)]
+    if len(found) != 1:
+        raise ContractError(f"{path} must hold one table, not {len(found)}")
+    return os.path.join(path, found[0])
+
+
 def load_table(spark: SparkSession, value: DataFrame | bytes | str | os.PathLike | None) -> DataFrame | None:
     """A frame as it is, a Parquet file's bytes, or a Parquet, CSV or XLSX file; a local folder must hold exactly one of these."""
     if value is None or isinstance(value, DataFrame):
         return value
     if isinstance(value, (bytes, bytearray, memoryview)):
         return _of_bytes(spark, bytes(value))
-    path = os.fspath(value)
-    if os.path.isdir(path) and not path.rstrip("/").endswith(".parquet"):
-        found = [f for f in sorted(os.listdir(path)) if f.lower().endswith(SUFFIXES)]
-        if len(found) != 1:
-            raise ContractError(f"{path} must hold one table, not {len(found)}")
-        path = os.path.join(path, found[0])
+    path = table_path(value)
     kind = os.path.splitext(path.rstrip("/"))[1].lower()
     if kind == ".parquet":
         return spark.read.parquet(path)
@@ -56,15 +63,27 @@ def _sheet(spark: SparkSession, path: str, data: bytes) -> DataFrame:
     return spark.createDataFrame([tuple(r) for r in rows[1:]], ", ".join(f"`{c}` string" for c in rows[0]))
 
 
+def load_in_order(spark: SparkSession, value: DataFrame | bytes | str | os.PathLike | None) -> DataFrame | None:
+    """:func:`load_table` with ``_pos``, the place of each row in its files (or frame), where the table has none."""
+    if value is None:
+        return None
+    if isinstance(value, (DataFrame, bytes, bytearray, memoryview)):
+        return positions.of_frame(load_table(spark, value))
+    path = table_path(value)
+    if path.rstrip("/").lower().endswith(".parquet"):
+        return positions.of_parquet(spark, path)
+    found = load_table(spark, path)
+    return positions.of_text(found) if path.lower().endswith(".csv") else positions.of_frame(found)
+
+
 def load_monitoring(spark: SparkSession, value: DataFrame | bytes | str | os.PathLike) -> DataFrame:
-    """A monitoring table: a frame, or Parquet by path or as bytes; all else is refused by name."""
-    if isinstance(value, DataFrame):
-        return value
-    if isinstance(value, (str, os.PathLike)) and not os.fspath(value).rstrip("/").lower().endswith(".parquet") and not os.path.isdir(value):
-        raise ContractError(f"{value}: a monitoring table is a Parquet file")
-    if not isinstance(value, (bytes, bytearray, memoryview, str, os.PathLike)):
+    """A monitoring table in order: a frame, or Parquet by path or as bytes; all else is refused by name."""
+    if isinstance(value, (str, os.PathLike)):
+        if not table_path(value).rstrip("/").lower().endswith(".parquet"):
+            raise ContractError(f"{value}: a monitoring table is a Parquet file")
+    elif not isinstance(value, (DataFrame, bytes, bytearray, memoryview)):
         raise ContractError(f"a monitoring table can't be a {type(value).__name__}")
-    return load_table(spark, value)
+    return load_in_order(spark, value)
 
 
 def text_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -39,7 +39,7 @@ def test_truth_table(spark):
 def test_cells(spark):
     df = spark.createDataFrame([(" 85% ", "Yes "), ("", "\t"), (None, "no")], "v string, l string")
     got = df.select(normalised(F.col("v"), "numeric", False, "v").cast("double"), normalised(F.col("l"), "label", False, "l"),
-                    normalised(F.col("l"), "dict", True, "l", {"YES": 1, "no": 0}).cast("int"), blank(F.col("l"))).collect()
+                    normalised(F.col("l"), "map", True, "l", {"YES": 1, "no": 0}).cast("int"), blank(F.col("l"))).collect()
     assert [tuple(r) for r in got] == [(0.85, "yes", 0, False), (None, None, None, True), (None, "no", 1, False)]
     turns = spark.createDataFrame([("1",), ("2.0",), ("0",), ("1.5",), (" ",), ("x",), (None,)], "t string")
     assert [r[0] for r in turns.select(turn_number(F.col("t"), turns.schema["t"].dataType)).collect()] == [1, 2, None, None, None, None, None]

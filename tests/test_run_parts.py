@@ -15,7 +15,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from assayworks.functions import sequences
-from assayworks.operators import embedding, judge, prompts, retrieval, schema
+from assayworks.operators import chat, embedding, judge, prompts, retrieval, schema
 from assayworks.operators.contract import ContractError
 from assayworks.operators.units import unpack, with_positions
 from assayworks.plans import monitoring
@@ -205,7 +205,7 @@ GOOD = schema.Scale("good", "double", (0.0, 1.0), False, True)
 
 def test_http_judge(service, monkeypatch):
     monkeypatch.setenv("TEST_KEY", "k")
-    config = judge.JudgeConfig(service, "m", key_variable="TEST_KEY", temperature=0.5)
+    config = chat.JudgeConfig(service, "m", key_variable="TEST_KEY", temperature=0.5)
     asked = config.build([GOOD])
     Service.refusals = 2
     slept = []
@@ -215,20 +215,21 @@ def test_http_judge(service, monkeypatch):
     assert slept == [0.01, 0.01]
     Service.lost = True
     (answer, error), = judge.ask(asked, ["x"], sleep=slept.append)
-    assert answer is None and "empty answer" in error and slept[2:] == [3]
+    assert answer is None and "nothing was answered" in error and slept[2:] == [3]
     monkeypatch.setenv("JUDGE_MODEL", "from the environment")
-    assert judge.JudgeConfig(service).chosen() == "from the environment" and judge.JudgeConfig(service, "own").chosen() == "own"
+    assert chat.JudgeConfig(service).chosen() == "from the environment" and chat.JudgeConfig(service, "own").chosen() == "own"
     with pytest.raises(ValueError):
-        judge.JudgeConfig().build()
+        chat.JudgeConfig().build()
 
 
 def test_messages():
-    assert judge.messages_of("p") == [{"role": "user", "content": "p"}]
-    got = judge.messages_of([("system", "s"), {"role": "human", "content": ["a", {"text": "b"}]}, ("ai", [{"x": 1}])])
-    assert got == [{"role": "system", "content": "s"}, {"role": "user", "content": "ab"}, {"role": "assistant", "content": '[{"x": 1}]'}]
-    for bad in ({}, {"choices": []}, {"choices": [{}]}, {"choices": [{"message": {"content": " "}}]}, None):
-        with pytest.raises(judge.JudgeError):
-            judge.answer_text(bad, "m")
+    assert chat.as_chat("p") == [{"role": "user", "content": "p"}]
+    got = chat.as_chat([("system", "s"), ("human", ["a", {"text": "b"}, {"image": 1}]), ("ai", {"text": "c"})])
+    assert got == [{"role": "system", "content": "s"}, {"role": "user", "content": "ab"}, {"role": "assistant", "content": "c"}]
+    assert chat.reply({"choices": [{"message": {"content": ["x", {"text": "y"}]}}]}) == "xy"
+    for bad in ({}, {"choices": []}, {"choices": [{}]}, {"choices": [{"message": {"content": " "}}]}, {"choices": {"a": 1}}, None):
+        with pytest.raises(judge.JudgeError, match="nothing was answered"):
+            chat.reply(bad)
 
 
 def test_answers_on_scales(spark):
@@ -482,7 +483,7 @@ def test_run_with_a_service(spark, service, tmp_path):
         z.writestr("a.txt", "word1 is right")
     embed = lambda df, c: embedding.embedded(df, c, letters)
     out = monitoring.main(
-        spark, units(spark), contract(policy="fail"), judge.JudgeConfig(service, "m"), embed, str(tmp_path / "i.txt"), units(spark).drop("good"),
+        spark, units(spark), contract(policy="fail"), chat.JudgeConfig(service, "m"), embed, str(tmp_path / "i.txt"), units(spark).drop("good"),
         domain_rag_files_zip=archive, num_assessors=3, delay=0.0, sleep=_no_sleep,
     )
     told = out.assessment_result
@@ -496,7 +497,7 @@ def test_run_with_a_service(spark, service, tmp_path):
     assert "Judge well" in prompt and "Answer:" in prompt and "is right" in prompt and "role criterion" in prompt
     Service.lost = True
     with pytest.raises(ContractError, match="judge failed"):
-        monitoring.main(spark, units(spark), contract(), judge.JudgeConfig(service, "m"), embed, {"text": "x"}, units(spark).drop("good"), stage="monitoring", delay=0.0, sleep=_no_sleep)
+        monitoring.main(spark, units(spark), contract(), chat.JudgeConfig(service, "m"), embed, {"text": "x"}, units(spark).drop("good"), stage="monitoring", delay=0.0, sleep=_no_sleep)
 
 
 def test_run_statuses(spark):
