@@ -8,12 +8,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from assayworks.functions.cells import blank, equality_key, trimmed, turn_number
-from assayworks.operators import agreement, embedding, judge, prompts, retrieval, scoring, units, voting
+from assayworks.operators import agreement, embedding, judge, postings, prompts, retrieval, scoring, units, voting
 from assayworks.operators import schema as scales
 from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
 from assayworks.operators.judge import JudgeError, NotSent, Refused
 from assayworks.plans import monitoring
 from assayworks.sources import positions, traces
+from assayworks.sources.kept import fresh_path
+from assayworks.streaming import history
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -337,6 +339,27 @@ def split_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@_query("""
+with t as (select *, row_number() over (partition by conv_id order by turn, text, role) as k from conversations),
+n as (select a.conv_id, a.turn, a.text, a.k, count(b.k) as n_before, coalesce(string_agg(b.text, '|' order by b.k), '') as before
+  from t a left join t b on b.conv_id = a.conv_id and b.k < a.k group by all)
+select conv_id::varchar as session_id, turn::varchar as query_id, k as turn_index, text as input_query, n_before, md5(before) as before_md5 from n""")
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns read as a stream, a minute a turn, with those before them."""
+    schema = _read(spark, sf_dir, "conversations").schema
+    turns = spark.readStream.schema(schema).parquet(f"{sf_dir}/conversations.parquet*").select(
+        F.col("conv_id").alias("session_id"), F.col("turn").alias("query_id"), F.col("text").alias("input_query"), F.col("role").alias("output_answer"),
+        F.timestamp_seconds(60 + F.col("turn") * 60).alias("ts"),
+    )
+    out = fresh_path(spark, "histories")
+    with history.stores(spark):
+        stream = history.with_history(turns, "ts", "0 seconds")
+        stream.writeStream.outputMode("append").option("checkpointLocation", fresh_path(spark, "stream")).format("parquet").trigger(availableNow=True).start(out).awaitTermination()
+    found = spark.read.schema(history.OUTPUT).parquet(out)
+    before = F.array_join(F.transform("history", lambda t: t.input_query), "|")
+    return found.select("session_id", "query_id", "turn_index", "input_query", F.size("history").cast("long").alias("n_before"), F.md5(before.cast("binary")).alias("before_md5"))
+
+
 # --- retrieval
 
 _BM25 = r"""
@@ -365,6 +388,17 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
 
 
+@_query(SQL["bm25_topk"])
+def bm25_growing_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hits from an index on disk, filled in two segments."""
+    q, docs = _corpus(spark, sf_dir)
+    index = postings.Index(spark, fresh_path(spark, "index"))
+    half = F.pmod(F.xxhash64("doc_idx"), F.lit(2))
+    for part in (0, 1):
+        index.add(docs.where(half == part))
+    return index.search(q, 10).best.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
+
+
 @_query(_BM25 + """
 , q as (select query_id, quantile_cont(score, 0.05) as lo, quantile_cont(score, 0.95) as hi, max(score) as top from scored group by 1)
 select query_id, doc_idx, round(case when lo = hi then case when hi = top then 1.0 else 0.5 end else least(greatest((score - lo) / (hi - lo), 0.0), 1.0) end, 6) as norm

@@ -40,6 +40,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+
+
 def kept(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Write a table and read it back; ``by``: columns that name the folders of its parts, which a filter on them reads alone."""
     spark, schema = df.sparkSession, df.schema
