@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from dataclasses import dataclass
 from typing import Any
 
@@ -167,20 +168,85 @@ def last_json_object(texts: pa.Array) -> pa.Array:
     return pa.array([None if (found := last_object(t.as_py())) is None else json.dumps(found, ensure_ascii=False, sort_keys=True) for t in texts], pa.string())
 
 
+#: Where an object may begin, and one token of JSON: a string, another scalar, or a mark.
+_BEGIN = re.compile(r'\{(?=[ \t\n\r]*+["}])')
+_TOKEN = re.compile(
+    r'[ \t\n\r]*+(?:("(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+")'
+    r"|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null|NaN|-?Infinity)|([{}\[\],:]))"
+)
+#: What may come next inside an object or array.
+_KEY_OR_END, _KEY, _COLON, _VALUE, _VALUE_OR_END, _MORE = range(6)
+
+
+def _scan(text: str, begin: int, ended: dict[int, int], failed: set[int]) -> None:
+    """Read an object from a brace: notes where it and each object in it end, or that they don't.
+
+    What is wrong is wrong for all objects that are open there, so none of them is read again.
+    """
+    opened, kinds, state, at = [begin], ["{"], _KEY_OR_END, begin + 1
+    while opened:
+        m = _TOKEN.match(text, at)
+        mark = m and m[3]
+        if m is None:
+            break
+        at = m.end()
+        if mark in ("}", "]"):
+            if kinds[-1] != {"}": "{", "]": "["}[mark] or state not in (_MORE, _KEY_OR_END if mark == "}" else _VALUE_OR_END):
+                break
+            kinds.pop()
+            first = opened.pop()
+            if mark == "}":
+                ended[first] = at
+            state = _MORE
+        elif state in (_KEY, _KEY_OR_END):
+            if m[1] is None:
+                break
+            state = _COLON
+        elif state == _COLON:
+            if mark != ":":
+                break
+            state = _VALUE
+        elif state in (_VALUE, _VALUE_OR_END):
+            if mark in ("{", "["):
+                opened.append(at - 1)
+                kinds.append(mark)
+                state = _KEY_OR_END if mark == "{" else _VALUE_OR_END
+            elif mark is None:
+                state = _MORE
+            else:
+                break
+        elif mark == ",":
+            state = _KEY if kinds[-1] == "{" else _VALUE
+        else:
+            break
+    failed.update(opened)
+
+
 def last_object(text: str | None) -> dict[str, Any] | None:
-    """What ends at the rightmost closing brace that ends an object, from the leftmost brace that begins one there."""
+    """The last JSON object of a text after any thoughts: objects are looked for from the left, one after the end of another.
+
+    A single scan: braces that begin nothing are passed over, and an object that was read as part of one
+    that broke off isn't read again, so time is linear in the text.
+    """
     if text is None:
         return None
-    begin = text.rfind("</think>") + 1
-    opening = [i for i in range(begin, len(text)) if text[i] == "{"]
-    closing = [i for i in range(begin, len(text)) if text[i] == "}"]
-    for end in reversed(closing):
-        for start in opening:
-            if start > end:
-                break
-            try:
-                found = json.loads(text[start : end + 1])
-            except ValueError:
-                continue
-            return found
+    text = text.rsplit("</think>", 1)[-1]
+    ended: dict[int, int] = {}
+    failed: set[int] = set()
+    found: list[tuple[int, int]] = []
+    at = 0
+    for m in _BEGIN.finditer(text):
+        begin = m.start()
+        if begin < at:
+            continue
+        if begin not in ended and begin not in failed:
+            _scan(text, begin, ended, failed)
+        if begin in ended:
+            at = ended[begin]
+            found.append((begin, at))
+    for begin, end in reversed(found):
+        try:
+            return json.loads(text[begin:end])
+        except (ValueError, RecursionError):  # numbers and depths beyond what is read
+            continue
     return None

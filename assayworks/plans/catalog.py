@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from assayworks.functions.cells import blank, equality_key, trimmed, turn_number
-from assayworks.operators import agreement, embedding, judge, postings, prompts, retrieval, scoring, units, voting
+from assayworks.operators import agreement, balls, embedding, judge, postings, prompts, retrieval, scoring, units, voting
 from assayworks.operators import schema as scales
 from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
 from assayworks.operators.judge import JudgeError, NotSent, Refused
@@ -425,10 +425,17 @@ def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 select query_id, doc_idx, round(score, 6) as score, rank from (
   select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc)::int as rank from pairs) where rank <= 10""")
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = retrieval.top_k(retrieval.dense(*_vectors(spark, sf_dir)), 10)
+    hits = retrieval.dense_top(*_vectors(spark, sf_dir), 10)
     return hits.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
 
 
+@_query(SQL["dense_topk"])
+def dense_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hits through balls around pivots."""
+    q, c = _vectors(spark, sf_dir)
+    return balls.Balls.of(c, 64).search(q, 10).best.select("query_id", "doc_idx", F.round("score", 6).alias("score"), "rank")
+
+
 _FUSED = """
 , de as (select query_id, doc_idx, row_number() over (partition by query_id order by round(score, 9) desc, doc_idx desc) as r, score from pairs),
 n as (select count(*) as n from e),
@@ -532,7 +539,8 @@ v as (select query_id, label, count(*) as n, min(rank) as first from h where ran
 select query_id, arg_min(label, (-n, first)) as agent_label from v group by 1""")
 def knn_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     q, c = _vectors(spark, sf_dir)
-    hits = retrieval.top_k(retrieval.dense(q, c).where("query_id <> doc_idx"), 10).join(c.select("doc_idx", "label"), "doc_idx")
+    near = retrieval.dense_top(q, c, 11).where("query_id <> doc_idx").drop("rank")  # one of eleven is the query itself
+    hits = retrieval.top_k(near, 10).join(c.select("doc_idx", "label"), "doc_idx")
     ranked = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "label"))).alias("h"))
     return ranked.select("query_id", voting.first_mode(F.transform("h", lambda x: x.label)).alias("agent_label"))
 

@@ -84,6 +84,20 @@ def scanned(df: DataFrame, order: list[Column], sums: dict[str, Column], name: s
     return out
 
 
+def placed(df: DataFrame, by: str, order: list[Column], out: str) -> DataFrame:
+    """Number the rows of each group from 1 in an order that no two rows of it share, a group's rows over as many tasks as they need.
+
+    Rows are range partitioned by group and order; a partition's rows of a group are numbered from the count of those before it.
+    """
+    ranged = kept(df.repartitionByRange(F.col(by), *order).withColumn("_range", F.spark_partition_id()), "placed")
+    sizes = ranged.groupBy(by, "_range").agg(F.count("*").alias("_n"))
+    carry = W.partitionBy(by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # a row for each partition
+    before = sizes.select(F.col(by).alias("_by"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(carry), F.lit(0)).alias("_before"))
+    own = F.row_number().over(W.partitionBy("_range", by).orderBy(*order))
+    held = ranged.withColumn("_own", own).join(before, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_range") == F.col("_at")))
+    return held.withColumn(out, (F.col("_before") + F.col("_own")).cast("long")).drop("_range", "_own", "_by", "_at", "_before")
+
+
 def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
     """Number rows from 0 by columns that order them, without one task sorting all: offsets of written range partitions."""
     ranged = kept(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id()), "ranged")
