@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from assayworks.sources.kept import kept, scanned
 
 
 def row_accuracy(pairs: list[tuple[str, str]]) -> Column:
@@ -88,11 +91,60 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     return s.select(F.when(F.col("n") > 1, F.try_divide(cov, F.sqrt(var("xx", "sx") * var("yy", "sy")))).alias("spearman"))
 
 
+def _key(c: str, numeric: bool) -> Column:
+    return F.col(f"`{c}`").cast("double").cast("string") if numeric else F.col(f"`{c}`").cast("string")
+
+
+def confusions(df: DataFrame, criteria: list[str]) -> DataFrame:
+    """``criterion, x, y, n``: counts of the pairs of values of ``agent_<criterion>`` and ``<criterion>``, all criteria in one pass."""
+    cells = []
+    for c in criteria:
+        numeric = all(isinstance(df.schema[k].dataType, T.NumericType) for k in (f"agent_{c}", c))
+        cells.append(F.struct(F.lit(c).alias("criterion"), _key(f"agent_{c}", numeric).alias("x"), _key(c, numeric).alias("y")))
+    full = F.filter(F.array(*cells), lambda p: p.x.isNotNull() & p.y.isNotNull())
+    return df.select(F.explode(full).alias("p")).groupBy("p.criterion", "p.x", "p.y").agg(F.count("*").alias("n"))
+
+
+def by_criterion(df: DataFrame, criteria: list[str]) -> DataFrame:
+    """``criterion, pairs, cohen_kappa, krippendorff_alpha, spearman`` from one table of confusions, however many criteria there are.
+
+    Margins of both raters come from one aggregation, ranks from sums over all margins in order.  A measure that can't be had
+    (fewer than two pairs, one value only, values that are no numbers) is null; a criterion without pairs has no row.
+    """
+    table = kept(confusions(df, criteria), "confusions")
+    sides = F.array(F.struct(F.lit("x").alias("side"), F.col("x").alias("v")), F.struct(F.lit("y").alias("side"), F.col("y").alias("v")))
+    margins = table.select("criterion", "n", F.explode(sides).alias("s")).groupBy("criterion", "s.side", "s.v").agg(F.sum("n").alias("n"))
+    margins = kept(margins.withColumn("value", F.col("v").try_cast("double")), "margins")
+    # ranks: how many are below, over all criteria and sides in order, less what is before the first of each
+    below = kept(scanned(margins, [F.col("criterion"), F.col("side"), F.col("value"), F.col("v")], {"before": F.col("n")}, "below"), "ranks")
+    first = below.groupBy("criterion", "side").agg(F.min("before").alias("first"))
+    ranks = below.join(first, ["criterion", "side"]).select("criterion", "side", "v", (F.col("before") - F.col("first") + (F.col("n") + 1) / 2).alias("r"))
+    rank = lambda side: ranks.where(F.col("side") == side).select("criterion", F.col("v").alias(side), F.col("r").alias(f"r{side}"))
+    both = margins.groupBy("criterion", "v").agg(*(F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0)).cast("double").alias(f"n{s}") for s in "xy"))
+    sums = both.groupBy("criterion").agg(F.sum(F.col("nx") * F.col("ny")).alias("chance"), F.sum(F.pow(F.col("nx") + F.col("ny"), 2)).alias("sq"))
+    numbers = F.sum(F.when(F.col("x").try_cast("double").isNotNull() & F.col("y").try_cast("double").isNotNull(), F.col("n")).otherwise(0)).alias("numbers")
+    weigh = lambda e, name: F.sum(F.col("n") * e).alias(name)
+    rx, ry = F.col("rx"), F.col("ry")
+    total = table.join(rank("x"), ["criterion", "x"]).join(rank("y"), ["criterion", "y"]).groupBy("criterion").agg(
+        F.sum("n").alias("pairs"), F.sum(F.when(F.col("x") == F.col("y"), F.col("n")).otherwise(0)).cast("double").alias("same"), numbers,
+        weigh(rx, "sx"), weigh(ry, "sy"), weigh(rx * rx, "xx"), weigh(ry * ry, "yy"), weigh(rx * ry, "xy"),
+    )
+    t = F.col("pairs").cast("double")
+    chance, n = F.col("chance") / (t * t), 2 * t
+    kappa = F.try_divide(F.col("same") / t - chance, 1 - chance)
+    alpha = 1 - F.try_divide((n - 1) * 2 * (t - F.col("same")), n * n - F.col("sq"))
+    spread = (t * F.col("xx") - F.pow("sx", F.lit(2))) * (t * F.col("yy") - F.pow("sy", F.lit(2)))
+    rho = F.when(F.col("numbers") == F.col("pairs"), F.try_divide(t * F.col("xy") - F.col("sx") * F.col("sy"), F.sqrt(spread)))
+    several = lambda e: F.when(F.col("pairs") >= 2, e)
+    return total.join(sums, "criterion").select(
+        "criterion", "pairs", several(kappa).alias("cohen_kappa"), several(alpha).alias("krippendorff_alpha"), several(rho).alias("spearman")
+    )
+
+
 def agreement(df: DataFrame, criteria: list[str]) -> DataFrame:
     """One row: accuracy, its baseline, and the means over criteria (0 if none can be had) of kappa, alpha and Spearman."""
     pairs = [(f"agent_{c}", c) for c in criteria]
-    each = reduce(DataFrame.unionByName, [kappa_alpha(df, a, b).join(F.broadcast(spearman(df, a, b))) for a, b in pairs])
-    means = each.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(o) for c, o in (
+    means = by_criterion(df, criteria).agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(o) for c, o in (
         ("cohen_kappa", "cohen_kappa"), ("krippendorff_alpha", "krippendorff_alpha"), ("spearman", "spearman_correlation"))])
     return mean_accuracy(df, pairs).join(F.broadcast(means))
 

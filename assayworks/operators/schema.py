@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,31 +93,79 @@ def _kind(t: T.DataType) -> str:
     return "double" if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)) else "string"
 
 
-def infer_scale(df: DataFrame, column: str, most: int = MOST_PLAIN, as_labels: bool = False, description: str = "") -> Scale:
-    """The distinct values of a column, if there are 1 to ``most``; doubles with gaps that are all whole are integers."""
-    if column not in df.columns:
-        raise ContractError(f"column {column} is missing")
-    kind, c = _kind(df.schema[column].dataType), F.col(f"`{column}`")
-    values = [r[0] for r in df.where(c.isNotNull()).select(c).distinct().limit(most + 1).collect()]
-    nullable = bool(df.where(c.isNull()).head(1))
-    if kind == "double" and values and nullable:
-        whole = not df.where(c.isNotNull() & (c != F.floor(c))).head(1)
-        if whole:
-            kind, values = "long", [int(v) for v in values]
-    out = Scale(column, kind, tuple(sorted(values)) if 1 <= len(values) <= most else None, nullable, as_labels, description)
-    if as_labels:
-        out.labels()
+def _seen(df: DataFrame, most: int) -> DataFrame:
+    """``name, value, full, gap, part``: a few values of each column, whether it has any, has gaps, and has fractions.
+
+    A task keeps a set of at most ``most + 1`` values a column, as text, and puts out no more; of the
+    tasks' values as many a column stay.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[str, set[str]] = {}
+        gaps, parts = set(), set()
+        for b in batches:
+            for name, column in zip(b.schema.names, b.columns, strict=True):
+                held = sets.setdefault(name, set())
+                if column.null_count:
+                    gaps.add(name)
+                if pa.types.is_floating(column.type) and name not in parts and any(x is not None and not x.is_integer() for x in column.to_pylist()):
+                    parts.add(name)
+                if len(held) <= most:
+                    for x in column.unique().drop_null().to_pylist():
+                        held.add(repr(x) if isinstance(x, (bool, int, float)) else str(x))
+                        if len(held) > most:
+                            break
+        rows = [(n, v, n in gaps, n in parts) for n, held in sets.items() for v in (held or {None})]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.bool_(), pa.bool_()))], names=["name", "value", "gap", "part"]
+        )
+
+    found = df.mapInArrow(keep, "name string, value string, gap boolean, part boolean")
+    each = found.groupBy("name", "value").agg(F.max("gap").alias("gap"), F.max("part").alias("part"))
+    flags = each.select("name", "value", F.max("gap").over(W.partitionBy("name")).alias("gap"), F.max("part").over(W.partitionBy("name")).alias("part"))
+    order = W.partitionBy("name").orderBy(F.col("value").isNull(), "value")
+    return flags.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most + 1).drop("_r")
+
+
+def infer_scales(df: DataFrame, columns: list[str], most: int = MOST_PLAIN, as_labels: bool = False, descriptions: dict[str, str] | None = None) -> list[Scale]:
+    """The scale of each column, in one job for all: its distinct values, if there are 1 to ``most``.
+
+    Doubles with gaps that are all whole are integers.
+    """
+    for c in columns:
+        if c not in df.columns:
+            raise ContractError(f"column {c} is missing")
+    kinds = {c: _kind(df.schema[c].dataType) for c in columns}
+    plain = {"boolean": "boolean", "long": "long", "double": "double", "string": "string"}
+    rows = _seen(df.select(*(F.col(f"`{c}`").cast(plain[kinds[c]]).alias(c) for c in columns)), most).collect() if columns else []  # most + 1 rows a column
+    out = []
+    for c in columns:
+        own = [r for r in rows if r["name"] == c]
+        kind, gap = kinds[c], any(r["gap"] for r in own)
+        if kind == "double" and gap and any(r["value"] is not None for r in own) and not any(r["part"] for r in own):
+            kind = "long"
+        read = {"boolean": lambda v: v == "True", "long": lambda v: int(float(v)) if "." in v or "e" in v else int(v), "double": float, "string": str}[kind]
+        values = sorted({read(r["value"]) for r in own if r["value"] is not None})
+        scale = Scale(c, kind, tuple(values) if 1 <= len(values) <= most else None, gap, as_labels, (descriptions or {}).get(c, ""))
+        if as_labels:
+            scale.labels()
+        out.append(scale)
     return out
 
 
+def infer_scale(df: DataFrame, column: str, most: int = MOST_PLAIN, as_labels: bool = False, description: str = "") -> Scale:
+    """:func:`infer_scales` of one column."""
+    return infer_scales(df, [column], most, as_labels, {column: description})[0]
+
+
 def strict_scales(df: DataFrame, columns: list[str]) -> list[Scale]:
     """Scales of up to ten values, answered as they are."""
-    return [infer_scale(df, c, MOST_STRICT) for c in columns]
+    return infer_scales(df, columns, MOST_STRICT)
 
 
 def labelled_scales(df: DataFrame, columns: list[str], descriptions: dict[str, str] | None = None) -> list[Scale]:
     """Scales of up to fifty values, described and answered as text and read back as the values."""
-    return [infer_scale(df, c, MOST_PLAIN, True, (descriptions or {}).get(c, "")) for c in columns]
+    return infer_scales(df, columns, MOST_PLAIN, True, descriptions)
 
 
 def json_schema(scales: list[Scale], title: str = "Assessment") -> dict[str, Any]:

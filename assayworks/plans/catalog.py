@@ -13,7 +13,7 @@ from assayworks.operators import schema as scales
 from assayworks.operators.contract import UMR_VERSION, VERSION, Contract, validate
 from assayworks.operators.judge import JudgeError, NotSent, Refused
 from assayworks.plans import monitoring
-from assayworks.sources import positions, traces
+from assayworks.sources import loading, positions, traces
 from assayworks.sources.kept import fresh_path
 from assayworks.streaming import history
 
@@ -319,6 +319,35 @@ def agreement_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agreement.kappa_alpha(_pairs(spark, sf_dir), "agent_quality", "quality")
 
 
+@_query("""
+with l as (
+  select unnest([{c: 'quality', x: (n_chars >= 200)::int, y: quality}, {c: 'toxic', x: (n_chars >= 200)::int, y: 1 - toxic},
+    {c: 'length', x: (n_chars % 7)::int, y: (n_chars % 5)::int}, {c: 'half', x: (n_chars % 7)::int, y: case when doc_id % 2 = 0 then (n_chars % 3)::int end}], recursive := true)
+  from documents join labels using (doc_id)),
+p as (
+  select c, x, y, rank() over (partition by c order by x) + (count(*) over (partition by c, x) - 1) / 2.0 as rx,
+    rank() over (partition by c order by y) + (count(*) over (partition by c, y) - 1) / 2.0 as ry
+  from l where x is not null and y is not null),
+m as (
+  select c, sum(nx * ny) as chance, sum((nx + ny) ** 2) as sq
+  from (select c, v, count(*) filter (side = 'x')::double as nx, count(*) filter (side = 'y')::double as ny
+        from (select c, x as v, 'x' as side from p union all select c, y, 'y' from p) group by 1, 2) group by 1),
+t as (select c, count(*) as pairs, sum((x = y)::int)::double as same, corr(rx, ry) as rho from p group by 1)
+select c as criterion, pairs, round((same / pairs - chance / pairs ** 2) / (1 - chance / pairs ** 2), 6) as cohen_kappa,
+  round(1 - (2 * pairs - 1) * 2 * (pairs - same) / (4 * pairs ** 2 - sq), 6) as krippendorff_alpha, round(rho, 6) as spearman
+from t join m using (c)""")
+def agreement_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four criteria in one pass, one of them with gaps."""
+    held = _labelled(spark, sf_dir, "inner")
+    rest = lambda n: (F.col("n_chars") % n).cast("int")
+    rows = held.select(
+        F.col("long").alias("agent_quality"), "quality", F.col("long").alias("agent_toxic"), (1 - F.col("toxic")).alias("toxic"), rest(7).alias("agent_length"), rest(5).alias("length"),
+        rest(7).alias("agent_half"), F.when(F.col("doc_id") % 2 == 0, rest(3)).alias("half"),
+    )
+    found = agreement.by_criterion(rows, ["quality", "toxic", "length", "half"])
+    return found.select("criterion", "pairs", *(F.round(c, 6).alias(c) for c in ("cohen_kappa", "krippendorff_alpha", "spearman")))
+
+
 @_query("""
 with p as (select n_chars::double as x, (quality + toxic)::double as y from documents join labels using (doc_id)),
 r as (
@@ -480,6 +509,14 @@ def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(retrieval.fixed_chunks(F.col("text"))).alias("chunk", "part"))
 
 
+@_query()
+def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive chunks of whole texts by a table function in SQL."""
+    spark.udtf.register("recursive_chunks", loading.chunk_function())
+    docs = _read(spark, sf_dir, "documents")
+    return spark.sql("select d.doc_id, c.chunk_id, c.total_chunks, c.content from {docs} d, lateral recursive_chunks(d.text) c", docs=docs)
+
+
 _HYBRID = (
     _BM25
     + """
@@ -552,8 +589,8 @@ def knn_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def infer_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _read(spark, sf_dir, "labels")
     parts = []
-    for c in ("quality", "toxic"):
-        found = scales.infer_scale(labels, c)
+    for found in scales.infer_scales(labels, ["quality", "toxic"]):
+        c = found.name
         rows = labels.where(F.col(c).isin(*found.values)).groupBy(F.col(c).cast("long").alias("value")).agg(F.count("*").alias("n"))
         parts.append(rows.select(F.lit(c).alias("column_name"), "value", "n"))
     return parts[0].unionByName(parts[1])

@@ -127,11 +127,23 @@ def recursive_chunks(text: str, size: int = 1000, overlap: int = 200, separators
     return out
 
 
-def chunked(documents: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
-    """``source, chunk_id, total_chunks, content`` of ``documents(source, content)``."""
-    @F.arrow_udf("array<string>")
-    def cut(texts: pa.Array) -> pa.Array:
-        return pa.array([recursive_chunks(t or "", size, overlap) for t in texts.to_pylist()], pa.list_(pa.string()))
+def chunk_function(size: int = 1000, overlap: int = 200):
+    """A table function of a text: its recursive chunks as rows, for ``lateralJoin`` and, registered, for ``LATERAL`` in SQL."""
+
+    @F.udtf(returnType="chunk_id int, total_chunks int, content string")
+    class Chunks:
+        def eval(self, text: str):
+            pieces = recursive_chunks(text or "", size, overlap)
+            for i, piece in enumerate(pieces):
+                yield i, len(pieces), piece
+
+    return Chunks
 
-    each = documents.select("source", cut("content").alias("_c")).select("source", F.size("_c").alias("total_chunks"), F.posexplode("_c").alias("chunk_id", "content"))
-    return each.select("source", "chunk_id", "total_chunks", "content")
+
+def chunked(documents: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
+    """``source, chunk_id, total_chunks, content`` of ``documents(source, content)``; other columns are carried along."""
+    chunks = chunk_function(size, overlap)
+    texts = documents.withColumnRenamed("content", "_text")
+    cut = texts.lateralJoin(chunks(F.col("_text").outer()))
+    carried = [c for c in documents.columns if c not in ("source", "content", "chunk_id", "total_chunks")]
+    return cut.select("source", "chunk_id", "total_chunks", "content", *carried)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from assayworks.functions.sequences import NotASequence, parse
 from assayworks.operators.contract import ContractError
+from assayworks.sources.kept import forget, kept
 from assayworks.sources.loading import load_table
 
 _MESSAGE = "array<struct<type:string,content:string>>"
@@ -72,17 +74,20 @@ def convert(
 
     Empty filters let all through.  With ``dedup`` one row of each trace stays, one
     with an answer first, then the first by position (or by start).  With ``route_keys`` the
-    answer is the route taken.  Guards, which count, refuse spans of which none pass the
-    filters or none holds a dialogue, routes of a single class, and routes outside ``basket_answers``.
+    answer is the route taken.  Guards refuse spans of which none pass the filters or none holds a
+    dialogue, routes of a single class, and routes outside ``basket_answers``.  They are metrics that
+    are observed while the result is written once; the table that comes back is the written one.
     """
-    if not spans.columns or (guards and not spans.head(1)):
+    fields = ", ".join(f"{c} string" for c in (*CANONICAL, *(["route"] if route_keys else [])))
+    if not spans.columns:
         if not allow_empty:
             raise ConversionError("there are 0 spans")
-        fields = ", ".join(f"{c} string" for c in (*CANONICAL, *(["route"] if route_keys else [])))
         return spans.sparkSession.createDataFrame([], fields)
-    rows = _only(_only(spans, "span_name", span_names), "aef_kind", kinds)
-    if guards and not rows.head(1) and not allow_empty:
-        raise ConversionError(f"no span passes {span_names} and {kinds}; there are the names {_known(spans, 'span_name')} and the kinds {_known(spans, 'aef_kind')}")
+    read, passed, made = Observation(), Observation(), Observation()
+    counted = F.count(F.lit(1)).alias("n")
+    source = spans.observe(read, counted) if guards else spans
+    rows = _only(_only(source, "span_name", span_names), "aef_kind", kinds)
+    rows = rows.observe(passed, counted) if guards else rows
     answer = route_of(F.col(answer_field), route_keys) if route_keys else answer_of(F.col(answer_field))
     out = rows.select(
         F.col("trace_id"), F.col("trace_id").alias("query_id"), "session_id", F.col("start_time").alias("starttime"), F.col("end_time").alias("endtime"),
@@ -94,20 +99,47 @@ def convert(
         out = out.withColumn("_r", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where("_r = 1").drop("_r")
     if route_keys:
         out = out.withColumn("route", F.col("output_answer"))
-    if guards:
-        _guard(out, bool(route_keys), basket_answers, allow_empty)
-    return out
+    if not guards:
+        return out
+    kept_rows = kept(out.observe(made, *_facts(basket_answers)), "converted")
+    try:
+        n_read, n_passed = _observed(read).get("n", 0), _observed(passed).get("n", 0)
+        if not n_read:
+            if not allow_empty:
+                raise ConversionError("there are 0 spans")
+            forget(kept_rows)
+            return spans.sparkSession.createDataFrame([], fields)
+        if not n_passed and not allow_empty:
+            raise ConversionError(f"no span passes {span_names} and {kinds}; there are the names {_known(spans, 'span_name')} and the kinds {_known(spans, 'aef_kind')}")
+        _guard(_observed(made), bool(route_keys), basket_answers, allow_empty)
+    except ConversionError:
+        forget(kept_rows)
+        raise
+    return kept_rows
+
+
+def _observed(metrics: Observation) -> dict:
+    """Metrics of a table that was written; none if the plan was empty before it ran."""
+    try:
+        return metrics.get
+    except Py4JJavaError:
+        return {}
 
 
-def _guard(out: DataFrame, routed: bool, basket: tuple[str, ...], allow_empty: bool) -> None:
+def _facts(basket: tuple[str, ...]) -> list[Column]:
+    """What the guards have to know about the result."""
     full = F.when(F.trim("output_answer") != "", F.trim("output_answer"))
     either = F.when((F.trim("output_answer") != "") | (F.trim("input_query") != ""), 1)
-    seen = out.agg(F.count("*").alias("n"), F.count(either).alias("told"), F.min(full).alias("lo"), F.max(full).alias("hi"), F.sum((~full.isin(*basket)).cast("int")).alias("off") if basket else F.lit(0).alias("off")).head()
-    if seen["n"] and not seen["told"] and not allow_empty:
+    off = F.count(F.when(~full.isin(*basket), 1)) if basket else F.count(F.lit(None))
+    return [F.count(F.lit(1)).alias("n"), F.count(either).alias("told"), F.min(full).alias("lo"), F.max(full).alias("hi"), off.alias("off")]
+
+
+def _guard(seen: dict, routed: bool, basket: tuple[str, ...], allow_empty: bool) -> None:
+    if seen.get("n") and not seen["told"] and not allow_empty:
         raise ConversionError("no dialogue was found in any span")
-    if routed and seen["lo"] is not None and seen["lo"] == seen["hi"]:
+    if routed and seen.get("lo") is not None and seen["lo"] == seen["hi"]:
         raise ConversionError(f"all routes are of one class: {seen['lo']!r}")
-    if basket and seen["off"]:
+    if basket and seen.get("off"):
         raise ConversionError(f"{seen['off']} answers are outside the basket's vocabulary {sorted(basket)}")
 
 
