@@ -18,15 +18,16 @@ NO_DOMAIN = "There are no texts on the subject; judge by the instruction and the
 
 
 def source_instruction(contract: Contract) -> str:
-    """One line for each source: its field in the answer, its column, role and polarity."""
-    lines = [f"- {s.source_id}: criterion in column {s.column_name!r}, role {s.role}, polarity {s.polarity}" for s in contract.sources]
-    return "\n".join(["Fields of the JSON answer and their criteria:", *lines])
+    """What the fields of an answer stand for, a row of a small table each."""
+    rows = [("field", "judges", "counts as", "better")]
+    rows += [(s.source_id, s.column_name, s.role.replace("_", " "), "low" if s.inverted else "high") for s in contract.sources]
+    return "\n".join(" | ".join(r) for r in rows)
 
 
 def answer_form(names: list[str]) -> str:
-    """Asks for one flat JSON object with these keys."""
-    empty = json.dumps(dict.fromkeys(names), ensure_ascii=False)
-    return f"Answer with one JSON object only, without mark-up or a schema. Keep every key, put an allowed value for each null, add nothing else:\n{empty}"
+    """Asks for a JSON object of this shape at the end."""
+    shape = json.dumps(dict.fromkeys(names), ensure_ascii=False)
+    return f"Close your reply with a JSON object of just this shape, and put for every null a value that its field may have:\n{shape}"
 
 
 def scale_text(scales: list[Scale]) -> str:

@@ -175,13 +175,17 @@ def json_schema(scales: list[Scale], title: str = "Assessment") -> dict[str, Any
 
 
 def read_answer(answer: dict[str, Any], scales: list[Scale]) -> dict[str, Any]:
-    """The fields of an answer on their scales, flat or under ``answer``; raises :class:`ContractError`."""
-    inner = answer.get("answer", answer)
-    if not isinstance(inner, dict):
-        raise ContractError("an answer must be a JSON object")
-    if "properties" in inner and not any(s.name in inner for s in scales):
-        raise ContractError("the schema came back instead of an answer")
-    return {s.name: s.read(inner.get(s.name)) for s in scales}
+    """The fields of an answer on their scales, flat or under ``answer``; raises :class:`ContractError`.
+
+    An object that has none of the fields but describes fields is a schema that was sent back, which is said by name.
+    """
+    fields = answer["answer"] if "answer" in answer else answer
+    if not isinstance(fields, dict):
+        raise ContractError(f"an answer holds fields, not a {type(fields).__name__}")
+    known = [s.name for s in scales if s.name in fields]
+    if not known and isinstance(fields.get("properties"), dict):
+        raise ContractError("this describes an answer and is none")
+    return {s.name: s.read(fields.get(s.name)) for s in scales}
 
 
 def validate_answer(answer: dict[str, Any], scales: list[Scale]) -> tuple[bool, list[str]]:

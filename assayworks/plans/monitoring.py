@@ -18,7 +18,7 @@ from assayworks.operators.retrieval import Retriever, create_retriever
 from assayworks.operators.schema import Scale, labelled_scales
 from assayworks.operators.scoring import broadcast_scores, score_units
 from assayworks.operators.units import normalize_umr, unitize
-from assayworks.sources.documents import domain_folder, load_documents, load_instruction
+from assayworks.sources.documents import archive_documents, load_instruction
 from assayworks.sources.kept import kept
 from assayworks.sources.loading import chunked, load_in_order, load_monitoring
 
@@ -126,10 +126,9 @@ class Assessor:
 
 def subject_retriever(spark, archive: str | None, embed, size: int = 1000, overlap: int = 200) -> Retriever | None:
     """Chunks of an archive's documents; none without documents that can be read."""
-    folder = domain_folder(archive)
-    if folder is None:
+    read = archive_documents(spark, archive)
+    if read is None:
         return None
-    read = load_documents(spark, folder, nested=True).where("content is not null").select("source", "content")
     chunks = kept(chunked(read, size, overlap), "chunks")
     return create_retriever("content", chunks, embed) if chunks.head(1) else None
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assayworks.operators.contract import ContractError
 from assayworks.sources import positions
-from assayworks.sources.documents import xlsx_rows
+from assayworks.sources.documents import only_file, xlsx_rows
 
 SUFFIXES = (".parquet", ".csv", ".xlsx")
 
@@ -20,12 +20,7 @@ SUFFIXES = (".parquet", ".csv", ".xlsx")
 def table_path(value: str | os.PathLike) -> str:
     """The path of a table; of a local folder that holds exactly one, this one's."""
     path = os.fspath(value)
-    if not os.path.isdir(path) or path.rstrip("/").endswith(".parquet"):
-        return path
-    found = [f for f in sorted(os.listdir(path)) if f.lower().endswith(SUFFIXES)]
-    if len(found) != 1:
-        raise ContractError(f"{path} must hold one table, not {len(found)}")
-    return os.path.join(path, found[0])
+    return path if path.rstrip("/").endswith(".parquet") else only_file(path, SUFFIXES)
 
 
 def load_table(spark: SparkSession, value: DataFrame | bytes | str | os.PathLike | None) -> DataFrame | None:

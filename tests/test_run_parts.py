@@ -115,17 +115,24 @@ def test_document_sets(spark, tmp_path):
     archive = str(tmp_path / "z.zip")
     with zipfile.ZipFile(archive, "w") as z:
         z.writestr("in/n.txt", "x")
-    assert os.path.exists(os.path.join(documents.domain_folder(archive), "in", "n.txt"))
+        z.writestr("bad.pdf", "no")
+        z.writestr("skip.bin", "?")
+    assert [tuple(r) for r in documents.archive_documents(spark, archive).collect()] == [("n.txt", "x")]
+    assert os.path.exists(os.path.join(documents.extract_zip(archive), "in", "n.txt"))
     assert documents.remove_directory(str(tmp_path / "z")) and not documents.remove_directory(str(tmp_path / "z"))
     with zipfile.ZipFile(archive, "w") as z:
         z.writestr("../out.txt", "x")
-    with pytest.warns(UserWarning):
-        assert documents.domain_folder(archive) is None
+    with pytest.raises(ContractError):
+        documents.extract_zip(archive)
     (tmp_path / "broken.zip").write_bytes(b"no zip")
-    for bad in (str(tmp_path / "broken.zip"), str(tmp_path / "none.zip")):
-        with pytest.warns(UserWarning):
-            assert documents.domain_folder(bad) is None
-    assert documents.domain_folder(None) is None
+    (tmp_path / "empty.zip").write_bytes(b"")
+    with zipfile.ZipFile(str(tmp_path / "useless.zip"), "w") as z:
+        z.writestr("a.bin", "x")
+        z.writestr("bad.pdf", "no")
+    for bad in ("broken.zip", "none.zip", "empty.zip", "useless.zip"):
+        with pytest.warns(UserWarning, match="going on without"):
+            assert documents.archive_documents(spark, str(tmp_path / bad)) is None
+    assert documents.archive_documents(spark, None) is None
 
 
 def test_instructions(tmp_path):
@@ -494,7 +501,7 @@ def test_run_with_a_service(spark, service, tmp_path):
     assert asked == len(Service.seen) == 3 * (3 + 12) or asked == len(Service.seen)  # evaluating the result asks no more
     assert all(rows[f"q{i}"]["main_metric"] == i % 2 == rows[f"q{i}"]["agent_2_good"] and rows[f"q{i}"]["assessor_id"] == "judge" for i in range(12))
     prompt = Service.seen[-1][2]["messages"][0]["content"]
-    assert "Judge well" in prompt and "Answer:" in prompt and "is right" in prompt and "role criterion" in prompt
+    assert "Judge well" in prompt and "Answer:" in prompt and "is right" in prompt and "criterion | high" in prompt
     Service.lost = True
     with pytest.raises(ContractError, match="judge failed"):
         monitoring.main(spark, units(spark), contract(), chat.JudgeConfig(service, "m"), embed, {"text": "x"}, units(spark).drop("good"), stage="monitoring", delay=0.0, sleep=_no_sleep)
