@@ -59,21 +59,17 @@ def ordered_groups(df: DataFrame) -> DataFrame:
     key, has = _group_keys(df, "reference_group_id")
     given = turn_number(F.col("turn_index"), df.schema["turn_index"].dataType) if "turn_index" in df.columns else F.lit(None).cast("long")
     rows = df.withColumns({"_group_key": key, "_has": has, "_given": given})
-    group = W.partitionBy("_group_key")
-    n = F.count(F.lit(1)).over(group)
-    usable = (
-        (F.count("_given").over(group) == n)
-        & (F.min("_given").over(group) == 1)
-        & (F.max("_given").over(group) == n)
-        & (F.size(F.collect_set("_given").over(group)) == n)
-    )
-    rows = rows.withColumn("_usable", usable)
+    # what a group is, by one aggregation that combines before the shuffle; n different turns from 1 to n are all of them
+    facts = rows.groupBy(F.col("_group_key").alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count("_given").alias("_m"), F.count_distinct("_given").alias("_d"), F.min("_given").alias("_lo"), F.max("_given").alias("_hi"),
+        F.min("_pos").alias("_group_order"), F.min_by(F.col("reference_group_id").cast("string"), "_pos").alias("_name"),
+    )
+    usable = (F.col("_m") == F.col("_n")) & (F.col("_d") == F.col("_n")) & (F.col("_lo") == 1) & (F.col("_hi") == F.col("_n"))
+    facts = facts.select("_key", F.coalesce(usable, F.lit(False)).alias("_usable"), "_group_order", "_name")
+    held = rows.join(facts, F.col("_group_key") == F.col("_key")).drop("_key")
     order = W.partitionBy("_group_key").orderBy(F.when(F.col("_usable"), F.col("_given")), "_pos")
-    whole = group.orderBy("_pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    name = F.when(F.col("_has"), F.first(F.col("reference_group_id").cast("string")).over(whole)).otherwise(F.concat(F.lit("row-"), F.col("_pos").cast("string")))
-    return rows.withColumns(
-        {"turn_index": F.row_number().over(order).cast("long"), "_group_id": name, "_group_order": F.min("_pos").over(group)}
-    ).drop("_has", "_given", "_usable")
+    name = F.when(F.col("_has"), F.col("_name")).otherwise(F.concat(F.lit("row-"), F.col("_pos").cast("string")))
+    return held.withColumns({"turn_index": F.row_number().over(order).cast("long"), "_group_id": name}).drop("_has", "_given", "_usable", "_name")
 
 
 def unpack(packed: DataFrame) -> DataFrame:

@@ -281,6 +281,14 @@ for _mode, _e in _DRIFT.items():
     _query(_UMR + _e, f"drift_questions_{_mode}")(_drift(_mode))
 
 
+@_query(_UMR + "select input_query as question, '' as answer, case when pos % 3 <> 0 then main_metric end as target, query_id as reference_group_id from g")
+def drift_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitoring side: units without a score stay."""
+    rows = umr(spark, sf_dir).withColumn("main_metric", F.when(F.col("_pos") % 3 != 0, F.col("main_metric")))
+    c = contract("identity", _FINAL, mode="qa")
+    return units.prepare_drift_frames(umr(spark, sf_dir), rows, c)[1]
+
+
 # --- votes and agreement
 
 
@@ -687,6 +695,23 @@ def trace_extract_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traces.convert(spans, span_names=("click",)).select("query_id", "output_answer")
 
 
+@_query("""
+select user_id::varchar as query_id, event_type as input_query, 'r' || (event_id % 3) as output_answer, 'r' || (event_id % 3) as route
+from (select *, row_number() over (partition by user_id order by event_id) as r from events where event_type in ('click', 'view')) where r = 1""")
+def trace_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes by the node of the converter, its parameters as texts."""
+    e = _read(spark, sf_dir, "events")
+    human = F.struct(F.lit("human").alias("type"), F.col("event_type").alias("content"))
+    body = F.struct(F.array(human).alias("messages"), F.concat(F.lit("r"), (F.col("event_id") % 3).cast("string")).alias("scenario"))
+    spans = e.select(
+        F.col("user_id").cast("string").alias("trace_id"), F.col("user_id").cast("string").alias("session_id"), F.lit("chain").alias("aef_kind"),
+        F.col("event_type").alias("span_name"), F.to_json(F.struct(body.alias("update"))).alias("output_text"),
+        F.col("ts").cast("string").alias("start_time"), F.col("ts").cast("string").alias("end_time"), F.col("event_id").alias("_pos"),
+    )
+    node = traces.convert_node(spark, spans, "('click', 'view')", "chain", "scenario", "r0, r1, r2", "true", "false", postulation="classification")
+    return node["result"].select("query_id", "input_query", "output_answer", "route")
+
+
 def _spans(spark: SparkSession, sf_dir: str, name: str, text) -> DataFrame:
     e = _read(spark, sf_dir, "events")
     return e.select(
