@@ -25,10 +25,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from assayworks.llm.shared import forget, reading, written
+from assayworks.sources.kept import scanned
 
 
 @dataclass(frozen=True)
@@ -51,27 +51,15 @@ def draw(key: Column, text: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), known).cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def _scanned(df: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
-    """Add sums over all rows before each one in an order that no two rows share."""
-    ranged = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
-    parts = ranged.groupBy("_part").agg(*(F.sum(e).alias(f"_{c}") for c, e in sums.items()))
-    carry = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row for each partition
-    before = parts.select("_part", *(F.coalesce(F.sum(f"_{c}").over(carry), F.lit(0)).alias(f"_{c}") for c in sums))
-    own = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    added = ranged.join(F.broadcast(before), "_part")
-    out = added.withColumns({c: F.col(f"_{c}") + F.coalesce(F.sum(e).over(own), F.lit(0)) for c, e in sums.items()})
-    return reading(out.drop("_part", *(f"_{c}" for c in sums)), ranged)
-
-
 def targets(sized: DataFrame, given: Settings = Settings()) -> DataFrame:
     """``source, source_size, target`` for each source of ``sized(source, size)``."""
     sums = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    numbered = _scanned(sums, [F.col("source").asc_nulls_last()], {"_rank": F.lit(1)}, "sources")
+    numbered = scanned(sums, [F.col("source").asc_nulls_last()], {"_rank": F.lit(1)}, "sources")
     weight = F.get(F.array(*map(F.lit, given.weights)), (F.col("_rank") % len(given.weights)).cast("int"))
     limited = numbered.withColumn("_weight", weight.cast("double")).withColumn("_limit", given.most * F.col("source_size"))
     kept = written(limited, "weights")
     forget(*numbered._reads)
-    ordered = _scanned(kept, [F.col("_limit") / F.col("_weight"), F.col("_rank")], {"_limits": F.col("_limit"), "_weights": F.col("_weight")}, "limits")
+    ordered = scanned(kept, [F.col("_limit") / F.col("_weight"), F.col("_rank")], {"_limits": F.col("_limit"), "_weights": F.col("_weight")}, "limits")
     whole = kept.agg(F.sum("source_size").alias("size"), F.sum("_weight").alias("weight")).first()
     every = given.share * (whole["size"] or 0)
     level = ordered.agg(F.max((F.lit(every) - F.col("_limits")) / (F.lit(whole["weight"]) - F.col("_weights")))).first()[0]

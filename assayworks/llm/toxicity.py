@@ -503,7 +503,7 @@ FLOOR = 0.02
 
 
 def score_text(text: str, restorer: Restorer, lexicon: Lexicon, kept: dict[str, float]) -> float:
-    """Join the best bound of each token."""
+    """Join the best bound of each token; restored words of one and two letters are no evidence."""
     rest, top = 1.0, FLOOR
     found, plain = _read(text, restorer)
     get, head, best = kept.get, lexicon.of.get, lexicon.best
