@@ -2,6 +2,12 @@
 
 Each stage takes the documents that its predecessor kept and returns documents of
 the same columns; the last returns what goes into training sequences.
+
+In every stage a null text is empty, repeated rows are rows of their own (the second
+stage keeps one of them), and an empty table gives an empty one.  A null ``doc_id`` is
+an id like another, but has no label.  Columns beyond those of documents go along under
+any name.  Ties are settled where they arise: of near copies the smallest id stays, of
+pieces of one length the smaller id is placed first.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and terms that disclose it are masked; every document stays."""
+    """Personal data, secrets and terms that disclose them are masked; every document stays, and ``n_chars`` is that of its new text."""
     return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
