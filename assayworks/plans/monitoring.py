@@ -19,7 +19,7 @@ from assayworks.operators.schema import Scale, labelled_scales
 from assayworks.operators.scoring import broadcast_scores, score_units
 from assayworks.operators.units import normalize_umr, unitize
 from assayworks.sources.documents import archive_documents, load_instruction
-from assayworks.sources.kept import kept
+from assayworks.sources.kept import forget, kept, noting
 from assayworks.sources.loading import chunked, load_in_order, load_monitoring
 
 #: (units to judge, labelled units, criteria) -> ``query_id, agent_<criterion>``
@@ -34,6 +34,13 @@ class Result:
     acc_auto: float | None = None
     assessment_result: dict[str, Any] = field(default_factory=dict)
 
+    #: Tables that ``scored_data`` reads; :meth:`discard` deletes them once it has been used.
+    tables: list[DataFrame] = field(default_factory=list)
+
+    def discard(self) -> None:
+        forget(*self.tables)
+        self.tables = []
+
     @property
     def figures(self) -> dict[str, float]:
         return self.assessment_result.get("calibration_metrics", {})
@@ -212,25 +219,29 @@ def run(
     known = validate(metric, require_computed=False)
     if known is None:
         return Result(unavailable_rows(monitoring), None, unavailable_result(metric))
-    contract = for_judge(known)
-    units = assessor_units(assessment_frame(reference, known), contract, require_sources=True)
-    criteria = [s.source_id for s in contract.sources]
-    labelled = labelled_units(units, criteria)
-    figures: dict[str, float] | None = None
-    out, told = None, {}
-    if stage in ("scoring", "combined"):
-        figures, test, found = calibrate(labelled, criteria, predict, train_share)
-        scored = _scored(test, found, contract, criteria)
-        out, told = _broadcast(reference, scored, contract, criteria), assessment_result(known, scored, figures)
-    if stage in ("monitoring", "combined"):
-        rows = monitoring
-        # spans of traces have no column of predictions: what was answered is assessed
-        if known.method == "accuracy" and not source_missing(rows, known.of_role("prediction")[0].column_name):
-            rows = assessment_frame(rows, known)
-        other = assessor_units(rows, contract, require_sources=False)
-        scored = _scored(other, predicted(other, labelled, criteria, predict), contract, criteria)
-        out, told = _broadcast(monitoring, scored, contract, criteria), assessment_result(known, scored, figures)
-    return Result(out, figures["acc_auto"] if figures else None, told)
+    with noting() as made:
+        contract = for_judge(known)
+        units = assessor_units(assessment_frame(reference, known), contract, require_sources=True)
+        criteria = [s.source_id for s in contract.sources]
+        labelled = labelled_units(units, criteria)
+        figures: dict[str, float] | None = None
+        out, told = None, {}
+        if stage in ("scoring", "combined"):
+            figures, test, found = calibrate(labelled, criteria, predict, train_share)
+            scored = _scored(test, found, contract, criteria)
+            out, told = _broadcast(reference, scored, contract, criteria), assessment_result(known, scored, figures)
+        if stage in ("monitoring", "combined"):
+            rows = monitoring
+            # spans of traces have no column of predictions: what was answered is assessed
+            if known.method == "accuracy" and not source_missing(rows, known.of_role("prediction")[0].column_name):
+                rows = assessment_frame(rows, known)
+            other = assessor_units(rows, contract, require_sources=False)
+            scored = _scored(other, predicted(other, labelled, criteria, predict), contract, criteria)
+            out, told = _broadcast(monitoring, scored, contract, criteria), assessment_result(known, scored, figures)
+    # what was judged and measured has been used; scores, and rows kept for their order, are still read
+    read = [t for t in made if any(f"/assayworks-{name}-" in t._shared_path for name in ("scored", "rows", "starts"))]
+    forget(*(t for t in made if t not in read))
+    return Result(out, figures["acc_auto"] if figures else None, told, read)
 
 
 def main(

@@ -8,12 +8,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_noted: ContextVar[list[DataFrame] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noting() -> Iterator[list[DataFrame]]:
+    """The tables that are kept meanwhile, so that what a run doesn't need any more can be deleted."""
+    made: list[DataFrame] = []
+    before = _noted.set(made)
+    try:
+        yield made
+    finally:
+        _noted.reset(before)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,6 +68,8 @@ def kept(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._shared_path = path
+    if (made := _noted.get()) is not None:
+        made.append(out)
     return out
 
 

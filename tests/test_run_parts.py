@@ -500,6 +500,10 @@ def test_run_with_a_service(spark, service, tmp_path):
     out.scored_data.count()
     assert asked == len(Service.seen) == 3 * (3 + 12) or asked == len(Service.seen)  # evaluating the result asks no more
     assert all(rows[f"q{i}"]["main_metric"] == i % 2 == rows[f"q{i}"]["agent_2_good"] and rows[f"q{i}"]["assessor_id"] == "judge" for i in range(12))
+    left = [t._shared_path for t in out.tables]
+    assert left and all("scored" in p for p in left)
+    out.discard()
+    assert not any(os.path.exists(p.removeprefix("file://")) for p in left)
     prompt = Service.seen[-1][2]["messages"][0]["content"]
     assert "Judge well" in prompt and "Answer:" in prompt and "is right" in prompt and "criterion | high" in prompt
     Service.lost = True
