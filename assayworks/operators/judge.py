@@ -12,6 +12,7 @@ labelled examples.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -55,6 +56,23 @@ class NotSent(JudgeError):
         super().__init__("not sent")
 
 
+#: What errors of other clients say when a quota is used up.
+BUSY_WORDS = ("429", "too many requests", "rate limit")
+
+
+def refusal(error: Any) -> Refused | None:
+    """An error as a refusal, if it is one: a judge of this library says so by type, another client by its status or words."""
+    if isinstance(error, Refused):
+        return error
+    if not isinstance(error, Exception) or isinstance(error, JudgeError):
+        return None
+    told = str(error).lower()
+    if getattr(error, "status_code", None) != 429 and not any(w in told for w in BUSY_WORDS):
+        return None
+    number = re.match(r"[^0-9]{0,4}([0-9]+(?:[.][0-9]+)?)", told.partition("after")[2])
+    return Refused(str(error), float(number[1]) if number else None)
+
+
 def pause_after(refusals: int, named: float | None = None) -> float:
     """Seconds to wait after so many refusals of a prompt: what the service names, else doubling up to a bound."""
     return named if named else min(FIRST_PAUSE * 2 ** (refusals - 1), LONGEST_PAUSE)
@@ -91,9 +109,9 @@ def ask(
                 out[i] = (None, "no answer" if answer is None else f"{type(answer).__name__}: {answer}")
                 if isinstance(answer, NotSent):
                     still.append(i)
-                elif isinstance(answer, Refused):
+                elif busy := refusal(answer):
                     refused[i] += 1
-                    pause = max(pause, pause_after(refused[i], answer.pause))
+                    pause = max(pause, pause_after(refused[i], busy.pause))
                     still += [i] * (refused[i] < attempts)
                 else:
                     failed[i] += 1
@@ -115,7 +133,7 @@ def _answers(judge: Judge, prompts: list[str]) -> Sequence[Any]:
         if len(got) != len(prompts):
             raise JudgeError(f"{len(got)} answers to {len(prompts)} prompts")
     except Exception as e:  # a judge may raise anything; the rows record it
-        got = [e, *[NotSent() if isinstance(e, Refused) else e] * (len(prompts) - 1)]
+        got = [e, *[NotSent() if refusal(e) else e] * (len(prompts) - 1)]
     if all(isinstance(x, NotSent) for x in got):
         got[0] = JudgeError("nothing was sent")
     return got

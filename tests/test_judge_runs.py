@@ -50,6 +50,14 @@ def test_attempts_are_of_what_was_sent():
     assert [judge.pause_after(n) for n in (1, 2, 5, 6, 9)] == [2, 4, 32, 60, 60] and judge.pause_after(3, 7.5) == 7.5
 
 
+def test_refusals_of_other_clients():
+    class Status(Exception):
+        status_code = 429
+
+    assert judge.refusal(Status("x")).pause is None and judge.refusal(RuntimeError("Rate limit reached, retry-after=2.5 s")).pause == 2.5
+    assert judge.refusal(RuntimeError("no")) is None and judge.refusal(None) is None and judge.refusal(judge.JudgeError("the text 429")) is None
+
+
 def test_gate():
     now = [0.0]
     g = gate.Gate(2, 10.0, lambda: now[0])
