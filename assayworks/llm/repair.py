@@ -10,7 +10,8 @@ advances one turn for all conversations of a batch and keeps, for each state of
 grammar, the least cost and its audit (the letters so far).  A conversation is cut
 into segments of at most ``2 ** span_bits`` turn numbers and ``longest`` rows, so one that holds
 a third of all rows is many tasks' work: a segment is solved from each state it may
-begin in, and a second recursion over segments (a few bytes a turn) puts them together.
+begin in, and further recursions over segments (a few bytes a turn) put them together, some
+sixteen at a time, until a conversation has no more than that.
 
 Edits are worked out on rows without their texts: the role's initial, the faults, and a
 128-bit digest of role and text.  Equal rows of a turn are one row with a count before
@@ -48,6 +49,8 @@ class Settings:
     span_bits: int = 8
     longest: int = 256
     batch: int = 8_192
+    #: Segments of a conversation are put together as long as there are more than ``2 ** fan_bits``, so many at a time.
+    fan_bits: int = 4
 
 
 #: States of the grammar: 0 nothing yet, 1 after system, 2 after user, 3 after assistant.
@@ -91,6 +94,21 @@ select b.seg, list(struct_pack(q0 := b.q0, q := b.q, cost := b.way.cost, audit :
 from best b join (select seg, max(i) as last from turns group by seg) s on s.seg = b.seg and s.last = b.i group by b.seg order by b.seg
 """
 
+_MERGED = """
+with recursive best(seg, q0, q, j, way) using key (seg, q0, q) as (
+  select s.seg, f.q, f.q, 0, struct_pack(cost := 0::bigint, audit := '') from (select distinct seg from segments) s, (select unnest(range(4)) as q) f
+  union
+  select b.seg, b.q0, s.w.q, s.j, min(struct_pack(cost := b.way.cost + s.w.cost, audit := b.way.audit || s.w.audit))
+  from best b join (select seg, j, unnest(ways) as w from segments) s on s.seg = b.seg and s.j = b.j + 1 and s.w.q0 = b.q
+  group by b.seg, b.q0, s.w.q, s.j),
+whole as (
+  select seg, max(j) as n, sum(illegal + (j > 1 and before || first not in ('su', 'ua', 'au'))::bigint)::bigint as illegal, arg_min(first, j) as first, arg_max(last, j) as last
+  from (select seg, j, illegal, first, last, lag(last) over (partition by seg order by j) as before from segments) group by seg)
+select b.seg, any_value(w.illegal) as illegal, any_value(w.first) as first, any_value(w.last) as last,
+  list(struct_pack(q0 := b.q0::int, q := b.q::int, cost := b.way.cost, audit := b.way.audit) order by b.q0, b.q) as ways
+from best b join whole w on w.seg = b.seg and w.n = b.j group by b.seg order by b.seg
+"""
+
 _CONVERSATIONS = """
 with recursive best(conv, q, j, way) using key (conv, q) as (
   select distinct conv, 0, 0, struct_pack(cost := 0::bigint, audit := '') from segments
@@ -174,6 +192,17 @@ def _solved(batches: Iterator[pa.RecordBatch], given: Settings) -> Iterator[pa.R
         yield pa.RecordBatch.from_pylist(out, _SEGMENT)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring segments of a sorted stream as one, with the cheapest way from each state to each; few at a time, as audits get long."""
+    solve = _solver()
+    for rows, seg, place in _groups(batches, ["conv_id", "part", "sub"], 64, None):
+        segments = pa.table({"seg": pa.array(seg, pa.int32()), "j": pa.array(place, pa.int32())} | {c: rows[c] for c in ("illegal", "first", "last", "ways")})
+        found = solve(_MERGED, {"segments": segments})
+        heads = rows.select(["conv_id", "part", "sub"]).take(pa.array([k for k, p in enumerate(place) if p == 1], pa.int64()))
+        columns = [*(heads[c] for c in ("conv_id", "part", "sub")), *(found[c] for c in ("illegal", "first", "last", "ways"))]
+        yield pa.RecordBatch.from_arrays([c.combine_chunks().cast(f.type) for c, f in zip(columns, _SEGMENT, strict=True)], schema=_SEGMENT)
+
+
 def _joined(batches: Iterator[pa.RecordBatch], given: Settings) -> Iterator[pa.RecordBatch]:
     """A row for each conversation of a sorted stream of segments."""
     solve = _solver()
@@ -270,6 +299,25 @@ def _turns(rows: DataFrame) -> DataFrame:
     return out
 
 
+def _fewer(segments: DataFrame, given: Settings) -> DataFrame:
+    """A written table of at most ``2 ** fan_bits`` segments a part, and parts a conversation."""
+    keys = ["conv_id", "part", "sub"]
+    while True:
+        parts = segments.groupBy("conv_id", "part").agg(F.count("*").alias("subs"))
+        most = parts.groupBy("conv_id").agg(F.max("subs").alias("subs"), F.count("*").alias("parts")).agg(F.max("subs"), F.max("parts")).head()
+        if max(most[0] or 0, most[1] or 0) <= 1 << given.fan_bits:
+            return segments
+        old = segments.withColumnsRenamed({"part": "_part", "sub": "_sub"})
+        if most[0] > 1 << given.fan_bits:  # segments of one part first, then neighbouring parts
+            named = old.withColumns({"part": F.col("_part"), "sub": F.shiftright("_sub", given.fan_bits)})
+        else:
+            named = old.withColumns({"part": F.shiftright("_part", given.fan_bits), "sub": F.lit(0)})
+        dealt = named.repartition(*keys).sortWithinPartitions(*(F.col(c).asc_nulls_first() for c in (*keys, "_part", "_sub")))
+        wide = written(dealt.select(*keys, "illegal", "first", "last", "ways").mapInArrow(_merged, _SEGMENT_SQL), "segments")
+        forget(segments)
+        segments = wide
+
+
 def _counts(turns: DataFrame) -> DataFrame:
     """A row for each conversation that was there before the damage."""
     there = F.col("n") > 0
@@ -293,12 +341,13 @@ def solved(rows: DataFrame, given: Settings = Settings()) -> DataFrame:
     dealt = turns.where("n > 0").withColumn("part", part).repartition("conv_id", "part")
     ordered = dealt.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("part").asc_nulls_first(), *_order())
     segments = ordered.select("conv_id", "part", "initial", "forced", "cut", "n").mapInArrow(partial(_solved, given=given), _SEGMENT_SQL)
+    segments = _fewer(written(segments, "segments"), given)
     again = segments.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("part").asc_nulls_first(), "sub")
     edits = again.mapInArrow(partial(_joined, given=given), "_conv long, illegal long, cost long, audit string")
     counts = _counts(turns)
     out = counts.join(edits, counts["conv_id"].eqNullSafe(edits["_conv"]), "left").drop("_conv")
     filled = written(out.fillna(0, ["illegal", "cost"]).fillna("", ["audit"]), "edits")
-    forget(turns)
+    forget(turns, segments)
     return filled
 
 

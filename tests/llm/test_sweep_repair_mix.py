@@ -180,7 +180,7 @@ def conversations():
     return rows
 
 
-@pytest.mark.parametrize("given", [repair.Settings(), repair.Settings(span_bits=1, longest=2, batch=16)])
+@pytest.mark.parametrize("given", [repair.Settings(), repair.Settings(span_bits=1, longest=2, batch=16, fan_bits=1)])
 def test_repair(spark, given):
     rows = conversations()
     df = spark.createDataFrame(rows, CONV).withColumn("n", F.lit("clash")).withColumn("audit", F.lit(1))
@@ -202,7 +202,7 @@ def test_repair_one_long_conversation(spark):
     rng = random.Random(2)
     rows = [(7, t, rng.choice(["user", "assistant", "assistant", "system"]), rng.choice([f"text {t}.", f"text {t}", "Same."])) for t in range(-1500, 1500)]
     rows += [(8, 1, "user", f"{k}.") for k in range(700)]  # many rows of one turn
-    got = {r["conv_id"]: tuple(r[c] for c in COLUMNS) for r in repair.repair(spark.createDataFrame(rows, CONV), repair.Settings(longest=100)).collect()}
+    got = {r["conv_id"]: tuple(r[c] for c in COLUMNS) for r in repair.repair(spark.createDataFrame(rows, CONV), repair.Settings(span_bits=5, longest=20, fan_bits=2)).collect()}
     assert got == expected(rows)
 
 
