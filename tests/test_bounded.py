@@ -3,8 +3,10 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from assayworks.operators import retrieval
+from assayworks.plans import catalog
 
 
 @pytest.mark.parametrize("k", [1, 7, 500])
@@ -49,3 +51,13 @@ def test_products_are_small(spark, monkeypatch):
         near = sorted(((round(1 - (2 - 2 * (v @ x) / np.linalg.norm(v) / np.linalg.norm(x)) / 2**0.5, 9), i) for i, x in good if len(x) == len(v)), reverse=True)[:3]
         assert [got[q, r] for r in (1, 2, 3)] == [i for _, i in near]
     assert len(got) == 3600
+
+
+def test_arithmetic_hits_without_pairs(spark):
+    docs, queries = spark.range(0, 3000, 2).withColumnRenamed("id", "doc_idx"), spark.range(0, 5000, 371).withColumnRenamed("id", "query_id")
+    top = catalog._arithmetic_top(queries, docs, 10)
+    got = {(r["query_id"], r["rank"]): r["doc_idx"] for r in top.collect()}
+    for q in range(0, 5000, 371):
+        assert [got[q, r] for r in range(1, 11)] == sorted(range(0, 3000, 2), key=lambda d: ((d * 7919 + q) % 1009, d))[:10]
+    few = catalog._arithmetic_top(queries, docs.where("doc_idx < 6"), 10)
+    assert few.groupBy("query_id").agg(F.count("*").alias("n")).where("n <> 3").count() == 0
