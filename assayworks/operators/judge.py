@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from assayworks.operators.contract import ContractError
 from assayworks.operators.gate import Pass, opened
-from assayworks.operators.retrieval import bm25, top_k
+from assayworks.operators.retrieval import bm25_top
 from assayworks.operators.schema import Scale, parse_answers
 from assayworks.operators.voting import add_votes, first_mode
 from assayworks.sources.kept import exists, forget, fresh_path, kept
@@ -212,7 +212,7 @@ def voted(answers: DataFrame, scales: list[Scale], runs: int, key: str = "_unit_
 
 def neighbour_judge(units: DataFrame, examples: DataFrame, criteria: list[str], k: int = 10) -> DataFrame:
     """``query_id, agent_<criterion>``: the vote of the k nearest ``examples(doc_idx, text, <criteria>)`` by BM25, best first."""
-    hits = top_k(bm25(units.select("query_id", "text"), examples.select("doc_idx", "text")), k)
+    hits = bm25_top(units.select("query_id", "text"), examples.select("doc_idx", "text"), k)
     held = hits.join(examples.select("doc_idx", *criteria), "doc_idx")
     ranked = held.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", *criteria))).alias("_h"))
     votes = {f"agent_{c}": _vote(c) for c in criteria}

@@ -61,3 +61,33 @@ def test_arithmetic_hits_without_pairs(spark):
         assert [got[q, r] for r in range(1, 11)] == sorted(range(0, 3000, 2), key=lambda d: ((d * 7919 + q) % 1009, d))[:10]
     few = catalog._arithmetic_top(queries, docs.where("doc_idx < 6"), 10)
     assert few.groupBy("query_id").agg(F.count("*").alias("n")).where("n <> 3").count() == 0
+
+
+def test_scores_are_made_where_documents_are(spark):
+    """Neither tokens nor pairs of terms are shuffled; copies of a corpus only add to what a task reads."""
+    words = [f"w{i % 7} w{i % 5} w{i % 3}  W{i % 11} only{i}" for i in range(400)]
+    corpus = spark.createDataFrame([*enumerate(words), (900, None), (901, " ")], "doc_idx long, text string")
+    queries = spark.createDataFrame([(1, "w1 w1 w2 w10"), (2, "only7"), (3, "none"), (4, None), (5, "w0 w3")], "query_id int, text string")
+    every = {(r["query_id"], r["doc_idx"]): r["score"] for r in retrieval.bm25(queries, corpus, every=True).collect()}
+    shared = {(r["query_id"], r["doc_idx"]): r["score"] for r in retrieval.bm25(queries, corpus).collect()}
+    assert len(every) == 5 * 402 and all(every[k] == s for k, s in shared.items()) and len([k for k in shared if k[0] == 2]) == 1
+    has = lambda q, d: set((dict([(1, "w1 w2 w10"), (2, "only7"), (5, "w0 w3")]).get(q) or "").split()) & set(words[d].lower().split())
+    assert set(shared) == {(q, d) for q in (1, 2, 5) for d in range(400) if has(q, d)}
+    best = {(r["query_id"], r["rank"]): r["doc_idx"] for r in retrieval.bm25_top(queries, corpus, 4).collect()}
+    for q in (1, 2, 5):
+        want = sorted(((round(s, 9), d) for (a, d), s in shared.items() if a == q), reverse=True)[:4]
+        assert [best[q, r] for r in range(1, len(want) + 1)] == [d for _, d in want]
+    plan = retrieval.bm25(queries, corpus)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_blocks_of_queries_and_documents(spark, monkeypatch, most):
+    corpus = spark.createDataFrame([(i, f"a{i % 4} b{i % 3} c") for i in range(60)], "doc_idx long, text string")
+    queries = spark.createDataFrame([(q, f"a{q % 4} b{q % 2} c c") for q in range(9)] + [(20, "")], "query_id int, text string")
+    rows = lambda df: sorted((r["query_id"], r["doc_idx"], round(r["score"], 9)) for r in df.collect())
+    whole, top = rows(retrieval.bm25(queries, corpus, every=True)), rows(retrieval.bm25_top(queries, corpus, 5))
+    monkeypatch.setattr(retrieval, "MOST_WEIGHTS", 4 * most)
+    monkeypatch.setattr(retrieval, "MOST_HITS", 4 * most)
+    assert rows(retrieval.bm25(queries, corpus, every=True)) == whole and len(whole) == 600
+    assert rows(retrieval.bm25_top(queries, corpus, 5)) == top
