@@ -1,12 +1,16 @@
 """What a task holds, and how rows grow: queries whose figures grew faster than their tables."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from assayworks.operators import retrieval
+from assayworks.operators import gate, judge, retrieval
 from assayworks.plans import catalog
+from assayworks.streaming import history
 
 
 @pytest.mark.parametrize("k", [1, 7, 500])
@@ -91,3 +95,64 @@ def test_blocks_of_queries_and_documents(spark, monkeypatch, most):
     monkeypatch.setattr(retrieval, "MOST_HITS", 4 * most)
     assert rows(retrieval.bm25(queries, corpus, every=True)) == whole and len(whole) == 600
     assert rows(retrieval.bm25_top(queries, corpus, 5)) == top
+
+
+class State:
+    """What a handle gives, without a stream."""
+
+    def __init__(self):
+        self.values, self.timers = {}, []
+
+    def getListState(self, name, schema):
+        return self.of(name)
+
+    def getValueState(self, name, schema):
+        return self.of(name)
+
+    def of(self, name):
+        held = self.values
+
+        class One:
+            exists = lambda s: bool(held.get(name))
+            get = lambda s: held.get(name, ())
+            clear = lambda s: held.pop(name, None)
+
+            def appendList(self, rows):
+                held[name] = [*held.get(name, []), *rows]
+
+            def put(self, rows):
+                held[name] = list(rows)
+
+            def update(self, row):
+                held[name] = row
+
+        return One()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_turns_that_come_together_set_one_timer():
+    handle, of = State(), history.Histories(1000)
+    of.init(handle)
+    part = pd.DataFrame([(30, "c", "z", ""), (10, "a", "x", ""), (20, "b", "y", ""), (90, "d", "w", "")], columns=["at", "query_id", "input_query", "output_answer"])
+    list(of.handleInputRows(("s",), iter([part.iloc[:2], part.iloc[2:]]), None))
+    assert handle.timers == [10]
+    passed = SimpleNamespace(getCurrentWatermarkInMs=lambda: 40)
+    out = pd.concat(of.handleExpiredTimer(("s",), passed, None))
+    assert list(out["query_id"]) == ["a", "b", "c"] and list(out["turn_index"]) == [1, 2, 3] and sorted(handle.timers[1:]) == [90, 1031]
+
+
+def test_tasks_and_connections_of_judges_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(judge, "MOST_TASKS", 3)
+    units, ledger = spark.range(200).select("id", F.col("id").cast("string").alias("p")), str(tmp_path / "ledger")
+    got = judge.judged(units, "p", lambda ps: [f"<{p}>" for p in ps], "id", batch=4, ledger=ledger)
+    assert {r["id"]: r["answer"] for r in got.collect()} == {i: f"<{i}>" for i in range(200)}
+    assert len(list((tmp_path / "ledger").glob("*.parquet"))) == 3
+    made = []
+    whole = gate.socket.create_connection
+    monkeypatch.setattr(gate.socket, "create_connection", lambda *a, **k: made.append(a) or whole(*a, **k))
+    with gate.opened(spark, 2) as key:
+        for _ in range(20):
+            key.give(key.take())
+    assert len(made) == 1
