@@ -54,12 +54,15 @@ class Gate:
 
 
 class _Lines(socketserver.StreamRequestHandler):
+    disable_nagle_algorithm = True
+
     def handle(self) -> None:
-        told = json.loads(self.rfile.readline())
-        if not secrets.compare_digest(str(told.pop("key", "")), self.server.key):
-            return
-        does = {"take": self.server.gate.take, "give": self.server.gate.give}[told.pop("do")]
-        self.wfile.write(json.dumps(does(**told)).encode() + b"\n")
+        for line in self.rfile:  # a task keeps its connection
+            told = json.loads(line)
+            if not secrets.compare_digest(str(told.pop("key", "")), self.server.key):
+                return
+            does = {"take": self.server.gate.take, "give": self.server.gate.give}[told.pop("do")]
+            self.wfile.write(json.dumps(does(**told)).encode() + b"\n")
 
 
 class _Server(socketserver.ThreadingTCPServer):
@@ -69,6 +72,10 @@ class _Server(socketserver.ThreadingTCPServer):
     key: str
 
 
+#: The connection of each thread.
+_open = threading.local()
+
+
 @dataclass(frozen=True)
 class Pass:
     """What a task needs to pass the gate."""
@@ -78,10 +85,27 @@ class Pass:
     key: str
 
     def _say(self, **what: Any) -> dict[str, Any]:
-        with socket.create_connection((self.host, self.port), timeout=30) as s, s.makefile("rwb") as f:
-            f.write(json.dumps(what | {"key": self.key}).encode() + b"\n")
+        """One connection a thread, opened again if it was lost."""
+        line = json.dumps(what | {"key": self.key}).encode() + b"\n"
+        known: dict[Any, Any] = _open.__dict__
+        f, told = known.get(self), b""
+        if f is not None:
+            try:
+                f.write(line)
+                f.flush()
+                told = f.readline()
+            except OSError:
+                told = b""
+        if not told:
+            with socket.create_connection((self.host, self.port), timeout=30) as s:
+                s.setsockopt(socket.IPPROTO_TCP, socket.TCP_NODELAY, 1)
+                f = s.makefile("rwb")  # keeps the connection open
+            f.write(line)
             f.flush()
-            return json.loads(f.readline())
+            told = f.readline()
+            known.clear()
+            known[self] = f
+        return json.loads(told)
 
     def take(self, sleep: Callable[[float], None] = time.sleep) -> int:
         """Wait for a lease."""

@@ -32,6 +32,8 @@ from assayworks.sources.kept import exists, forget, fresh_path, kept
 Judge = Callable[[list[str]], Sequence[str | Exception | None]]
 #: Calls in flight, attempts after refusals by quota and after other errors, pauses in seconds.
 IN_FLIGHT, QUOTA_ATTEMPTS, OTHER_ATTEMPTS = 4, 6, 2
+#: Tasks of a wave, each of which starts a worker and leaves a file.
+MOST_TASKS = 1000
 FIRST_PAUSE, LONGEST_PAUSE, DELAY = 2.0, 60.0, 3.0
 #: Fixed value: the share of units that a judge may lose, one at least.
 TOLERANCE = 0.1
@@ -142,9 +144,10 @@ def _answers(judge: Judge, prompts: list[str]) -> Sequence[Any]:
 def judged(units: DataFrame, prompt: str, judge: Judge, key: str = "_unit_id", parallel: int = IN_FLIGHT, batch: int = 32, ledger: str | None = None, waves: int = 1, **retry: Any) -> DataFrame:
     """``key, answer, error`` for each row, a written table; at most ``parallel`` calls are under way at a time on a whole cluster.
 
-    Each wave is a job that deals its prompts out in tasks of about ``batch``; a task's answers are
+    Each wave is a job that deals its prompts out in tasks of about ``batch``, of more batches where that made more
+    than ``MOST_TASKS``; a task's answers are
     in the ``ledger`` (a folder of its own) as soon as it ends, whatever becomes of the job.  A run
-    with a ledger asks only for keys that have no answer there, so a lost executor costs the batches
+    with a ledger asks only for keys that have no answer there, so a lost executor costs the tasks
     that it had under way, and a run that broke off goes on with the same ledger.  Errors are asked again
     by the next run.  Of a key's rows in the ledger an answer counts before an error.
     """
@@ -167,7 +170,7 @@ def judged(units: DataFrame, prompt: str, judge: Judge, key: str = "_unit_id", p
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array([a for a, _ in got], pa.string()), pa.array([e for _, e in got], pa.string())], names=row.names)
 
         for wave in sorted(sizes):
-            tasks = max(1, -(-sizes[wave] // batch))
+            tasks = max(1, min(-(-sizes[wave] // batch), MOST_TASKS))
             dealt = open_.where(F.col("_wave") == wave).select(key, "_prompt").repartition(tasks)
             # a task's file is in place once it ends, and stays if the job fails
             dealt.mapInArrow(run, row).write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger)
